@@ -66,6 +66,8 @@ def keep_first(
     """
     named = {c for c in order if isinstance(c, str)} | set(keys)
     rest = [c for c in df.columns if c not in named]
+    if not order and not rest:
+        return df.dropDuplicates(list(keys))
     window = W.partitionBy(*keys).orderBy(*order, *rest)
     return (
         df.withColumn("_copy", F.row_number().over(window))

@@ -48,7 +48,8 @@ def ranked(
     if "row_number" in outputs and not tie_breaker:
         raise ValueError("row_number needs tie_breaker columns for a total order")
     if hottest_group(df, partition) <= max_group_rows:
-        return _with_windows(df, outputs, list(partition), order, tie_breaker)
+        whole = _with_windows(df, outputs, list(partition), order, tie_breaker)
+        return whole.select(*df.columns, *outputs.values())
     return _ranked_by_span(df, outputs, partition, order, tie_breaker)
 
 
@@ -122,7 +123,7 @@ def _ranked_by_span(df, outputs, partition, order, tie_breaker) -> DataFrame:
     }
     return joined.select(
         *df.columns,
-        *[final[name].alias(outputs[name]) for name in final if name in outputs],
+        *[final[name].alias(out) for name, out in outputs.items()],
     )
 
 
