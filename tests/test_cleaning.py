@@ -121,6 +121,11 @@ def test_discount_is_inlined_and_upper_is_null_safe(spark):
     assert "ArrowEvalPython" in plan_of(shout) and rows(shout) == [("STRASSE",), (None,)]
 
 
+def test_discount_stored_in_a_schema(spark, layer):
+    name = register_discount(spark, f"{layer}.discount_func")
+    assert spark.sql(f"SELECT {name}(10D) AS d").first().d == 9.0
+
+
 def test_table_function_prunes_by_date(spark):
     orders = spark.read.parquet(f"{DATA}/orders.parquet").selectExpr(
         "o_orderkey AS order_id", "o_orderdate AS order_date"

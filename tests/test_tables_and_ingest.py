@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -8,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.cleaning import RESCUED
 from tidemark.plans import batch, layers, stand_ins
-from tidemark.scratch import materialise, shared_dir
+from tidemark.scratch import clear_scratch, materialise, shared_dir
 from tidemark.session import shuffle_partitions
 from tidemark.sources import files, tables
 from tidemark.streaming.ingest import ingest, ingest_all
@@ -152,6 +155,17 @@ def test_undeclared_columns_are_rescued(spark, layer, tmp_path):
     assert rows(batch_read, "id", "v", RESCUED) == got
 
 
+def test_late_file_with_an_old_date_is_taken(spark, layer, tmp_path):
+    folder, name = f"{tmp_path}/in", f"{layer}.orders"
+    put(spark, folder, "orders_first", [(1,)], "id int")
+    ingest(spark, folder, "orders", name)
+    put(spark, folder, "orders_second", [(2,)], "id int")
+    month_ago = time.time() - 30 * 24 * 3600
+    for file in Path(f"{folder}/orders_second.parquet").iterdir():
+        os.utime(file, (month_ago, month_ago))
+    assert rows(ingest(spark, folder, "orders", name), "id") == [(1,), (2,)]
+
+
 def test_ingest_of_several_datasets(spark, layer, tmp_path):
     folder = f"{tmp_path}/in"
     put(spark, folder, "orders", [(1,)], "id int")
@@ -182,6 +196,14 @@ def test_scratch_is_under_the_configured_folder(spark):
     assert all(shared_dir(spark) in f for f in df.inputFiles())
 
 
+def test_clear_scratch_deletes_this_application_only(spark):
+    kept = Path(shared_dir(spark)) / "another-application"
+    kept.mkdir(parents=True)
+    materialise(spark.range(1), "t")
+    assert clear_scratch(spark) and not clear_scratch(spark)
+    assert kept.exists()
+
+
 def test_shuffle_partitions_follow_the_data():
     assert shuffle_partitions(0) == 8
     assert shuffle_partitions(100 * 10**12) == 745059

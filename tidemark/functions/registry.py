@@ -12,9 +12,13 @@ DISCOUNTED_SHARE = "0.90"
 
 
 def register_discount(spark: SparkSession, name: str = "discount_func") -> str:
-    """SQL function ``name(DOUBLE) RETURNS DOUBLE``; Spark inlines its body."""
+    """SQL function ``name(DOUBLE) RETURNS DOUBLE``; Spark inlines its body.
+
+    A name with a schema is stored in the catalog, a plain one in the session.
+    """
+    kind = "FUNCTION" if "." in name else "TEMPORARY FUNCTION"
     spark.sql(
-        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(p_price DOUBLE) RETURNS DOUBLE "
+        f"CREATE OR REPLACE {kind} {name}(p_price DOUBLE) RETURNS DOUBLE "
         f"RETURN p_price * CAST({DISCOUNTED_SHARE} AS DOUBLE)"
     )
     return name

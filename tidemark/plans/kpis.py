@@ -120,7 +120,11 @@ def region_category_report(
     regions: DataFrame,
     rows: int = REPORT_ROWS,
 ) -> DataFrame:
-    """Revenue by region and category, in SQL over registered views."""
+    """Revenue by region and category, in SQL over registered views.
+
+    Sales meet the products row by row, since summing per customer and product
+    first would hardly shrink them; per customer and category it does.
+    """
     views = {
         "sales": sales,
         "customers": customers,
@@ -130,14 +134,10 @@ def region_category_report(
     for name, frame in views.items():
         register_view(frame, f"report_{name}")
     return spark.sql(f"""
-        WITH per_product AS (
-            SELECT customer_id, product_id, count(order_id) AS orders,
-                   sum(amount) AS amount, count(amount) AS amounts
-            FROM report_sales GROUP BY customer_id, product_id
-        ), per_customer AS (
-            SELECT s.customer_id, p.category, sum(orders) AS orders,
-                   sum(amount) AS amount, sum(amounts) AS amounts
-            FROM per_product s LEFT JOIN report_products p
+        WITH per_customer AS (
+            SELECT s.customer_id, p.category, count(s.order_id) AS orders,
+                   sum(s.amount) AS amount, count(s.amount) AS amounts
+            FROM report_sales s LEFT JOIN report_products p
               ON s.product_id = p.product_id
             GROUP BY s.customer_id, p.category
         )

@@ -36,6 +36,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{app}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete what this application wrote to its scratch folder.
+
+    Frames returned by operators may still read from it: call this after their
+    results have been written. Returns whether there was anything to delete.
+    """
+    context = spark.sparkContext
+    folder = f"{shared_dir(spark)}/{context.applicationId}"
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(
     df: DataFrame, label: str, partition_by: Sequence[str] = ()
 ) -> DataFrame:

@@ -15,6 +15,10 @@ from tidemark.operators.cleaning import RESCUED
 # The files of one dataset are <name>, <name>_first, <name>_second.
 SUFFIXES = ("", "_first", "_second")
 
+# A file stream ignores files much older than the newest one it has seen, a week
+# by default. Files may arrive late with their old date, so no age is too old.
+ANY_AGE = {"maxFileAge": "36500d"}
+
 
 def dataset_glob(folder: str, name: str, suffixes: Sequence[str] = SUFFIXES) -> str:
     """Pattern for a dataset's files; ``orders`` does not match ``orders_archive``."""

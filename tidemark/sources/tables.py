@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.upsert import one_row_per_key, upsert
 from tidemark.scratch import materialise
+from tidemark.sources.files import ANY_AGE
 
 # Versions rotate through this many folders: the live one and the last two stay.
 VERSION_SLOTS = 3
@@ -50,7 +51,7 @@ def query_table(
 
 def stream_table(spark: SparkSession, table: str) -> DataFrame:
     """New rows of an append-only table."""
-    return spark.readStream.table(table)
+    return spark.readStream.options(**ANY_AGE).table(table)
 
 
 def empty_like(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
@@ -149,10 +150,12 @@ def create_or_merge_partitions(
         return _partition_values(source, partition)
 
     target = spark.table(table)
-    matched = target.join(source.select(*keys), list(keys), "left_semi")
-    touched = _partition_values(
-        matched.select(partition).union(source.select(partition)), partition
-    )
+    holding = source.select(partition)
+    if partition not in keys:
+        # a matching row may lie in another partition than its new version
+        matched = target.join(source.select(*keys), list(keys), "left_semi")
+        holding = holding.union(matched.select(partition))
+    touched = _partition_values(holding, partition)
     affected = F.col(partition).isin([v for v in touched if v is not None])
     if None in touched:
         affected = affected | F.col(partition).isNull()

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.cleaning import RESCUED
 from tidemark.sources.files import (
+    ANY_AGE,
     SUFFIXES,
     dataset_glob,
     inferred_schema,
@@ -39,7 +40,7 @@ class Ingest:
         name: str,
         table: str,
         full_refresh: bool = False,
-        max_files_per_batch: int = 1000,
+        max_files_per_batch: int = 10_000,
         suffixes: Sequence[str] = SUFFIXES,
     ):
         self.spark = spark
@@ -63,6 +64,7 @@ class Ingest:
         files = (
             self.spark.readStream.schema(T.StructType([*declared.fields, *extras]))
             .option("maxFilesPerTrigger", self.max_files)
+            .options(**ANY_AGE)
             .parquet(self.pattern)
         )
         return with_rescued(files, declared, extras), declared
