@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tidemark.operators.cleaning import RESCUED
+from tidemark.operators.upsert import DuplicateKeys
 from tidemark.plans import batch, layers, stand_ins
 from tidemark.scratch import clear_scratch, materialise, shared_dir
 from tidemark.session import shuffle_partitions
@@ -89,7 +90,29 @@ def test_partition_merge_writes_touched_partitions_only(spark, layer):
     listed = {r.partition for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
     assert "year=2000" not in listed and len(listed) == 4
     pruned = spark.table(name).filter("year = 2001")
-    assert len(pruned.inputFiles()) == 1
+    assert len(pruned.inputFiles()) == 1 and "slot=0/year=2001" in pruned.inputFiles()[0]
+    # every further load moves the partition to the next slot
+    for round_ in range(4):
+        again = spark.createDataFrame([(2, f"b{round_}", 2001)], SALES)
+        assert tables.create_or_merge_partitions(again, name, ["id"], "year") == [2001]
+        assert spark.table(name).filter("id = 2").first().v == f"b{round_}"
+        assert spark.table(name).count() == 5
+    back = spark.createDataFrame([(6, "f", 2000)], SALES)
+    tables.create_or_merge_partitions(back, name, ["id", "year"], "year")
+    assert rows(spark.table(name).filter("year = 2000")) == [(6, "f", 2000)]
+
+
+def test_partition_merge_refuses_duplicates_and_odd_partitions(spark, layer):
+    twice = spark.createDataFrame([(1, "a", 2000), (1, "b", 2000)], SALES)
+    with pytest.raises(DuplicateKeys):
+        tables.create_or_merge_partitions(twice, f"{layer}.f", ["id"], "year")
+    assert not tables.table_exists(spark, f"{layer}.f")
+    with pytest.raises(ValueError, match="integer or a date"):
+        tables.create_or_merge_partitions(twice, f"{layer}.f", ["id"], "v")
+    tables.create_or_merge_partitions(
+        twice, f"{layer}.f", ["id"], "year", latest=[F.desc("v")]
+    )
+    assert rows(spark.table(f"{layer}.f"), "v") == [("b",)]
 
 
 def test_table_exists_and_missing_table(spark, layer):

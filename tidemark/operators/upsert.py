@@ -42,11 +42,17 @@ def upsert(
     source: DataFrame,
     keys: Sequence[str],
     latest: Sequence[Column | str] | None = None,
+    unique: bool = False,
 ) -> DataFrame:
-    """Target rows without a source row, and all source rows."""
+    """Target rows without a source row, and all source rows.
+
+    ``unique`` skips the check of a source known to have one row per key.
+    """
     missing = [c for c in target.columns if c not in source.columns]
     if missing:
         raise ValueError(f"source lacks target columns {missing}")
-    source = one_row_per_key(source, keys, latest).select(*target.columns)
+    if not unique:
+        source = one_row_per_key(source, keys, latest)
+    source = source.select(*target.columns)
     untouched = target.join(source.select(*keys), list(keys), "left_anti")
     return untouched.select(*target.columns).unionByName(source)

@@ -153,7 +153,9 @@ def load_order_facts(
     )
     products = current_versions(read_table(spark, f"{gold}.dimproducts"))
     facts = build_order_facts(orders, customers, products, order)
-    return create_or_merge_partitions(facts, f"{gold}.fact_orders", FACT_KEYS, "year")
+    return create_or_merge_partitions(
+        facts, f"{gold}.fact_orders", FACT_KEYS, "year", unique=True
+    )
 
 
 def load_warehouse(

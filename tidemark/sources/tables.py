@@ -7,7 +7,6 @@ table may be rebuilt from itself. One writer per table is assumed.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -20,6 +19,14 @@ from tidemark.sources.files import ANY_AGE
 
 # Versions rotate through this many folders: the live one and the last two stay.
 VERSION_SLOTS = 3
+SLOT = "slot"
+
+# A partition column with more values than this is refused.
+MAX_PARTITIONS = 10_000
+
+_SLOT_FIELD = T.StructField(SLOT, T.IntegerType())
+# Fixed value: Spark's folder name for a null partition value.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def ensure_layers(
@@ -77,7 +84,14 @@ def _same_columns(left: T.StructType, right: T.StructType) -> bool:
     return [(f.name, f.dataType) for f in left] == [(f.name, f.dataType) for f in right]
 
 
-def _create(spark, table: str, schema: T.StructType, location: str, parts=()) -> None:
+def create_table(
+    spark: SparkSession,
+    table: str,
+    schema: T.StructType,
+    location: str,
+    parts: Sequence[str] = (),
+) -> None:
+    """Register Parquet files, present or to come, as an external table."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     partitioned = f"PARTITIONED BY ({', '.join(parts)})" if parts else ""
     spark.sql(
@@ -96,15 +110,15 @@ def publish(df: DataFrame, table: str) -> int:
     slot = 0
     if exists:
         live = table_location(spark, table)
-        slot = (int(live.rsplit("slot=", 1)[1]) + 1) % VERSION_SLOTS
-    location = f"{table_root(spark, table)}/slot={slot}"
+        slot = (int(live.rsplit(f"{SLOT}=", 1)[1]) + 1) % VERSION_SLOTS
+    location = f"{table_root(spark, table)}/{SLOT}={slot}"
     rows = write_parquet(df, location)
     if exists and _same_columns(spark.table(table).schema, df.schema):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
     else:
         # files of an external table outlive the drop
         spark.sql(f"DROP TABLE IF EXISTS {table}")
-        _create(spark, table, df.schema, location)
+        create_table(spark, table, df.schema, location)
     spark.catalog.refreshTable(table)
     return rows
 
@@ -130,64 +144,102 @@ def create_or_merge_partitions(
     keys: Sequence[str],
     partition: str,
     latest: Sequence[Column | str] | None = None,
+    unique: bool = False,
 ) -> list:
     """Upsert into a table partitioned by a coarse column, e.g. the year.
 
     Only partitions that gain, change or lose rows are written: those of the
     source rows and those where a matching target row lies now. Each is written
-    to a new folder and then switched over, one catalog call per partition, so
-    readers may see some partitions new and others old for a moment. Returns the
-    values of the partitions written.
+    to a folder of its own and then switched over by the catalog, so readers may
+    see some partitions new and others old for a moment. ``unique`` says that
+    the source is known to have one row per key and need not be checked.
+    Returns the values of the partitions written.
     """
     spark = source.sparkSession
-    location = f"{table_root(spark, table)}/load={uuid.uuid4().hex[:12]}"
+    kind = source.schema[partition].dataType
+    if not isinstance(kind, (T.IntegralType, T.DateType)):
+        raise ValueError(f"partition by an integer or a date, not {kind.simpleString()}")
+    # read by the check, by the search for partitions and by the upsert
     source = materialise(source, "merge-source")
-    if not table_exists(spark, table):
-        first = one_row_per_key(source, keys, latest)
-        first.write.partitionBy(partition).parquet(location)
-        _create(spark, table, source.schema, location, [partition])
-        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
-        return _partition_values(source, partition)
-
-    target = spark.table(table)
+    if latest is not None or not unique:
+        source = one_row_per_key(source, keys, latest)
     holding = source.select(partition)
-    if partition not in keys:
-        # a matching row may lie in another partition than its new version
-        matched = target.join(source.select(*keys), list(keys), "left_semi")
-        holding = holding.union(matched.select(partition))
-    touched = _partition_values(holding, partition)
-    affected = F.col(partition).isin([v for v in touched if v is not None])
-    if None in touched:
-        affected = affected | F.col(partition).isNull()
-    merged = upsert(target.filter(affected), source, keys, latest)
-    merged.write.partitionBy(partition).parquet(location)
-    _switch_partitions(spark, table, partition, touched, location)
+    merged = source
+    if table_exists(spark, table):
+        target = spark.table(table)
+        if partition not in keys:
+            # a matching row may lie in another partition than its new version
+            matched = target.join(source.select(*keys), list(keys), "left_semi")
+            holding = holding.union(matched.select(partition))
+        touched = _partition_values(holding, partition)
+        affected = F.col(partition).isin([v for v in touched if v is not None])
+        if None in touched:
+            affected = affected | F.col(partition).isNull()
+        merged = upsert(target.filter(affected), source, keys, unique=True)
+    else:
+        touched = _partition_values(holding, partition)
+        create_table(spark, table, source.schema, table_root(spark, table), [partition])
+    _write_partitions(merged, table, partition, touched)
     return touched
 
 
 def _partition_values(df: DataFrame, partition: str) -> list:
-    """Distinct partition values: as many as the catalog lists for the table."""
-    return [row[0] for row in df.select(partition).distinct().collect()]
+    """Distinct partition values; too many mean that the column is no partition."""
+    found = df.select(partition).distinct().limit(MAX_PARTITIONS + 1).collect()
+    if len(found) > MAX_PARTITIONS:
+        raise ValueError(f"{partition} has more than {MAX_PARTITIONS} values")
+    return [row[0] for row in found]
+
 
+def _folder(partition: str, value) -> str:
+    return f"{partition}={NULL_FOLDER if value is None else value}"
 
-def _switch_partitions(spark, table: str, partition: str, touched, location: str):
-    schema = spark.table(table).schema
-    written = set(
-        _partition_values(spark.read.schema(schema).parquet(location), partition)
+
+def _spec(partition: str, value) -> str:
+    return f"({partition} = {'NULL' if value is None else repr(str(value))})"
+
+
+def _live_slots(spark: SparkSession, table: str, partition: str, touched) -> dict:
+    """Touched partition value -> slot it lives in, for those the table has."""
+    listed = {row.partition for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    slots = {}
+    for value in touched:
+        if _folder(partition, value) in listed:
+            spec = _spec(partition, value)
+            described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION {spec}")
+            place = described.filter("col_name = 'Location'").first().data_type
+            slots[value] = int(place.rsplit(f"{SLOT}=", 1)[1].split("/", 1)[0])
+    return slots
+
+
+def _write_partitions(rows: DataFrame, table: str, partition: str, touched) -> None:
+    """Write each partition to its next slot, then let the catalog point there."""
+    spark = rows.sparkSession
+    root = table_root(spark, table)
+    live = _live_slots(spark, table, partition, touched)
+    slots = {v: (live.get(v, -1) + 1) % VERSION_SLOTS for v in touched}
+    fields = [T.StructField("_value", rows.schema[partition].dataType), _SLOT_FIELD]
+    by_value = spark.createDataFrame(list(slots.items()), T.StructType(fields))
+    # bounded broadcast: one row per partition
+    placed = rows.join(
+        F.broadcast(by_value), F.col(partition).eqNullSafe(F.col("_value"))
+    ).drop("_value")
+    written = Observation()
+    placed.observe(written, F.collect_set(F.struct(partition)).alias("values")).write.mode(
+        "overwrite"
+    ).option("partitionOverwriteMode", "dynamic").partitionBy(SLOT, partition).parquet(
+        root
     )
+    filled = {row[0] for row in written.get["values"]}
     for value in touched:
-        if value is None:
-            spec, folder = f"{partition} = NULL", "__HIVE_DEFAULT_PARTITION__"
-        else:
-            spec, folder = f"{partition} = '{value}'", value
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec})")
-        if value in written:
-            spark.sql(
-                f"ALTER TABLE {table} PARTITION ({spec}) "
-                f"SET LOCATION '{location}/{partition}={folder}'"
-            )
+        spec, place = _spec(partition, value), _folder(partition, value)
+        place = f"{root}/{SLOT}={slots[value]}/{place}"
+        if value not in filled:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION {spec}")
+        elif value in live:
+            spark.sql(f"ALTER TABLE {table} PARTITION {spec} SET LOCATION '{place}'")
         else:
-            spark.sql(f"ALTER TABLE {table} DROP PARTITION ({spec})")
+            spark.sql(f"ALTER TABLE {table} ADD PARTITION {spec} LOCATION '{place}'")
     spark.catalog.refreshTable(table)
 
 

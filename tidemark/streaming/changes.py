@@ -10,6 +10,7 @@ from tidemark.operators.history import apply_changes
 from tidemark.operators.quality import expect_all_or_drop
 from tidemark.scratch import materialise
 from tidemark.sources.tables import (
+    create_table,
     empty_like,
     publish,
     stream_table,
@@ -51,12 +52,7 @@ def stage_table(
     )
     query.awaitTermination()
     if not table_exists(spark, stage):
-        columns = ", ".join(
-            f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema
-        )
-        spark.sql(
-            f"CREATE TABLE {stage} ({columns}) USING parquet LOCATION '{home}/data'"
-        )
+        create_table(spark, stage, rows.schema, f"{home}/data")
     spark.catalog.refreshTable(stage)
     return spark.table(stage)
 

@@ -19,7 +19,12 @@ from tidemark.sources.files import (
     undeclared,
     with_rescued,
 )
-from tidemark.sources.tables import table_exists, table_location, table_root
+from tidemark.sources.tables import (
+    create_table,
+    table_exists,
+    table_location,
+    table_root,
+)
 
 # The datasets of the sales model.
 DATASETS = ("orders", "customer", "products", "regions")
@@ -86,11 +91,7 @@ class Ingest:
         spark, location = self.spark, f"{self.home}/data"
         if not self.exists:
             schema = T.StructType([*self.declared, T.StructField(RESCUED, T.StringType())])
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-            spark.sql(
-                f"CREATE TABLE {self.table} ({columns}) USING parquet "
-                f"LOCATION '{location}'"
-            )
+            create_table(spark, self.table, schema, location)
         elif table_location(spark, self.table).rstrip("/") != location:
             spark.sql(f"ALTER TABLE {self.table} SET LOCATION '{location}'")
         spark.catalog.refreshTable(self.table)
