@@ -105,7 +105,7 @@ def test_streamed_product_versions(spark, layer):
     def arrive(*new):
         spark.createDataFrame(new, schema).write.insertInto(source)
         stage_table(spark, source, stage, PRODUCT_RULES)
-        apply_stream(changes_view(spark, stage), dim, ["product_id"], "seq")
+        apply_stream(changes_view(spark, stage), stage, dim, ["product_id"], "seq")
         return rows(spark.table(dim), "product_id", "product_name", START, END)
 
     assert arrive((1, "a", 10), (None, "b", 1), (2, None, 1)) == [(1, "a", 10, None)]
@@ -113,12 +113,12 @@ def test_streamed_product_versions(spark, layer):
         (1, "a", 10, None), (1, "early", 5, 10), (3, "c", 1, None),
     ]
     stage_table(spark, source, stage, PRODUCT_RULES)
-    apply_stream(changes_view(spark, stage), dim, ["product_id"], "seq")
+    apply_stream(changes_view(spark, stage), stage, dim, ["product_id"], "seq")
     assert spark.table(dim).count() == 3 and spark.table(stage).count() == 3
 
 
 def test_stream_into_empty_source_declares_the_target(spark, layer):
     source, dim = f"{layer}.p", f"{layer}.d"
     publish(spark.createDataFrame([], "product_id int, seq int"), source)
-    apply_stream(stream_table(spark, source), dim, ["product_id"], "seq")
+    apply_stream(stream_table(spark, source), source, dim, ["product_id"], "seq")
     assert spark.table(dim).columns == ["product_id", START, END]

@@ -5,6 +5,13 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators.history import (
+    END,
+    START,
+    _touched_keys,
+    apply_changes,
+    build_versions,
+)
 from tidemark.operators.joins import enrich, look_up_key
 from tidemark.operators.upsert import upsert
 from tidemark.plans import kpis
@@ -80,6 +87,27 @@ def test_hot_null_keys_are_split_in_the_upsert(spark, small_thresholds, hot_orde
     assert merged.count() == ROWS
 
 
+def test_hot_history_key_is_split(spark, small_thresholds, tmp_path):
+    """Half of the stored versions belong to one key, which gets one more change."""
+    changes = spark.range(ROWS).select(
+        F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id") % 997).alias("id"),
+        F.xxhash64("id").alias("v"),
+        F.col("id").alias("seq"),
+    )
+    stored = f"{tmp_path}/history"
+    build_versions(changes, ["id"], "seq").repartition(8).drop("seq").write.parquet(stored)
+    history = spark.read.parquet(stored)
+    late = spark.createDataFrame([(1, 0, ROWS + 5), (2, 0, 3)], "id long, v long, seq long")
+    touched = _touched_keys(late, ["id"])
+    for how in ("left_semi", "left_anti"):
+        assert "skew=true" in final_plan(history.join(touched, "id", how))
+    got = apply_changes(history, late, ["id"], "seq", max_group_rows=1000)
+    assert got.count() == ROWS + 2
+    assert got.filter(F.col(END).isNull()).count() == 997
+    gaps = got.groupBy("id").agg(F.min(START), F.count(END), F.count(F.lit(1)).alias("n"))
+    assert gaps.filter(F.col(f"count({END})") != F.col("n") - 1).isEmpty()
+
+
 def test_report_sums_a_hot_customer_before_the_shuffle(spark, hot_orders):
     """Shuffled rows are bounded by keys times tasks, not by sales."""
     sales = hot_orders.withColumn("amount", F.lit(1.0))

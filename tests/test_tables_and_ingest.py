@@ -13,7 +13,7 @@ from tidemark.operators.cleaning import RESCUED
 from tidemark.operators.upsert import DuplicateKeys
 from tidemark.plans import batch, layers, stand_ins
 from tidemark.scratch import clear_scratch, materialise, shared_dir
-from tidemark.session import shuffle_partitions
+from tidemark.session import shuffle_partitions, side_by_side
 from tidemark.sources import files, tables
 from tidemark.streaming.ingest import ingest, ingest_all
 
@@ -219,6 +219,15 @@ def test_scratch_is_under_the_configured_folder(spark):
     assert all(shared_dir(spark) in f for f in df.inputFiles())
 
 
+def test_side_by_side_runs_all_and_raises(spark):
+    ended = []
+    jobs = {"bad": lambda: 1 / 0, "good": lambda: ended.append(spark.range(3).count())}
+    with pytest.raises(ZeroDivisionError):
+        side_by_side(spark, jobs)
+    assert ended == [3]
+    assert side_by_side(spark, {"n": lambda: spark.range(2).count()}) == {"n": 2}
+
+
 def test_clear_scratch_deletes_this_application_only(spark):
     kept = Path(shared_dir(spark)) / "another-application"
     kept.mkdir(parents=True)

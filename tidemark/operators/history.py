@@ -83,7 +83,7 @@ def apply_changes(
         batch = batch.drop(sequence_by)
     if history is None:
         return build_versions(batch, keys, START, max_group_rows=max_group_rows)
-    touched = batch.select(*keys).dropna().distinct()
+    touched = _touched_keys(batch, keys)
     recorded = history.join(touched, list(keys), "left_semi").drop(END)
     rebuilt = build_versions(
         recorded.unionByName(batch), keys, START, max_group_rows=max_group_rows
@@ -92,5 +92,14 @@ def apply_changes(
     return untouched.unionByName(rebuilt).select(*history.columns)
 
 
+def _touched_keys(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The batch's keys, stored.
+
+    Spark splits a skewed join side only where both sides come straight from
+    their shuffles; an aggregate in between would keep a hot key in one task.
+    """
+    return materialise(batch.select(*keys).dropna().distinct(), "touched-keys")
+
+
 def current_versions(history: DataFrame, end: str = END) -> DataFrame:
     return history.filter(F.col(end).isNull())

@@ -1,7 +1,10 @@
 """Left joins of facts to dimensions.
 
 No side is broadcast by hint: Spark broadcasts a dimension it has measured to be
-small, and otherwise shuffles, splitting skewed partitions of the fact side.
+small, and otherwise shuffles, splitting skewed partitions of the fact side. It
+can split only sides that come straight from their shuffle, so a dimension that
+was just aggregated or de-duplicated by the join key should be written first, as
+the layered and the batch load do.
 """
 
 from __future__ import annotations

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +15,7 @@ from tidemark.operators.cleaning import (
 )
 from tidemark.operators.joins import enrich
 from tidemark.plans import kpis
+from tidemark.session import side_by_side
 from tidemark.sources.files import read_parquet
 from tidemark.sources.tables import export_csv, write_parquet
 
@@ -33,13 +35,13 @@ REPORTS = ("monthly_revenue", "category_revenue", "region_revenue", "top_custome
 def copy_files(
     spark: SparkSession, source: str, target: str, names: Sequence[str] = FILES
 ) -> dict[str, int]:
-    """Copy each file set as it is; returns the rows of each."""
-    return {
-        name: write_parquet(
-            read_parquet(spark, f"{source}/{name}.parquet"), f"{target}/{name}"
-        )
-        for name in names
-    }
+    """Copy the file sets as they are, all at once; returns the rows of each."""
+
+    def copy(name: str) -> int:
+        files = read_parquet(spark, f"{source}/{name}.parquet")
+        return write_parquet(files, f"{target}/{name}")
+
+    return side_by_side(spark, {name: partial(copy, name) for name in names})
 
 
 def cleaned_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -62,10 +64,11 @@ def cleaned_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 def load_silver(spark: SparkSession, bronze: str, silver: str) -> dict[str, int]:
     """Write the cleaned tables and the enriched orders; returns the rows of each."""
-    rows = {
-        name: write_parquet(df, f"{silver}/{name}")
-        for name, df in cleaned_tables(spark, bronze).items()
-    }
+    cleaned = cleaned_tables(spark, bronze)
+    rows = side_by_side(
+        spark,
+        {n: partial(write_parquet, df, f"{silver}/{n}") for n, df in cleaned.items()},
+    )
     orders, customers, products, regions = (
         read_parquet(spark, f"{silver}/{name}")
         for name in ("orders", "customers", "products", "regions")
@@ -91,7 +94,10 @@ def load_gold(spark: SparkSession, silver: str, gold: str) -> dict[str, int]:
         "region_revenue": kpis.region_revenue(orders, customers, regions),
         "top_customers": kpis.top_customers(orders, customers, regions),
     }
-    return {n: write_parquet(reports[n], f"{gold}/{n}") for n in REPORTS}
+    return side_by_side(
+        spark,
+        {n: partial(write_parquet, reports[n], f"{gold}/{n}") for n in REPORTS},
+    )
 
 
 def export_reports(spark: SparkSession, gold: str, folder: str) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from tidemark.operators.cleaning import (
 from tidemark.operators.dimensions import apply_type1, first_type1_load
 from tidemark.operators.facts import FACT_KEYS, build_order_facts
 from tidemark.operators.history import current_versions
+from tidemark.session import side_by_side
 from tidemark.sources.tables import (
     create_or_merge_partitions,
     ensure_layers,
@@ -94,11 +96,11 @@ SILVER = {
 
 def load_silver(spark: SparkSession, bronze: str, silver: str) -> dict[str, int]:
     """Rebuild the silver tables; returns the rows of each."""
-    rows = {}
+    jobs = {}
     for dataset, (table, transform) in SILVER.items():
-        source = read_table(spark, f"{bronze}.{dataset}")
-        rows[table] = publish(transform(source), f"{silver}.{table}")
-    return rows
+        cleaned = transform(read_table(spark, f"{bronze}.{dataset}"))
+        jobs[table] = partial(publish, cleaned, f"{silver}.{table}")
+    return side_by_side(spark, jobs)
 
 
 def load_customer_dimension(
@@ -137,9 +139,8 @@ def load_product_dimension(
     stage = f"{gold}.dimproducts_stage"
     table = f"{gold}.dimproducts"
     stage_table(spark, f"{bronze}.products", stage, rules)
-    apply_stream(
-        silver_products(changes_view(spark, stage)), table, ["product_id"], sequence_by
-    )
+    changes = silver_products(changes_view(spark, stage))
+    apply_stream(changes, stage, table, ["product_id"], sequence_by)
     return read_table(spark, table)
 
 

@@ -511,7 +511,7 @@ def scd2_stream(spark, sf_dir):
         events.filter(part).write.parquet(f"{folder}/{name}.parquet")
         ingest(spark, folder, "events", source)
         stream = cleaning.drop_rescued(tables.stream_table(spark, source))
-        change_stream.apply_stream(stream, target, ["user_id"], "ts")
+        change_stream.apply_stream(stream, source, target, ["user_id"], "ts")
     return spark.table(target).withColumnsRenamed(
         {history.START: "start_at", history.END: "end_at"}
     )

@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+Result = TypeVar("Result")
+
 MIB = 1024 * 1024
 
 # Runtime SQL settings, safe to set on a session somebody else built.
@@ -32,6 +38,19 @@ def shuffle_partitions(data_bytes: int, target_mib: int = 128, floor: int = 8) -
     return max(floor, math.ceil(data_bytes / (target_mib * MIB)))
 
 
+def side_by_side(
+    spark: SparkSession, jobs: Mapping[str, Callable[[], Result]]
+) -> dict[str, Result]:
+    """Run independent jobs at once, so that a small one does not wait its turn.
+
+    The first failure is raised after all jobs have ended.
+    """
+    with ThreadPoolExecutor(max(1, len(jobs))) as pool:
+        wrap = inheritable_thread_target(spark)
+        started = {name: pool.submit(wrap(job)) for name, job in jobs.items()}
+    return {name: job.result() for name, job in started.items()}
+
+
 def session(
     app: str = "tidemark",
     master: str | None = None,

@@ -80,6 +80,18 @@ def table_location(spark: SparkSession, table: str) -> str:
     return described.filter("col_name = 'Location'").first().data_type
 
 
+def point_table(
+    spark: SparkSession, table: str, schema: T.StructType, location: str
+) -> DataFrame:
+    """Make ``table`` show the files under ``location``, creating it if missing."""
+    if not table_exists(spark, table):
+        create_table(spark, table, schema, location)
+    elif table_location(spark, table).rstrip("/") != location:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def _same_columns(left: T.StructType, right: T.StructType) -> bool:
     return [(f.name, f.dataType) for f in left] == [(f.name, f.dataType) for f in right]
 
@@ -131,11 +143,18 @@ def create_or_merge(
 ) -> int:
     """First load writes ``source`` whole, later loads upsert it on ``keys``."""
     spark = source.sparkSession
-    # read by the check and by both halves of the upsert: compute it once
-    source = materialise(source, "merge-source")
+    source = _merge_source(source, keys, latest, unique=False)
     if not table_exists(spark, table):
-        return publish(one_row_per_key(source, keys, latest), table)
-    return publish(upsert(spark.table(table), source, keys, latest), table)
+        return publish(source, table)
+    return publish(upsert(spark.table(table), source, keys, unique=True), table)
+
+
+def _merge_source(source: DataFrame, keys, latest, unique: bool) -> DataFrame:
+    """The source with one row per key, stored, since a merge reads it repeatedly."""
+    if latest is not None:
+        return materialise(one_row_per_key(source, keys, latest), "merge-source")
+    stored = materialise(source, "merge-source")
+    return stored if unique else one_row_per_key(stored, keys)
 
 
 def create_or_merge_partitions(
@@ -159,10 +178,7 @@ def create_or_merge_partitions(
     kind = source.schema[partition].dataType
     if not isinstance(kind, (T.IntegralType, T.DateType)):
         raise ValueError(f"partition by an integer or a date, not {kind.simpleString()}")
-    # read by the check, by the search for partitions and by the upsert
-    source = materialise(source, "merge-source")
-    if latest is not None or not unique:
-        source = one_row_per_key(source, keys, latest)
+    source = _merge_source(source, keys, latest, unique)
     holding = source.select(partition)
     merged = source
     if table_exists(spark, table):

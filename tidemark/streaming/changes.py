@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,11 +11,12 @@ from tidemark.operators.history import apply_changes
 from tidemark.operators.quality import expect_all_or_drop
 from tidemark.scratch import materialise
 from tidemark.sources.tables import (
-    create_table,
     empty_like,
+    point_table,
     publish,
     stream_table,
     table_exists,
+    table_location,
     table_root,
 )
 
@@ -39,8 +41,11 @@ def staged_changes(
 def stage_table(
     spark: SparkSession, source: str, stage: str, rules: Mapping[str, str]
 ) -> DataFrame:
-    """Stream the rows ``source`` gained into the ``stage`` table."""
-    home = table_root(spark, stage)
+    """Stream the rows ``source`` gained into the ``stage`` table.
+
+    A source replayed into a new folder is staged anew, also into a new folder.
+    """
+    home = f"{table_root(spark, stage)}/of-{_origin(spark, source)}"
     rows = staged_changes(stream_table(spark, source), rules)
     query = (
         rows.writeStream.format("parquet")
@@ -51,10 +56,13 @@ def stage_table(
         .start()
     )
     query.awaitTermination()
-    if not table_exists(spark, stage):
-        create_table(spark, stage, rows.schema, f"{home}/data")
-    spark.catalog.refreshTable(stage)
-    return spark.table(stage)
+    return point_table(spark, stage, rows.schema, f"{home}/data")
+
+
+def _origin(spark: SparkSession, source: str) -> str:
+    """Short name for the folder a table shows now; progress is kept per folder."""
+    place = table_location(spark, source).encode()
+    return hashlib.sha256(place).hexdigest()[:12]
 
 
 def changes_view(spark: SparkSession, stage: str) -> DataFrame:
@@ -74,13 +82,15 @@ def create_history_table(
 
 
 def apply_stream(
-    changes: DataFrame, table: str, keys: Sequence[str], sequence_by: str
+    changes: DataFrame, source: str, table: str, keys: Sequence[str], sequence_by: str
 ) -> None:
-    """Apply a change stream to a version table, one publish per micro-batch.
+    """Apply the changes streamed from ``source`` to a version table.
 
-    A batch delivered twice, as may happen after a failure, gives the same table.
+    Each micro-batch is one publish. Changes delivered twice, after a failure or
+    by a replayed source, give the same table.
     """
     spark = changes.sparkSession
+    progress = f"{table_root(spark, table)}/checkpoint-of-{_origin(spark, source)}"
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
@@ -90,7 +100,7 @@ def apply_stream(
     create_history_table(changes, table, keys, sequence_by)
     query = (
         changes.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", f"{table_root(spark, table)}/checkpoint")
+        .option("checkpointLocation", progress)
         .trigger(availableNow=True)
         .start()
     )

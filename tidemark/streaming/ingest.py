@@ -20,7 +20,7 @@ from tidemark.sources.files import (
     with_rescued,
 )
 from tidemark.sources.tables import (
-    create_table,
+    point_table,
     table_exists,
     table_location,
     table_root,
@@ -52,9 +52,8 @@ class Ingest:
         self.table = table
         self.pattern = dataset_glob(folder, name, suffixes)
         self.max_files = max_files_per_batch
-        self.exists = table_exists(spark, table)
         generation = 0
-        if self.exists:
+        if table_exists(spark, table):
             live = table_location(spark, table).rstrip("/").removesuffix("/data")
             generation = int(live.rsplit("gen=", 1)[1]) + bool(full_refresh)
         self.home = f"{table_root(spark, table)}/gen={generation}"
@@ -88,14 +87,8 @@ class Ingest:
     def finish(self, query: StreamingQuery) -> DataFrame:
         """Wait for the files present at the start, then expose them as the table."""
         query.awaitTermination()
-        spark, location = self.spark, f"{self.home}/data"
-        if not self.exists:
-            schema = T.StructType([*self.declared, T.StructField(RESCUED, T.StringType())])
-            create_table(spark, self.table, schema, location)
-        elif table_location(spark, self.table).rstrip("/") != location:
-            spark.sql(f"ALTER TABLE {self.table} SET LOCATION '{location}'")
-        spark.catalog.refreshTable(self.table)
-        return spark.table(self.table)
+        schema = T.StructType([*self.declared, T.StructField(RESCUED, T.StringType())])
+        return point_table(self.spark, self.table, schema, f"{self.home}/data")
 
 
 def ingest(
