@@ -13,7 +13,7 @@ from tidemark.operators.cleaning import RESCUED
 from tidemark.operators.upsert import DuplicateKeys
 from tidemark.plans import batch, layers, stand_ins
 from tidemark.scratch import clear_scratch, materialise, shared_dir
-from tidemark.session import shuffle_partitions, side_by_side
+from tidemark.session import scan_split_bytes, shuffle_partitions, side_by_side
 from tidemark.sources import files, tables
 from tidemark.streaming.ingest import ingest, ingest_all
 
@@ -102,6 +102,21 @@ def test_partition_merge_writes_touched_partitions_only(spark, layer):
     assert rows(spark.table(name).filter("year = 2000")) == [(6, "f", 2000)]
 
 
+def test_partition_merge_skips_rows_it_holds(spark, layer):
+    name = f"{layer}.f"
+    data = [(1, "a", 2000), (2, None, 2001), (3, "c", None)]
+    source = spark.createDataFrame(data, SALES)
+    for unique in (True, False):
+        tables.create_or_merge_partitions(source, name, ["id"], "year", unique=unique)
+    files = set(spark.table(name).inputFiles())
+    assert tables.create_or_merge_partitions(source, name, ["id"], "year") == []
+    assert set(spark.table(name).inputFiles()) == files
+    # one row of many differs: its partition alone is written
+    changed = spark.createDataFrame([*data[:1], (2, "b", 2001), data[2]], SALES)
+    assert tables.create_or_merge_partitions(changed, name, ["id"], "year") == [2001]
+    assert rows(spark.table(name), "id", "v") == [(1, "a"), (2, "b"), (3, "c")]
+
+
 def test_partition_merge_refuses_duplicates_and_odd_partitions(spark, layer):
     twice = spark.createDataFrame([(1, "a", 2000), (1, "b", 2000)], SALES)
     with pytest.raises(DuplicateKeys):
@@ -238,7 +253,10 @@ def test_clear_scratch_deletes_this_application_only(spark):
 
 def test_shuffle_partitions_follow_the_data():
     assert shuffle_partitions(0) == 8
-    assert shuffle_partitions(100 * 10**12) == 745059
+    assert shuffle_partitions(10**12) == 3726
+    assert shuffle_partitions(100 * 10**12) == 30_000
+    assert scan_split_bytes(10**9) == 128 * 2**20
+    assert scan_split_bytes(100 * 10**12) == 10**9
 
 
 # --- whole loads --------------------------------------------------------------

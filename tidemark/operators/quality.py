@@ -14,7 +14,8 @@ def expect_all_or_drop(
     """Keep rows for which every rule (a SQL predicate) is true; null counts as false.
 
     ``report`` collects ``rows`` and one failure count per rule in the same pass:
-    an ``Observation`` in a batch, a metric name on a stream.
+    an ``Observation`` in a batch, a metric name on a stream. A task that runs
+    again after a lost executor may count its rows again.
     """
     passed = {n: F.coalesce(F.expr(rule), F.lit(False)) for n, rule in rules.items()}
     if report is not None:

@@ -33,9 +33,20 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shuffle_partitions(data_bytes: int, target_mib: int = 128, floor: int = 8) -> int:
-    """Shuffle partitions that keep one partition near ``target_mib``."""
-    return max(floor, math.ceil(data_bytes / (target_mib * MIB)))
+def shuffle_partitions(
+    data_bytes: int, target_mib: int = 256, floor: int = 8, ceiling: int = 30_000
+) -> int:
+    """Shuffle partitions near ``target_mib`` each.
+
+    The ceiling keeps map outputs times partitions fetchable; past it partitions
+    grow and their sorts spill.
+    """
+    return min(ceiling, max(floor, math.ceil(data_bytes / (target_mib * MIB))))
+
+
+def scan_split_bytes(data_bytes: int, tasks: int = 100_000) -> int:
+    """Bytes per scan task: Spark's 128 MiB, more if that made too many map outputs."""
+    return min(1024 * MIB, max(128 * MIB, math.ceil(data_bytes / tasks)))
 
 
 def side_by_side(
@@ -57,7 +68,7 @@ def session(
     data_bytes: int | None = None,
     **extra: str,
 ) -> SparkSession:
-    """Build a session; ``data_bytes`` (largest shuffled input) sizes the shuffles.
+    """Build a session; ``data_bytes`` (largest input) sizes scans and shuffles.
 
     AQE merges small shuffle partitions afterwards, so the estimate may be
     generous. ``extra`` takes dotted keys through ``**{"spark.x": "y"}``.
@@ -68,7 +79,7 @@ def session(
     if data_bytes is not None:
         builder = builder.config(
             "spark.sql.shuffle.partitions", str(shuffle_partitions(data_bytes))
-        )
+        ).config("spark.sql.files.maxPartitionBytes", str(scan_split_bytes(data_bytes)))
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

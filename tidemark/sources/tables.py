@@ -167,38 +167,52 @@ def create_or_merge_partitions(
 ) -> list:
     """Upsert into a table partitioned by a coarse column, e.g. the year.
 
-    Only partitions that gain, change or lose rows are written: those of the
-    source rows and those where a matching target row lies now. Each is written
-    to a folder of its own and then switched over by the catalog, so readers may
-    see some partitions new and others old for a moment. ``unique`` says that
-    the source is known to have one row per key and need not be checked.
-    Returns the values of the partitions written.
+    Source rows the table already holds as they are change nothing and are left
+    out first, so a load of all orders writes only the partitions in which some
+    order is new or different: those of the changed rows and those where a
+    matching target row lies now. Each is written to a folder of its own and then
+    switched over by the catalog, so readers may see some partitions new and
+    others old for a moment. ``unique`` says that the source is known to have one
+    row per key and need not be checked. Returns the values of the partitions
+    written.
     """
     spark = source.sparkSession
     kind = source.schema[partition].dataType
     if not isinstance(kind, (T.IntegralType, T.DateType)):
         raise ValueError(f"partition by an integer or a date, not {kind.simpleString()}")
-    source = _merge_source(source, keys, latest, unique)
-    holding = source.select(partition)
-    merged = source
-    if table_exists(spark, table):
-        target = spark.table(table)
-        if partition not in keys:
-            # a matching row may lie in another partition than its new version
-            matched = target.join(source.select(*keys), list(keys), "left_semi")
-            holding = holding.union(matched.select(partition))
-        touched = _partition_values(holding, partition)
+    exists = table_exists(spark, table)
+    if latest is not None or not unique or not exists:
+        source = _merge_source(source, keys, latest, unique)
+    if not exists:
+        touched = _partition_values(source, partition)
+        create_table(spark, table, source.schema, table_root(spark, table), [partition])
+        _write_partitions(source, table, partition, touched)
+        return touched
+
+    target = spark.table(table)
+    changed = materialise(_not_held(source, target), "merge-changes")
+    holding = changed.select(partition)
+    if partition not in keys:
+        # a matching row may lie in another partition than its new version
+        matched = target.join(changed.select(*keys), list(keys), "left_semi")
+        holding = holding.union(matched.select(partition))
+    touched = _partition_values(holding, partition)
+    if touched:
         affected = F.col(partition).isin([v for v in touched if v is not None])
         if None in touched:
             affected = affected | F.col(partition).isNull()
-        merged = upsert(target.filter(affected), source, keys, unique=True)
-    else:
-        touched = _partition_values(holding, partition)
-        create_table(spark, table, source.schema, table_root(spark, table), [partition])
-    _write_partitions(merged, table, partition, touched)
+        merged = upsert(target.filter(affected), changed, keys, unique=True)
+        _write_partitions(merged, table, partition, touched)
     return touched
 
 
+def _not_held(source: DataFrame, target: DataFrame) -> DataFrame:
+    """Source rows with no equal row in the target, nulls being equal."""
+    held = target.select(*[F.col(c).alias(f"_held_{c}") for c in target.columns])
+    same = [F.col(c).eqNullSafe(F.col(f"_held_{c}")) for c in target.columns]
+    return source.join(held, same, "left_anti")
+
+
 def _partition_values(df: DataFrame, partition: str) -> list:
     """Distinct partition values; too many mean that the column is no partition."""
     found = df.select(partition).distinct().limit(MAX_PARTITIONS + 1).collect()
