@@ -19,7 +19,6 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a skewed join side even when that costs one more exchange above it
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
