@@ -75,6 +75,13 @@ def test_intervals_are_gap_free_with_one_open(spark, limit):
         assert [e for _, e in intervals] == [s for s, _ in intervals[1:]] + [None]
 
 
+def test_versions_of_ordinary_keys_take_one_shuffle(spark):
+    feed = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], SCHEMA)
+    plan = build_versions(feed, ["id"], "seq")._jdf.queryExecution().executedPlan()
+    assert plan.toString().count("Exchange") == 1
+    assert plan.toString().count("Sort [") == 1
+
+
 def test_changes_without_key_or_sequence_are_left_out(spark):
     df = spark.createDataFrame([(None, "x", 1), (1, "x", None), (2, "x", 1)], SCHEMA)
     assert versions(build_versions(df, ["id"], "seq")) == [(2, "x", 1, None)]

@@ -37,17 +37,25 @@ def build_versions(
     than ``max_group_rows`` changes is not put into one task.
     """
     changes = changes.dropna(subset=[*keys, sequence_by])
+    fits = hottest_group(changes, keys) <= max_group_rows
+    if fits:
+        # one shuffle by key serves both the de-duplication and the window
+        changes = changes.repartition(*keys)
     distinct = keep_first(changes, [*keys, sequence_by], [])
-    versions = distinct.withColumn(start, F.col(sequence_by))
+    if fits:
+        window = W.partitionBy(*keys).orderBy(sequence_by)
+        versions = distinct.withColumns(
+            {start: F.col(sequence_by), end: F.lead(sequence_by).over(window)}
+        )
+    else:
+        versions = _ended_by_span(distinct, list(keys), sequence_by, start, end)
     if sequence_by != start and sequence_by not in keys:
         versions = versions.drop(sequence_by)
-    if hottest_group(changes, keys) <= max_group_rows:
-        window = W.partitionBy(*keys).orderBy(start)
-        return versions.withColumn(end, F.lead(start).over(window))
-    return _ended_by_span(versions, list(keys), start, end)
+    return versions
 
 
-def _ended_by_span(versions: DataFrame, keys, start, end) -> DataFrame:
+def _ended_by_span(distinct: DataFrame, keys, sequence_by, start, end) -> DataFrame:
+    versions = distinct.withColumn(start, F.col(sequence_by))
     spread = split_into_spans(versions, keys, [(start, "asc")], unique=True)
     window = W.partitionBy(SPAN, *keys).orderBy(start)
     stored = materialise(
