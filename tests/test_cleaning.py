@@ -51,6 +51,15 @@ def test_bad_timestamps_become_null(spark):
     assert got == [dt.datetime(2024, 1, 2, 3, 4, 5), None, None, None]
 
 
+def test_typed_dates_become_timestamps(spark):
+    when = dt.datetime(2024, 1, 2, 3, 4, 5)
+    df = spark.createDataFrame(
+        [(when, when, when.date())], "t timestamp, n timestamp_ntz, d date"
+    ).select(*[cleaning.parsed_timestamp(c).alias(c) for c in "tnd"])
+    assert {f.dataType.typeName() for f in df.schema} == {"timestamp"}
+    assert tuple(df.first()) == (when, when, dt.datetime(2024, 1, 2))
+
+
 def test_year_filter_reaches_the_scan(spark):
     orders = spark.read.parquet(f"{DATA}/orders.parquet")
     cut = orders.filter(cleaning.in_year("o_orderdate", 1997)).select("o_orderkey")

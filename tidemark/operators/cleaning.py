@@ -33,8 +33,8 @@ def full_name(*columns: str) -> Column:
 
 
 def parsed_timestamp(column: str) -> Column:
-    """Timestamp from text; null for text that is none."""
-    return F.try_to_timestamp(F.col(column).cast("string"))
+    """Timestamp from text, date or timestamp; null for text that is none."""
+    return F.try_to_timestamp(F.col(column))
 
 
 def in_year(column: str, year: int) -> Column:

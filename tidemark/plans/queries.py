@@ -181,9 +181,10 @@ def cast_date_year(spark, sf_dir):
 
 @query
 def parse_timestamp(spark, sf_dir):
-    return table(spark, sf_dir, "orders").select(
-        "o_orderkey", cleaning.parsed_timestamp("o_orderdate").alias("order_date")
+    texts = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_orderdate").cast("string").alias("order_date")
     )
+    return texts.withColumn("order_date", cleaning.parsed_timestamp("order_date"))
 
 
 @query
