@@ -114,10 +114,22 @@ def test_top_n_limits_on_the_map_side(spark):
 
 
 def test_split_plan_has_no_window_over_a_whole_group(spark):
-    """Every window over data rows is partitioned by span."""
+    """The window is by span and runs on the spans' own partitions."""
     df = spark.range(100).withColumn("g", F.col("id") % 3)
     spread = split_into_spans(df, ["g"], [("id", "asc")], unique=True)
     window = W.partitionBy(SPAN, "g").orderBy("id")
     plan = plan_of(spread.withColumn("n", F.row_number().over(window)))
-    assert "rangepartitioning(g" in plan
-    assert f"hashpartitioning({SPAN}" in plan
+    assert "rangepartitioning(g" in plan and f"partition_id({SPAN}" in plan
+    assert plan.count("Exchange") == 2 and plan.count("Window [") == 1
+
+
+def test_each_span_has_a_partition_of_its_own(spark):
+    df = spark.range(6000).withColumn("g", F.col("id") % 2)
+    spread = split_into_spans(df, ["g"], [("id", "asc")], unique=True)
+    per_task = (
+        spread.groupBy(F.spark_partition_id().alias("task"))
+        .agg(F.countDistinct(SPAN).alias("spans"), F.count(F.lit(1)).alias("rows"))
+        .collect()
+    )
+    assert len(per_task) == 6 and {r.spans for r in per_task} == {1}
+    assert max(r["rows"] for r in per_task) < 2 * 6000 / 6
