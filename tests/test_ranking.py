@@ -82,6 +82,14 @@ def test_several_order_columns(spark):
     assert split.select(columns).exceptAll(plain.select(columns)).isEmpty()
 
 
+def test_ranks_over_the_whole_frame(spark):
+    df = spark.createDataFrame([(i % 7, i) for i in range(300)], "v int, id int")
+    order = [("v", "desc")]
+    split = ranked(df, OUT, [], order, ["id"], max_group_rows=1)
+    plain = ranked(df, OUT, [], order, ["id"])
+    assert split.count() == 300 and split.exceptAll(plain).isEmpty()
+
+
 def test_row_number_needs_a_total_order(spark):
     with pytest.raises(ValueError, match="tie_breaker"):
         ranked(spark.range(1), {"row_number": "n"}, ["id"], [("id", "asc")])

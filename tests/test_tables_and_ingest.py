@@ -60,6 +60,13 @@ def test_publish_takes_a_new_schema(spark, layer):
     assert spark.table(name).filter("v = 'x'").count() == 3
 
 
+def test_publish_refuses_a_table_it_did_not_write(spark, layer):
+    spark.range(3).write.saveAsTable(f"{layer}.foreign")
+    with pytest.raises(ValueError, match="not published here"):
+        tables.publish(spark.range(1), f"{layer}.foreign")
+    assert spark.table(f"{layer}.foreign").count() == 3
+
+
 def test_create_or_merge_twice_changes_nothing(spark, layer):
     name = f"{layer}.t"
     source = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")

@@ -27,7 +27,6 @@ from tidemark.sources.tables import (
     publish,
     query_table,
     read_table,
-    stream_table,
     table_exists,
 )
 from tidemark.streaming.changes import (

@@ -121,8 +121,11 @@ def publish(df: DataFrame, table: str) -> int:
     exists = table_exists(spark, table)
     slot = 0
     if exists:
-        live = table_location(spark, table)
-        slot = (int(live.rsplit(f"{SLOT}=", 1)[1]) + 1) % VERSION_SLOTS
+        live = table_location(spark, table).rstrip("/")
+        _, marked, number = live.rpartition(f"/{SLOT}=")
+        if not marked:
+            raise ValueError(f"{table} was not published here, it lies in {live}")
+        slot = (int(number) + 1) % VERSION_SLOTS
     location = f"{table_root(spark, table)}/{SLOT}={slot}"
     rows = write_parquet(df, location)
     if exists and _same_columns(spark.table(table).schema, df.schema):
