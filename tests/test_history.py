@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import Observation
@@ -109,17 +110,21 @@ def test_streamed_product_versions(spark, layer):
     source, stage, dim = (f"{layer}.{n}" for n in ("products", "stage", "dimproducts"))
     spark.sql(f"CREATE TABLE {source} ({schema}) USING parquet")
 
+    counts = Counter()
+
     def arrive(*new):
         spark.createDataFrame(new, schema).write.insertInto(source)
-        stage_table(spark, source, stage, PRODUCT_RULES)
+        stage_table(spark, source, stage, PRODUCT_RULES, counts)
         apply_stream(changes_view(spark, stage), stage, dim, ["product_id"], "seq")
         return rows(spark.table(dim), "product_id", "product_name", START, END)
 
     assert arrive((1, "a", 10), (None, "b", 1), (2, None, 1)) == [(1, "a", 10, None)]
+    assert counts == {"rows": 3, "rule1": 1, "rule2": 1}
     assert arrive((1, "early", 5), (3, "c", 1)) == [
         (1, "a", 10, None), (1, "early", 5, 10), (3, "c", 1, None),
     ]
-    stage_table(spark, source, stage, PRODUCT_RULES)
+    stage_table(spark, source, stage, PRODUCT_RULES, counts)
+    assert counts == {"rows": 5, "rule1": 1, "rule2": 1}
     apply_stream(changes_view(spark, stage), stage, dim, ["product_id"], "seq")
     assert spark.table(dim).count() == 3 and spark.table(stage).count() == 3
 

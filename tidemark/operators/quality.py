@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
+def _passed(rules: Mapping[str, str]) -> dict[str, Column]:
+    return {n: F.coalesce(F.expr(rule), F.lit(False)) for n, rule in rules.items()}
+
+
+def expectation_counts(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
+    """One row per rule: rows checked and rows that fail it."""
+    failures = [F.count_if(~ok).alias(n) for n, ok in _passed(rules).items()]
+    counted = df.agg(F.count(F.lit(1)).alias("rows_checked"), *failures)
+    return counted.unpivot("rows_checked", list(rules), "rule", "failures")
+
+
 def expect_all_or_drop(
     df: DataFrame, rules: Mapping[str, str], report: Observation | str | None = None
 ) -> DataFrame:
@@ -17,7 +28,7 @@ def expect_all_or_drop(
     an ``Observation`` in a batch, a metric name on a stream. A task that runs
     again after a lost executor may count its rows again.
     """
-    passed = {n: F.coalesce(F.expr(rule), F.lit(False)) for n, rule in rules.items()}
+    passed = _passed(rules)
     if report is not None:
         failures = [F.count_if(~ok).alias(name) for name, ok in passed.items()]
         df = df.observe(report, F.count(F.lit(1)).alias("rows"), *failures)

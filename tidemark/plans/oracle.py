@@ -243,6 +243,15 @@ ORACLE = {
         SELECT user_id, event_type, start_at FROM ({VERSIONS}) v
         WHERE end_at IS NULL""",
     "scd2_stream": VERSIONS,
+    "expectation_counts": """
+        WITH e AS (
+            SELECT CASE WHEN event_type <> 'error' THEN event_id END AS event_id,
+                   CASE WHEN value < 10 THEN user_id END AS user_id
+            FROM events)
+        SELECT count(*) AS rows_checked, 'rule1' AS rule,
+               count(*) - count(event_id) AS failures FROM e
+        UNION ALL
+        SELECT count(*), 'rule2', count(*) - count(user_id) FROM e""",
     "expect_or_drop": """
         SELECT event_id, user_id FROM events
         WHERE event_type <> 'error' AND value < 10

@@ -14,7 +14,15 @@ from tidemark.functions.registry import (
     register_orders_by_year,
     register_upper,
 )
-from tidemark.operators import cleaning, dimensions, facts, history, joins, keys
+from tidemark.operators import (
+    cleaning,
+    dimensions,
+    facts,
+    history,
+    joins,
+    keys,
+    quality,
+)
 from tidemark.operators.ranking import ranked
 from tidemark.operators.upsert import upsert
 from tidemark.plans import batch, kpis, layers, stand_ins
@@ -521,20 +529,31 @@ def scd2_stream(spark, sf_dir):
 # --- data quality ------------------------------------------------------------
 
 
+EVENT_RULES = {"rule1": "event_id IS NOT NULL", "rule2": "user_id IS NOT NULL"}
+
+
+def _events_with_nulls(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "events").select(
+        F.when(F.col("event_type") != "error", F.col("event_id")).alias("event_id"),
+        F.when(F.col("value") < 10, F.col("user_id")).alias("user_id"),
+    )
+
+
+@query
+def expectation_counts(spark, sf_dir):
+    return quality.expectation_counts(_events_with_nulls(spark, sf_dir), EVENT_RULES)
+
+
 @query
 def expect_or_drop(spark, sf_dir):
     """A stream into a staging table that drops rows breaking a rule."""
     bronze, gold = _layers(spark, "expect", "bronze", "gold")
     folder = scratch_path(spark, "expect-files")
-    events = table(spark, sf_dir, "events").select(
-        F.when(F.col("event_type") != "error", F.col("event_id")).alias("event_id"),
-        F.when(F.col("value") < 10, F.col("user_id")).alias("user_id"),
-    )
+    events = _events_with_nulls(spark, sf_dir)
     events.write.parquet(f"{folder}/events.parquet")
     ingest(spark, folder, "events", f"{bronze}.events")
-    rules = {"rule1": "event_id IS NOT NULL", "rule2": "user_id IS NOT NULL"}
     stage = change_stream.stage_table(
-        spark, f"{bronze}.events", f"{gold}.events_stage", rules
+        spark, f"{bronze}.events", f"{gold}.events_stage", EVENT_RULES
     )
     return cleaning.drop_rescued(stage)
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.history import apply_changes
 from tidemark.operators.quality import expect_all_or_drop
@@ -39,11 +41,16 @@ def staged_changes(
 
 
 def stage_table(
-    spark: SparkSession, source: str, stage: str, rules: Mapping[str, str]
+    spark: SparkSession,
+    source: str,
+    stage: str,
+    rules: Mapping[str, str],
+    counts: Counter | None = None,
 ) -> DataFrame:
     """Stream the rows ``source`` gained into the ``stage`` table.
 
     A source replayed into a new folder is staged anew, also into a new folder.
+    ``counts`` is increased by the rows seen and by the failures of each rule.
     """
     home = f"{table_root(spark, stage)}/of-{_origin(spark, source)}"
     rows = staged_changes(stream_table(spark, source), rules)
@@ -56,9 +63,25 @@ def stage_table(
         .start()
     )
     query.awaitTermination()
+    if counts is not None:
+        counts.update(rule_counts(query))
     return point_table(spark, stage, rows.schema, f"{home}/data")
 
 
+def rule_counts(query: StreamingQuery, metric: str = "expectations") -> Counter:
+    """Rows seen and failures per rule, over the batches the query still reports.
+
+    Spark keeps ``spark.sql.streaming.numRecentProgressUpdates`` of them, by
+    default 100; a stage reads all new rows in one.
+    """
+    total = Counter()
+    for progress in query.recentProgress:
+        observed = progress.observedMetrics.get(metric)
+        if observed is not None:
+            total.update(observed.asDict())
+    return total
+
+
 def _origin(spark: SparkSession, source: str) -> str:
     """Short name for the folder a table shows now; progress is kept per folder."""
     place = table_location(spark, source).encode()
