@@ -8,7 +8,9 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tidemark.plans.oracle import ORACLE
+from tidemark.plans.queries import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -37,17 +39,17 @@ def comparable(arrow):
     return sorted(rows)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    got = queries()[name](spark, DATA).toArrow()
-    want = duck.sql(oracle_sql()[name]).to_arrow_table()
+    got = QUERIES[name](spark, DATA).toArrow()
+    want = duck.sql(ORACLE[name]).to_arrow_table()
     assert sorted(got.column_names) == sorted(want.column_names)
     assert len(got) == len(want) > 0
     assert comparable(got) == comparable(want)
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry(spark):
