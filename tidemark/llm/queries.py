@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid
+from tidemark.llm import langid, toxicity, warc
 from tidemark.llm.exact_dedup import exact_duplicates
 from tidemark.llm.packing import pack
 from tidemark.llm.phrases import contamination, phrase_matches
+from tidemark.llm.secrets import KINDS, find_secrets, of_kind, written
+from tidemark.llm.sharding import shard
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.workers import with_package
 
@@ -80,3 +82,50 @@ def identify_languages(docs: DataFrame) -> DataFrame:
     vocabulary = public_tokenizers.path("piece_bpe_32k.model")
     model = langid.fit(docs, vocabulary, ~held_out)
     return langid.predict(docs, model).withColumn("held_out", held_out)
+
+
+@query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def page(name: str) -> Column:
+        number = F.regexp_extract(name, "^<urn:page:(.*)>$", 1)
+        return F.nullif(number, F.lit("")).cast("bigint")
+
+    return warc.archive(table(spark, sf_dir, "pages")).select(
+        page("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        page("refers_to").alias("refers_to"),
+    )
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder("doc_id", 4) == 2
+    net = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.score(docs, net).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(table(spark, sf_dir, "documents"), shards=40).withColumns(
+        {"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")}
+    )
+
+
+@query
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = KINDS[:3]
+    counts = {f"n_{kind}": F.size(of_kind(kind)).cast("bigint") for kind in base}
+    return find_secrets(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        *[column.alias(name) for name, column in counts.items()],
+        F.sha2(written(of_kind(*base)), 256).alias("base_sha256"),
+        written(F.col("spans")).alias("spans"),
+    )
