@@ -15,6 +15,7 @@ from tidemark.llm.phrases import contamination, phrase_matches
 from tidemark.llm.secrets import KINDS, find_secrets, of_kind, written
 from tidemark.llm.sharding import shard
 from tidemark.llm.simhash import near_duplicates
+from tidemark.llm.suffix import remove_repeats
 from tidemark.llm.workers import with_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,3 +130,8 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(written(of_kind(*base)), 256).alias("base_sha256"),
         written(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), length=200).drop("spans")
