@@ -30,9 +30,9 @@ from tidemark.scratch import materialise
 
 LENGTH, GRAM, WORD = 200, 64, 8
 # text whose anchors or contexts are collected before they are sent
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 4 << 20
 # what one task holds: anchors, bytes of contexts, bytes of documents
-TASK_ANCHORS, TASK_CONTEXTS, TASK_TEXT = 1 << 20, 6 << 20, 8 << 20
+TASK_ANCHORS, TASK_CONTEXTS, TASK_TEXT = 1 << 19, 2 << 20, 4 << 20
 # rows of 8 to 50 bytes that are broadcast; more of them are joined by shuffle
 MAX_BROADCAST = 1_000_000
 
