@@ -94,6 +94,11 @@ def strings_by_anchor(places, hashes, least) -> tuple[np.ndarray, ...]:
     return places[at[first]], hashes[at[first]], first, last
 
 
+def spread(hashes: np.ndarray) -> np.ndarray:
+    """Hashes of anchors over the whole range: as least ones they crowd at its start."""
+    return hashes * _SPREAD
+
+
 # --- suffix array ------------------------------------------------------------
 
 
@@ -242,7 +247,7 @@ def _anchor_rows(texts: DataFrame, tasks: int, length: int) -> DataFrame:
                     for t in part.column(1)
                 ]
                 keys = np.repeat(part.column(0).to_numpy(), [len(h) for h in found])
-                hashes = np.concatenate(found)
+                hashes = spread(np.concatenate(found))
                 order = np.argsort(hashes, kind="stable")
                 hashes, keys = hashes[order], keys[order]
                 _, first, count = np.unique(hashes, return_index=True, return_counts=True)
@@ -308,6 +313,7 @@ def _context_rows(suspects: DataFrame, tasks: int, length: int) -> DataFrame:
             data = text.as_py()
             found = anchors(np.frombuffer(data, np.uint8), length, GRAM)
             own, hashes, first, last = strings_by_anchor(*found)
+            hashes = spread(hashes)
             good = np.isin(hashes, wanted.values.to_numpy().view(np.uint64))
             columns = (x[good].tolist() for x in (own, hashes, first, last))
             for place, value, a, b in zip(*columns):
