@@ -40,7 +40,7 @@ GROUP = 2048
 REMEMBERED = 300_000
 # bytes of text encoded at once, and packed together
 ENCODED_BYTES = 4 << 20
-PACKED_BYTES = 32 << 20
+PACKED_BYTES = 16 << 20
 
 
 # --- token ids ---------------------------------------------------------------
