@@ -97,11 +97,11 @@ def test_clean_orders_customers_products(spark):
         [(1, 1, 5.0, when), (2, None, 5.0, when), (3, 1, 0.0, when), (4, 1, None, when)],
         "order_id int, customer_id int, amount double, order_date timestamp",
     )
-    assert rows(cleaning.clean_orders(orders)) == [(1, 1, 5.0, dt.date(2024, 1, 5))]
+    assert rows(cleaning.cleaned(orders, cleaning.BATCH_RULES["orders"])) == [(1, 1, 5.0, dt.date(2024, 1, 5))]
     customers = spark.createDataFrame([(1, " A "), (None, "B")], "customer_id int, customer_name string")
-    assert rows(cleaning.clean_customers(customers)) == [(1, "A")]
+    assert rows(cleaning.cleaned(customers, cleaning.BATCH_RULES["customers"])) == [(1, "A")]
     products = spark.createDataFrame([(1, None), (None, "c")], "product_id int, category string")
-    assert rows(cleaning.clean_products(products)) == [(1, "Uncategorized")]
+    assert rows(cleaning.cleaned(products, cleaning.BATCH_RULES["products"])) == [(1, "Uncategorized")]
 
 
 def test_silver_tables(spark):

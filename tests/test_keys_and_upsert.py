@@ -157,13 +157,17 @@ def test_new_and_old_rows(spark):
     assert rows(got) == sorted([(1, "old"), (2, "new"), (None, "new")], key=repr)
 
 
-def test_facts_keep_one_row_per_key_triple(spark):
+def test_facts_keep_one_row_per_natural_key(spark):
     orders = spark.createDataFrame(
-        [(1, 1, 7, 10.0), (1, 1, 7, 20.0), (1, 9, 7, 5.0), (2, None, 8, 1.0)],
+        [(1, 1, 7, 10.0), (1, 1, 7, 20.0), (1, 9, 7, 5.0), (2, None, 8, 1.0), (2, None, 9, 2.0)],
         "order_id int, customer_id int, product_id int, total_amount double",
     )
     customers = spark.createDataFrame([(1, 100)], "customer_id int, DimCustomerKey long")
     products = spark.createDataFrame([(7,)], "product_id int")
     facts = build_order_facts(orders, customers, products, [F.desc("total_amount")])
-    assert facts.columns == ["order_id", "total_amount", "DimCustomerKey", "DimProductKey"]
-    assert rows(facts) == [(1, 20.0, 100, 7), (1, 5.0, -1, 7), (2, 1.0, -1, -1)]
+    names = ["order_id", "total_amount", "DimCustomerKey", "DimProductKey"]
+    assert set(facts.columns) == {*names, "customer_id", "product_id"}
+    # lines of two unknown products stay apart
+    assert rows(facts, *names) == [
+        (1, 20.0, 100, 7), (1, 5.0, -1, 7), (2, 1.0, -1, -1), (2, 2.0, -1, -1),
+    ]

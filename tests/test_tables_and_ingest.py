@@ -9,7 +9,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from tidemark.operators.cleaning import RESCUED
+from tidemark.operators.cleaning import ARRIVED, RESCUED
 from tidemark.operators.upsert import DuplicateKeys
 from tidemark.plans import batch, layers, stand_ins
 from tidemark.scratch import clear_scratch, materialise, shared_dir
@@ -164,12 +164,13 @@ def test_ingest_takes_each_file_once(spark, layer, tmp_path):
     folder, name = f"{tmp_path}/in", f"{layer}.orders"
     put(spark, folder, "orders_first", [(1,), (2,)], "id int")
     put(spark, folder, "orders_archive", [(99,)], "id int")
-    assert rows(ingest(spark, folder, "orders", name), "id") == [(1,), (2,)]
-    assert ingest(spark, folder, "orders", name).count() == 2
-    put(spark, folder, "orders_second", [(2,), (3,)], "id int")
-    got = ingest(spark, folder, "orders", name, max_files_per_batch=1)
+    others = ["orders", "orders_archive"]
+    assert rows(ingest(spark, folder, "orders", name, others=others), "id") == [(1,), (2,)]
+    assert ingest(spark, folder, "orders", name, others=others).count() == 2
+    put(spark, folder, "orders_2024_01", [(2,), (3,)], "id int")
+    got = ingest(spark, folder, "orders", name, max_files_per_batch=1, others=others)
     assert rows(got, "id") == [(1,), (2,), (2,), (3,)]
-    assert got.columns == ["id", RESCUED]
+    assert got.columns == ["id", RESCUED, ARRIVED]
 
 
 def test_full_refresh_replaces_and_then_continues(spark, layer, tmp_path):
@@ -227,7 +228,7 @@ def test_stream_of_increments_equals_batch(spark, layer, tmp_path):
         year = F.year("o_orderdate")
         orders.filter((year >= low) & (year < high)).write.parquet(f"{folder}/{file}.parquet")
         ingest(spark, folder, "orders", name)
-    got = spark.table(name).drop(RESCUED)
+    got = spark.table(name).drop(RESCUED, ARRIVED)
     assert got.exceptAll(orders).isEmpty() and orders.exceptAll(got).isEmpty()
 
 

@@ -1,4 +1,4 @@
-"""Order facts: natural keys replaced by dimension keys, one row per key triple."""
+"""Order facts: one row per order, customer and product, with dimension keys."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from tidemark.operators.cleaning import keep_first
 from tidemark.operators.joins import look_up_key
 
-FACT_KEYS = ["order_id", "DimCustomerKey", "DimProductKey"]
+FACT_KEYS = ["order_id", "customer_id", "product_id"]
 
 
 def build_order_facts(
@@ -21,15 +21,15 @@ def build_order_facts(
     """Facts from orders and the two dimensions.
 
     ``products`` holds one row per product: pass the current versions of a
-    history. Orders without a dimension row get the unknown key -1, which,
-    unlike null, matches itself when the facts are loaded again. ``order``
-    says which copy of a key survives.
+    history. ``order`` says which copy of a natural key survives; copies go before
+    the lookups, so lines of several unknown products stay apart. An order without
+    a dimension row gets the unknown key -1. Natural keys are kept: facts are
+    merged on them, so a dimension row that arrives later replaces the -1.
     """
+    single = keep_first(orders, FACT_KEYS, order)
     keyed = look_up_key(
-        orders, customers, {"customer_id": "customer_id"}, "DimCustomerKey", FACT_KEYS[1]
+        single, customers, {"customer_id": "customer_id"}, "DimCustomerKey", "DimCustomerKey"
     )
-    keyed = look_up_key(
-        keyed, products, {"product_id": "product_id"}, "product_id", FACT_KEYS[2]
+    return look_up_key(
+        keyed, products, {"product_id": "product_id"}, "product_id", "DimProductKey"
     )
-    facts = keyed.drop("customer_id", "product_id")
-    return keep_first(facts, FACT_KEYS, order)

@@ -8,9 +8,8 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.cleaning import (
-    clean_customers,
-    clean_orders,
-    clean_products,
+    BATCH_RULES,
+    cleaned,
     union_distinct_on,
 )
 from tidemark.operators.joins import enrich
@@ -55,9 +54,9 @@ def cleaned_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         return union_distinct_on(halves, [key])
 
     return {
-        "customers": clean_customers(united("customer", "customer_id")),
-        "orders": clean_orders(united("orders", "order_id")),
-        "products": clean_products(united("products", "product_id")),
+        "customers": cleaned(united("customer", "customer_id"), BATCH_RULES["customers"]),
+        "orders": cleaned(united("orders", "order_id"), BATCH_RULES["orders"]),
+        "products": cleaned(united("products", "product_id"), BATCH_RULES["products"]),
         "regions": read_parquet(spark, f"{folder}/regions"),
     }
 

@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.registry import register_discount
 from tidemark.operators.cleaning import (
+    ARRIVED,
     RESCUED,
     drop_rescued,
     full_name,
+    keep_first,
     parsed_timestamp,
     part_after,
 )
@@ -43,7 +45,7 @@ CUSTOMER_KEY = "DimCustomerKey"
 
 def silver_customers(bronze: DataFrame) -> DataFrame:
     return (
-        drop_rescued(bronze)
+        bronze.drop(RESCUED)
         .withColumns(
             {
                 "domains": part_after("email", "@"),
@@ -67,8 +69,7 @@ def customers_of_domain(customers: DataFrame, domain: str) -> DataFrame:
 
 
 def silver_orders(bronze: DataFrame) -> DataFrame:
-    typed = bronze.withColumnsRenamed({RESCUED: "rescued_data"}).drop("rescued_data")
-    return typed.withColumn("order_date", parsed_timestamp("order_date")).withColumn(
+    return bronze.drop(RESCUED).withColumn("order_date", parsed_timestamp("order_date")).withColumn(
         "year", F.year("order_date")
     )
 
@@ -110,7 +111,14 @@ def load_customer_dimension(
     only_changed: bool = False,
     order: Sequence[Column | str] = (),
 ) -> int:
-    """First load or merge, whichever the table's existence calls for."""
+    """First load or merge, whichever the table's existence calls for.
+
+    Of rows with one customer the newest delivery counts, then ``order``.
+    """
+    if ARRIVED in source.columns:
+        newest = [F.desc(ARRIVED), *order]
+        known = source.dropna(subset=["customer_id"])
+        source = keep_first(known, ["customer_id"], newest).drop(ARRIVED)
     if table_exists(spark, table):
         dimension = apply_type1(
             read_table(spark, table), source, "customer_id", CUSTOMER_KEY,
@@ -152,7 +160,9 @@ def load_order_facts(
         spark, f"{gold}.dim_customers", [CUSTOMER_KEY, "customer_id"]
     )
     products = current_versions(read_table(spark, f"{gold}.dimproducts"))
-    facts = build_order_facts(orders, customers, products, order)
+    if ARRIVED in orders.columns:
+        order = [F.desc(ARRIVED), *order]
+    facts = build_order_facts(orders, customers, products, order).drop(ARRIVED)
     return create_or_merge_partitions(
         facts, f"{gold}.fact_orders", FACT_KEYS, "year", unique=True
     )

@@ -40,6 +40,7 @@ KNOWN = "c_acctbal >= 0"
 ORACLE = {
     "bronze_ingest": "SELECT * FROM orders",
     "bronze_ingest_in_steps": "SELECT * FROM orders",
+    "bronze_ingest_many_files": "SELECT * FROM orders",
     "bronze_full_refresh": "SELECT * FROM customer",
     "schema_drift_rescued": """
         SELECT p_partkey, p_name,
@@ -223,18 +224,17 @@ ORACLE = {
         WITH dim AS (
             SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS k
             FROM customer WHERE {KNOWN}),
-        f AS (
-            SELECT s.order_id, s.order_date, s.amount, s.line_no,
-                   coalesce(d.k, -1) AS "DimCustomerKey",
-                   coalesce(p.p_partkey, -1) AS "DimProductKey"
-            FROM {SALES} s LEFT JOIN dim d ON s.customer_id = d.c_custkey
-            LEFT JOIN part p ON s.product_id = p.p_partkey),
         n AS (
-            SELECT f.*, row_number() OVER (
-                PARTITION BY order_id, "DimCustomerKey", "DimProductKey"
+            SELECT s.*, row_number() OVER (
+                PARTITION BY order_id, customer_id, product_id
                 ORDER BY amount DESC, line_no) AS rn
-            FROM f)
-        SELECT * EXCLUDE (line_no, rn) FROM n WHERE rn = 1""",
+            FROM {SALES} s)
+        SELECT n.order_id, n.customer_id, n.product_id, n.order_date, n.amount,
+               coalesce(d.k, -1) AS "DimCustomerKey",
+               coalesce(p.p_partkey, -1) AS "DimProductKey"
+        FROM n LEFT JOIN dim d ON n.customer_id = d.c_custkey
+        LEFT JOIN part p ON n.product_id = p.p_partkey AND p.p_partkey % 3 <> 0
+        WHERE rn = 1""",
     "scd2_dim": VERSIONS,
     "scd2_reference_degenerate": """
         SELECT p_partkey, p_name, p_partkey AS start_at, CAST(NULL AS BIGINT) AS end_at
@@ -264,6 +264,15 @@ ORACLE = {
                    AS full_name,
                row_number() OVER (ORDER BY c_custkey) AS "DimCustomerKey"
         FROM customer""",
+    "warehouse_customers_updated": """
+        SELECT c_custkey AS customer_id,
+               c_name || '@' || lower(c_mktsegment) || '.com' AS email,
+               CASE c_custkey % 3 WHEN 0 THEN CAST(-100000 AS DOUBLE)
+                    WHEN 1 THEN CAST(100000 AS DOUBLE) ELSE c_acctbal END AS balance, lower(c_mktsegment) || '.com' AS domains,
+               upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) || ' ' || c_name
+                   AS full_name,
+               row_number() OVER (ORDER BY c_custkey) AS "DimCustomerKey"
+        FROM customer""",
     "warehouse_products": """
         SELECT p_partkey AS product_id, p_name AS product_name, p_brand AS brand,
                p_type AS category, p_retailprice AS price,
@@ -274,19 +283,37 @@ ORACLE = {
         WITH dim AS (
             SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS k
             FROM customer),
-        f AS (
-            SELECT s.order_id, s.order_date, s.amount AS total_amount,
-                   CAST(year(s.order_date) AS INT) AS year,
-                   coalesce(d.k, -1) AS "DimCustomerKey",
-                   coalesce(p.p_partkey, -1) AS "DimProductKey"
-            FROM {SALES} s LEFT JOIN dim d ON s.customer_id = d.c_custkey
-            LEFT JOIN part p ON s.product_id = p.p_partkey),
         n AS (
-            SELECT f.*, row_number() OVER (
-                PARTITION BY order_id, "DimCustomerKey", "DimProductKey"
-                ORDER BY total_amount DESC) AS rn
-            FROM f)
-        SELECT * EXCLUDE (rn) FROM n WHERE rn = 1""",
+            SELECT s.*, row_number() OVER (
+                PARTITION BY order_id, customer_id, product_id
+                ORDER BY amount DESC) AS rn
+            FROM {SALES} s)
+        SELECT n.order_id, n.customer_id, n.product_id, n.order_date,
+               n.amount AS total_amount,
+               CAST(year(n.order_date) AS INT) AS year,
+               coalesce(d.k, -1) AS "DimCustomerKey",
+               coalesce(p.p_partkey, -1) AS "DimProductKey"
+        FROM n LEFT JOIN dim d ON n.customer_id = d.c_custkey
+        LEFT JOIN part p ON n.product_id = p.p_partkey
+        WHERE rn = 1""",
+    "warehouse_facts_corrected": f"""
+        WITH dim AS (
+            SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS k
+            FROM customer),
+        n AS (
+            SELECT s.*, row_number() OVER (
+                PARTITION BY order_id, customer_id, product_id
+                ORDER BY amount DESC) AS rn
+            FROM {SALES} s)
+        SELECT n.order_id, n.customer_id, n.product_id, n.order_date,
+               CASE n.order_id % 3 WHEN 0 THEN CAST(0.5 AS DOUBLE)
+                    WHEN 1 THEN CAST(1000000 AS DOUBLE) ELSE n.amount END AS total_amount,
+               CAST(year(n.order_date) AS INT) AS year,
+               coalesce(d.k, -1) AS "DimCustomerKey",
+               coalesce(p.p_partkey, -1) AS "DimProductKey"
+        FROM n LEFT JOIN dim d ON n.customer_id = d.c_custkey
+        LEFT JOIN part p ON n.product_id = p.p_partkey
+        WHERE rn = 1""",
     "batch_enriched": f"""
         SELECT o_orderkey AS order_id, o_custkey AS customer_id,
                CAST(substring(o_orderpriority, 1, 1) AS BIGINT) AS product_id,

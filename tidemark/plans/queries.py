@@ -80,6 +80,23 @@ def bronze_ingest_in_steps(spark, sf_dir):
     return cleaning.drop_rescued(ingest(spark, folder, "orders", target))
 
 
+@query
+def bronze_ingest_many_files(spark, sf_dir):
+    """Every delivery of a dataset, however named; a longer dataset's are not its."""
+    (bronze,) = _layers(spark, "ingest_many", "bronze")
+    folder = scratch_path(spark, "ingest-many-files")
+    target = f"{bronze}.orders"
+    orders = table(spark, sf_dir, "orders")
+    deliveries = ("", "_first", "_third", "_2024_01", "_2024_02_05", "_late")
+    part = F.pmod("o_orderkey", F.lit(len(deliveries)))
+    orders.limit(10).write.parquet(f"{folder}/orders_archive_2023.parquet")
+    for number, ending in enumerate(deliveries):
+        orders.filter(part == number).write.parquet(f"{folder}/orders{ending}.parquet")
+        if number % 2:
+            ingest(spark, folder, "orders", target, others=["orders_archive"])
+    return cleaning.drop_rescued(spark.table(target))
+
+
 @query
 def bronze_full_refresh(spark, sf_dir):
     """A replay replaces the table instead of appending to it."""
@@ -102,7 +119,7 @@ def schema_drift_rescued(spark, sf_dir):
     ingest(spark, folder, "products", target)
     wide = part.select("p_partkey", "p_name", "p_brand", "p_size").filter("p_size > 25")
     wide.write.parquet(f"{folder}/products_second.parquet")
-    return ingest(spark, folder, "products", target)
+    return ingest(spark, folder, "products", target).drop(cleaning.ARRIVED)
 
 
 @query
@@ -208,7 +225,7 @@ def drop_null_keys(spark, sf_dir):
         F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")).alias("amount"),
         F.col("o_orderdate").alias("order_date"),
     )
-    return cleaning.clean_orders(orders)
+    return cleaning.cleaned(orders, cleaning.BATCH_RULES["orders"])
 
 
 @query
@@ -216,7 +233,7 @@ def fill_nulls(spark, sf_dir):
     products = stand_ins.products(spark, sf_dir).withColumn(
         "category", F.when(F.col("category") != "PROMO", F.col("category"))
     )
-    return cleaning.clean_products(products).select("product_id", "category")
+    return cleaning.cleaned(products, cleaning.BATCH_RULES["products"]).select("product_id", "category")
 
 
 @query
@@ -224,7 +241,7 @@ def trim_name(spark, sf_dir):
     customers = stand_ins.customers(spark, sf_dir).withColumn(
         "customer_name", F.concat(F.lit("  "), "customer_name", F.lit(" "))
     )
-    return cleaning.clean_customers(customers).select("customer_id", "customer_name")
+    return cleaning.cleaned(customers, cleaning.BATCH_RULES["customers"]).select("customer_id", "customer_name")
 
 
 @query
@@ -477,7 +494,8 @@ def fact_build(spark, sf_dir):
         F.col("c_custkey").alias("customer_id")
     )
     customers = keys.dense_keys(known, ["customer_id"], "DimCustomerKey")
-    products = stand_ins.products(spark, sf_dir)
+    # a third of the products is unknown, often several of an order
+    products = stand_ins.products(spark, sf_dir).filter("product_id % 3 <> 0")
     return facts.build_order_facts(
         stand_ins.sales(spark, sf_dir),
         customers,
@@ -592,6 +610,42 @@ def warehouse_facts(spark, sf_dir):
     return spark.table(f"{names['gold']}.fact_orders")
 
 
+def _redelivered(spark, sf_dir, label, dataset, key, measure, low, high):
+    """A load, then one after a delivery that lowers and raises a measure by key."""
+    folder, root = scratch_path(spark, f"{label}-files"), scratch_path(spark, label)
+    prefix = f"{label}_{uuid.uuid4().hex[:8]}_"
+    stand_ins.write_dataset_files(spark, sf_dir, folder)
+
+    def load():
+        return layers.load_warehouse(spark, folder, root, "product_id", prefix, RUN_TS)
+
+    load()
+    third = F.col(key) % 3
+    known = spark.read.parquet(files.dataset_glob(folder, dataset)).filter(third < 2)
+    changed = known.withColumn(measure, F.when(third == 0, low).otherwise(high))
+    changed.write.parquet(f"{folder}/{dataset}_2024_03_01.parquet")
+    return load()
+
+
+@query
+def warehouse_customers_updated(spark, sf_dir):
+    names = _redelivered(
+        spark, sf_dir, "wh_updated", "customer", "customer_id", "balance",
+        F.lit(-100000.0), F.lit(100000.0),
+    )
+    dim = spark.table(f"{names['gold']}.dim_customers")
+    return dim.drop(dimensions.CREATED, dimensions.UPDATED)
+
+
+@query
+def warehouse_facts_corrected(spark, sf_dir):
+    names = _redelivered(
+        spark, sf_dir, "wh_corrected", "orders", "order_id", "total_amount",
+        F.lit(0.5), F.lit(1000000.0),
+    )
+    return spark.table(f"{names['gold']}.fact_orders")
+
+
 @query
 def batch_enriched(spark, sf_dir):
     """The batch load from copied files to the enriched orders."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -12,18 +13,27 @@ from pyspark.sql import types as T
 
 from tidemark.operators.cleaning import RESCUED
 
-# The files of one dataset are <name>, <name>_first, <name>_second.
-SUFFIXES = ("", "_first", "_second")
-
 # A file stream ignores files much older than the newest one it has seen, a week
 # by default. Files may arrive late with their old date, so no age is too old.
 ANY_AGE = {"maxFileAge": "36500d"}
 
 
-def dataset_glob(folder: str, name: str, suffixes: Sequence[str] = SUFFIXES) -> str:
-    """Pattern for a dataset's files; ``orders`` does not match ``orders_archive``."""
-    alternatives = ",".join(f"{name}{s}" for s in suffixes)
-    return f"{folder.rstrip('/')}/{{{alternatives}}}.parquet"
+def dataset_glob(folder: str, name: str) -> str:
+    """Pattern for every delivery of a dataset: its name, or that, ``_`` and more."""
+    return f"{folder.rstrip('/')}/{{{name},{name}_*}}.parquet"
+
+
+def own_files(df: DataFrame, name: str, others: Sequence[str] = ()) -> DataFrame:
+    """The rows of a dataset's own files.
+
+    ``others`` are datasets too; those whose names continue ``name``, as
+    ``orders_archive`` does ``orders``, match its pattern without belonging to it.
+    """
+    longer = [re.escape(o) for o in others if o.startswith(f"{name}_")]
+    if not longer:
+        return df
+    foreign = f"/({'|'.join(longer)})(_[^/]*)?\\.parquet(/|$)"
+    return df.filter(~F.col("_metadata.file_path").rlike(foreign))
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -67,9 +77,12 @@ def rescued(extras: Sequence[T.StructField]) -> Column:
 
 
 def with_rescued(
-    df: DataFrame, declared: T.StructType, extras: Sequence[T.StructField]
+    df: DataFrame,
+    declared: T.StructType,
+    extras: Sequence[T.StructField],
+    added: Sequence[str] = (),
 ) -> DataFrame:
-    return df.select(*declared.names, rescued(extras).alias(RESCUED))
+    return df.select(*declared.names, rescued(extras).alias(RESCUED), *added)
 
 
 def read_dataset(

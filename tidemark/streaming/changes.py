@@ -22,6 +22,8 @@ from tidemark.sources.tables import (
     table_root,
 )
 
+_REPORTS = "spark.sql.streaming.numRecentProgressUpdates"
+
 # The rules a product must pass.
 PRODUCT_RULES = {
     "rule1": "product_id IS NOT NULL",
@@ -69,13 +71,17 @@ def stage_table(
 
 
 def rule_counts(query: StreamingQuery, metric: str = "expectations") -> Counter:
-    """Rows seen and failures per rule, over the batches the query still reports.
+    """Rows seen and failures per rule, over all batches of the query.
 
-    Spark keeps ``spark.sql.streaming.numRecentProgressUpdates`` of them, by
-    default 100; a stage reads all new rows in one.
+    Spark keeps ``spark.sql.streaming.numRecentProgressUpdates`` reports; a query
+    that may have lost its first ones cannot be counted, which is an error.
     """
     total = Counter()
-    for progress in query.recentProgress:
+    reports = query.recentProgress
+    kept = SparkSession.active().conf.get(_REPORTS)
+    if len(reports) >= int(kept):
+        raise RuntimeError(f"only the last {kept} batches are reported: raise {_REPORTS}")
+    for progress in reports:
         observed = progress.observedMetrics.get(metric)
         if observed is not None:
             total.update(observed.asDict())

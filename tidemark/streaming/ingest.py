@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.cleaning import RESCUED
+from tidemark.operators.cleaning import ARRIVED, RESCUED
 from tidemark.sources.files import (
     ANY_AGE,
-    SUFFIXES,
     dataset_glob,
     inferred_schema,
+    own_files,
     store_schema,
     stored_schema,
     undeclared,
@@ -30,6 +31,21 @@ from tidemark.sources.tables import (
 DATASETS = ("orders", "customer", "products", "regions")
 
 
+ARRIVAL = T.StructType(
+    [T.StructField("loaded", T.TimestampType()), T.StructField("delivered", T.TimestampType())]
+)
+
+
+def _arrival() -> Column:
+    """Order of deliveries: the batch that took them, then the hour of the file.
+
+    A replay takes all files in one batch, so the files' own times tell old ones
+    from new ones; hours, as the files of one delivery are not written at once.
+    """
+    hour = F.date_trunc("hour", F.col("_metadata.file_modification_time"))
+    return F.struct(F.current_timestamp().alias("loaded"), hour.alias("delivered"))
+
+
 class Ingest:
     """One dataset on its way into one table.
 
@@ -46,11 +62,12 @@ class Ingest:
         table: str,
         full_refresh: bool = False,
         max_files_per_batch: int = 10_000,
-        suffixes: Sequence[str] = SUFFIXES,
+        others: Sequence[str] = (),
     ):
         self.spark = spark
         self.table = table
-        self.pattern = dataset_glob(folder, name, suffixes)
+        self.name, self.others = name, others
+        self.pattern = dataset_glob(folder, name)
         self.max_files = max_files_per_batch
         generation = 0
         if table_exists(spark, table):
@@ -71,7 +88,9 @@ class Ingest:
             .options(**ANY_AGE)
             .parquet(self.pattern)
         )
-        return with_rescued(files, declared, extras), declared
+        own = own_files(files, self.name, self.others)
+        arrived = own.withColumn(ARRIVED, _arrival())
+        return with_rescued(arrived, declared, extras, [ARRIVED]), declared
 
     def start(self) -> StreamingQuery:
         rows, self.declared = self._source()
@@ -87,7 +106,8 @@ class Ingest:
     def finish(self, query: StreamingQuery) -> DataFrame:
         """Wait for the files present at the start, then expose them as the table."""
         query.awaitTermination()
-        schema = T.StructType([*self.declared, T.StructField(RESCUED, T.StringType())])
+        added = [(RESCUED, T.StringType()), (ARRIVED, ARRIVAL)]
+        schema = T.StructType([*self.declared, *(T.StructField(*f) for f in added)])
         return point_table(self.spark, self.table, schema, f"{self.home}/data")
 
 
@@ -107,6 +127,9 @@ def ingest_all(
     **options,
 ) -> dict[str, DataFrame]:
     """Ingest several datasets side by side, one stream each."""
-    jobs = {n: Ingest(spark, folder, n, f"{schema}.{n}", **options) for n in names}
+    jobs = {
+        n: Ingest(spark, folder, n, f"{schema}.{n}", others=names, **options)
+        for n in names
+    }
     running = {n: job.start() for n, job in jobs.items()}
     return {n: jobs[n].finish(query) for n, query in running.items()}
