@@ -15,7 +15,7 @@ network scores highest.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,6 +37,7 @@ TOXIC_SAMPLE, OTHER_SAMPLE, SAMPLE_BYTES = 1500, 3000, 40_000
 ROUNDS, LEAST_STEPS, RATE, BATCH = 4, 300, 0.01, 128
 QUIET_WINDOWS = 4  # of a training document that is not toxic
 REMEMBERED = 120_000
+WORDS_AT_ONCE = 8192
 SCORED_BYTES = 4 << 20
 SEED = 7
 
@@ -135,6 +136,11 @@ class Network:
 
     def inputs(self, word: np.ndarray, grams: np.ndarray) -> np.ndarray:
         """Input vectors of words given by their buckets."""
+        parts = range(0, len(word), WORDS_AT_ONCE) or [0]
+        cuts = [slice(k, k + WORDS_AT_ONCE) for k in parts]
+        return np.concatenate([self._inputs(word[c], grams[c]) for c in cuts])
+
+    def _inputs(self, word: np.ndarray, grams: np.ndarray) -> np.ndarray:
         some = (grams > 0).sum(axis=1, keepdims=True)
         chars = self.weights["grams"][grams]
         chars = (chars * (grams > 0)[..., None]).sum(axis=1) / np.maximum(some, 1)
@@ -220,7 +226,7 @@ class Network:
 # --- training ----------------------------------------------------------------
 
 
-def _excess(seen: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
+def _excess(seen: Iterator[np.ndarray], toxic: np.ndarray) -> np.ndarray:
     """How many more toxic documents hold a bucket than chance explains, in deviations."""
     yes, no = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for found, label in zip(seen, toxic):
@@ -241,13 +247,25 @@ def _gathered(rows: np.ndarray, values: np.ndarray, count: int) -> np.ndarray:
 class Trainer:
     """Adam over the windows that count in a round."""
 
-    def __init__(self, texts: list[list[str]], toxic: np.ndarray):
-        vocabulary = sorted({w for words in texts for w in words})
-        place = {w: k for k, w in enumerate(vocabulary)}
-        self.docs = [np.array([place[w] for w in words], np.int64) for words in texts]
+    def __init__(self, texts: Iterable[list[str]], toxic: np.ndarray):
+        place: dict[str, int] = {}
+        # numbers at once: the words of all documents as text would be far larger
+        self.docs = [
+            np.array([place.setdefault(w, len(place)) for w in words], np.int32)
+            for words in texts
+        ]
+        vocabulary = list(place)
         self.toxic = toxic
-        self.word, self.grams = buckets(vocabulary)
-        tables = [_excess([t[d] for d in self.docs], toxic) for t in (self.word, self.grams)]
+        # room for the n-grams of the longest word in every row
+        most = sum(LONGEST + 3 - size for size in GRAMS)
+        self.word = np.zeros(len(vocabulary), np.int32)
+        self.grams = np.zeros((len(vocabulary), most), np.int32)
+        for start in range(0, len(vocabulary), WORDS_AT_ONCE):
+            part = slice(start, start + WORDS_AT_ONCE)
+            self.word[part], found = buckets(vocabulary[part])
+            self.grams[part, : found.shape[1]] = found
+        used = [np.unique(d) for d in self.docs]
+        tables = [_excess((t[u] for u in used), toxic) for t in (self.word, self.grams)]
         self.net = Network.new(*tables)
         self.spans = [windows(len(d)) for d in self.docs]
         self.moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.net.weights.items()}
@@ -264,7 +282,8 @@ class Trainer:
 
     def told(self) -> list[np.ndarray]:
         """Per document and window: how telling its most telling words are together."""
-        each = np.maximum(self.net.word_excess[self.word], self.net.gram_excess[self.grams].max(axis=1))
+        told = self.net.inputs(self.word, self.grams)[:, -2:]
+        each = told.max(axis=1)
         return [
             np.array([np.sort(each[d[a:b]])[-3:].sum() for a, b in spans])
             for d, spans in zip(self.docs, self.spans)
@@ -335,7 +354,7 @@ class Trainer:
         self.net.weights[name][used] -= RATE * grad / (np.sqrt(seen[used]) + 1e-8)
 
 
-def train(texts: list[list[str]], toxic: np.ndarray) -> Network:
+def train(texts: Iterable[list[str]], toxic: np.ndarray) -> Network:
     """A network fitted on documents given as words; none of them may be empty."""
     trainer = Trainer(texts, toxic)
     rng = np.random.default_rng(SEED)
@@ -381,12 +400,11 @@ def fit(
         .collect()
     )
     rows = sorted(rows, key=lambda r: (r["_id"], r["_text"]))
-    texts = [(words_of(r["_text"]), r["_label"] == 1) for r in rows]
-    texts = [t for t in texts if t[0]]
-    toxic = np.array([label for _, label in texts], bool)
+    rows = [r for r in rows if words_of(r["_text"])]
+    toxic = np.array([r["_label"] == 1 for r in rows], bool)
     if not toxic.any() or toxic.all():
         return None
-    return train([words for words, _ in texts], toxic)
+    return train((words_of(r["_text"]) for r in rows), toxic)
 
 
 # --- scoring -----------------------------------------------------------------
@@ -406,8 +424,8 @@ class Scorer:
     def _learn(self, words: list[str]) -> None:
         words.sort(key=len)
         parts = []
-        for start in range(0, len(words), 8192):
-            part = words[start : start + 8192]
+        for start in range(0, len(words), WORDS_AT_ONCE):
+            part = words[start : start + WORDS_AT_ONCE]
             parts.append(self.net.gates(self.net.inputs(*buckets(part))))
         first = len(self.place)
         self.place.update(zip(words, range(first, first + len(words))))
