@@ -392,10 +392,12 @@ def fit(
         part = min(1.0, wanted / max(1, sizes.get(value, 0)))
         share = F.when(F.col("_label") == value, part).otherwise(share)
     draw = F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) / 1_000_000
+    # bounded by the sample sizes, so that no other document's text is moved
+    drawn = F.broadcast(known.where(draw < share))
     rows = (
         docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
         .where(F.octet_length("_text") <= SAMPLE_BYTES)
-        .join(known.where(draw < share), "_id")
+        .join(drawn, "_id")
         .select("_id", "_text", "_label")
         .collect()
     )
