@@ -33,7 +33,7 @@ LONGEST_PIECE = 10
 # longer words are cut, so that products stay within the range of doubles
 LONGEST_WORD = 40
 REMEMBERED = 150_000
-SCORED_BYTES = 4 << 20
+SCORED_BYTES = 1 << 20
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 

@@ -37,10 +37,10 @@ PIECE = 512
 # pieces packed together: enough for even windows, little enough for one task
 GROUP = 2048
 # words of a generation whose ids a worker remembers
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 # bytes of text encoded at once, and packed together
-ENCODED_BYTES = 4 << 20
-PACKED_BYTES = 16 << 20
+ENCODED_BYTES = 1 << 20
+PACKED_BYTES = 8 << 20
 
 
 # --- token ids ---------------------------------------------------------------
