@@ -120,11 +120,10 @@ def main() -> None:
     outputs = {"dense_rank": "d", "rank": "r", "row_number": "n"}
     order, tie = [("l_quantity", "desc")], ["l_orderkey", "l_linenumber", "l_partkey"]
 
-    def ranks(limit):
-        return drain(ranked(dated, outputs, ["year"], order, tie, limit))
+    def ranks():
+        return drain(ranked(dated, outputs, ["year"], order, tie))
 
-    case("rank_family: one shared window per year", lambda: ranks(10**12))
-    case("rank_family: years cut into spans", lambda: ranks(1))
+    case("rank_family: years cut into spans", ranks)
 
     def separate():
         df = dated
@@ -142,11 +141,10 @@ def main() -> None:
         F.col("event_id").alias("seq"),
     )
 
-    def versions(limit):
-        return drain(build_versions(feed, ["user_id"], "seq", max_group_rows=limit))
+    def versions():
+        return drain(build_versions(feed, ["user_id"], "seq"))
 
-    case("scd2, hot key: one task per key", lambda: versions(10**12))
-    case("scd2, hot key: keys cut into spans", lambda: versions(1))
+    case("scd2, hot key: keys cut into spans", versions)
 
     # dimension
     people = customer.select("c_custkey", "c_mktsegment", "c_nationkey")

@@ -7,7 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import ranked, top_n_per_group
-from tidemark.operators.spans import SPAN, hottest_group, split_into_spans
+from tidemark.operators.spans import SPAN, span_count, split_into_spans
+from tidemark.scratch import materialise
 
 OUT = {"dense_rank": "d", "rank": "r", "row_number": "n"}
 
@@ -38,14 +39,11 @@ def expected(rows):
     return sorted(result, key=repr)
 
 
-@pytest.mark.parametrize("limit", [1, 10_000])
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_ranks_by_definition_whole_and_split(spark, seed, limit):
+@pytest.mark.parametrize("seed", [1, 2, 3, 4, 5])
+def test_ranks_by_definition(spark, seed):
     rows = skewed_rows(seed)
     df = spark.createDataFrame(rows, "g string, v double, id int")
-    got = ranked(
-        df, OUT, ["g"], [("v", "desc")], tie_breaker=["id"], max_group_rows=limit
-    )
+    got = ranked(df, OUT, ["g"], [("v", "desc")], tie_breaker=["id"])
     assert got.columns == ["g", "v", "id", "d", "r", "n"]
     found = sorted([tuple(r) for r in got.collect()], key=repr)
     assert found == expected(rows)
@@ -54,7 +52,7 @@ def test_ranks_by_definition_whole_and_split(spark, seed, limit):
 def test_split_ranks_of_identical_rows(spark):
     """Copies cannot be told apart, yet must not all share one task."""
     df = spark.range(500).select(F.lit("g").alias("g"), F.lit(1).alias("v"))
-    got = ranked(df, {"rank": "r", "dense_rank": "d"}, ["g"], [("v", "asc")], [], 10)
+    got = ranked(df, {"rank": "r", "dense_rank": "d"}, ["g"], [("v", "asc")], [])
     assert got.groupBy("r", "d").count().collect()[0].asDict() == {
         "r": 1, "d": 1, "count": 500,
     }
@@ -63,21 +61,28 @@ def test_split_ranks_of_identical_rows(spark):
     assert len(sizes) > 1 and max(sizes) < 300
 
 
-def test_both_ways_give_one_schema(spark):
+def test_ranks_are_bigint(spark):
     df = spark.createDataFrame([("g", 1, 1)], "g string, v int, id int")
-    plain = ranked(df, OUT, ["g"], [("v", "desc")], ["id"])
-    split = ranked(df, OUT, ["g"], [("v", "desc")], ["id"], max_group_rows=0)
-    assert [(f.name, f.dataType) for f in plain.schema] == [
-        (f.name, f.dataType) for f in split.schema
-    ]
+    got = ranked(df, OUT, ["g"], [("v", "desc")], ["id"])
+    assert [got.schema[name].dataType.simpleString() for name in "drn"] == ["bigint"] * 3
+    assert ranked(df.limit(0), OUT, ["g"], [("v", "desc")], ["id"]).isEmpty()
+
+
+def with_plain_windows(df, group, order):
+    """The same ranks by windows over whole groups."""
+    by_value = W.partitionBy(*group).orderBy(*order)
+    total = W.partitionBy(*group).orderBy(*order, "id")
+    ranks = {"d": F.dense_rank().over(by_value), "r": F.rank().over(by_value)}
+    ranks["n"] = F.row_number().over(total)
+    return df.withColumns({name: rank.cast("bigint") for name, rank in ranks.items()})
 
 
 def test_several_order_columns(spark):
     rows = [("g", i % 3, i % 5, i) for i in range(200)]
     df = spark.createDataFrame(rows, "g string, a int, b int, id int")
     order = [("a", "desc"), ("b", "asc")]
-    split = ranked(df, OUT, ["g"], order, ["id"], max_group_rows=1)
-    plain = ranked(df, OUT, ["g"], order, ["id"])
+    split = ranked(df, OUT, ["g"], order, ["id"])
+    plain = with_plain_windows(df, ["g"], [F.desc("a"), "b"])
     columns = ["id", "d", "r", "n"]
     assert split.select(columns).exceptAll(plain.select(columns)).isEmpty()
 
@@ -85,8 +90,8 @@ def test_several_order_columns(spark):
 def test_ranks_over_the_whole_frame(spark):
     df = spark.createDataFrame([(i % 7, i) for i in range(300)], "v int, id int")
     order = [("v", "desc")]
-    split = ranked(df, OUT, [], order, ["id"], max_group_rows=1)
-    plain = ranked(df, OUT, [], order, ["id"])
+    split = ranked(df, OUT, [], order, ["id"])
+    plain = with_plain_windows(df, [], [F.desc("v")])
     assert split.count() == 300 and split.exceptAll(plain).isEmpty()
 
 
@@ -95,21 +100,27 @@ def test_row_number_needs_a_total_order(spark):
         ranked(spark.range(1), {"row_number": "n"}, ["id"], [("id", "asc")])
 
 
-def test_hottest_group(spark):
-    df = spark.createDataFrame([(1,), (1,), (None,)], "g int")
-    assert hottest_group(df, ["g"]) == 2
-    assert hottest_group(df.limit(0), ["g"]) == 0
+def test_spans_grow_with_the_stored_input(spark):
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert span_count(materialise(spark.range(10), "t")) == least
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        stored = materialise(spark.range(200_000).select(F.xxhash64("id")), "t")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20KB")
+        assert span_count(stored) > 10 * least
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
 def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_rank_functions_share_one_shuffle_and_sort(spark):
+def test_ranked_result_has_no_shuffle_of_the_rows(spark):
+    """Windows ran by span; what is left is a scan and the small edge table."""
     df = spark.range(100).withColumn("g", F.col("id") % 3)
     plan = plan_of(ranked(df, OUT, ["g"], [("id", "desc")], ["id"]))
-    assert plan.count("Exchange") == 1
-    assert plan.count("Sort [") == 1
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
 
 
 def test_top_n_limits_on_the_map_side(spark):

@@ -101,7 +101,7 @@ def test_hot_history_key_is_split(spark, small_thresholds, tmp_path):
     touched = _touched_keys(late, ["id"])
     for how in ("left_semi", "left_anti"):
         assert "skew=true" in final_plan(history.join(touched, "id", how))
-    got = apply_changes(history, late, ["id"], "seq", max_group_rows=1000)
+    got = apply_changes(history, late, ["id"], "seq")
     assert got.count() == ROWS + 2
     assert got.filter(F.col(END).isNull()).count() == 997
     gaps = got.groupBy("id").agg(F.min(START), F.count(END), F.count(F.lit(1)).alias("n"))

@@ -35,12 +35,97 @@ def test_publish_counts_rows_and_reads_itself(spark, layer):
     name = f"{layer}.t"
     assert tables.publish(spark.range(5), name) == 5
     places = {tables.table_location(spark, name)}
+    opened = spark.table(name)
     for expected in (10, 20, 40):
         doubled = spark.table(name).union(spark.table(name))
         assert tables.publish(doubled, name) == expected
         assert spark.table(name).count() == expected
         places.add(tables.table_location(spark, name))
-    assert len(places) == tables.VERSION_SLOTS
+    assert len(places) == 4
+    assert opened.count() == 5  # a reader keeps the version it opened
+    removed = tables.remove_old_versions(spark, name)
+    assert removed == ["version=0", "version=1"] and spark.table(name).count() == 40
+
+
+class Crash(Exception):
+    pass
+
+
+def crashes(monkeypatch, spark, run):
+    """Run again and again, stopped at the first, second, ... change of the catalog.
+
+    Yields after every stop; ends with the run that is not stopped.
+    """
+    real, stop = type(spark).sql, 0
+    while True:
+        stop, made = stop + 1, []
+
+        def sql(self, text, *args, **kwargs):
+            if text.split()[0] in ("ALTER", "CREATE", "DROP"):
+                made.append(text)
+                if len(made) == stop:
+                    raise Crash(text)
+            return real(self, text, *args, **kwargs)
+
+        with monkeypatch.context() as patched:
+            patched.setattr(type(spark), "sql", sql)
+            try:
+                run()
+                return
+            except Crash:
+                pass
+        yield stop
+
+
+def test_publish_of_new_types_survives_a_crash_anywhere(spark, layer, monkeypatch):
+    name = f"{layer}.t"
+
+    def put_rows(size, kind):
+        tables.publish(spark.range(size).select(F.col("id").cast(kind)), name)
+
+    put_rows(5, "bigint")
+    stops = 0
+    for _ in crashes(monkeypatch, spark, lambda: put_rows(7, "int")):
+        assert tables.table_exists(spark, name)
+        assert spark.table(name).count() == {"bigint": 5, "int": 7}[spark.table(name).dtypes[0][1]]
+        put_rows(5, "bigint")
+        stops += 1
+    assert stops == 4
+    assert spark.table(name).count() == 7 and spark.table(name).dtypes == [("id", "int")]
+
+
+def test_a_lost_table_is_not_started_anew(spark, layer):
+    name = f"{layer}.t"
+    for size in (1, 2):
+        tables.publish(spark.range(size), name)
+    spark.sql(f"DROP TABLE {name}")
+    with pytest.raises(RuntimeError, match="register it again"):
+        tables.publish(spark.range(9), name)
+
+
+def test_partition_merge_survives_a_crash_anywhere(spark, layer, monkeypatch):
+    first = [(1, "a", 2000), (2, "b", 2001), (3, "c", 2002)]
+    # 2 moves to 2000, 1 to 2001, 3 to a new year, so that 2002 becomes empty
+    second = [(1, "a", 2001), (2, "b", 2000), (3, "c", 2003), (4, "d", 2000)]
+    name = f"{layer}.f"
+
+    def merge(data):
+        frame = spark.createDataFrame(data, SALES)
+        tables.create_or_merge_partitions(frame, name, ["id"], "year")
+
+    stops = 0
+    merge(first)
+    for _ in crashes(monkeypatch, spark, lambda: merge(second)):
+        merge(second)
+        assert rows(spark.table(name), "id", "v", "year") == second
+        stops += 1
+        merge(first + [(4, "d", 1999)])
+    assert stops >= 5
+    assert rows(spark.table(name), "id", "v", "year") == second
+    live = set(spark.table(name).inputFiles())
+    assert tables.remove_old_versions(spark, name, keep=1)
+    assert set(spark.table(name).inputFiles()) == live
+    assert rows(spark.table(name), "id", "v", "year") == second
 
 
 def test_failed_publish_leaves_the_live_version(spark, layer):
@@ -97,8 +182,7 @@ def test_partition_merge_writes_touched_partitions_only(spark, layer):
     listed = {r.partition for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
     assert "year=2000" not in listed and len(listed) == 4
     pruned = spark.table(name).filter("year = 2001")
-    assert len(pruned.inputFiles()) == 1 and "slot=0/year=2001" in pruned.inputFiles()[0]
-    # every further load moves the partition to the next slot
+    assert len(pruned.inputFiles()) == 1 and "version=0/year=2001" in pruned.inputFiles()[0]
     for round_ in range(4):
         again = spark.createDataFrame([(2, f"b{round_}", 2001)], SALES)
         assert tables.create_or_merge_partitions(again, name, ["id"], "year") == [2001]

@@ -9,13 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.operators.cleaning import keep_first
-from tidemark.operators.spans import (
-    MAX_GROUP_ROWS,
-    SPAN,
-    hottest_group,
-    join_edges,
-    split_into_spans,
-)
+from tidemark.operators.spans import SPAN, join_edges, split_into_spans
 from tidemark.scratch import materialise
 
 START = "__START_AT"
@@ -28,27 +22,16 @@ def build_versions(
     sequence_by: str,
     start: str = START,
     end: str = END,
-    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Every change as a version that ends where the key's next change starts.
 
     Changes are ordered by ``sequence_by`` whatever their order of arrival;
-    several rows with one (key, sequence) count as one change. A key with more
-    than ``max_group_rows`` changes is not put into one task.
+    several rows with one (key, sequence) count as one change. Keys are cut into
+    spans, so one with any number of changes is not put into one task.
     """
     changes = changes.dropna(subset=[*keys, sequence_by])
-    fits = hottest_group(changes, keys) <= max_group_rows
-    if fits:
-        # one shuffle by key serves both the de-duplication and the window
-        changes = changes.repartition(*keys)
     distinct = keep_first(changes, [*keys, sequence_by], [])
-    if fits:
-        window = W.partitionBy(*keys).orderBy(sequence_by)
-        versions = distinct.withColumns(
-            {start: F.col(sequence_by), end: F.lead(sequence_by).over(window)}
-        )
-    else:
-        versions = _ended_by_span(distinct, list(keys), sequence_by, start, end)
+    versions = _ended_by_span(distinct, list(keys), sequence_by, start, end)
     if sequence_by != start and sequence_by not in keys:
         versions = versions.drop(sequence_by)
     return versions
@@ -79,7 +62,6 @@ def apply_changes(
     changes: DataFrame,
     keys: Sequence[str],
     sequence_by: str,
-    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """The history after one batch of changes.
 
@@ -90,12 +72,10 @@ def apply_changes(
     if sequence_by not in keys:
         batch = batch.drop(sequence_by)
     if history is None:
-        return build_versions(batch, keys, START, max_group_rows=max_group_rows)
+        return build_versions(batch, keys, START)
     touched = _touched_keys(batch, keys)
     recorded = history.join(touched, list(keys), "left_semi").drop(END)
-    rebuilt = build_versions(
-        recorded.unionByName(batch), keys, START, max_group_rows=max_group_rows
-    )
+    rebuilt = build_versions(recorded.unionByName(batch), keys, START)
     untouched = history.join(touched, list(keys), "left_anti")
     return untouched.unionByName(rebuilt).select(*history.columns)
 

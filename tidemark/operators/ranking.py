@@ -9,10 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.operators.spans import (
-    MAX_GROUP_ROWS,
     SPAN,
     Order,
-    hottest_group,
     join_edges,
     sort_columns,
     split_into_spans,
@@ -32,24 +30,19 @@ def ranked(
     partition: Sequence[str],
     order: Order,
     tie_breaker: Sequence[str] = (),
-    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Add rank columns, e.g. ``{"dense_rank": "flag", "row_number": "row_flag"}``.
 
     ``rank`` and ``dense_rank`` order by ``order`` alone; ``row_number`` also by
-    ``tie_breaker``, which must make the order total. The largest group is
-    counted first. Up to ``max_group_rows`` the window functions share one
-    shuffle and one sort by group; beyond it the groups are cut into spans.
-    Ranks are bigint on both ways, as a split group may outgrow an int.
+    ``tie_breaker``, which must make the order total. Groups are cut into spans,
+    whatever their size; inside a span the window functions share one sort.
+    Ranks are bigint, as a group may outgrow an int.
     """
     unknown = set(outputs) - set(_FUNCTIONS)
     if unknown:
         raise ValueError(f"not a rank function: {sorted(unknown)}")
     if "row_number" in outputs and not tie_breaker:
         raise ValueError("row_number needs tie_breaker columns for a total order")
-    if hottest_group(df, partition) <= max_group_rows:
-        whole = _with_windows(df, outputs, list(partition), order, tie_breaker)
-        return whole.select(*df.columns, *outputs.values())
     return _ranked_by_span(df, outputs, partition, order, tie_breaker)
 
 

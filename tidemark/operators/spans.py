@@ -1,4 +1,4 @@
-"""Ordered windows over groups too large for one task.
+"""Ordered windows over groups of any size.
 
 A plain window puts a whole group into one task. The helpers here cut a frame
 into *spans*: contiguous ranges of (group, order) of even size, so a group that
@@ -20,9 +20,6 @@ from tidemark.scratch import materialise
 SPAN = "_span"
 _SALT = "_span_salt"
 
-# Largest group left to a plain window: one task sorts it, spilling if needed.
-MAX_GROUP_ROWS = 5_000_000
-
 Order = Sequence[tuple[str, str]]
 
 
@@ -32,10 +29,13 @@ def sort_columns(order: Order) -> list[Column]:
     return [directions[direction](name) for name, direction in order]
 
 
-def hottest_group(df: DataFrame, group: Sequence[str]) -> int:
-    """Rows in the largest group; counted on the map side, one number returned."""
-    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.max("n")).first()[0] or 0
+def span_count(stored: DataFrame) -> int:
+    """As many spans as the stored input has scan tasks, so that they grow with it.
+
+    The session's shuffle partitions are the least number.
+    """
+    least = int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, stored.rdd.getNumPartitions())
 
 
 def split_into_spans(
@@ -44,7 +44,8 @@ def split_into_spans(
     """Add the span number, ascending with (group, order), one partition per span.
 
     Windows by span and group then need no further shuffle, and no two spans
-    share a task by chance, as they would if their numbers were hashed.
+    share a task by chance, as they would if their numbers were hashed. The input
+    is stored first, as finding the ranges reads it once more.
 
     Rows equal in every sort column would all fall into one span; unless the
     caller knows (group, order) is ``unique``, a row id of the stored input
@@ -52,14 +53,13 @@ def split_into_spans(
     same ids.
     """
     sort = [F.asc(g) for g in group] + sort_columns(order)
+    stored = materialise(df, "spans-input")
+    spans = span_count(stored)
     if not unique:
-        df = materialise(df, "spans-input").withColumn(
-            _SALT, F.monotonically_increasing_id()
-        )
+        stored = stored.withColumn(_SALT, F.monotonically_increasing_id())
         sort.append(F.asc(_SALT))
-    spans = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        df.repartitionByRange(spans, *sort)
+        stored.repartitionByRange(spans, *sort)
         .withColumn(SPAN, F.spark_partition_id())
         .drop(_SALT)
         .repartitionById(spans, F.col(SPAN))

@@ -42,10 +42,28 @@ def clear_scratch(spark: SparkSession) -> bool:
     Frames returned by operators may still read from it: call this after their
     results have been written. Returns whether there was anything to delete.
     """
+    return delete_folder(spark, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+
+
+def _located(spark: SparkSession, folder: str):
+    """A folder's file system and its path there."""
     context = spark.sparkContext
-    folder = f"{shared_dir(spark)}/{context.applicationId}"
     path = context._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    return path.getFileSystem(context._jsc.hadoopConfiguration()), path
+
+
+def delete_folder(spark: SparkSession, folder: str) -> bool:
+    """Delete a folder; returns whether it was there."""
+    system, path = _located(spark, folder)
+    return system.delete(path, True)
+
+
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names of a folder's files and folders; none if it is not there."""
+    system, path = _located(spark, folder)
+    if not system.exists(path):
+        return []
+    return [status.getPath().getName() for status in system.listStatus(path)]
 
 
 def materialise(

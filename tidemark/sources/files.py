@@ -6,12 +6,12 @@ import json
 import re
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.cleaning import RESCUED
+from tidemark.scratch import names_in
 
 # A file stream ignores files much older than the newest one it has seen, a week
 # by default. Files may arrive late with their old date, so no age is too old.
@@ -45,20 +45,27 @@ def inferred_schema(spark: SparkSession, pattern: str) -> T.StructType:
     return spark.read.option("mergeSchema", "true").parquet(pattern).schema
 
 
+def store_text(spark: SparkSession, text: str, location: str) -> None:
+    """Keep one line of text in a folder of its own."""
+    line = spark.createDataFrame([(text,)], "value string")
+    line.coalesce(1).write.mode("overwrite").text(location)
+
+
+def stored_text(spark: SparkSession, location: str) -> str | None:
+    """The line kept there, or None if there is none or its write was not finished."""
+    if not any(name.startswith("part-") for name in names_in(spark, location)):
+        return None
+    return spark.read.text(location).first().value
+
+
 def stored_schema(spark: SparkSession, location: str) -> T.StructType | None:
     """The schema declared by the first load, or None before it."""
-    try:
-        lines = spark.read.text(location).select("value").collect()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    return T.StructType.fromJson(json.loads(lines[0].value))
+    text = stored_text(spark, location)
+    return None if text is None else T.StructType.fromJson(json.loads(text))
 
 
 def store_schema(spark: SparkSession, schema: T.StructType, location: str) -> None:
-    text = spark.createDataFrame([(schema.json(),)], "value string")
-    text.coalesce(1).write.mode("overwrite").text(location)
+    store_text(spark, schema.json(), location)
 
 
 def undeclared(found: T.StructType, declared: T.StructType) -> list[T.StructField]:

@@ -1,12 +1,14 @@
 """Catalog tables over Parquet: scans, views, and publishing without a table format.
 
-A publish writes a complete new version beside the live one and then moves the
-table's location to it. A failed write leaves the live version untouched, and a
-table may be rebuilt from itself. One writer per table is assumed.
+A publish writes a complete new version into a folder of its own and then moves
+the table's location to it. A failed write leaves the live version untouched, a
+table may be rebuilt from itself, and a reader keeps the version it opened until
+``remove_old_versions`` is called. One writer per table is assumed.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -14,13 +16,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.upsert import one_row_per_key, upsert
-from tidemark.scratch import materialise
-from tidemark.sources.files import ANY_AGE
-
-# Versions rotate through this many folders: the live one and the last two stay.
-VERSION_SLOTS = 3
-SLOT = "slot"
-_SLOT_FIELD = T.StructField(SLOT, T.IntegerType())
+from tidemark.scratch import delete_folder, materialise, names_in
+from tidemark.sources.files import ANY_AGE, store_text, stored_text
+
+VERSION = "version"
+# a table with new columns is registered under this name before the old one goes
+_NEXT = "__next"
+# folder that holds the partition switches still to be made
+_SWITCH = "switch"
 # Fixed value: Spark's folder name for a null partition value.
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
@@ -38,8 +41,16 @@ def ensure_layers(
 
 
 def table_exists(spark: SparkSession, table: str) -> bool:
-    """Whether the table is there; any other failure is raised, not read as absent."""
-    return spark.catalog.tableExists(table)
+    """Whether the table is there; any other failure is raised, not read as absent.
+
+    A publish that stopped between its last two steps is finished first.
+    """
+    if spark.catalog.tableExists(table):
+        return True
+    if not spark.catalog.tableExists(f"{table}{_NEXT}"):
+        return False
+    spark.sql(f"ALTER TABLE {table}{_NEXT} RENAME TO {table}")
+    return True
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
@@ -108,32 +119,88 @@ def create_table(
     )
 
 
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the version folders, rising; live, old and unfinished ones."""
+    mark = f"{VERSION}="
+    names = names_in(spark, root)
+    return sorted(int(n.removeprefix(mark)) for n in names if n.startswith(mark))
+
+
+def _next_version(spark: SparkSession, root: str) -> str:
+    """A folder that no version has had."""
+    return f"{root}/{VERSION}={max(_versions(spark, root), default=-1) + 1}"
+
+
 def publish(df: DataFrame, table: str) -> int:
     """Replace the table's content by ``df``; returns the number of rows written.
 
-    Rows are counted while they are written. ``df`` may read the table itself.
+    Rows are counted while they are written. ``df`` may read the table itself. A
+    table the catalog has lost is not started anew over its versions, as numbers
+    given in them would be given again.
     """
     spark = df.sparkSession
-    exists = table_exists(spark, table)
-    slot = 0
-    if exists:
-        live = table_location(spark, table).rstrip("/")
-        _, marked, number = live.rpartition(f"/{SLOT}=")
-        if not marked:
-            raise ValueError(f"{table} was not published here, it lies in {live}")
-        slot = (int(number) + 1) % VERSION_SLOTS
-    location = f"{table_root(spark, table)}/{SLOT}={slot}"
+    root = table_root(spark, table)
+    if not table_exists(spark, table):
+        if any(_versions(spark, root)):
+            raise RuntimeError(f"{root} holds versions of {table}: register it again")
+        location = f"{root}/{VERSION}=0"
+        rows = write_parquet(df, location)
+        create_table(spark, table, df.schema, location)
+        return rows
+    live = table_location(spark, table).rstrip("/")
+    if f"/{VERSION}=" not in live:
+        raise ValueError(f"{table} was not published here, it lies in {live}")
+    location = _next_version(spark, root)
     rows = write_parquet(df, location)
-    if exists and _same_columns(spark.table(table).schema, df.schema):
+    if _same_columns(spark.table(table).schema, df.schema):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
     else:
-        # files of an external table outlive the drop
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        create_table(spark, table, df.schema, location)
+        # files of an external table outlive the drop; see table_exists
+        spark.sql(f"DROP TABLE IF EXISTS {table}{_NEXT}")
+        create_table(spark, f"{table}{_NEXT}", df.schema, location)
+        spark.sql(f"DROP TABLE {table}")
+        spark.sql(f"ALTER TABLE {table}{_NEXT} RENAME TO {table}")
     spark.catalog.refreshTable(table)
     return rows
 
 
+def remove_old_versions(spark: SparkSession, table: str, keep: int = 2) -> list[str]:
+    """Delete what lies in version folders and is not live; returns the places.
+
+    The ``keep`` newest folders stay whole, for readers that opened them. Of a
+    partitioned table, older folders lose the partitions that have moved on.
+    """
+    root = table_root(spark, table)
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if parts:
+        _finish_switch(spark, table)
+        listed = [row.partition for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+        live = {_place(spark, table, entry) for entry in listed}
+    else:
+        live = {table_location(spark, table).rstrip("/").rsplit("/", 1)[1]}
+    removed = []
+    for number in _versions(spark, root)[: -max(1, keep)]:
+        folder = f"{VERSION}={number}"
+        held = names_in(spark, f"{root}/{folder}") if parts else ()
+        places = [f"{folder}/{n}" for n in held if "=" in n] if parts else [folder]
+        old = [place for place in places if place not in live]
+        for place in old:
+            delete_folder(spark, f"{root}/{place}")
+        removed += old
+        if parts and len(old) == len(places):
+            delete_folder(spark, f"{root}/{folder}")
+    return removed
+
+
+def _place(spark: SparkSession, table: str, entry: str) -> str:
+    """Version and partition folder in which a listed partition lies."""
+    name, _, value = entry.partition("=")
+    spec = _spec(name, None if value == NULL_FOLDER else value)
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION {spec}")
+    location = described.filter("col_name = 'Location'").first().data_type
+    return "/".join(location.rstrip("/").rsplit("/", 2)[1:])
+
+
 def create_or_merge(
     source: DataFrame,
     table: str,
@@ -169,11 +236,12 @@ def create_or_merge_partitions(
     Source rows the table already holds as they are change nothing and are left
     out first, so a load of all orders writes only the partitions in which some
     order is new or different: those of the changed rows and those where a
-    matching target row lies now. Each is written to a folder of its own and then
+    matching target row lies now. They are written to a new folder and then
     switched over by the catalog, so readers may see some partitions new and
-    others old for a moment. ``unique`` says that the source is known to have one
-    row per key and need not be checked. Returns the values of the partitions
-    written.
+    others old for a moment. A load that stopped there is finished by the next
+    one, before it compares anything. ``unique`` says that the source is known to
+    have one row per key and need not be checked. Returns the values of the
+    partitions written.
     """
     spark = source.sparkSession
     kind = source.schema[partition].dataType
@@ -188,6 +256,7 @@ def create_or_merge_partitions(
         _write_partitions(source, table, partition, touched)
         return touched
 
+    _finish_switch(spark, table)
     target = spark.table(table)
     changed = materialise(_not_held(source, target), "merge-changes")
     holding = changed.select(partition)
@@ -225,48 +294,49 @@ def _spec(partition: str, value) -> str:
     return f"({partition} = {'NULL' if value is None else repr(str(value))})"
 
 
-def _live_slots(spark: SparkSession, table: str, partition: str, touched) -> dict:
-    """Touched partition value -> slot it lives in, for those the table has."""
-    listed = {row.partition for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    slots = {}
-    for value in touched:
-        if _folder(partition, value) in listed:
-            spec = _spec(partition, value)
-            described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION {spec}")
-            place = described.filter("col_name = 'Location'").first().data_type
-            slots[value] = int(place.rsplit(f"{SLOT}=", 1)[1].split("/", 1)[0])
-    return slots
-
-
 def _write_partitions(rows: DataFrame, table: str, partition: str, touched) -> None:
-    """Write each partition to its next slot, then let the catalog point there."""
+    """Write the touched partitions to a new folder, then let the catalog point there.
+
+    The switches to make are stored before the first is made.
+    """
     spark = rows.sparkSession
     root = table_root(spark, table)
-    live = _live_slots(spark, table, partition, touched)
-    slots = {v: (live.get(v, -1) + 1) % VERSION_SLOTS for v in touched}
-    fields = [T.StructField("_value", rows.schema[partition].dataType), _SLOT_FIELD]
-    by_value = spark.createDataFrame(list(slots.items()), T.StructType(fields))
-    # bounded broadcast: one row per partition
-    placed = rows.join(
-        F.broadcast(by_value), F.col(partition).eqNullSafe(F.col("_value"))
-    ).drop("_value")
+    location = _next_version(spark, root)
     written = Observation()
-    placed.observe(written, F.collect_set(F.struct(partition)).alias("values")).write.mode(
+    rows.observe(written, F.collect_set(F.struct(partition)).alias("values")).write.mode(
         "overwrite"
-    ).option("partitionOverwriteMode", "dynamic").partitionBy(SLOT, partition).parquet(
-        root
-    )
+    ).partitionBy(partition).parquet(location)
     filled = {row[0] for row in written.get["values"]}
+    switch = {"partition": partition, "location": location, "filled": [], "emptied": []}
     for value in touched:
-        spec, place = _spec(partition, value), _folder(partition, value)
-        place = f"{root}/{SLOT}={slots[value]}/{place}"
-        if value not in filled:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION {spec}")
-        elif value in live:
-            spark.sql(f"ALTER TABLE {table} PARTITION {spec} SET LOCATION '{place}'")
-        else:
-            spark.sql(f"ALTER TABLE {table} ADD PARTITION {spec} LOCATION '{place}'")
+        kind = "filled" if value in filled else "emptied"
+        switch[kind].append(None if value is None else str(value))
+    store_text(spark, json.dumps(switch), f"{root}/{_SWITCH}")
+    _finish_switch(spark, table)
+
+
+def _finish_switch(spark: SparkSession, table: str) -> None:
+    """Make the stored partition switches, if any; repeating them changes nothing."""
+    stored = f"{table_root(spark, table)}/{_SWITCH}"
+    text = stored_text(spark, stored)
+    if text is None:
+        return
+    switch = json.loads(text)
+    partition, location = switch["partition"], switch["location"]
+    places = {
+        _spec(partition, value): f"LOCATION '{location}/{_folder(partition, value)}'"
+        for value in switch["filled"]
+    }
+    if places:
+        added = " ".join(f"PARTITION {spec} {place}" for spec, place in places.items())
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {added}")
+    for spec, place in places.items():
+        spark.sql(f"ALTER TABLE {table} PARTITION {spec} SET {place}")
+    if switch["emptied"]:
+        gone = ", ".join(f"PARTITION {_spec(partition, v)}" for v in switch["emptied"])
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {gone}")
     spark.catalog.refreshTable(table)
+    delete_folder(spark, stored)
 
 
 def write_parquet(df: DataFrame, path: str) -> int:
