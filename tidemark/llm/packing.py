@@ -37,7 +37,7 @@ PIECE = 512
 # pieces packed together: enough for even windows, little enough for one task
 GROUP = 2048
 # words of a generation whose ids a worker remembers
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 # bytes of text encoded at once, and packed together
 ENCODED_BYTES = 1 << 20
 PACKED_BYTES = 8 << 20
@@ -59,7 +59,8 @@ class Encoder:
     one, and the older one is forgotten when the newer one is full.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
+        self.remembered = remembered
         self.tokenizer = Tokenizer.from_file(path)
         settings = json.loads(Path(path).read_text())
         settings |= {"normalizer": None, "added_tokens": [], "pre_tokenizer": _BLANKS}
@@ -119,7 +120,7 @@ class Encoder:
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of every text; a null text has none."""
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.remembered:
             self.older, self.known = self.known, {}
         known, split, new = self.known, [], set()
         for text in texts:
@@ -149,9 +150,9 @@ _BLANKS = {"type": "WhitespaceSplit"}
 
 
 @cache
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remembered: int) -> Encoder:
     """One encoder for all tasks that a worker runs."""
-    return Encoder(path)
+    return Encoder(path, remembered)
 
 
 def _lowered(text: bytes) -> bytes:
@@ -308,6 +309,7 @@ def pack(
     capacity: int = CAPACITY,
     piece: int = PIECE,
     end_id: int = END_ID,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """Token windows of at most ``capacity`` ids that hold every document once.
 
@@ -316,7 +318,9 @@ def pack(
     offset`` (ids before it in its window). Every document ends with ``end_id``; a
     null or empty text is that id alone. Every row of ``docs`` is packed, repeated
     ones and null ids too; an empty table gives no pieces; other columns are not
-    read. ``tokenizer`` is the path of a tokenizer file that every worker has.
+    read. ``tokenizer`` is the path of a tokenizer file that every worker has. A
+    worker keeps the ids of up to ``remembered`` words and as many older ones; fewer
+    take less memory and more time, and change no result.
 
     The batches of a scan task are packed each for itself, so no row is shuffled:
     documents share windows with those read beside them, and each batch costs
@@ -328,7 +332,7 @@ def pack(
     names = ["id", *(column.split()[0] for column in PIECES.split(", "))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer, remembered).encode
         first = TaskContext.get().partitionId() << 40
         for batch in batches:
             for held in slices(batch, PACKED_BYTES):
