@@ -52,7 +52,8 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token windows over every document that is left."""
     with_package(spark)
-    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    # workers still hold memory of earlier stages
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), remembered=150_000)
 
 
 STAGES: list[tuple[str, Stage]] = [
