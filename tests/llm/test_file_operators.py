@@ -223,6 +223,27 @@ def test_novel_strings_only_where_they_matter():
     assert secrets.novel_spans(near, [(31, 0, 40)], novelty) == []
 
 
+def test_novel_keys_of_letters_repeated_or_before_the_word():
+    novelty = secrets.Novelty()
+
+    def novel(text):
+        return [text[a:b] for a, k, b in secrets.scan(text, novelty) if k == 3]
+
+    key, letters = "q7Zp0Lw9XvB3nT5kR8yU2s", "qWzRxKvTnBpLmJhGdFsY"
+    assert novel(f"the authorization header takes {letters} as it is") == [letters]
+    assert novel(f"{key} is the credential here") == [key]
+    assert novel(key + " " * 64 + "credential") == [key]
+    assert novel(key + " " * 65 + "credential") == []
+    near = f"the authorization header takes {key} as it is"
+    # the third starts 82 characters behind the word
+    assert novel(near + f" and then {key} and {key}") == [key] * 2
+    edge = near + "-" + "x, " * 80 + key  # the repeat lies across the end of the surroundings
+    assert novel(edge)[0] == key
+    assert novel(f"credential first={key} and second={key}") == [key] * 2
+    assert novel(f"bearer_{key[:9]}token{key[9:]}") == [f"bearer_{key[:9]}token{key[9:]}"]
+    assert novel("client_secret_authorization_1 of a credential") == []
+
+
 # --- toxicity ----------------------------------------------------------------
 
 

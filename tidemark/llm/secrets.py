@@ -4,12 +4,13 @@ A string near a word that announces a secret is measured with a zstandard dictio
 of common identifiers: its novelty is the number of bytes that the string adds to
 its compressed surroundings, per character. Names and prose repeat what the
 dictionary or the surroundings hold and add little; keys add almost all of theirs.
+A string that its surroundings repeat is measured against them without the repeats.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import zstandard
@@ -26,14 +27,17 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # runs are maximal, so shorter ones never match
 KINDS = ("assign", "access", "hex", "novel")
 
-# words that announce a secret, and how far behind one a string may start
+# words that announce a secret, and how far from one a string may be, on either side
 SENSITIVE = (
     "password passwd secret token api_key apikey api-key credential bearer"
     " authorization private_key access_key"
 ).split()
 _SENSITIVE = re.compile("(?ai:" + "|".join(SENSITIVE) + ")")
 REACH = 64
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+LEAST = 16
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
+# where a run of such characters may be a name and its value
+_PARTED = re.compile(_SENSITIVE.pattern + "|=+")
 # surroundings compressed with a candidate, on both sides
 AROUND = 256
 # compressed bytes a character of a reported string adds at least
@@ -62,12 +66,39 @@ class Novelty:
         self.compressor = zstandard.ZstdCompressor(level=9, dict_data=words)
 
     def per_character(self, text: str, start: int, end: int) -> float:
-        before = text[max(0, start - AROUND) : start].encode()
-        after = text[end : end + AROUND].encode()
-        alone = len(self.compressor.compress(before + after))
+        around = text[max(0, start - AROUND) : start] + text[end : end + AROUND]
+        return self._added(around, text[start:end])
+
+    def without_repeats(self, text: str, start: int, end: int) -> float:
+        """As above, but against surroundings without the string; 0 if they do not repeat it."""
+        before = _without(text, text[start:end], max(0, start - AROUND), start)
+        after = _without(text, text[start:end], end, min(len(text), end + AROUND))
+        if before is None and after is None:
+            return 0.0
+        if before is None:
+            before = text[max(0, start - AROUND) : start]
+        if after is None:
+            after = text[end : end + AROUND]
+        return self._added(before + after, text[start:end])
+
+    def _added(self, around: str, string: str) -> float:
+        alone = len(self.compressor.compress(around.encode()))
         # behind its surroundings, so that a repeat of either side is found
-        whole = len(self.compressor.compress(before + after + text[start:end].encode()))
-        return (whole - alone) / (end - start)
+        whole = len(self.compressor.compress((around + string).encode()))
+        return (whole - alone) / len(string)
+
+
+def _without(text: str, string: str, first: int, last: int) -> str | None:
+    """``text[first:last]`` without all of ``string`` that reaches into it; None if none does."""
+    kept, at, size = [], first, len(string)
+    place = text.find(string, max(0, first - size + 1), last + size - 1)
+    if place < 0:
+        return None
+    while place >= 0:
+        kept.append(text[at:place])
+        at = place + size
+        place = text.find(string, at, last + size - 1)
+    return "".join([*kept, text[at:last]])
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -81,30 +112,62 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return spans
 
 
-def novel_spans(text: str, known: list, novelty: Novelty) -> list[tuple[int, int, int]]:
-    """Badly compressible strings near a sensitive word that no base match covers."""
+def candidates(text: str) -> Iterator[list[tuple[int, int]]]:
+    """Runs near a sensitive word: the whole of each, and its parts if it has several."""
     lowered = text.lower()
     if not any(word in lowered for word in SENSITIVE):
-        return []
-    spans, done = [], 0
-    for word in _SENSITIVE.finditer(text):
-        for found in CANDIDATE.finditer(text, max(done, word.end())):
-            start, end = found.span()
-            if start > word.end() + REACH:
+        return
+    words = [word.span() for word in _SENSITIVE.finditer(text)]
+    near = 0
+    for found in CANDIDATE.finditer(text):
+        start, end = found.span()
+        while near < len(words) and words[near][1] + REACH < start:
+            near += 1
+        if near == len(words):
+            return
+        if words[near][0] > end + REACH:
+            continue
+        cuts = [cut.span() for cut in _PARTED.finditer(text, start, end)]
+        opens, closes = [start, *(b for _, b in cuts)], [*(a for a, _ in cuts), end]
+        parts = [(a, b) for a, b in zip(opens, closes) if b - a >= LEAST]
+        yield [(start, end), *(p for p in parts if p != (start, end))]
+
+
+def _spans_over(
+    text: str, known: list, measure: Callable[[str, int, int], float]
+) -> list[tuple[int, int, int]]:
+    """Candidates with a measure of ``NOVELTY`` that no known span covers: whole runs, else parts."""
+    spans = []
+    for whole, *parts in candidates(text):
+        for group in ([whole], parts):
+            found = [
+                (start, 3, end)
+                for start, end in group
+                if not any(s < end and start < e for s, _, e in known)
+                and measure(text, start, end) >= NOVELTY
+            ]
+            if found:
+                spans += found
                 break
-            done = end
-            covered = any(s < end and start < e for s, _, e in known)
-            digits = any(c.isdigit() for c in found[0])
-            if digits and not covered and novelty.per_character(text, start, end) >= NOVELTY:
-                spans.append((start, 3, end))
     return spans
 
 
+def novel_spans(text: str, known: list, novelty: Novelty) -> list[tuple[int, int, int]]:
+    """Badly compressible strings near a sensitive word that no base match covers."""
+    return _spans_over(text, known, novelty.per_character)
+
+
+def repeated_spans(text: str, known: list, novelty: Novelty) -> list[tuple[int, int, int]]:
+    """The same of strings that would be novel if their surroundings did not repeat them."""
+    return _spans_over(text, known, novelty.without_repeats)
+
+
 def scan(text: str | None, novelty: Novelty) -> list[tuple[int, int, int]]:
     if not text:
         return []
     known = base_spans(text)
-    return sorted(known + novel_spans(text, known, novelty))
+    known += novel_spans(text, known, novelty)
+    return sorted(known + repeated_spans(text, known, novelty))
 
 
 def find_secrets(
