@@ -98,3 +98,37 @@ def test_removal_over_the_documents_table(spark):
     want = slow_removal([tuple(r) for r in docs])
     assert rows_of(QUERIES["op4_suffix_array_dedup"](spark, DATA)) == want
     assert sum(r[2] > 0 for r in want) > 5
+
+
+@pytest.mark.parametrize("chunk", [3000, 1 << 20])
+def test_no_task_holds_all_contexts_of_a_common_edge(spark, monkeypatch, chunk):
+    monkeypatch.setattr(suffix, "HOT_CONTEXTS", 4, raising=False)
+    monkeypatch.setattr(suffix, "CHUNK_BYTES", chunk)
+    most, judged = [0], suffix._judged
+
+    def spied(rows, *others):
+        kinds = {}
+        for row in rows.collect():
+            values = np.frombuffer(row["anchors"], np.uint64).tolist()
+            shapes = np.frombuffer(row["shapes"], np.int32).reshape(-1, 3)
+            ends = np.cumsum(shapes[:, 2]).tolist()
+            for value, (place, count, size), end in zip(values, shapes.tolist(), ends):
+                text = row["text"][end - size : end]
+                kinds.setdefault(value, set()).add((place, count, text))
+        most[0] = max(map(len, kinds.values()), default=0)
+        return judged(rows, *others)
+
+    monkeypatch.setattr(suffix, "_judged", spied)
+    rng = random.Random(5)
+
+    def noise(n):
+        return "".join(rng.choices("abcdefgh é", k=n))
+
+    passage, pairs = noise(600), [noise(250) for _ in range(10)]
+    docs = [(k, noise(250) + passage + noise(250)) for k in range(30)]
+    # edges that differ but occur twice, and one edge many times in one text
+    docs += [(40 + k, noise(50) + passage + pairs[k // 2] + noise(9)) for k in range(20)]
+    docs += [(70, "".join(noise(90) + passage[:230] for _ in range(12))), (71, "ab" * 300)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert rows_of(suffix.remove_repeats(frame)) == slow_removal(docs)
+    assert 0 < most[0] <= 4

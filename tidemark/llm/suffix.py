@@ -6,6 +6,8 @@ the least hash. Equal strings have equal anchors at equal places, so tasks hold
 range of anchor hashes each. A string is sent as part of a context: the stretch of
 text whose strings share one anchor. Anchors seen only once cannot belong to a
 repeated string and send nothing, and equal contexts are sent once from each task.
+Strings of an anchor with very many different contexts are not kept together: each is
+dealt by a 128-bit digest of its own and is repeated if its digest is.
 
 A task sorts the suffixes of its contexts by the difference-cover method: suffixes
 at two of three places are sorted by their triples, by recursion on the triples'
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +36,8 @@ LENGTH, GRAM, WORD = 200, 64, 8
 CHUNK_BYTES = 4 << 20
 # what one task holds: anchors, bytes of contexts, bytes of documents
 TASK_ANCHORS, TASK_CONTEXTS, TASK_TEXT = 1 << 19, 2 << 20, 4 << 20
+# different contexts of an anchor that one task compares; of more, strings are dealt singly
+HOT_CONTEXTS = 1 << 10
 # rows of 8 to 50 bytes that are broadcast; more of them are joined by shuffle
 MAX_BROADCAST = 1_000_000
 
@@ -297,8 +302,157 @@ def _repeated_anchors(rows: DataFrame) -> DataFrame:
     return met.unionByName(at_once)
 
 
-def _context_rows(suspects: DataFrame, tasks: int, length: int) -> DataFrame:
-    """Contexts of repeated anchors and where they occur, by range of hashes."""
+def _is_in(hashes: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Which hashes are among some sorted ones."""
+    if not len(some):
+        return np.zeros(len(hashes), bool)
+    return some[np.minimum(np.searchsorted(some, hashes), len(some) - 1)] == hashes
+
+
+def _contexts_of(part: pa.RecordBatch, some: np.ndarray, among: bool, length: int) -> Iterator[tuple]:
+    """Contexts of the wanted anchors that are ``among`` some sorted ones, or are not:
+    owner, anchor, its place, first and last string, and the whole text."""
+    rows = zip(part.column(0).to_pylist(), part.column(1), part.column(2))
+    for owner, text, wanted in rows:
+        data = text.as_py()
+        found = anchors(np.frombuffer(data, np.uint8), length, GRAM)
+        own, hashes, first, last = strings_by_anchor(*found)
+        hashes = spread(hashes)
+        good = np.isin(hashes, wanted.values.to_numpy().view(np.uint64))
+        good &= _is_in(hashes, some) == among
+        columns = (x[good].tolist() for x in (own, hashes, first, last))
+        for place, value, a, b in zip(*columns):
+            yield owner, value, place, a, b, data
+
+
+def _hot_anchors(wanted: DataFrame, suspects: DataFrame, length: int) -> tuple[np.ndarray, int]:
+    """Sorted hashes of anchors with over ``HOT_CONTEXTS`` different contexts, and how often they occur."""
+    seen = wanted.select(F.explode("hashes").alias("hash")).groupBy("hash").count()
+    # each of them has that many anchors of the text to itself, so they are few
+    busy = dict(map(tuple, seen.where(F.col("count") > HOT_CONTEXTS).collect()))
+    if not busy:
+        return np.empty(0, np.uint64), 0
+    some = np.sort(np.array(list(busy), np.int64).view(np.uint64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, CHUNK_BYTES):
+                pairs = set()
+                for _, value, place, a, b, data in _contexts_of(part, some, True, length):
+                    context = blake2b(b"%d " % (place - a) + data[a : b + length], digest_size=8)
+                    pairs.add((value, int.from_bytes(context.digest(), "big")))
+                if pairs:
+                    columns = np.array(list(pairs), np.uint64).view(np.int64).T
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c) for c in columns], ["hash", "context"]
+                    )
+
+    kinds = suspects.mapInArrow(run, "hash bigint, context bigint").groupBy("hash")
+    kinds = kinds.agg(F.count_distinct("context").alias("kinds"))
+    hot = [r["hash"] for r in kinds.where(F.col("kinds") > HOT_CONTEXTS).collect()]
+    return np.sort(np.array(hot, np.int64).view(np.uint64)), sum(busy[h] for h in hot)
+
+
+def _by_digest(digests: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Order of digests of two words, then for each in order its group, and where groups open."""
+    order = np.lexsort((digests[:, 1], digests[:, 0]))
+    ordered = digests[order]
+    new = np.concatenate([[True], (ordered[1:] != ordered[:-1]).any(axis=1)])
+    return order, np.cumsum(new) - 1, np.flatnonzero(new)
+
+
+def _hot_string_rows(suspects: DataFrame, hot: np.ndarray, tasks: int, length: int) -> DataFrame:
+    """Strings of hot anchors as digests with their places, by range of digests.
+
+    As with anchors, a string that a task sees twice is returned at once, as task -1,
+    and one mark of it is sent.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, CHUNK_BYTES // 4):
+                yield from sent(part)
+
+    def sent(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        held, owners, firsts = [], [], []
+        for owner, _, _, a, b, data in _contexts_of(part, hot, True, length):
+            strings = (data[i : i + length] for i in range(a, b + 1))
+            held.append(b"".join(blake2b(s, digest_size=16).digest() for s in strings))
+            owners.append(np.full(b - a + 1, owner, np.int64))
+            firsts.append(np.arange(a, b + 1))
+        if not held:
+            return
+        digests = np.frombuffer(b"".join(held), np.uint64).reshape(-1, 2)
+        owners, firsts = np.concatenate(owners), np.concatenate(firsts)
+        order, group, opens = _by_digest(digests)
+        twice = np.bincount(group) > 1
+        many = order[twice[group]]
+        if len(many):
+            yield row(-1, digests[:0], owners[many], firsts[many], twice[:0])
+        heads = order[opens]
+        digests, owners, firsts = digests[heads], owners[heads], firsts[heads]
+        edge = np.arange(1, tasks, dtype=np.float64) * (2.0**64 / tasks)
+        cuts = [0, *np.searchsorted(digests[:, 0], edge.astype(np.uint64)), len(digests)]
+        for task, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            if a < b:
+                yield row(task, digests[a:b], owners[a:b], firsts[a:b], twice[a:b])
+
+    def row(task: int, *columns: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([task], pa.int32()), *map(_binary, columns)], names
+        )
+
+    names = ["task", "digests", "owners", "firsts", "twice"]
+    return suspects.mapInArrow(
+        run, "task int, " + ", ".join(f"{n} binary" for n in names[1:])
+    )
+
+
+def _hot_spans(rows: DataFrame, parts: int, length: int) -> DataFrame:
+    """Spans of repeated strings of hot anchors, packed by part of the documents."""
+
+    def meet(table: pa.Table) -> pa.Table:
+        digests = _all(table, "digests", np.uint64).reshape(-1, 2)
+        twice = _all(table, "twice", bool)
+        order, group, opens = _by_digest(digests)
+        known = np.logical_or.reduceat(twice[order], opens) | (np.bincount(group) > 1)
+        good = order[known[group] & ~twice[order]]
+        owners, firsts = _all(table, "owners", np.int64), _all(table, "firsts", np.int64)
+        return joined(owners[good], firsts[good])
+
+    def joined(owners: np.ndarray, firsts: np.ndarray) -> pa.Table:
+        order = np.lexsort((firsts, owners))
+        owners, firsts = owners[order], firsts[order]
+        cut = (np.diff(owners) != 0) | (np.diff(firsts) > length)
+        opens = np.flatnonzero(np.concatenate([[True], cut])[: len(owners)])
+        closes = np.flatnonzero(np.concatenate([cut, [True]])[: len(owners)])
+        return _packed(owners[opens], firsts[opens], firsts[closes] + length, parts)
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            for k in range(len(table)):
+                one = table.slice(k, 1)
+                found = joined(_all(one, "owners", np.int64), _all(one, "firsts", np.int64))
+                yield from found.to_batches()
+
+    schema = "part bigint, owners binary, firsts binary, lasts binary"
+    met = rows.where("task >= 0").groupBy("task").applyInArrow(meet, schema)
+    return met.unionByName(rows.where("task < 0").mapInArrow(unpack, schema))
+
+
+def _packed(owner: np.ndarray, first: np.ndarray, last: np.ndarray, parts: int) -> pa.Table:
+    """Spans as one row for each part of the documents."""
+    part = owner % parts
+    order = np.argsort(part, kind="stable")
+    numbers, cuts = np.unique(part[order], return_index=True)
+    pieces = [np.split(x[order], cuts[1:]) if len(x) else [] for x in (owner, first, last)]
+    blobs = [pa.array([x.tobytes() for x in p], pa.binary()) for p in pieces]
+    return pa.table([pa.array(numbers, pa.int64()), *blobs], ["part", "owners", "firsts", "lasts"])
+
+
+def _context_rows(suspects: DataFrame, hot: np.ndarray, tasks: int, length: int) -> DataFrame:
+    """Contexts of repeated anchors but hot ones, and where they occur, by range of hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -308,19 +462,11 @@ def _context_rows(suspects: DataFrame, tasks: int, length: int) -> DataFrame:
     def sent(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         numbers: dict[tuple, int] = {}
         owners, firsts, which = [], [], []
-        rows = zip(part.column(0).to_pylist(), part.column(1), part.column(2))
-        for owner, text, wanted in rows:
-            data = text.as_py()
-            found = anchors(np.frombuffer(data, np.uint8), length, GRAM)
-            own, hashes, first, last = strings_by_anchor(*found)
-            hashes = spread(hashes)
-            good = np.isin(hashes, wanted.values.to_numpy().view(np.uint64))
-            columns = (x[good].tolist() for x in (own, hashes, first, last))
-            for place, value, a, b in zip(*columns):
-                context = (value, place - a, b - a + 1, data[a : b + length])
-                which.append(numbers.setdefault(context, len(numbers)))
-                owners.append(owner)
-                firsts.append(a)
+        for owner, value, place, a, b, data in _contexts_of(part, hot, False, length):
+            context = (value, place - a, b - a + 1, data[a : b + length])
+            which.append(numbers.setdefault(context, len(numbers)))
+            owners.append(owner)
+            firsts.append(a)
         if not numbers:
             return
         held = list(numbers)
@@ -357,7 +503,6 @@ def _context_rows(suspects: DataFrame, tasks: int, length: int) -> DataFrame:
 
 def _judged(rows: DataFrame, parts: int, length: int) -> DataFrame:
     """Spans of repeated strings, packed by part of the documents."""
-    names = ["part", "owners", "firsts", "lasts"]
 
     def judge(table: pa.Table) -> pa.Table:
         known: dict[tuple, int] = {}
@@ -405,12 +550,7 @@ def _judged(rows: DataFrame, parts: int, length: int) -> DataFrame:
         origin = np.repeat(firsts, many) - base[context[run]]
         owner = np.repeat(owners, many)
         first, last = origin + opens[run], origin + closes[run] + length
-        part = owner % parts
-        order = np.argsort(part, kind="stable")
-        numbers, cuts = np.unique(part[order], return_index=True)
-        pieces = [np.split(x[order], cuts[1:]) for x in (owner, first, last)] if len(run) else [[]] * 3
-        blobs = [pa.array([x.tobytes() for x in p], pa.binary()) for p in pieces]
-        return pa.table([pa.array(numbers, pa.int64()), *blobs], names)
+        return _packed(owner, first, last, parts)
 
     found = rows.groupBy("task").applyInArrow(
         judge, "part bigint, owners binary, firsts binary, lasts binary"
@@ -505,7 +645,7 @@ def remove_repeats(
     total = lean.agg(F.sum("size")).first()[0] or 0
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / 50 / TASK_ANCHORS))
     sent = materialise(_anchor_rows(texts.select("key", "text"), tasks, length), "repeat-anchors")
-    wanted = _repeated_anchors(sent).groupBy("key").agg(F.collect_set("hash").alias("hashes"))
+    wanted = _repeated_anchors(sent).groupBy("key").agg(F.collect_list("hash").alias("hashes"))
     wanted = materialise(wanted, "repeat-wanted")
     found = wanted.agg(F.count(F.lit(1)), F.sum(F.size("hashes"))).first()
     if found[0] <= MAX_BROADCAST:  # then other documents' texts need not be moved
@@ -521,9 +661,16 @@ def remove_repeats(
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(contexts / TASK_CONTEXTS))
     held = suspects.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(held / TASK_TEXT))
-    sent = _context_rows(suspects.select("owner", "text", "hashes"), tasks, length)
+    looked = suspects.select("owner", "text", "hashes")
+    hot, often = _hot_anchors(wanted, looked, length)
+    sent = _context_rows(looked, hot, tasks, length)
     # by number, so that small data still keep all tasks
     spans = _judged(sent.repartition(tasks, "task"), parts, length)
+    if len(hot):
+        strings = often * (length - GRAM + 1)
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(strings / TASK_ANCHORS))
+        strings = materialise(_hot_string_rows(looked, hot, tasks, length), "repeat-strings")
+        spans = spans.unionByName(_hot_spans(strings, parts, length))
     cut = _cut_out(suspects, spans, parts).select(
         "digest",
         "spans",
