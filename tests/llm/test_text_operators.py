@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -229,6 +230,45 @@ def test_phrases_in_crowded_texts(spark, monkeypatch, item_bytes):
     assert none.where("size(spans) > 0").count() == 0
 
 
+def test_each_block_of_items_is_searched_before_the_next(spark, monkeypatch):
+    steps, windows, written = [], phrases._windows, phrases.materialise
+
+    def built(items, window):
+        steps.append("built")
+        return windows(items, window)
+
+    def kept(found, label, *others):
+        steps.append(label)
+        return written(found, label, *others)
+
+    monkeypatch.setattr(phrases, "ITEM_BYTES", 2000)
+    monkeypatch.setattr(phrases, "_windows", built)
+    monkeypatch.setattr(phrases, "materialise", kept)
+    rng = random.Random(4)
+    items = [(k, " ".join(rng.choices("abcdef", k=rng.randrange(1, 60)))) for k in range(100)]
+    docs = [(k, f"x {items[k][1]} y {items[k + 20][1]}") for k in range(40)] + [(None, items[5][1])]
+    got = phrases.phrase_matches(
+        frame(spark, docs), frame(spark, items * 2, "item_id bigint, text string")
+    )
+    rows = phrases.contamination(got).collect()
+    assert sorted(
+        ((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], ",".join(r["items"])) for r in rows),
+        key=str,
+    ) == sorted(slow_matches(docs, items, 13), key=str)
+    assert steps[0] == "phrase-index" and len(steps) > 5
+    assert steps[1:] == ["built", "phrase-pass"] * (len(steps) // 2)
+
+
+def test_windows_take_little_memory():
+    rng = random.Random(5)
+    items = [(k, [b"%d" % rng.randrange(9000) for _ in range(200)]) for k in range(200)]
+    tracemalloc.start()
+    held = phrases._windows(items, 13)
+    size, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held and size < 40_000 * 100
+
+
 def test_proximity(spark):
     docs = frame(spark, [(1, "x a q q b"), (2, "a q q q b"), (3, "b, a"), (4, "a"), (5, None)])
     index = phrases.build_index(docs)

@@ -12,10 +12,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.scratch import materialise
@@ -23,8 +24,9 @@ from tidemark.scratch import materialise
 SEGMENT_WORDS = 500_000
 # candidate starts compared at once inside a segment
 CANDIDATES = 1 << 20
-# UTF-8 bytes of test items that one search may send to every task
-ITEM_BYTES = 32 << 20
+# UTF-8 bytes of test items and their ids that one search takes; each two bytes are a
+# word at most, and each word a window of that many numbers of four bytes
+ITEM_BYTES = 4 << 20
 
 # every byte that belongs to no word becomes a blank, after A-Z in lower case
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]")
@@ -214,56 +216,100 @@ class Segment:
 # --- searches ----------------------------------------------------------------
 
 
-def _item_blocks(items: DataFrame, item_col: str, text_col: str) -> list[list[tuple]]:
-    """The test items in blocks of at most about ``ITEM_BYTES``, each collected alone."""
+def _item_blocks(items: DataFrame, item_col: str, text_col: str) -> tuple[DataFrame, int]:
+    """The different test items with the number of their block, and how many blocks
+    of about ``ITEM_BYTES`` there are; an item is never cut."""
     rows = items.select(F.col(item_col).alias("item"), F.col(text_col).cast("binary").alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-total // ITEM_BYTES) or 1
-    slot = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
-    return [
-        [(r["item"], words_of(r["text"])) for r in rows.where(slot == k).collect()]
-        for k in range(blocks)
-    ]
-
-
-def _windows(items: list[tuple], window: int) -> dict[int, tuple[list, list]]:
-    """Distinct phrases by length, with the numbers of the items they come from."""
-    owners: dict[tuple, set] = {}
-    for number, (_, words) in enumerate(items):
-        size = min(window, len(words))
-        for start in range(len(words) - size + 1 if words else 0):
-            owners.setdefault(tuple(words[start : start + size]), set()).add(number)
+    rows = rows.where(F.octet_length("text") > 0).dropDuplicates(["item", "text"])
+    size = F.octet_length("text") + F.coalesce(F.octet_length(F.col("item").cast("string")), F.lit(0))
+    blocks = -(-(rows.agg(F.sum(size)).first()[0] or 0) // ITEM_BYTES) or 1
+    return rows.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks))), blocks
+
+
+def _block(rows: DataFrame, number: int) -> list[tuple]:
+    """The items of one block, collected alone."""
+    return [(r["item"], words_of(r["text"])) for r in rows.where(F.col("block") == number).collect()]
+
+
+class _Phrases(NamedTuple):
+    """Different phrases of one length: numbers of their terms, and where their items open."""
+
+    terms: np.ndarray
+    opens: np.ndarray
+    items: np.ndarray
+
+
+class _Windows(NamedTuple):
+    names: list[str | None]
+    terms: bytes
+    by_size: dict[int, _Phrases]
+
+
+def _windows(items: list[tuple], window: int) -> _Windows:
+    """Different phrases by length, with the numbers of the items they come from."""
+    numbers: dict[bytes, int] = {}
     by_size: dict[int, tuple[list, list]] = {}
-    for phrase, numbers in owners.items():
-        phrases, of = by_size.setdefault(len(phrase), ([], []))
-        phrases.append(phrase)
-        of.append(sorted(numbers))
-    return by_size
+    for item, (_, words) in enumerate(items):
+        size = min(window, len(words))
+        if size:
+            found = (numbers.setdefault(w, len(numbers)) for w in words)
+            phrases, owners = by_size.setdefault(size, ([], []))
+            phrases.append(np.fromiter(found, np.int32, len(words)))
+            owners.append(item)
+    return _Windows(
+        [None if item is None else str(item) for item, _ in items],
+        b" ".join(numbers),
+        {size: _different(size, *found) for size, found in by_size.items()},
+    )
 
 
-def _search(spark: SparkSession, index: DataFrame, items: list[tuple], window: int):
-    """One pass of a block of items over all segments."""
-    phrases = spark.sparkContext.broadcast(_windows(items, window))
-    names = [None if item is None else str(item) for item, _ in items]
+def _different(size: int, texts: list[np.ndarray], owners: list[int]) -> _Phrases:
+    """All stretches of ``size`` terms, equal ones once with all their owners."""
+    terms = np.concatenate([np.lib.stride_tricks.sliding_window_view(t, size) for t in texts])
+    items = np.repeat(np.array(owners, np.int32), [len(t) - size + 1 for t in texts])
+    whole = terms.view(np.dtype((np.void, 4 * size))).ravel()
+    order = np.argsort(whole, kind="stable")  # items stay in order
+    terms, items = terms[order], items[order]
+    new = np.concatenate([[True], (terms[1:] != terms[:-1]).any(axis=1)])
+    kept = new | np.concatenate([[True], items[1:] != items[:-1]])
+    return _Phrases(terms[new], np.flatnonzero(new[kept]), items[kept])
+
+
+def _search(index: DataFrame, windows) -> DataFrame:
+    """One pass of a block's windows, a broadcast, over all segments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, terms, by_size = windows.value
+        terms = terms.split()
         for batch in batches:
             for row in batch.to_pylist():
                 segment = Segment(row)
+                slots = segment.slot(terms)
                 edges = np.zeros(segment.span + 1, np.int32)
                 found: list[set] = [set() for _ in segment.ids]
-                for size, (texts, owners) in phrases.value.items():
-                    flat = segment.slot([w for text in texts for w in text])
-                    for which, places in segment.phrases(flat.reshape(-1, size)):
+                for size, phrases in by_size.items():
+                    for which, places in hits(segment, slots, size, phrases.terms):
                         np.add.at(edges, places, 1)
                         np.add.at(edges, places + size, -1)
                         pairs = np.unique(
                             np.stack([segment.document(places), which]), axis=1
                         )
-                        for doc, phrase in pairs.T.tolist():
-                            found[doc].update(owners[phrase])
+                        opens = phrases.opens[pairs[1]].tolist()
+                        closes = np.append(phrases.opens, len(phrases.items))[pairs[1] + 1]
+                        for doc, a, b in zip(pairs[0].tolist(), opens, closes.tolist()):
+                            found[doc].update(phrases.items[a:b].tolist())
                 yield _answers(segment, edges, found, names, batch.schema.field("ids").type)
 
+    def hits(segment: Segment, slots: np.ndarray, size: int, terms: np.ndarray):
+        """Numbers and places of phrases, a part of them compared at once."""
+        present = segment.counts[slots] > 0
+        step = max(1, CANDIDATES // size)
+        for at in range(0, len(terms), step):
+            some = terms[at : at + step]
+            possible = np.flatnonzero(present[some].all(axis=1))
+            for which, places in segment.phrases(slots[some[possible]]):
+                yield at + possible[which], places
+
     kind = index.schema["ids"].dataType.elementType.simpleString()
     return index.mapInArrow(
         run,
@@ -310,21 +356,27 @@ def phrase_matches(
     is ``window`` consecutive words of an item; an item with fewer words is one
     window. Null, empty and wordless texts and items match nothing. Items with
     equal windows are all named, an item with a null id never is though its words
-    count as hit; repeated documents are answered each for themselves. Items beyond ``ITEM_BYTES`` are searched in several passes.
+    count as hit; repeated documents are answered each for themselves. Items beyond
+    ``ITEM_BYTES`` are searched in several passes, each written before the next begins.
     """
-    spark = docs.sparkSession
-    blocks = _item_blocks(items, item_col, item_text_col)
-    vocabulary = None
-    if len(blocks) == 1:  # postings of other terms would never be asked for
-        vocabulary = frozenset(w for _, words in blocks[0] for w in words)
-    index = materialise(build_index(docs, id_col, text_col, vocabulary), "phrase-index")
-    passes = [_search(spark, index, block, window) for block in blocks]
-    if len(passes) == 1:
-        return passes[0].withColumnRenamed("id", id_col)
-    # every pass returns the documents of a segment in the same places
+    context = docs.sparkSession.sparkContext
+    rows, blocks = _item_blocks(items, item_col, item_text_col)
+    if blocks == 1:
+        windows = _windows(_block(rows, 0), window)
+        # postings of other terms would never be asked for
+        vocabulary = frozenset(windows.terms.split())
+        index = materialise(build_index(docs, id_col, text_col, vocabulary), "phrase-index")
+        return _search(index, context.broadcast(windows)).withColumnRenamed("id", id_col)
+    index = materialise(build_index(docs, id_col, text_col), "phrase-index")
     merged = None
-    for found in passes:
-        found = found.withColumn("row", F.monotonically_increasing_id())
+    for number in range(blocks):
+        windows = context.broadcast(_windows(_block(rows, number), window))
+        # every pass returns the documents of a segment in the same places
+        found = _search(index, windows).withColumn("row", F.monotonically_increasing_id())
+        if number:
+            found = found.where(F.size("spans") > 0)
+        found = materialise(found, "phrase-pass")
+        windows.destroy()
         merged = found if merged is None else merged.unionByName(found)
     return (
         merged.groupBy("row")
