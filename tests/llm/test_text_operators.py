@@ -279,6 +279,18 @@ def test_proximity(spark):
 # --- language ----------------------------------------------------------------
 
 
+def test_long_pieces_count_and_long_words_are_learned_whole(spark):
+    whole = "▁" + "information"
+    pieces = langid.Pieces([whole, "▁in", "formation", "a"])
+    assert whole in pieces.texts
+    got = langid.log_chances(pieces, np.array([[0.25]] * 4), ["information"])
+    assert np.allclose(np.exp(got), 0.25 + 0.25**2)
+    word = "".join(random.Random(6).choices("abcdeé字𠀀", k=97))
+    rows = spark.createDataFrame([(1, f"{word}, {word.upper()}", "x")], "id int, text string, lang string")
+    found = {r["word"]: r["n"] for r in langid._sample_words(rows, 10).collect()}
+    assert found == dict.fromkeys(langid.word_parts(word), 2)
+
+
 def slow_chance(pieces, chances, word):
     """Sum over all segmentations by recursion."""
     place = {p: k for k, p in enumerate(pieces.texts)}

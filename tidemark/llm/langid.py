@@ -29,7 +29,6 @@ ROUNDS = 3
 # probability of a character that no piece holds; it tells nothing about languages
 FLOOR = 1e-6
 SMOOTHING = 0.1
-LONGEST_PIECE = 10
 # longer words are cut, so that products stay within the range of doubles
 LONGEST_WORD = 40
 REMEMBERED = 150_000
@@ -42,12 +41,13 @@ class Pieces:
     """The vocabulary as hashes of its pieces, for lookups of many substrings."""
 
     def __init__(self, pieces: list[str]):
-        texts = sorted({p for p in pieces if 0 < len(p) <= LONGEST_PIECE})
+        texts = sorted(set(filter(None, pieces)))
         texts = [p for p in texts if p == p.lower() and _letters(p.removeprefix(START))]
         hashes = np.array([self.hash_of(p) for p in texts], np.uint64)
         order = np.argsort(hashes)
         self.hashes = hashes[order]
         self.texts = [texts[k] for k in order.tolist()]
+        self.longest = max(map(len, texts), default=0)
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[self.hashes >> np.uint64(44)] = True
 
@@ -66,7 +66,7 @@ class Pieces:
         mixed = _mixed(flat.astype(np.uint64)).reshape(len(words), width)
         value = np.zeros((len(words), width + 1), np.uint64)
         places = []
-        for size in range(1, min(LONGEST_PIECE, width) + 1):
+        for size in range(1, min(self.longest, width) + 1):
             value = value[:, :-1] * _FACTOR + mixed[:, size - 1 :]
             word, first = np.nonzero(self.maybe[value >> np.uint64(44)])
             wanted = value[word, first]
@@ -204,12 +204,14 @@ def _sample_words(labelled: DataFrame, sample: int) -> DataFrame:
     share = F.lit(0.0)
     for lang, size in sizes.items():
         share = F.when(F.col("lang") == lang, min(1.0, sample / size)).otherwise(share)
-    words = F.split(F.lower(F.regexp_replace("text", r"\P{L}+", " ")), " ")
+    words = F.split(F.regexp_replace(F.lower("text"), r"\P{L}+", " "), " ")
+    # all parts of a long word, as in prediction
+    parts = F.regexp_extract_all("word", F.lit("(.{1,%d})" % LONGEST_WORD), F.lit(1))
     return (
         labelled.where(draw < share)
         .select("lang", F.explode(words).alias("word"))
         .where("word <> ''")
-        .select("lang", F.substring("word", 1, LONGEST_WORD).alias("word"))
+        .select("lang", F.explode(parts).alias("word"))
         .groupBy("lang", "word")
         .agg(F.count(F.lit(1)).alias("n"))
     )
