@@ -9,7 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import langid, toxicity, warc
+from tidemark.llm.audit import audit, filter_masks
 from tidemark.llm.exact_dedup import exact_duplicates
+from tidemark.llm.lines import line_dedup
+from tidemark.llm.negatives import hard_negatives
 from tidemark.llm.packing import pack
 from tidemark.llm.phrases import contamination, phrase_matches
 from tidemark.llm.secrets import KINDS, find_secrets, of_kind, written
@@ -135,3 +138,25 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), length=200).drop("spans")
+
+
+@query
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup(table(spark, sf_dir, "documents"), min_length=20, min_docs=3)
+    return found.withColumn("kept_sha256", F.sha2("text", 256)).drop("text")
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(filter_masks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10)
+    vectors = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.coalesce(shifted, F.col("label"))
+    )
+    return hard_negatives(
+        vectors, F.col("vec_id") % 50 == 0, positives=5, negatives=3, low=50, high=95
+    )
