@@ -44,7 +44,10 @@ def _rows(vectors: DataFrame, id_col: str, label_col: str, vector_col: str) -> D
     whole = F.transform(vector_col, lambda x: F.floor(x.cast("double") * SCALE).cast("int"))
     return (
         vectors.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & good)
-        .select(F.col(id_col).alias("id"), F.struct(F.col(label_col).alias("label"), whole.alias("q")).alias("row"))
+        .select(
+            F.col(id_col).alias("id"),
+            F.struct(F.col(label_col).alias("label"), whole.alias("q")).alias("row"),
+        )
         .groupBy("id")
         .agg(F.min("row").alias("row"))
         .select("id", "row.label", "row.q")
@@ -306,7 +309,8 @@ def hard_negatives(
     products. The positives of an anchor are its ``positives`` best rows of the same
     label, itself left out; the negatives of a positive the ``negatives`` best rows of
     another label that score from ``low`` to ``high`` percent of the positive, ties by
-    the smaller id. ``anchors`` is a condition on the id column. Returns ``anchor_id,
+    the smaller id. ``anchors`` is a condition on the id column, which has a name that
+    the stored rows do not use (``id``, ``label``, ``q``, ``norm``, ``angles``). Returns ``anchor_id,
     positive_id, rank, negative_id, positive_score, negative_score``; pairs without a
     negative have no row.
 
@@ -323,11 +327,10 @@ def hard_negatives(
     """
     spark = vectors.sparkSession
     stored = _stored(_rows(vectors, id_col, label_col, vector_col))
-    chosen = stored.where(F.coalesce(anchors, F.lit(False))) if id_col == "id" else (
-        stored.withColumn(id_col, F.col("id")).where(F.coalesce(anchors, F.lit(False))).drop(id_col)
-    )
-    chosen = materialise(chosen.drop("near", "least"), "anchors")
-    passes = -(-(chosen.agg(F.sum(4 * F.size("q") + 8 * F.size("angles"))).first()[0] or 0) // ANCHOR_BYTES)
+    chosen = stored.select("*", F.col("id").alias(id_col)).where(anchors)
+    chosen = materialise(chosen.select("id", "label", "q", "norm", "angles"), "anchors")
+    size = 32 + 4 * F.size("q") + 8 * F.size("angles")
+    passes = -(-(chosen.agg(F.sum(size)).first()[0] or 0) // ANCHOR_BYTES)
     schema = (
         "anchor_id bigint, positive_id bigint, rank int, negative_id bigint, "
         "positive_score bigint, negative_score bigint"
