@@ -411,3 +411,15 @@ def test_differencing_is_near_equal():
     sums = np.bincount(owner, sizes)
     assert largest == sums.max() and sums.max() - sums.min() < 30
     assert (packing.pack_sizes(np.array([2047, 2, 2047]), 2048).max()) == 2
+
+
+def test_ids_of_letters_with_marks():
+    """The tokenizer composes before it lower-cases: not all capitals have what small letters have."""
+    pairs = ["T\u0308", "H\u0331", "J\u030c", "W\u030a", "Y\u030a", "T\u1dca\u0308", "=\u0338"]
+    rng = np.random.default_rng(2)
+    letters = list("abtThHjJwWyYzZéÉßẞİıﬁ1.,<|'= ") + ["\u0308", "\u0331", "\u030c", "\u030a", "\u0338", "\u1dca", "\u212b", "\u00a0"]
+    texts = pairs + ["".join(rng.choice(letters, int(n))) for n in rng.integers(1, 24, 6000)]
+    reader = Tokenizer.from_file(TOKENIZER)
+    got = packing.Encoder(TOKENIZER).encode([t.encode() for t in texts])
+    want = [e.ids for e in reader.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == want

@@ -14,6 +14,7 @@ from __future__ import annotations
 import heapq
 import json
 import math
+import re
 import unicodedata
 from bisect import insort
 from collections.abc import Iterator
@@ -155,9 +156,25 @@ def encoder(path: str, remembered: int) -> Encoder:
     return Encoder(path, remembered)
 
 
+_BEFORE_MARK = re.compile(rb"[A-Z](?=[\x80-\xff])")
+
+
 def _lowered(text: bytes) -> bytes:
-    """A-Z in lower case, as the tokenizer does, unless that could make a special token."""
-    return text if b"<|" in text else text.lower()
+    """A-Z in lower case, as the tokenizer does, unless that could make a special token.
+
+    The tokenizer composes before it lower-cases, and a small letter may have a
+    composed form that the capital has not. Marks that combine with A-Z have the lead
+    bytes CC and CD; where there are any, a capital in front of a mark stays.
+    """
+    if b"<|" in text:
+        return text
+    lowered = text.lower()
+    if b"\xcc" not in text and b"\xcd" not in text:
+        return lowered
+    kept = bytearray(lowered)
+    for found in _BEFORE_MARK.finditer(text):
+        kept[found.start()] = text[found.start()]
+    return bytes(kept)
 
 
 # ASCII characters that are no letter, digit or blank; a run of them is one token
