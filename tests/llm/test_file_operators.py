@@ -6,6 +6,7 @@ import gzip
 import hashlib
 import io
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -198,6 +199,22 @@ def test_base_secrets_equal_brute_force(spark):
         assert [x for x in r["spans"].split(",") if x and not x.startswith("novel")] == base
 
 
+def test_secrets_of_a_long_text_take_linear_time():
+    line = "password = abcdef{0:06d} the token is Zk3xQ9vB7nM2pL5w{0:06d}\n"
+    text = "".join(line.format(k) for k in range(8000))
+    novelty = secrets.Novelty()
+    known = secrets.base_spans(text)
+    free = type("Free", (), {"per_character": lambda *_: 1.0})()
+    begun = time.process_time()
+    found = secrets.novel_spans(text, known, free)
+    assert time.process_time() - begun < 2
+    few = "".join(line.format(k) for k in range(40))
+    spans = secrets.novel_spans(few, secrets.base_spans(few), free)
+    assert spans and found[: len(spans) - 1] == spans[:-1]
+    assert not any(s < e2 and s2 < e for s, _, e in spans for s2, _, e2 in secrets.base_spans(few))
+    assert secrets.scan(few, novelty)
+
+
 def test_secrets_of_awkward_rows(spark):
     schema = "doc_id bigint, text string, spans int"
     rows = [(k, t, 1) for k, t in enumerate(ODD_SECRETS)] + [(None, "x", 2), (1, "", 1)]

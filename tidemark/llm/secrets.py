@@ -10,7 +10,9 @@ A string that its surroundings repeat is measured against them without the repea
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -138,12 +140,16 @@ def _spans_over(
 ) -> list[tuple[int, int, int]]:
     """Candidates with a measure of ``NOVELTY`` that no known span covers: whole runs, else parts."""
     spans = []
+    # of the known spans that start before a candidate ends, how far any reaches
+    order = sorted((start, end) for start, _, end in known)
+    starts = [start for start, _ in order]
+    reach = [0, *accumulate((end for _, end in order), max)]
     for whole, *parts in candidates(text):
         for group in ([whole], parts):
             found = [
                 (start, 3, end)
                 for start, end in group
-                if not any(s < end and start < e for s, _, e in known)
+                if reach[bisect_left(starts, end)] <= start
                 and measure(text, start, end) >= NOVELTY
             ]
             if found:
