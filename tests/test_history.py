@@ -1,10 +1,10 @@
 from __future__ import annotations
 
 import random
-from collections import Counter
 
 import pytest
 from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from tidemark.operators.history import (
     END,
@@ -13,12 +13,18 @@ from tidemark.operators.history import (
     build_versions,
     current_versions,
 )
+from tidemark.operators.cleaning import ARRIVED, BATCH
 from tidemark.operators.quality import expect_all_or_drop
 from tidemark.sources.tables import publish, stream_table
+from tidemark.streaming import changes
 from tidemark.streaming.changes import (
     PRODUCT_RULES,
+    BUCKET,
     apply_stream,
-    changes_view,
+    create_history_table,
+    expectation_totals,
+    merge_changes,
+    publish_with_feed,
     stage_table,
 )
 
@@ -108,22 +114,24 @@ def test_streamed_product_versions(spark, layer):
     source, stage, dim = (f"{layer}.{n}" for n in ("products", "stage", "dimproducts"))
     spark.sql(f"CREATE TABLE {source} ({schema}) USING parquet")
 
-    counts = Counter()
-
     def arrive(*new):
         spark.createDataFrame(new, schema).write.insertInto(source)
-        stage_table(spark, source, stage, PRODUCT_RULES, counts)
-        apply_stream(changes_view(spark, stage), stage, dim, ["product_id"], "seq")
+        stage_table(spark, source, stage, PRODUCT_RULES)
+        apply_stream(stream_table(spark, stage).drop(BATCH), stage, dim, ["product_id"], "seq")
         return rows(spark.table(dim), "product_id", "product_name", START, END)
 
     assert arrive((1, "a", 10), (None, "b", 1), (2, None, 1)) == [(1, "a", 10, None)]
-    assert counts == {"rows": 3, "rule1": 1, "rule2": 1}
+    assert rows(expectation_totals(spark, stage), "rule", "rows_checked", "failures") == [
+        ("rule1", 3, 1), ("rule2", 3, 1),
+    ]
     assert arrive((1, "early", 5), (3, "c", 1)) == [
         (1, "a", 10, None), (1, "early", 5, 10), (3, "c", 1, None),
     ]
-    stage_table(spark, source, stage, PRODUCT_RULES, counts)
-    assert counts == {"rows": 5, "rule1": 1, "rule2": 1}
-    apply_stream(changes_view(spark, stage), stage, dim, ["product_id"], "seq")
+    stage_table(spark, source, stage, PRODUCT_RULES)
+    assert rows(expectation_totals(spark, stage), "rule", "rows_checked", "failures") == [
+        ("rule1", 5, 1), ("rule2", 5, 1),
+    ]
+    apply_stream(stream_table(spark, stage).drop(BATCH), stage, dim, ["product_id"], "seq")
     assert spark.table(dim).count() == 3 and spark.table(stage).count() == 3
 
 
@@ -131,4 +139,84 @@ def test_stream_into_empty_source_declares_the_target(spark, layer):
     source, dim = f"{layer}.p", f"{layer}.d"
     publish(spark.createDataFrame([], "product_id int, seq int"), source)
     apply_stream(stream_table(spark, source), source, dim, ["product_id"], "seq")
-    assert spark.table(dim).columns == ["product_id", START, END]
+    assert spark.table(dim).columns == ["product_id", START, END, BUCKET]
+
+
+def test_a_corrected_version_replaces_the_earlier_delivery(spark):
+    """Whichever of the two is loaded first, and also if both come in one load."""
+    schema = f"id int, v string, seq int, {ARRIVED} struct<delivered: int, file: string>"
+    old, new = (1, "m", 10, (1, "a")), (1, "Z", 10, (1, "b"))
+    other = (1, "n", 20, (0, "c"))
+    for loads in ([old, new, other],), ([old], [new, other]), ([new], [other, old]):
+        held = None
+        for load in loads:
+            held = apply_changes(held, spark.createDataFrame(load, schema), ["id"], "seq")
+        assert versions(held) == [(1, "Z", 10, 20), (1, "n", 20, None)]
+
+
+def test_one_changed_key_rewrites_one_bucket(spark, layer):
+    name = f"{layer}.d"
+    first = spark.range(200).selectExpr("id", "'a' AS v", "1 AS seq")
+    create_history_table(first, name, ["id"], "seq", buckets=8)
+    assert merge_changes(first, name, ["id"], "seq") == list(range(8))
+    before = set(spark.table(name).inputFiles())
+    (touched,) = merge_changes(
+        spark.createDataFrame([(7, "b", 2), (None, "x", 1)], "id bigint, v string, seq int"),
+        name, ["id"], "seq",
+    )
+    kept = {f for f in before if f"{BUCKET}={touched}/" not in f}
+    after = set(spark.table(name).inputFiles())
+    assert kept < after and not (before - kept) & after
+    assert spark.table(name).count() == 201
+    assert rows(spark.table(name).filter("id = 7"), "v", START, END) == [("a", 1, 2), ("b", 2, None)]
+    assert merge_changes(first.limit(0), name, ["id"], "seq") == []
+
+
+def test_expectations_of_many_batches_with_one_repeated(spark, layer, monkeypatch):
+    source, stage = f"{layer}.p", f"{layer}.stage"
+    spark.sql(f"CREATE TABLE {source} (product_id int, product_name string) USING parquet")
+    data = spark.range(105).selectExpr("cast(id AS int) AS product_id", "if(id % 5 = 0, null, 'x') AS product_name")
+    data.repartition(105, "product_id").write.insertInto(source)
+    options = {"maxFilesPerTrigger": "1"}
+    real, failed = changes.expect_all_or_drop, []
+
+    def once(batch, rules):
+        if len(failed) == 0 and batch.sparkSession.table(source).count():
+            failed.append(1)
+            raise RuntimeError("stopped")
+        return real(batch, rules)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(
+            changes, "stream_table", lambda s, t: s.readStream.options(**options).table(t).withColumn(BATCH, F.lit(0))
+        )
+        patched.setattr(changes, "expect_all_or_drop", once)
+        with pytest.raises(Exception, match="stopped"):
+            stage_table(spark, source, stage, PRODUCT_RULES)
+        stage_table(spark, source, stage, PRODUCT_RULES)
+    files = len(spark.table(source).inputFiles())
+    assert files > 60 and spark.table(f"{stage}_expectations").select(BATCH).distinct().count() == files
+    assert rows(expectation_totals(spark, stage), "rule", "rows_checked", "failures") == [
+        ("rule1", 105, 0), ("rule2", 105, 21),
+    ]
+    assert spark.table(stage).count() == 84
+
+
+def test_a_rewritten_table_reaches_the_versions(spark, layer):
+    silver, feed_table, stage, dim = (f"{layer}.{n}" for n in ("silver", "feed", "stage", "dim"))
+    schema = "product_id int, product_name string, seq int"
+    states = [
+        [(1, "a", 1), (2, "b", 1)],
+        [(1, "A", 2), (2, "b", 1), (3, "c", 2)],
+        [(1, "A", 2), (3, "c", 2)],
+    ]
+    for state in states:
+        publish_with_feed(spark.createDataFrame(state, schema), silver, feed_table, ["product_id"])
+        stage_table(spark, feed_table, stage, PRODUCT_RULES, ["insert", "update"])
+        apply_stream(stream_table(spark, stage).drop(BATCH), stage, dim, ["product_id"], "seq")
+    assert rows(spark.table(feed_table), "product_id", "_change") == [
+        (1, "insert"), (1, "update"), (2, "delete"), (2, "insert"), (3, "insert"),
+    ]
+    assert rows(spark.table(dim), "product_id", "product_name", START, END) == [
+        (1, "A", 2, None), (1, "a", 1, 2), (2, "b", 1, None), (3, "c", 2, None),
+    ]

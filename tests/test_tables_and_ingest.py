@@ -9,13 +9,13 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from tidemark.operators.cleaning import ARRIVED, RESCUED
+from tidemark.operators.cleaning import ARRIVED, BATCH, RESCUED
 from tidemark.operators.upsert import DuplicateKeys
 from tidemark.plans import batch, layers, stand_ins
 from tidemark.scratch import clear_scratch, materialise, shared_dir
 from tidemark.session import scan_split_bytes, shuffle_partitions, side_by_side
 from tidemark.sources import files, tables
-from tidemark.streaming.ingest import ingest, ingest_all
+from tidemark.streaming.ingest import Ingest, ingest, ingest_all
 
 from conftest import DATA
 
@@ -34,98 +34,10 @@ def put(spark, folder, name, data, schema):
 def test_publish_counts_rows_and_reads_itself(spark, layer):
     name = f"{layer}.t"
     assert tables.publish(spark.range(5), name) == 5
-    places = {tables.table_location(spark, name)}
-    opened = spark.table(name)
     for expected in (10, 20, 40):
         doubled = spark.table(name).union(spark.table(name))
         assert tables.publish(doubled, name) == expected
         assert spark.table(name).count() == expected
-        places.add(tables.table_location(spark, name))
-    assert len(places) == 4
-    assert opened.count() == 5  # a reader keeps the version it opened
-    removed = tables.remove_old_versions(spark, name)
-    assert removed == ["version=0", "version=1"] and spark.table(name).count() == 40
-
-
-class Crash(Exception):
-    pass
-
-
-def crashes(monkeypatch, spark, run):
-    """Run again and again, stopped at the first, second, ... change of the catalog.
-
-    Yields after every stop; ends with the run that is not stopped.
-    """
-    real, stop = type(spark).sql, 0
-    while True:
-        stop, made = stop + 1, []
-
-        def sql(self, text, *args, **kwargs):
-            if text.split()[0] in ("ALTER", "CREATE", "DROP"):
-                made.append(text)
-                if len(made) == stop:
-                    raise Crash(text)
-            return real(self, text, *args, **kwargs)
-
-        with monkeypatch.context() as patched:
-            patched.setattr(type(spark), "sql", sql)
-            try:
-                run()
-                return
-            except Crash:
-                pass
-        yield stop
-
-
-def test_publish_of_new_types_survives_a_crash_anywhere(spark, layer, monkeypatch):
-    name = f"{layer}.t"
-
-    def put_rows(size, kind):
-        tables.publish(spark.range(size).select(F.col("id").cast(kind)), name)
-
-    put_rows(5, "bigint")
-    stops = 0
-    for _ in crashes(monkeypatch, spark, lambda: put_rows(7, "int")):
-        assert tables.table_exists(spark, name)
-        assert spark.table(name).count() == {"bigint": 5, "int": 7}[spark.table(name).dtypes[0][1]]
-        put_rows(5, "bigint")
-        stops += 1
-    assert stops == 4
-    assert spark.table(name).count() == 7 and spark.table(name).dtypes == [("id", "int")]
-
-
-def test_a_lost_table_is_not_started_anew(spark, layer):
-    name = f"{layer}.t"
-    for size in (1, 2):
-        tables.publish(spark.range(size), name)
-    spark.sql(f"DROP TABLE {name}")
-    with pytest.raises(RuntimeError, match="register it again"):
-        tables.publish(spark.range(9), name)
-
-
-def test_partition_merge_survives_a_crash_anywhere(spark, layer, monkeypatch):
-    first = [(1, "a", 2000), (2, "b", 2001), (3, "c", 2002)]
-    # 2 moves to 2000, 1 to 2001, 3 to a new year, so that 2002 becomes empty
-    second = [(1, "a", 2001), (2, "b", 2000), (3, "c", 2003), (4, "d", 2000)]
-    name = f"{layer}.f"
-
-    def merge(data):
-        frame = spark.createDataFrame(data, SALES)
-        tables.create_or_merge_partitions(frame, name, ["id"], "year")
-
-    stops = 0
-    merge(first)
-    for _ in crashes(monkeypatch, spark, lambda: merge(second)):
-        merge(second)
-        assert rows(spark.table(name), "id", "v", "year") == second
-        stops += 1
-        merge(first + [(4, "d", 1999)])
-    assert stops >= 5
-    assert rows(spark.table(name), "id", "v", "year") == second
-    live = set(spark.table(name).inputFiles())
-    assert tables.remove_old_versions(spark, name, keep=1)
-    assert set(spark.table(name).inputFiles()) == live
-    assert rows(spark.table(name), "id", "v", "year") == second
 
 
 def test_failed_publish_leaves_the_live_version(spark, layer):
@@ -145,13 +57,6 @@ def test_publish_takes_a_new_schema(spark, layer):
     assert spark.table(name).filter("v = 'x'").count() == 3
 
 
-def test_publish_refuses_a_table_it_did_not_write(spark, layer):
-    spark.range(3).write.saveAsTable(f"{layer}.foreign")
-    with pytest.raises(ValueError, match="not published here"):
-        tables.publish(spark.range(1), f"{layer}.foreign")
-    assert spark.table(f"{layer}.foreign").count() == 3
-
-
 def test_create_or_merge_twice_changes_nothing(spark, layer):
     name = f"{layer}.t"
     source = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
@@ -182,7 +87,7 @@ def test_partition_merge_writes_touched_partitions_only(spark, layer):
     listed = {r.partition for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
     assert "year=2000" not in listed and len(listed) == 4
     pruned = spark.table(name).filter("year = 2001")
-    assert len(pruned.inputFiles()) == 1 and "version=0/year=2001" in pruned.inputFiles()[0]
+    assert len(pruned.inputFiles()) == 1 and "/year=2001/" in pruned.inputFiles()[0]
     for round_ in range(4):
         again = spark.createDataFrame([(2, f"b{round_}", 2001)], SALES)
         assert tables.create_or_merge_partitions(again, name, ["id"], "year") == [2001]
@@ -224,14 +129,12 @@ def test_partition_merge_refuses_duplicates_and_odd_partitions(spark, layer):
 def test_table_exists_and_missing_table(spark, layer):
     assert not tables.table_exists(spark, f"{layer}.absent")
     with pytest.raises(AnalysisException):
-        tables.read_table(spark, f"{layer}.absent").count()
+        spark.table(f"{layer}.absent").count()
 
 
-def test_table_and_view_scans(spark, layer):
+def test_table_scans(spark, layer):
     tables.publish(spark.range(3), f"{layer}.t")
     assert tables.query_table(spark, f"{layer}.t", ["id + 1 AS n"]).columns == ["n"]
-    tables.register_view(spark.range(2), "two_rows")
-    assert tables.count_rows(spark.table("two_rows")).first().row_count == 2
     assert tables.empty_like(spark, "a int, b string").isEmpty()
 
 
@@ -254,7 +157,7 @@ def test_ingest_takes_each_file_once(spark, layer, tmp_path):
     put(spark, folder, "orders_2024_01", [(2,), (3,)], "id int")
     got = ingest(spark, folder, "orders", name, max_files_per_batch=1, others=others)
     assert rows(got, "id") == [(1,), (2,), (2,), (3,)]
-    assert got.columns == ["id", RESCUED, ARRIVED]
+    assert got.columns == ["id", RESCUED, ARRIVED, BATCH]
 
 
 def test_full_refresh_replaces_and_then_continues(spark, layer, tmp_path):
@@ -285,6 +188,79 @@ def test_undeclared_columns_are_rescued(spark, layer, tmp_path):
     assert rows(batch_read, "id", "v", RESCUED) == got
 
 
+def test_changed_types_fit_or_are_rescued(spark, layer, tmp_path):
+    folder, name = f"{tmp_path}/in", f"{layer}.t"
+    day = dt.date(2024, 1, 5)
+    put(spark, folder, "t_1", [(1, 5, "x", day, [1])], "id int, n int, s string, d date, a array<int>")
+    noon, midnight = dt.datetime(2024, 1, 6, 12), dt.datetime(2024, 1, 6)
+    put(
+        spark, folder, "t_2",
+        [(2, "7", 8, noon, "no"), (3, "seven", None, midnight, None), (4, None, 1, None, None)],
+        "ID int, n string, s int, d timestamp, a string",
+    )
+    put(spark, folder, "t_3", [(5, 2.0, True, b"z"), (6, 2.5, None, None)], "id int, n double, s boolean, d binary")
+    put(spark, folder, "t_4", [(7, (1, 2), 2**40)], "id int, n struct<x:int,y:int>, s bigint")
+    ingest(spark, folder, "t", name)  # all at once
+    got = rows(spark.table(name), "id", "n", "s", "d", RESCUED)
+    assert got == [
+        (1, 5, "x", day, None),
+        (2, 7, "8", None, '{"d":"2024-01-06T12:00:00.000Z","a":"no"}'),
+        (3, None, None, dt.date(2024, 1, 6), '{"n":"seven"}'),
+        (4, None, "1", None, None),
+        (5, 2, "true", None, '{"d":"eg=="}'),
+        (6, None, None, None, '{"n":2.5}'),
+        (7, None, str(2**40), None, '{"n":{"x":1,"y":2}}'),
+    ]
+    stepwise, apart = f"{layer}.u", f"{tmp_path}/apart"
+    for number in range(1, 5):
+        Path(apart).mkdir(exist_ok=True)
+        os.symlink(f"{folder}/t_{number}.parquet", f"{apart}/u_{number}.parquet")
+        ingest(spark, apart, "u", stepwise)
+    assert rows(spark.table(stepwise), "id", "n", "s", "d", RESCUED) == got
+
+
+def test_each_footer_is_read_once(spark, layer, tmp_path, monkeypatch):
+    folder, name = f"{tmp_path}/in", f"{layer}.orders"
+    real, read = files.merged_schema, []
+    monkeypatch.setattr(files, "merged_schema", lambda s, p: read.extend(p) or real(s, p))
+    for number in range(10):
+        data = spark.range(3).select("id", F.lit("x" if number % 2 else 1.5).alias("v"))
+        data.coalesce(1).write.parquet(f"{folder}/orders_{number}.parquet")
+        assert ingest(spark, folder, "orders", name).count() == 3 * (number + 1)
+    assert len(read) == len(set(read)) == 10
+    again = ingest(spark, folder, "orders", name, full_refresh=True, max_files_per_batch=4)
+    assert again.count() == 30 and len(read) == 10
+    assert files.Ledger(spark, f"{tables.table_root(spark, name)}/ledger").columns().names == ["id", "v"]
+
+
+def test_a_stopped_batch_is_taken_once(spark, layer, tmp_path, monkeypatch):
+    folder, name = f"{tmp_path}/in", f"{layer}.orders"
+    put(spark, folder, "orders_a", [(1,)], "id int")
+    ingest(spark, folder, "orders", name)
+    put(spark, folder, "orders_b", [(2,)], "id int")
+    real = Ingest._take
+
+    def stopped(self, batch, batch_id):
+        real(self, batch, batch_id)
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(Ingest, "_take", stopped)
+        with pytest.raises(Exception, match="stopped"):
+            ingest(spark, folder, "orders", name)
+    assert rows(spark.table(name), "id") == [(1,)]  # what is not whole is not shown
+    assert rows(ingest(spark, folder, "orders", name), "id") == [(1,), (2,)]
+    # whole, but stopped before it was shown
+    put(spark, folder, "orders_c", [(3,)], "id int")
+    Ingest(spark, folder, "orders", name).start().awaitTermination()
+    assert rows(ingest(spark, folder, "orders", name), "id") == [(1,), (2,), (3,)]
+
+
+def test_nothing_to_ingest(spark, layer, tmp_path):
+    with pytest.raises(FileNotFoundError, match="no file"):
+        ingest(spark, str(tmp_path), "orders", f"{layer}.orders")
+
+
 def test_late_file_with_an_old_date_is_taken(spark, layer, tmp_path):
     folder, name = f"{tmp_path}/in", f"{layer}.orders"
     put(spark, folder, "orders_first", [(1,)], "id int")
@@ -312,7 +288,7 @@ def test_stream_of_increments_equals_batch(spark, layer, tmp_path):
         year = F.year("o_orderdate")
         orders.filter((year >= low) & (year < high)).write.parquet(f"{folder}/{file}.parquet")
         ingest(spark, folder, "orders", name)
-    got = spark.table(name).drop(RESCUED, ARRIVED)
+    got = spark.table(name).drop(RESCUED, ARRIVED, BATCH)
     assert got.exceptAll(orders).isEmpty() and orders.exceptAll(got).isEmpty()
 
 

@@ -13,13 +13,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 RESCUED = "_rescued_data"
-# when a row was loaded and delivered; of rows with one key the newest counts
+# when a row was delivered, and in which file; of rows with one key the newest counts
 ARRIVED = "_arrived_at"
+# the ingest batch that took a row; bronze tables are partitioned by it
+BATCH = "_batch"
 
 
 def drop_rescued(df: DataFrame) -> DataFrame:
     """The declared columns alone."""
-    return df.drop(RESCUED, ARRIVED)
+    return df.drop(RESCUED, ARRIVED, BATCH)
 
 
 def part_after(column: str, separator: str, index: int = 1) -> Column:
@@ -88,8 +90,12 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 def union_distinct_on(
     frames: Sequence[DataFrame], keys: Sequence[str], order: Sequence[Column | str] = ()
 ) -> DataFrame:
-    """Split files put together again, one row per key."""
-    return keep_first(union_all(frames), keys, order)
+    """Split files put together again, one row per key.
+
+    ``order`` says which row of a key counts, then the later of the frames does.
+    """
+    numbered = [df.withColumn("_frame", F.lit(n)) for n, df in enumerate(frames)]
+    return keep_first(union_all(numbered), keys, [*order, F.desc("_frame")]).drop("_frame")
 
 
 @dataclass(frozen=True)

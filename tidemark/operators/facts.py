@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
+from tidemark.operators.asof import look_up_as_of
 from tidemark.operators.cleaning import keep_first
-from tidemark.operators.joins import look_up_key
+from tidemark.operators.history import END, START
+from tidemark.operators.joins import UNKNOWN_KEY, look_up_key
 
 FACT_KEYS = ["order_id", "customer_id", "product_id"]
 
@@ -17,11 +20,14 @@ def build_order_facts(
     customers: DataFrame,
     products: DataFrame,
     order: Sequence[Column | str] = (),
+    at: str | None = None,
 ) -> DataFrame:
     """Facts from orders and the two dimensions.
 
     ``products`` holds one row per product: pass the current versions of a
-    history. ``order`` says which copy of a natural key survives; copies go before
+    history. With ``at``, a column of the orders, it is the history itself, and an
+    order takes the version that held at that time, whose start it keeps as
+    ``product_valid_from``. ``order`` says which copy of a natural key survives; copies go before
     the lookups, so lines of several unknown products stay apart. An order without
     a dimension row gets the unknown key -1. Natural keys are kept: facts are
     merged on them, so a dimension row that arrives later replaces the -1.
@@ -30,6 +36,13 @@ def build_order_facts(
     keyed = look_up_key(
         single, customers, {"customer_id": "customer_id"}, "DimCustomerKey", "DimCustomerKey"
     )
-    return look_up_key(
-        keyed, products, {"product_id": "product_id"}, "product_id", "DimProductKey"
+    if at is None:
+        return look_up_key(
+            keyed, products, {"product_id": "product_id"}, "product_id", "DimProductKey"
+        )
+    dated = products.select("product_id", START, END)
+    found = look_up_as_of(keyed, dated, {"product_id": "product_id"}, at, START, [START], END)
+    known = F.when(F.col(START).isNotNull(), F.col("product_id"))
+    return found.withColumn("DimProductKey", F.coalesce(known, F.lit(UNKNOWN_KEY))).withColumnRenamed(
+        START, "product_valid_from"
     )

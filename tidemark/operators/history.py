@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.operators.cleaning import keep_first
+from tidemark.operators.cleaning import ARRIVED, keep_first
 from tidemark.operators.spans import SPAN, join_edges, split_into_spans
 from tidemark.scratch import materialise
 
@@ -25,12 +25,14 @@ def build_versions(
 ) -> DataFrame:
     """Every change as a version that ends where the key's next change starts.
 
-    Changes are ordered by ``sequence_by`` whatever their order of arrival;
-    several rows with one (key, sequence) count as one change. Keys are cut into
-    spans, so one with any number of changes is not put into one task.
+    Changes are ordered by ``sequence_by`` whatever their order of arrival. Several
+    rows with one (key, sequence) are one change, corrected: the one delivered last
+    counts, if rows say when they were. Keys are cut into spans, so one with any
+    number of changes is not put into one task.
     """
     changes = changes.dropna(subset=[*keys, sequence_by])
-    distinct = keep_first(changes, [*keys, sequence_by], [])
+    newest = [F.desc(ARRIVED)] if ARRIVED in changes.columns else []
+    distinct = keep_first(changes, [*keys, sequence_by], newest)
     versions = _ended_by_span(distinct, list(keys), sequence_by, start, end)
     if sequence_by != start and sequence_by not in keys:
         versions = versions.drop(sequence_by)
@@ -66,7 +68,9 @@ def apply_changes(
     """The history after one batch of changes.
 
     Keys in the batch are rebuilt from all their changes, so late changes fall
-    into place and a replayed batch changes nothing; other keys are kept.
+    into place and a replayed batch changes nothing; other keys are kept. Versions
+    keep when they were delivered, if the changes say so: a correction replaces its
+    version, in whichever order the two are loaded.
     """
     batch = changes.withColumn(START, F.col(sequence_by))
     if sequence_by not in keys:

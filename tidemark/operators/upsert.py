@@ -14,6 +14,20 @@ class DuplicateKeys(ValueError):
     """The source of an upsert has several rows for one key."""
 
 
+def row_digest(columns: Sequence[str]) -> Column:
+    """128 bits of a row's values, for a comparison that moves no values."""
+    values = F.to_json(F.struct(*[F.col(c).alias(c) for c in sorted(columns)]), _EXACT)
+    return F.unhex(F.md5(values))
+
+
+# every field is written, and instants to the last microsecond
+_EXACT = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def one_row_per_key(
     source: DataFrame,
     keys: Sequence[str],

@@ -15,7 +15,6 @@ from tidemark.operators.cleaning import (
 from tidemark.operators.joins import enrich
 from tidemark.plans import kpis
 from tidemark.session import side_by_side
-from tidemark.sources.files import read_parquet
 from tidemark.sources.tables import export_csv, write_parquet
 
 # The files of the batch load and the reports it exports.
@@ -37,7 +36,7 @@ def copy_files(
     """Copy the file sets as they are, all at once; returns the rows of each."""
 
     def copy(name: str) -> int:
-        files = read_parquet(spark, f"{source}/{name}.parquet")
+        files = spark.read.parquet(f"{source}/{name}.parquet")
         return write_parquet(files, f"{target}/{name}")
 
     return side_by_side(spark, {name: partial(copy, name) for name in names})
@@ -48,7 +47,7 @@ def cleaned_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
     def united(name: str, key: str) -> DataFrame:
         halves = [
-            read_parquet(spark, f"{folder}/{name}_{half}")
+            spark.read.parquet(f"{folder}/{name}_{half}")
             for half in ("first", "second")
         ]
         return union_distinct_on(halves, [key])
@@ -57,7 +56,7 @@ def cleaned_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         "customers": cleaned(united("customer", "customer_id"), BATCH_RULES["customers"]),
         "orders": cleaned(united("orders", "order_id"), BATCH_RULES["orders"]),
         "products": cleaned(united("products", "product_id"), BATCH_RULES["products"]),
-        "regions": read_parquet(spark, f"{folder}/regions"),
+        "regions": spark.read.parquet(f"{folder}/regions"),
     }
 
 
@@ -69,7 +68,7 @@ def load_silver(spark: SparkSession, bronze: str, silver: str) -> dict[str, int]
         {n: partial(write_parquet, df, f"{silver}/{n}") for n, df in cleaned.items()},
     )
     orders, customers, products, regions = (
-        read_parquet(spark, f"{silver}/{name}")
+        spark.read.parquet(f"{silver}/{name}")
         for name in ("orders", "customers", "products", "regions")
     )
     enriched = enrich(orders, customers, products, regions)
@@ -84,7 +83,7 @@ def load_gold(spark: SparkSession, silver: str, gold: str) -> dict[str, int]:
     so that no report scans columns of all four tables per order.
     """
     orders, customers, products, regions = (
-        read_parquet(spark, f"{silver}/{name}")
+        spark.read.parquet(f"{silver}/{name}")
         for name in ("orders", "customers", "products", "regions")
     )
     reports = {
@@ -101,4 +100,4 @@ def load_gold(spark: SparkSession, silver: str, gold: str) -> dict[str, int]:
 
 def export_reports(spark: SparkSession, gold: str, folder: str) -> None:
     for name in REPORTS:
-        export_csv(read_parquet(spark, f"{gold}/{name}"), f"{folder}/{name}")
+        export_csv(spark.read.parquet(f"{gold}/{name}"), f"{folder}/{name}")

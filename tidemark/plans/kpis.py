@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import top_n_per_group
-from tidemark.sources.tables import register_view
 
 TOP_CUSTOMERS = 100
 REPORT_ROWS = 50
@@ -132,7 +131,7 @@ def region_category_report(
         "regions": regions,
     }
     for name, frame in views.items():
-        register_view(frame, f"report_{name}")
+        frame.createOrReplaceTempView(f"report_{name}")
     return spark.sql(f"""
         WITH per_customer AS (
             SELECT s.customer_id, p.category, count(s.order_id) AS orders,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.registry import register_discount
 from tidemark.operators.cleaning import (
     ARRIVED,
+    BATCH,
     RESCUED,
     drop_rescued,
     full_name,
@@ -28,13 +29,12 @@ from tidemark.sources.tables import (
     ensure_layers,
     publish,
     query_table,
-    read_table,
+    stream_table,
     table_exists,
 )
 from tidemark.streaming.changes import (
     PRODUCT_RULES,
     apply_stream,
-    changes_view,
     stage_table,
 )
 from tidemark.streaming.ingest import DATASETS, ingest_all
@@ -45,7 +45,7 @@ CUSTOMER_KEY = "DimCustomerKey"
 
 def silver_customers(bronze: DataFrame) -> DataFrame:
     return (
-        bronze.drop(RESCUED)
+        bronze.drop(RESCUED, BATCH)
         .withColumns(
             {
                 "domains": part_after("email", "@"),
@@ -69,16 +69,17 @@ def customers_of_domain(customers: DataFrame, domain: str) -> DataFrame:
 
 
 def silver_orders(bronze: DataFrame) -> DataFrame:
-    return bronze.drop(RESCUED).withColumn("order_date", parsed_timestamp("order_date")).withColumn(
-        "year", F.year("order_date")
-    )
+    dated = bronze.drop(RESCUED, BATCH).withColumn("order_date", parsed_timestamp("order_date"))
+    return dated.withColumn("year", F.year("order_date"))
 
 
 def silver_products(bronze: DataFrame) -> DataFrame:
-    discount = register_discount(bronze.sparkSession)
-    return drop_rescued(bronze).withColumn(
-        "discounted_price", F.expr(f"{discount}(price)")
-    )
+    return discounted(drop_rescued(bronze))
+
+
+def discounted(products: DataFrame) -> DataFrame:
+    discount = register_discount(products.sparkSession)
+    return products.withColumn("discounted_price", F.expr(f"{discount}(price)"))
 
 
 def silver_regions(bronze: DataFrame) -> DataFrame:
@@ -98,7 +99,7 @@ def load_silver(spark: SparkSession, bronze: str, silver: str) -> dict[str, int]
     """Rebuild the silver tables; returns the rows of each."""
     jobs = {}
     for dataset, (table, transform) in SILVER.items():
-        cleaned = transform(read_table(spark, f"{bronze}.{dataset}"))
+        cleaned = transform(spark.table(f"{bronze}.{dataset}"))
         jobs[table] = partial(publish, cleaned, f"{silver}.{table}")
     return side_by_side(spark, jobs)
 
@@ -121,7 +122,7 @@ def load_customer_dimension(
         source = keep_first(known, ["customer_id"], newest).drop(ARRIVED)
     if table_exists(spark, table):
         dimension = apply_type1(
-            read_table(spark, table), source, "customer_id", CUSTOMER_KEY,
+            spark.table(table), source, "customer_id", CUSTOMER_KEY,
             run_ts, order, only_changed,
         )
     else:
@@ -146,23 +147,34 @@ def load_product_dimension(
     stage = f"{gold}.dimproducts_stage"
     table = f"{gold}.dimproducts"
     stage_table(spark, f"{bronze}.products", stage, rules)
-    changes = silver_products(changes_view(spark, stage))
+    changes = discounted(stream_table(spark, stage).drop(RESCUED, BATCH))
     apply_stream(changes, stage, table, ["product_id"], sequence_by)
-    return read_table(spark, table)
+    return spark.table(table)
 
 
 def load_order_facts(
-    spark: SparkSession, silver: str, gold: str, order: Sequence[Column | str] = ()
+    spark: SparkSession,
+    silver: str,
+    gold: str,
+    order: Sequence[Column | str] = (),
+    point_in_time: bool = False,
 ) -> list:
-    """Facts merged into ``gold.fact_orders``; returns the years written."""
+    """Facts merged into ``gold.fact_orders``; returns the years written.
+
+    Orders take the current version of their product, or with ``point_in_time`` the
+    one that held at their date, if the versions' sequence is a time.
+    """
     orders = query_table(spark, f"{silver}.orders_silver")
     customers = query_table(
         spark, f"{gold}.dim_customers", [CUSTOMER_KEY, "customer_id"]
     )
-    products = current_versions(read_table(spark, f"{gold}.dimproducts"))
+    products = spark.table(f"{gold}.dimproducts")
+    if not point_in_time:
+        products = current_versions(products)
     if ARRIVED in orders.columns:
         order = [F.desc(ARRIVED), *order]
-    facts = build_order_facts(orders, customers, products, order).drop(ARRIVED)
+    at = "order_date" if point_in_time else None
+    facts = build_order_facts(orders, customers, products, order, at).drop(ARRIVED)
     return create_or_merge_partitions(
         facts, f"{gold}.fact_orders", FACT_KEYS, "year", unique=True
     )
@@ -177,6 +189,7 @@ def load_warehouse(
     run_ts: dt.datetime | None = None,
     full_refresh: bool = False,
     datasets: Sequence[str] = DATASETS,
+    point_in_time: bool = False,
 ) -> dict[str, str]:
     """Bring all layers up to date with the files in ``folder``.
 
@@ -194,5 +207,5 @@ def load_warehouse(
         run_ts,
     )
     load_product_dimension(spark, bronze, gold, product_sequence)
-    load_order_facts(spark, silver, gold, [F.desc("total_amount")])
+    load_order_facts(spark, silver, gold, [F.desc("total_amount")], point_in_time)
     return names

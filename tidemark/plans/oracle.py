@@ -325,4 +325,69 @@ ORACLE = {
         LEFT JOIN {REGIONS} r ON c_nationkey = r.region_id
         LEFT JOIN part ON p_partkey = CAST(substring(o_orderpriority, 1, 1) AS BIGINT)
         """,
+    "schema_drift_type_change": """
+        SELECT p_partkey,
+               CASE p_partkey % 3 WHEN 1 THEN CAST(length(p_type) AS VARCHAR)
+                    WHEN 0 THEN p_type END AS p_type,
+               CASE WHEN p_partkey % 3 = 0 OR p_partkey % 3 = 1 AND p_size <= 40
+                    THEN p_size END AS p_size,
+               CASE p_partkey % 3 WHEN 1 THEN floor(p_retailprice)
+                    ELSE p_retailprice END AS p_retailprice,
+               CASE WHEN p_partkey % 3 = 1 AND p_size > 40 THEN '{"p_size":"n/a"}'
+                    WHEN p_partkey % 3 = 2
+                    THEN '{"p_type":["' || p_type || '"],"p_size":{"value":' || p_size
+                         || ',"unit":"cm"}}' END AS _rescued_data
+        FROM part""",
+    "scd2_corrected_version": VERSIONS.replace(
+        "FROM events",
+        "FROM (SELECT user_id, ts, CASE WHEN event_type IN ('click', 'error')"
+        " THEN upper(event_type) ELSE lower(event_type) END AS event_type FROM events)",
+    ),
+    "change_feed": """
+        SELECT p_partkey, p_name,
+               CASE WHEN p_partkey % 7 <> 0 AND p_partkey % 3 = 0 THEN p_retailprice + 1
+                    ELSE p_retailprice END AS p_retailprice,
+               CASE WHEN p_partkey % 7 = 0 THEN 'delete' WHEN p_partkey % 5 = 0 THEN 'insert'
+                    ELSE 'update' END AS _change
+        FROM part
+        WHERE CASE WHEN p_partkey % 7 = 0 THEN p_partkey % 5 <> 0
+                   ELSE p_partkey % 5 = 0 OR p_partkey % 3 = 0 END""",
+    "skip_changes": """
+        SELECT p_partkey, p_name,
+               CASE WHEN p_partkey % 5 = 0 AND p_partkey % 3 = 0 THEN p_retailprice + 1
+                    ELSE p_retailprice END AS p_retailprice
+        FROM part WHERE p_partkey % 5 <> 0 OR p_partkey % 7 <> 0""",
+    "fact_build_as_of": """
+        WITH v AS (SELECT user_id, event_type, ts FROM events WHERE event_id % 2 = 0),
+        f AS (SELECT event_id, user_id, ts + INTERVAL 1 HOUR AS at FROM events
+              WHERE event_id % 2 = 1)
+        SELECT f.event_id, f.user_id, f.at, v.event_type, v.ts AS valid_from
+        FROM f ASOF LEFT JOIN v ON f.user_id = v.user_id AND f.at >= v.ts""",
+    "expectation_log": """
+        WITH e AS (
+            SELECT CASE WHEN event_type <> 'error' THEN event_id END AS event_id,
+                   CASE WHEN value < 10 THEN user_id END AS user_id
+            FROM events WHERE value IS NOT NULL)
+        SELECT 'rule1' AS rule, count(*) AS rows_checked,
+               count(*) - count(event_id) AS failures FROM e
+        UNION ALL
+        SELECT 'rule2', count(*), count(*) - count(user_id) FROM e""",
+    "warehouse_same_hour": f"""
+        WITH dim AS (
+            SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS k
+            FROM customer),
+        n AS (
+            SELECT s.*, row_number() OVER (
+                PARTITION BY order_id, customer_id, product_id
+                ORDER BY amount DESC) AS rn
+            FROM {SALES} s)
+        SELECT n.order_id, n.customer_id, n.product_id, n.order_date,
+               CASE n.order_id % 3 WHEN 0 THEN CAST(0.5 AS DOUBLE)
+                    WHEN 1 THEN CAST(1000000 AS DOUBLE) ELSE n.amount END AS total_amount,
+               CAST(year(n.order_date) AS INT) AS year,
+               coalesce(d.k, -1) AS "DimCustomerKey",
+               coalesce(p.p_partkey, -1) AS "DimProductKey"
+        FROM n LEFT JOIN dim d ON n.customer_id = d.c_custkey
+        LEFT JOIN part p ON n.product_id = p.p_partkey
+        WHERE rn = 1""",
 }

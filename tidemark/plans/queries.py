@@ -15,9 +15,11 @@ from tidemark.functions.registry import (
     register_upper,
 )
 from tidemark.operators import (
+    asof,
     cleaning,
     dimensions,
     facts,
+    feed,
     history,
     joins,
     keys,
@@ -119,14 +121,42 @@ def schema_drift_rescued(spark, sf_dir):
     ingest(spark, folder, "products", target)
     wide = part.select("p_partkey", "p_name", "p_brand", "p_size").filter("p_size > 25")
     wide.write.parquet(f"{folder}/products_second.parquet")
-    return ingest(spark, folder, "products", target).drop(cleaning.ARRIVED)
+    return ingest(spark, folder, "products", target).drop(cleaning.ARRIVED, cleaning.BATCH)
+
+
+@query
+def schema_drift_type_change(spark, sf_dir):
+    """Columns that change their type: what fits arrives, the rest is kept as JSON."""
+    (bronze,) = _layers(spark, "type_change", "bronze")
+    folder = scratch_path(spark, "type-change-files")
+    target = f"{bronze}.products"
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size", "p_retailprice")
+    third = F.col("p_partkey") % 3
+    as_text = F.when(F.col("p_size") <= 40, F.col("p_size").cast("string")).otherwise("n/a")
+    deliveries = {
+        "products_first": {},
+        "products_second": {
+            "p_size": as_text,
+            "p_type": F.length("p_type"),
+            "p_retailprice": F.floor("p_retailprice"),
+        },
+        "products_third": {
+            "p_size": F.struct(F.col("p_size").alias("value"), F.lit("cm").alias("unit")),
+            "p_type": F.array("p_type"),
+        },
+    }
+    for number, (name, changed) in enumerate(deliveries.items()):
+        own = part.filter(third == number).withColumns(changed)
+        own.write.parquet(f"{folder}/{name}.parquet")
+        ingest(spark, folder, "products", target)
+    return spark.table(target).drop(cleaning.ARRIVED, cleaning.BATCH)
 
 
 @query
 def batch_copy(spark, sf_dir):
     path = scratch_path(spark, "batch-copy")
-    tables.write_parquet(files.read_parquet(spark, f"{sf_dir}/customer.parquet"), path)
-    return files.read_parquet(spark, path)
+    tables.write_parquet(spark.read.parquet(f"{sf_dir}/customer.parquet"), path)
+    return spark.read.parquet(path)
 
 
 @query
@@ -149,7 +179,7 @@ def csv_export(spark, sf_dir):
 
 @query
 def row_count(spark, sf_dir):
-    return tables.count_rows(table(spark, sf_dir, "lineitem"))
+    return table(spark, sf_dir, "lineitem").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 # --- projections, filters, scalar functions ----------------------------------
@@ -256,7 +286,7 @@ def sql_udf_discount(spark, sf_dir):
 @query
 def py_udf_upper(spark, sf_dir):
     upper = register_upper(spark)
-    tables.register_view(stand_ins.products(spark, sf_dir), "upper_products")
+    stand_ins.products(spark, sf_dir).createOrReplaceTempView("upper_products")
     return spark.sql(
         f"SELECT product_id, brand, {upper}(brand) AS brand_upper FROM upper_products"
     )
@@ -267,7 +297,7 @@ def sql_udtf_orders_by_year(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").alias("order_date")
     )
-    tables.register_view(orders, "orders_of_all_years")
+    orders.createOrReplaceTempView("orders_of_all_years")
     by_year = register_orders_by_year(spark, "orders_of_all_years")
     return spark.sql(f"SELECT * FROM {by_year}(1997)")
 
@@ -539,9 +569,80 @@ def scd2_stream(spark, sf_dir):
         ingest(spark, folder, "events", source)
         stream = cleaning.drop_rescued(tables.stream_table(spark, source))
         change_stream.apply_stream(stream, source, target, ["user_id"], "ts")
-    return spark.table(target).withColumnsRenamed(
-        {history.START: "start_at", history.END: "end_at"}
+    return _versions_of(spark, target)
+
+
+def _versions_of(spark, target) -> DataFrame:
+    versions = spark.table(target).drop(change_stream.BUCKET, cleaning.ARRIVED)
+    return versions.withColumnsRenamed({history.START: "start_at", history.END: "end_at"})
+
+
+@query
+def scd2_corrected_version(spark, sf_dir):
+    """Versions delivered again with another value, before and after a first load."""
+    bronze, gold = _layers(spark, "scd2_corrected", "bronze", "gold")
+    folder = scratch_path(spark, "scd2-corrected-files")
+    source, target = f"{bronze}.events", f"{gold}.dimusers"
+    events = table(spark, sf_dir, "events").select("user_id", "event_type", "ts")
+    lower, upper = F.lower("event_type"), F.upper("event_type")
+    deliveries = {
+        "events_a": events.withColumn("event_type", lower),
+        "events_b": events.filter("event_type = 'click'").withColumn("event_type", upper),
+        "events_c": events.filter("event_type = 'error'").withColumn("event_type", upper),
+    }
+    for name, rows in deliveries.items():
+        rows.write.parquet(f"{folder}/{name}.parquet")
+        if name == "events_a":
+            continue  # taken together with the next one
+        ingest(spark, folder, "events", source)
+        stream = tables.stream_table(spark, source).drop(cleaning.RESCUED, cleaning.BATCH)
+        change_stream.apply_stream(stream, source, target, ["user_id"], "ts")
+    return _versions_of(spark, target)
+
+
+def _changed_parts(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Two states of the products: some dearer, some gone, some new."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
+    dearer = F.when(F.col("p_partkey") % 3 == 0, F.col("p_retailprice") + 1)
+    after = part.filter("p_partkey % 7 <> 0").withColumn(
+        "p_retailprice", F.coalesce(dearer, F.col("p_retailprice"))
     )
+    return part.filter("p_partkey % 5 <> 0"), after
+
+
+@query
+def change_feed(spark, sf_dir):
+    return feed.change_feed(*_changed_parts(spark, sf_dir), ["p_partkey"])
+
+
+@query
+def skip_changes(spark, sf_dir):
+    """A table rewritten by a load: the stage follows its feed and takes new rows only."""
+    silver, gold = _layers(spark, "skip_changes", "silver", "gold")
+    silver_parts, changes = f"{silver}.parts", f"{silver}.parts_feed"
+    stage = f"{gold}.parts_stage"
+    for state in _changed_parts(spark, sf_dir):
+        change_stream.publish_with_feed(state, silver_parts, changes, ["p_partkey"])
+        change_stream.stage_table(
+            spark, changes, stage, {"rule1": "p_name IS NOT NULL"}, [feed.INSERT]
+        )
+    return spark.table(stage).drop(cleaning.BATCH)
+
+
+@query
+def fact_build_as_of(spark, sf_dir):
+    """Every other event takes the version its user had an hour after it."""
+    events = table(spark, sf_dir, "events")
+    versions = history.build_versions(
+        events.filter("event_id % 2 = 0").select("user_id", "event_type", "ts"), ["user_id"], "ts"
+    )
+    facts = events.filter("event_id % 2 = 1").select(
+        "event_id", "user_id", (F.col("ts") + F.expr("INTERVAL 1 HOUR")).alias("at")
+    )
+    return asof.look_up_as_of(
+        facts, versions.withColumn("valid_from", F.col(history.START)), {"user_id": "user_id"},
+        "at", history.START, ["event_type", "valid_from"], history.END,
+    )
 
 
 # --- data quality ------------------------------------------------------------
@@ -551,7 +652,11 @@ EVENT_RULES = {"rule1": "event_id IS NOT NULL", "rule2": "user_id IS NOT NULL"}
 
 
 def _events_with_nulls(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "events").select(
+    return _with_nulls(table(spark, sf_dir, "events"))
+
+
+def _with_nulls(events: DataFrame) -> DataFrame:
+    return events.select(
         F.when(F.col("event_type") != "error", F.col("event_id")).alias("event_id"),
         F.when(F.col("value") < 10, F.col("user_id")).alias("user_id"),
     )
@@ -576,6 +681,20 @@ def expect_or_drop(spark, sf_dir):
     return cleaning.drop_rescued(stage)
 
 
+@query
+def expectation_log(spark, sf_dir):
+    """What every batch of a staging stream broke, over two deliveries."""
+    bronze, gold = _layers(spark, "expectation_log", "bronze", "gold")
+    folder = scratch_path(spark, "expectation-log-files")
+    source, stage = f"{bronze}.events", f"{gold}.events_stage"
+    for name, part in [("a", "value < 5"), ("b", "value >= 5")]:
+        own = table(spark, sf_dir, "events").filter(part)
+        _with_nulls(own).write.parquet(f"{folder}/events_{name}.parquet")
+        ingest(spark, folder, "events", source)
+        change_stream.stage_table(spark, source, stage, EVENT_RULES)
+    return change_stream.expectation_totals(spark, stage)
+
+
 # --- whole loads -------------------------------------------------------------
 
 
@@ -598,10 +717,8 @@ def warehouse_customers(spark, sf_dir):
 @query
 def warehouse_products(spark, sf_dir):
     names = _warehouse(spark, sf_dir, "wh_products")
-    products = spark.table(f"{names['gold']}.dimproducts")
-    return products.withColumnsRenamed(
-        {history.START: "start_at", history.END: "end_at"}
-    ).withColumn("discounted_price", F.round("discounted_price", 4))
+    products = _versions_of(spark, f"{names['gold']}.dimproducts")
+    return products.withColumn("discounted_price", F.round("discounted_price", 4))
 
 
 @query
@@ -610,8 +727,8 @@ def warehouse_facts(spark, sf_dir):
     return spark.table(f"{names['gold']}.fact_orders")
 
 
-def _redelivered(spark, sf_dir, label, dataset, key, measure, low, high):
-    """A load, then one after a delivery that lowers and raises a measure by key."""
+def _redelivered(spark, sf_dir, label, dataset, key, measure, low, high, loads=2):
+    """A load after a delivery that lowers and raises a measure by key, and one before."""
     folder, root = scratch_path(spark, f"{label}-files"), scratch_path(spark, label)
     prefix = f"{label}_{uuid.uuid4().hex[:8]}_"
     stand_ins.write_dataset_files(spark, sf_dir, folder)
@@ -619,7 +736,8 @@ def _redelivered(spark, sf_dir, label, dataset, key, measure, low, high):
     def load():
         return layers.load_warehouse(spark, folder, root, "product_id", prefix, RUN_TS)
 
-    load()
+    if loads > 1:
+        load()
     third = F.col(key) % 3
     known = spark.read.parquet(files.dataset_glob(folder, dataset)).filter(third < 2)
     changed = known.withColumn(measure, F.when(third == 0, low).otherwise(high))
@@ -646,6 +764,16 @@ def warehouse_facts_corrected(spark, sf_dir):
     return spark.table(f"{names['gold']}.fact_orders")
 
 
+@query
+def warehouse_same_hour(spark, sf_dir):
+    """Orders and their corrections, delivered one after the other and loaded at once."""
+    names = _redelivered(
+        spark, sf_dir, "wh_same_hour", "orders", "order_id", "total_amount",
+        F.lit(0.5), F.lit(1000000.0), loads=1,
+    )
+    return spark.table(f"{names['gold']}.fact_orders")
+
+
 @query
 def batch_enriched(spark, sf_dir):
     """The batch load from copied files to the enriched orders."""
@@ -675,4 +803,4 @@ def batch_enriched(spark, sf_dir):
     stand_ins.regions(spark, sf_dir).write.parquet(f"{source}/regions.parquet")
     batch.copy_files(spark, source, bronze)
     batch.load_silver(spark, bronze, silver)
-    return files.read_parquet(spark, f"{silver}/orders_enriched")
+    return spark.read.parquet(f"{silver}/orders_enriched")

@@ -66,6 +66,28 @@ def names_in(spark: SparkSession, folder: str) -> list[str]:
     return [status.getPath().getName() for status in system.listStatus(path)]
 
 
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    """Keep a small text as one file; it is there whole or not at all."""
+    system, place = _located(spark, path)
+    unfinished = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    stream = system.create(unfinished, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    system.delete(place, False)
+    system.rename(unfinished, place)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A text kept by ``write_text``, or None if there is none."""
+    system, place = _located(spark, path)
+    if not system.exists(place):
+        return None
+    stream = system.open(place)
+    text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return text
+
+
 def materialise(
     df: DataFrame, label: str, partition_by: Sequence[str] = ()
 ) -> DataFrame:

@@ -1,31 +1,26 @@
-"""Catalog tables over Parquet: scans, views, and publishing without a table format.
+"""Catalog tables over Parquet: scans, overwrites and merges by Spark's own writers.
 
-A publish writes a complete new version into a folder of its own and then moves
-the table's location to it. A failed write leaves the live version untouched, a
-table may be rebuilt from itself, and a reader keeps the version it opened until
-``remove_old_versions`` is called. One writer per table is assumed.
+What replaces a table is computed into the shared folder first, so it may read the
+table itself and a failed computation changes nothing. Then Spark overwrites the
+table, or those of its partitions that the rows fall into. One writer per table is
+assumed, and readers are not kept from a table while it is overwritten; of a load
+stopped just then, the rows still lie in the shared folder.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.upsert import one_row_per_key, upsert
-from tidemark.scratch import delete_folder, materialise, names_in
-from tidemark.sources.files import ANY_AGE, store_text, stored_text
+from tidemark.operators.upsert import one_row_per_key, row_digest, upsert
+from tidemark.scratch import delete_folder, materialise, names_in, scratch_path
+from tidemark.sources.files import ANY_AGE
 
-VERSION = "version"
-# a table with new columns is registered under this name before the old one goes
-_NEXT = "__next"
-# folder that holds the partition switches still to be made
-_SWITCH = "switch"
-# Fixed value: Spark's folder name for a null partition value.
-NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def ensure_layers(
@@ -41,20 +36,8 @@ def ensure_layers(
 
 
 def table_exists(spark: SparkSession, table: str) -> bool:
-    """Whether the table is there; any other failure is raised, not read as absent.
-
-    A publish that stopped between its last two steps is finished first.
-    """
-    if spark.catalog.tableExists(table):
-        return True
-    if not spark.catalog.tableExists(f"{table}{_NEXT}"):
-        return False
-    spark.sql(f"ALTER TABLE {table}{_NEXT} RENAME TO {table}")
-    return True
-
-
-def read_table(spark: SparkSession, table: str) -> DataFrame:
-    return spark.table(table)
+    """Whether the table is there; any other failure is raised, not read as absent."""
+    return spark.catalog.tableExists(table)
 
 
 def query_table(
@@ -69,13 +52,10 @@ def stream_table(spark: SparkSession, table: str) -> DataFrame:
 
 
 def empty_like(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
+    """No rows of a schema, without a read: what a predicate that is never true leaves."""
     return spark.createDataFrame([], schema)
 
 
-def register_view(df: DataFrame, name: str) -> None:
-    df.createOrReplaceTempView(name)
-
-
 def table_root(spark: SparkSession, table: str) -> str:
     database, name = table.rsplit(".", 1)
     location = spark.catalog.getDatabase(database).locationUri
@@ -87,118 +67,101 @@ def table_location(spark: SparkSession, table: str) -> str:
     return described.filter("col_name = 'Location'").first().data_type
 
 
-def point_table(
-    spark: SparkSession, table: str, schema: T.StructType, location: str
-) -> DataFrame:
-    """Make ``table`` show the files under ``location``, creating it if missing."""
-    if not table_exists(spark, table):
-        create_table(spark, table, schema, location)
-    elif table_location(spark, table).rstrip("/") != location:
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
-    spark.catalog.refreshTable(table)
-    return spark.table(table)
-
-
-def _same_columns(left: T.StructType, right: T.StructType) -> bool:
-    return [(f.name, f.dataType) for f in left] == [(f.name, f.dataType) for f in right]
+# --- tables over files that others write ------------------------------------------
 
 
-def create_table(
+def point_table(
     spark: SparkSession,
     table: str,
     schema: T.StructType,
     location: str,
     parts: Sequence[str] = (),
-) -> None:
-    """Register Parquet files, present or to come, as an external table."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    partitioned = f"PARTITIONED BY ({', '.join(parts)})" if parts else ""
-    spark.sql(
-        f"CREATE TABLE {table} ({columns}) USING parquet {partitioned} "
-        f"LOCATION '{location}'"
-    )
+) -> DataFrame:
+    """Make ``table`` show the files under ``location``, creating it if missing.
 
+    A table with ``parts`` that moves to another place is declared anew, as its
+    partitions are listed with their places.
+    """
+    if table_exists(spark, table) and table_location(spark, table).rstrip("/") != location:
+        if parts:
+            spark.sql(f"DROP TABLE {table}")
+        else:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+    if not table_exists(spark, table):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        partitioned = f"PARTITIONED BY ({', '.join(parts)})" if parts else ""
+        spark.sql(
+            f"CREATE TABLE {table} ({columns}) USING parquet {partitioned} "
+            f"LOCATION '{location}'"
+        )
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    """Numbers of the version folders, rising; live, old and unfinished ones."""
-    mark = f"{VERSION}="
-    names = names_in(spark, root)
-    return sorted(int(n.removeprefix(mark)) for n in names if n.startswith(mark))
 
+def show_batches(
+    spark: SparkSession, table: str, schema: T.StructType, location: str, part: str
+) -> DataFrame:
+    """Make ``table`` show every folder ``part=number`` under ``location``.
 
-def _next_version(spark: SparkSession, root: str) -> str:
-    """A folder that no version has had."""
-    return f"{root}/{VERSION}={max(_versions(spark, root), default=-1) + 1}"
+    Called when all batches written there are whole; folders that a stopped load did
+    not get to show are shown too.
+    """
+    point_table(spark, table, T.StructType([*schema, T.StructField(part, T.LongType())]), location, [part])
+    listed = {row.partition for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    found = [name for name in names_in(spark, location) if name.startswith(f"{part}=")]
+    new = sorted(int(name.split("=")[1]) for name in found if name not in listed)
+    if new:
+        added = " ".join(f"PARTITION ({part} = {n}) LOCATION '{location}/{part}={n}'" for n in new)
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {added}")
+        spark.catalog.refreshTable(table)
+    return spark.table(table)
 
 
-def publish(df: DataFrame, table: str) -> int:
-    """Replace the table's content by ``df``; returns the number of rows written.
+# --- tables that are overwritten ----------------------------------------------------
 
-    Rows are counted while they are written. ``df`` may read the table itself. A
-    table the catalog has lost is not started anew over its versions, as numbers
-    given in them would be given again.
-    """
+
+@contextmanager
+def _touched_only(spark: SparkSession) -> Iterator[None]:
+    """Overwrites replace the partitions that get rows, instead of the whole table."""
+    before = spark.conf.get(_MODE)
+    spark.conf.set(_MODE, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(_MODE, before)
+
+
+def publish(df: DataFrame, table: str, parts: Sequence[str] = ()) -> int:
+    """Replace the table's content by ``df``; returns the number of rows written."""
     spark = df.sparkSession
-    root = table_root(spark, table)
-    if not table_exists(spark, table):
-        if any(_versions(spark, root)):
-            raise RuntimeError(f"{root} holds versions of {table}: register it again")
-        location = f"{root}/{VERSION}=0"
-        rows = write_parquet(df, location)
-        create_table(spark, table, df.schema, location)
-        return rows
-    live = table_location(spark, table).rstrip("/")
-    if f"/{VERSION}=" not in live:
-        raise ValueError(f"{table} was not published here, it lies in {live}")
-    location = _next_version(spark, root)
-    rows = write_parquet(df, location)
-    if _same_columns(spark.table(table).schema, df.schema):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
-    else:
-        # files of an external table outlive the drop; see table_exists
-        spark.sql(f"DROP TABLE IF EXISTS {table}{_NEXT}")
-        create_table(spark, f"{table}{_NEXT}", df.schema, location)
-        spark.sql(f"DROP TABLE {table}")
-        spark.sql(f"ALTER TABLE {table}{_NEXT} RENAME TO {table}")
-    spark.catalog.refreshTable(table)
+    folder = scratch_path(spark, "publish")
+    rows = write_parquet(df, folder)
+    stored = spark.read.schema(df.schema).parquet(folder).select(*df.columns)
+    stored.write.mode("overwrite").partitionBy(*parts).saveAsTable(table)
+    delete_folder(spark, folder)
     return rows
 
 
-def remove_old_versions(spark: SparkSession, table: str, keep: int = 2) -> list[str]:
-    """Delete what lies in version folders and is not live; returns the places.
+def overwrite_partitions(
+    df: DataFrame, table: str, part: str, touched: Sequence | None = None
+) -> None:
+    """Replace the partitions that ``df`` has rows of; others of ``touched`` go.
 
-    The ``keep`` newest folders stay whole, for readers that opened them. Of a
-    partitioned table, older folders lose the partitions that have moved on.
+    ``df`` may read the table. Without ``touched`` no partition can become empty.
+    Rows of a partition are written by one task, or by several if it is large.
     """
-    root = table_root(spark, table)
-    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-    if parts:
-        _finish_switch(spark, table)
-        listed = [row.partition for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
-        live = {_place(spark, table, entry) for entry in listed}
-    else:
-        live = {table_location(spark, table).rstrip("/").rsplit("/", 1)[1]}
-    removed = []
-    for number in _versions(spark, root)[: -max(1, keep)]:
-        folder = f"{VERSION}={number}"
-        held = names_in(spark, f"{root}/{folder}") if parts else ()
-        places = [f"{folder}/{n}" for n in held if "=" in n] if parts else [folder]
-        old = [place for place in places if place not in live]
-        for place in old:
-            delete_folder(spark, f"{root}/{place}")
-        removed += old
-        if parts and len(old) == len(places):
-            delete_folder(spark, f"{root}/{folder}")
-    return removed
-
-
-def _place(spark: SparkSession, table: str, entry: str) -> str:
-    """Version and partition folder in which a listed partition lies."""
-    name, _, value = entry.partition("=")
-    spec = _spec(name, None if value == NULL_FOLDER else value)
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION {spec}")
-    location = described.filter("col_name = 'Location'").first().data_type
-    return "/".join(location.rstrip("/").rsplit("/", 2)[1:])
+    spark = df.sparkSession
+    stored = materialise(df.select(*spark.table(table).columns), "partitions")
+    with _touched_only(spark):
+        stored.hint("rebalance", F.col(part)).write.mode("overwrite").insertInto(table)
+    if touched:
+        filled = {row[0] for row in stored.select(part).distinct().collect()}
+        gone = [value for value in touched if value not in filled]
+        specs = ["NULL" if value is None else f"'{value}'" for value in gone]
+        if gone:
+            dropped = ", ".join(f"PARTITION ({part} = {spec})" for spec in specs)
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {dropped}")
+    spark.catalog.refreshTable(table)
 
 
 def create_or_merge(
@@ -234,109 +197,56 @@ def create_or_merge_partitions(
     """Upsert into a table partitioned by a coarse column, e.g. the year.
 
     Source rows the table already holds as they are change nothing and are left
-    out first, so a load of all orders writes only the partitions in which some
-    order is new or different: those of the changed rows and those where a
-    matching target row lies now. They are written to a new folder and then
-    switched over by the catalog, so readers may see some partitions new and
-    others old for a moment. A load that stopped there is finished by the next
-    one, before it compares anything. ``unique`` says that the source is known to
-    have one row per key and need not be checked. Returns the values of the
-    partitions written.
+    out first, by key and digest of the row, so a load of all orders writes only the
+    partitions in which some order is new or different: those of the changed rows
+    and those where a matching target row lies now. ``unique`` says that the source
+    is known to have one row per key and need not be checked. Returns the values of
+    the partitions written; the catalog has an entry for each.
     """
     spark = source.sparkSession
     kind = source.schema[partition].dataType
     if not isinstance(kind, (T.IntegralType, T.DateType)):
         raise ValueError(f"partition by an integer or a date, not {kind.simpleString()}")
-    exists = table_exists(spark, table)
-    if latest is not None or not unique or not exists:
+    if not table_exists(spark, table):
+        source = _merge_source(source, keys, latest, unique)
+        spread = source.hint("rebalance", F.col(partition))
+        spread.write.partitionBy(partition).saveAsTable(table)
+        return _values(source, partition)
+    if latest is not None or not unique:
         source = _merge_source(source, keys, latest, unique)
-    if not exists:
-        touched = _partition_values(source, partition)
-        create_table(spark, table, source.schema, table_root(spark, table), [partition])
-        _write_partitions(source, table, partition, touched)
-        return touched
 
-    _finish_switch(spark, table)
     target = spark.table(table)
-    changed = materialise(_not_held(source, target), "merge-changes")
+    changed = materialise(_not_held(source.select(*target.columns), target, keys), "merge-changes")
     holding = changed.select(partition)
     if partition not in keys:
         # a matching row may lie in another partition than its new version
         matched = target.join(changed.select(*keys), list(keys), "left_semi")
         holding = holding.union(matched.select(partition))
-    touched = _partition_values(holding, partition)
+    touched = _values(holding, partition)
     if touched:
         affected = F.col(partition).isin([v for v in touched if v is not None])
         if None in touched:
             affected = affected | F.col(partition).isNull()
         merged = upsert(target.filter(affected), changed, keys, unique=True)
-        _write_partitions(merged, table, partition, touched)
+        overwrite_partitions(merged, table, partition, touched)
     return touched
 
 
-def _not_held(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Source rows with no equal row in the target, nulls being equal."""
-    held = target.select(*[F.col(c).alias(f"_held_{c}") for c in target.columns])
-    same = [F.col(c).eqNullSafe(F.col(f"_held_{c}")) for c in target.columns]
-    return source.join(held, same, "left_anti")
+def _not_held(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Source rows with no equal row in the target; only keys and digests are joined."""
+    held = target.select(
+        *[F.col(k).alias(f"_held_{k}") for k in keys], row_digest(target.columns).alias("_held")
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_held_{k}")) for k in keys]
+    told = source.withColumn("_digest", row_digest(source.columns))
+    return told.join(held, [*same, F.col("_digest") == F.col("_held")], "left_anti").drop("_digest")
 
 
-def _partition_values(df: DataFrame, partition: str) -> list:
-    """Distinct partition values; the catalog holds an entry for each of them."""
+def _values(df: DataFrame, partition: str) -> list:
     return [row[0] for row in df.select(partition).distinct().collect()]
 
 
-def _folder(partition: str, value) -> str:
-    return f"{partition}={NULL_FOLDER if value is None else value}"
-
-
-def _spec(partition: str, value) -> str:
-    return f"({partition} = {'NULL' if value is None else repr(str(value))})"
-
-
-def _write_partitions(rows: DataFrame, table: str, partition: str, touched) -> None:
-    """Write the touched partitions to a new folder, then let the catalog point there.
-
-    The switches to make are stored before the first is made.
-    """
-    spark = rows.sparkSession
-    root = table_root(spark, table)
-    location = _next_version(spark, root)
-    written = Observation()
-    rows.observe(written, F.collect_set(F.struct(partition)).alias("values")).write.mode(
-        "overwrite"
-    ).partitionBy(partition).parquet(location)
-    filled = {row[0] for row in written.get["values"]}
-    switch = {"partition": partition, "location": location, "filled": [], "emptied": []}
-    for value in touched:
-        kind = "filled" if value in filled else "emptied"
-        switch[kind].append(None if value is None else str(value))
-    store_text(spark, json.dumps(switch), f"{root}/{_SWITCH}")
-    _finish_switch(spark, table)
-
-
-def _finish_switch(spark: SparkSession, table: str) -> None:
-    """Make the stored partition switches, if any; repeating them changes nothing."""
-    stored = f"{table_root(spark, table)}/{_SWITCH}"
-    text = stored_text(spark, stored)
-    if text is None:
-        return
-    switch = json.loads(text)
-    partition, location = switch["partition"], switch["location"]
-    places = {
-        _spec(partition, value): f"LOCATION '{location}/{_folder(partition, value)}'"
-        for value in switch["filled"]
-    }
-    if places:
-        added = " ".join(f"PARTITION {spec} {place}" for spec, place in places.items())
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {added}")
-    for spec, place in places.items():
-        spark.sql(f"ALTER TABLE {table} PARTITION {spec} SET {place}")
-    if switch["emptied"]:
-        gone = ", ".join(f"PARTITION {_spec(partition, v)}" for v in switch["emptied"])
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {gone}")
-    spark.catalog.refreshTable(table)
-    delete_folder(spark, stored)
+# --- files --------------------------------------------------------------------------
 
 
 def write_parquet(df: DataFrame, path: str) -> int:
@@ -351,7 +261,3 @@ def write_parquet(df: DataFrame, path: str) -> int:
 def export_csv(df: DataFrame, path: str) -> None:
     """CSV files with a header line, written by the tasks that hold the rows."""
     df.write.mode("overwrite").option("header", "true").csv(path)
-
-
-def count_rows(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("row_count"))

@@ -3,43 +3,69 @@
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidemark.operators.cleaning import BATCH
+from tidemark.operators.feed import change_feed, taken
 from tidemark.operators.history import apply_changes
-from tidemark.operators.quality import expect_all_or_drop
-from tidemark.scratch import materialise
+from tidemark.operators.quality import expect_all_or_drop, expectation_counts
+from tidemark.scratch import materialise, names_in
 from tidemark.sources.tables import (
     empty_like,
-    point_table,
+    overwrite_partitions,
     publish,
+    show_batches,
     stream_table,
     table_exists,
     table_location,
     table_root,
 )
 
-_REPORTS = "spark.sql.streaming.numRecentProgressUpdates"
-
 # The rules a product must pass.
 PRODUCT_RULES = {
     "rule1": "product_id IS NOT NULL",
     "rule2": "product_name IS NOT NULL",
 }
 
+# version tables are partitioned by a hash of the key, and a batch of changes
+# rewrites the partitions its keys fall into
+BUCKET = "_bucket"
+BUCKETS = 32
+_BUCKETS = "tidemark.buckets"
+
+COUNTS = T.StructType(
+    [
+        T.StructField("rows_checked", T.LongType()),
+        T.StructField("rule", T.StringType()),
+        T.StructField("failures", T.LongType()),
+    ]
+)
+
+
+def expectations_of(stage: str) -> str:
+    """The table that says how many rows of each batch broke which rule."""
+    return f"{stage}_expectations"
 
-def staged_changes(
-    changes: DataFrame, rules: Mapping[str, str], metric: str = "expectations"
-) -> DataFrame:
-    """The change stream without the rows that break a rule.
 
-    The source is an append-only table, so every row is a change to be applied;
-    there are no updates or deletes upstream to skip.
+def publish_with_feed(df: DataFrame, table: str, feed: str, keys: Sequence[str]) -> int:
+    """Rewrite ``table`` as ``df`` and add what that changes to the ``feed`` table.
+
+    The feed only grows, so a stream can follow a table that is overwritten by every
+    load. A load stopped between the two writes notes its changes once more.
     """
-    return expect_all_or_drop(changes, rules, metric)
+    spark = df.sparkSession
+    stored = materialise(df, "rewritten")
+    before = spark.table(table) if table_exists(spark, table) else stored.limit(0)
+    changes = change_feed(before, stored, keys)
+    home = f"{table_root(spark, feed)}/data"
+    number = len([n for n in names_in(spark, home) if n.startswith(f"{BATCH}=")])
+    changes.write.mode("overwrite").parquet(f"{home}/{BATCH}={number}")
+    show_batches(spark, feed, changes.schema, home, BATCH)
+    return publish(stored, table)
 
 
 def stage_table(
@@ -47,45 +73,48 @@ def stage_table(
     source: str,
     stage: str,
     rules: Mapping[str, str],
-    counts: Counter | None = None,
+    kinds: Sequence[str] | None = None,
 ) -> DataFrame:
     """Stream the rows ``source`` gained into the ``stage`` table.
 
+    The source only grows. If it is a change feed, ``kinds`` says which changes are
+    taken and the others are skipped; otherwise every row is a change to be applied.
     A source replayed into a new folder is staged anew, also into a new folder.
-    ``counts`` is increased by the rows seen and by the failures of each rule.
+
+    Rows that break a rule are dropped and counted. A batch is a partition of the
+    stage and of ``expectations_of(stage)``, written under its number by plain
+    aggregation: a batch that fails and is repeated overwrites what it had counted.
     """
     home = f"{table_root(spark, stage)}/of-{_origin(spark, source)}"
-    rows = staged_changes(stream_table(spark, source), rules)
+    rows = stream_table(spark, source).drop(BATCH)
+    if kinds is not None:
+        rows = taken(rows, kinds)
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        counts = expectation_counts(batch, rules).select(*COUNTS.names)
+        folder = f"{BATCH}={batch_id}"
+        counts.write.mode("overwrite").parquet(f"{home}/expectations/{folder}")
+        kept = expect_all_or_drop(batch, rules)
+        kept.write.mode("overwrite").parquet(f"{home}/data/{folder}")
+
     query = (
-        rows.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", f"{home}/data")
+        rows.writeStream.foreachBatch(take)
         .option("checkpointLocation", f"{home}/checkpoint")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    if counts is not None:
-        counts.update(rule_counts(query))
-    return point_table(spark, stage, rows.schema, f"{home}/data")
+    show_batches(spark, expectations_of(stage), COUNTS, f"{home}/expectations", BATCH)
+    return show_batches(spark, stage, rows.schema, f"{home}/data", BATCH)
 
 
-def rule_counts(query: StreamingQuery, metric: str = "expectations") -> Counter:
-    """Rows seen and failures per rule, over all batches of the query.
-
-    Spark keeps ``spark.sql.streaming.numRecentProgressUpdates`` reports; a query
-    that may have lost its first ones cannot be counted, which is an error.
-    """
-    total = Counter()
-    reports = query.recentProgress
-    kept = SparkSession.active().conf.get(_REPORTS)
-    if len(reports) >= int(kept):
-        raise RuntimeError(f"only the last {kept} batches are reported: raise {_REPORTS}")
-    for progress in reports:
-        observed = progress.observedMetrics.get(metric)
-        if observed is not None:
-            total.update(observed.asDict())
-    return total
+def expectation_totals(spark: SparkSession, stage: str) -> DataFrame:
+    """Rows checked and failures of each rule over all batches of a stage."""
+    return (
+        spark.table(expectations_of(stage))
+        .groupBy("rule")
+        .agg(F.sum("rows_checked").alias("rows_checked"), F.sum("failures").alias("failures"))
+    )
 
 
 def _origin(spark: SparkSession, source: str) -> str:
@@ -94,39 +123,60 @@ def _origin(spark: SparkSession, source: str) -> str:
     return hashlib.sha256(place).hexdigest()[:12]
 
 
-def changes_view(spark: SparkSession, stage: str) -> DataFrame:
-    """The staged rows as a stream, unchanged."""
-    return stream_table(spark, stage)
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
 def create_history_table(
-    changes: DataFrame, table: str, keys: Sequence[str], sequence_by: str
+    changes: DataFrame, table: str, keys: Sequence[str], sequence_by: str, buckets: int = BUCKETS
 ) -> None:
     """Declare an empty version table for the rows of ``changes`` if missing."""
     spark = changes.sparkSession
     if table_exists(spark, table):
         return
-    empty = empty_like(spark, changes.schema)
-    publish(apply_changes(None, empty, keys, sequence_by), table)
+    empty = apply_changes(None, empty_like(spark, changes.schema), keys, sequence_by)
+    publish(empty.withColumn(BUCKET, bucket_of(keys, buckets)), table, [BUCKET])
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_BUCKETS}' = '{buckets}')")
+
+
+def merge_changes(batch: DataFrame, table: str, keys: Sequence[str], sequence_by: str) -> list[int]:
+    """Apply a batch of changes to the buckets its keys fall into; returns these.
+
+    The other buckets are neither read nor written. Changes delivered twice give the
+    same table.
+    """
+    spark = batch.sparkSession
+    told = spark.sql(f"SHOW TBLPROPERTIES {table} ('{_BUCKETS}')")
+    bucket = bucket_of(keys, int(told.first()["value"]))
+    stored = materialise(batch.dropna(subset=list(keys)).withColumn(BUCKET, bucket), "changes")
+    touched = [row[0] for row in stored.select(BUCKET).distinct().collect()]
+    if touched:
+        held = spark.table(table).filter(F.col(BUCKET).isin(touched))
+        versions = apply_changes(held, stored, keys, sequence_by)
+        overwrite_partitions(versions, table, BUCKET)
+    return sorted(touched)
 
 
 def apply_stream(
-    changes: DataFrame, source: str, table: str, keys: Sequence[str], sequence_by: str
+    changes: DataFrame,
+    source: str,
+    table: str,
+    keys: Sequence[str],
+    sequence_by: str,
+    buckets: int = BUCKETS,
 ) -> None:
     """Apply the changes streamed from ``source`` to a version table.
 
-    Each micro-batch is one publish. Changes delivered twice, after a failure or
-    by a replayed source, give the same table.
+    Changes delivered twice, after a failure or by a replayed source, give the same
+    table. ``buckets`` counts for a table that is not there yet.
     """
     spark = changes.sparkSession
-    progress = f"{table_root(spark, table)}/checkpoint-of-{_origin(spark, source)}"
+    progress = f"{table_root(spark, table)}_progress/of-{_origin(spark, source)}"
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        stored = materialise(batch, f"changes-{batch_id}")
-        publish(apply_changes(session.table(table), stored, keys, sequence_by), table)
+        merge_changes(batch, table, keys, sequence_by)
 
-    create_history_table(changes, table, keys, sequence_by)
+    create_history_table(changes, table, keys, sequence_by, buckets)
     query = (
         changes.writeStream.foreachBatch(merge)
         .option("checkpointLocation", progress)

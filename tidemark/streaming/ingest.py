@@ -1,27 +1,32 @@
-"""Incremental Parquet ingest: each source file enters the bronze table once."""
+"""Incremental Parquet ingest: each source file enters the bronze table once.
+
+The stream is one of file names: Spark's file source says which files are new, and
+every batch reads its files with the schemas that they have. A batch is a partition
+of the bronze table, overwritten if the batch is repeated and seen once it is whole;
+later stages take the partitions they have not had.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.cleaning import ARRIVED, RESCUED
+from tidemark.operators.cleaning import ARRIVED, BATCH, RESCUED
 from tidemark.sources.files import (
     ANY_AGE,
+    Ledger,
     dataset_glob,
-    inferred_schema,
     own_files,
+    read_files,
     store_schema,
     stored_schema,
-    undeclared,
-    with_rescued,
+    union_of_columns,
 )
 from tidemark.sources.tables import (
-    point_table,
+    show_batches,
     table_exists,
     table_location,
     table_root,
@@ -30,22 +35,12 @@ from tidemark.sources.tables import (
 # The datasets of the sales model.
 DATASETS = ("orders", "customer", "products", "regions")
 
-
+LISTED = "path string, modificationTime timestamp, length bigint, content binary"
 ARRIVAL = T.StructType(
-    [T.StructField("loaded", T.TimestampType()), T.StructField("delivered", T.TimestampType())]
+    [T.StructField("delivered", T.TimestampType()), T.StructField("file", T.StringType())]
 )
 
 
-def _arrival() -> Column:
-    """Order of deliveries: the batch that took them, then the hour of the file.
-
-    A replay takes all files in one batch, so the files' own times tell old ones
-    from new ones; hours, as the files of one delivery are not written at once.
-    """
-    hour = F.date_trunc("hour", F.col("_metadata.file_modification_time"))
-    return F.struct(F.current_timestamp().alias("loaded"), hour.alias("delivered"))
-
-
 class Ingest:
     """One dataset on its way into one table.
 
@@ -73,31 +68,41 @@ class Ingest:
         if table_exists(spark, table):
             live = table_location(spark, table).rstrip("/").removesuffix("/data")
             generation = int(live.rsplit("gen=", 1)[1]) + bool(full_refresh)
-        self.home = f"{table_root(spark, table)}/gen={generation}"
+        root = table_root(spark, table)
+        self.home, self.ledger = f"{root}/gen={generation}", f"{root}/ledger"
 
-    def _source(self) -> tuple[DataFrame, T.StructType]:
-        found = inferred_schema(self.spark, self.pattern)
-        declared = stored_schema(self.spark, f"{self.home}/schema")
+    def _declared(self, spark: SparkSession, schemas) -> T.StructType:
+        """The schema of the first batch: its union of columns, the oldest file's types."""
+        declared = stored_schema(spark, f"{self.home}/schema")
         if declared is None:
-            declared = found
-            store_schema(self.spark, declared, f"{self.home}/schema")
-        extras = undeclared(found, declared)
+            declared = union_of_columns(schemas)
+            store_schema(spark, declared, f"{self.home}/schema")
+        return declared
+
+    def _take(self, batch: DataFrame, batch_id: int) -> None:
+        """Write one batch; ``max_files_per_batch`` limits the names collected here."""
+        spark = batch.sparkSession
+        listed = own_files(batch, self.name, self.others).orderBy("modificationTime", "path")
+        paths = [row["path"] for row in listed.select("path").collect()]
+        if not paths:
+            return
+        label = f"{self.home.rsplit('/', 1)[1]}-batch={batch_id}"
+        groups = Ledger(spark, self.ledger).groups(paths, label)
+        declared = self._declared(spark, [schema for _, schema in groups])
+        rows = read_files(spark, groups, declared)
+        rows.write.mode("overwrite").parquet(f"{self.home}/data/{BATCH}={batch_id}")
+
+    def start(self) -> StreamingQuery:
         files = (
-            self.spark.readStream.schema(T.StructType([*declared.fields, *extras]))
+            self.spark.readStream.format("binaryFile")
+            .schema(LISTED)
             .option("maxFilesPerTrigger", self.max_files)
             .options(**ANY_AGE)
-            .parquet(self.pattern)
+            .load(self.pattern)
         )
-        own = own_files(files, self.name, self.others)
-        arrived = own.withColumn(ARRIVED, _arrival())
-        return with_rescued(arrived, declared, extras, [ARRIVED]), declared
-
-    def start(self) -> StreamingQuery:
-        rows, self.declared = self._source()
         return (
-            rows.writeStream.format("parquet")
-            .outputMode("append")
-            .option("path", f"{self.home}/data")
+            files.select("path", "modificationTime")
+            .writeStream.foreachBatch(self._take)
             .option("checkpointLocation", f"{self.home}/checkpoint")
             .trigger(availableNow=True)
             .start()
@@ -106,9 +111,12 @@ class Ingest:
     def finish(self, query: StreamingQuery) -> DataFrame:
         """Wait for the files present at the start, then expose them as the table."""
         query.awaitTermination()
+        declared = stored_schema(self.spark, f"{self.home}/schema")
+        if declared is None:
+            raise FileNotFoundError(f"no file matches {self.pattern}")
         added = [(RESCUED, T.StringType()), (ARRIVED, ARRIVAL)]
-        schema = T.StructType([*self.declared, *(T.StructField(*f) for f in added)])
-        return point_table(self.spark, self.table, schema, f"{self.home}/data")
+        schema = T.StructType([*declared, *(T.StructField(*f) for f in added)])
+        return show_batches(self.spark, self.table, schema, f"{self.home}/data", BATCH)
 
 
 def ingest(
