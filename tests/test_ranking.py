@@ -10,6 +10,8 @@ from tidemark.operators.ranking import ranked, top_n_per_group
 from tidemark.operators.spans import SPAN, span_count, split_into_spans
 from tidemark.scratch import materialise
 
+from test_skew import SMALL, final_plan
+
 OUT = {"dense_rank": "d", "rank": "r", "row_number": "n"}
 
 
@@ -117,10 +119,32 @@ def plan_of(df) -> str:
 
 
 def test_ranked_result_has_no_shuffle_of_the_rows(spark):
-    """Windows ran by span; what is left is a scan and the small edge table."""
-    df = spark.range(100).withColumn("g", F.col("id") % 3)
+    """Ranks of few values are joined to a scan that is neither sorted nor shuffled."""
+    df = materialise(spark.range(100).withColumn("g", F.col("id") % 3), "t")
+    outputs = {"rank": "r", "dense_rank": "d"}
+    plan = plan_of(ranked(df, outputs, ["g"], [("id", "desc")]))
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 1
+    assert "Sort [" not in plan and "hashpartitioning" not in plan
     plan = plan_of(ranked(df, OUT, ["g"], [("id", "desc")], ["id"]))
-    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    assert "SortMergeJoin" not in plan and "Sort [" not in plan
+
+
+def test_hot_value_is_split_where_values_are_many(spark, tmp_path):
+    """Half of the rows have one value, and the table of values is not broadcast."""
+    value = F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id"))
+    rows = spark.range(40_000).select("id", (F.col("id") % 2).alias("g"), value.alias("v"))
+    rows.repartition(8).write.parquet(f"{tmp_path}/rows")
+    before = {key: spark.conf.get(key, None) for key in SMALL}
+    try:
+        for key, setting in SMALL.items():
+            spark.conf.set(key, setting)
+        got = ranked(spark.read.parquet(f"{tmp_path}/rows"), {"rank": "r"}, ["g"], [("v", "asc")])
+        assert "skew=true" in final_plan(got)
+        assert got.filter("g = 0 AND r <> 1").isEmpty()
+        assert got.filter("g = 1").select("r").distinct().count() == 20_000
+    finally:
+        for key, setting in before.items():
+            spark.conf.unset(key) if setting is None else spark.conf.set(key, setting)
 
 
 def test_top_n_limits_on_the_map_side(spark):

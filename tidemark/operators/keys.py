@@ -14,6 +14,22 @@ from tidemark.scratch import materialise
 _ROW_BITS = 33
 
 
+def stamped_ranges(df: DataFrame, sort: Sequence[Column | str], label: str) -> DataFrame:
+    """The rows range-partitioned and sorted, stored with ``_part`` and ``_place``.
+
+    ``_part`` rises with the ranges, ``_place`` counts from 0 in each.
+    """
+    stamp = F.monotonically_increasing_id()
+    stamped = (
+        df.repartitionByRange(*sort)
+        .sortWithinPartitions(*sort)
+        .withColumn("_row_id", stamp)
+        .withColumn("_part", F.shiftright("_row_id", _ROW_BITS).cast("int"))
+        .withColumn("_place", F.col("_row_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
+    )
+    return materialise(stamped.drop("_row_id"), label)
+
+
 def dense_keys(
     df: DataFrame, by: Sequence[str], out: str, after: Column | int = 0
 ) -> DataFrame:
@@ -23,13 +39,7 @@ def dense_keys(
     partition plus the row count of the partitions before it. The only
     unpartitioned window runs over those counts, one row per partition.
     """
-    stamped = (
-        df.repartitionByRange(*by)
-        .sortWithinPartitions(*by)
-        .withColumn("_row_id", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_row_id", _ROW_BITS).cast("int"))
-    )
-    stored = materialise(stamped, "dense-keys")
+    stored = stamped_ranges(df, by, "dense-keys")
     earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         stored.groupBy("_part")
@@ -39,12 +49,11 @@ def dense_keys(
             F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
         )
     )
-    place = F.col("_row_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     start = after if isinstance(after, Column) else F.lit(after)
     # bounded broadcast: one row per shuffle partition
     return stored.join(F.broadcast(offsets), "_part").select(
         *df.columns,
-        (start.cast("bigint") + F.col("_before") + place + 1).alias(out),
+        (start.cast("bigint") + F.col("_before") + F.col("_place") + 1).alias(out),
     )
 
 

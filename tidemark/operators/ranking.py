@@ -1,4 +1,10 @@
-"""Rank functions per group (dense_rank, rank, row_number) and top-N per group."""
+"""Rank functions per group (dense_rank, rank, row_number) and top-N per group.
+
+Rows of one value share their rank and dense_rank, so these are found for the
+different values, from how many rows have each, and joined back: the rows are not
+sorted, and not shuffled either while the values are few. row_number sorts the rows
+once, in ranges that cut groups anywhere, and counts on from range to range.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.operators.keys import stamped_ranges
 from tidemark.operators.spans import (
     SPAN,
     Order,
@@ -17,11 +24,7 @@ from tidemark.operators.spans import (
 )
 from tidemark.scratch import materialise
 
-_FUNCTIONS = {
-    "row_number": F.row_number,
-    "rank": F.rank,
-    "dense_rank": F.dense_rank,
-}
+_RANKS = ("row_number", "rank", "dense_rank")
 
 
 def ranked(
@@ -34,90 +37,82 @@ def ranked(
     """Add rank columns, e.g. ``{"dense_rank": "flag", "row_number": "row_flag"}``.
 
     ``rank`` and ``dense_rank`` order by ``order`` alone; ``row_number`` also by
-    ``tie_breaker``, which must make the order total. Groups are cut into spans,
-    whatever their size; inside a span the window functions share one sort.
-    Ranks are bigint, as a group may outgrow an int.
+    ``tie_breaker``, which must make the order total. Groups and values may have any
+    number of rows. Ranks are bigint, as a group may outgrow an int. ``df`` is read
+    more than once.
     """
-    unknown = set(outputs) - set(_FUNCTIONS)
+    unknown = set(outputs) - set(_RANKS)
     if unknown:
         raise ValueError(f"not a rank function: {sorted(unknown)}")
     if "row_number" in outputs and not tie_breaker:
         raise ValueError("row_number needs tie_breaker columns for a total order")
-    return _ranked_by_span(df, outputs, partition, order, tie_breaker)
-
+    out = df
+    if "row_number" in outputs:
+        out = _numbered(out, partition, order, tie_breaker, outputs["row_number"])
+    by_value = {name: outputs[name] for name in ("rank", "dense_rank") if name in outputs}
+    if by_value:
+        out = _ranked_by_value(out, by_value, partition, order)
+    return out.select(*df.columns, *outputs.values())
 
-def _with_windows(df, outputs, partition, order, tie_breaker) -> DataFrame:
-    by_value = W.partitionBy(*partition).orderBy(*sort_columns(order))
-    total = W.partitionBy(*partition).orderBy(*sort_columns(order), *tie_breaker)
-    # row_number first: its sort also serves the windows ordered by value alone
-    for name in ("row_number", "rank", "dense_rank"):
-        if name in outputs:
-            window = total if name == "row_number" else by_value
-            position = _FUNCTIONS[name]().over(window).cast("bigint")
-            df = df.withColumn(outputs[name], position)
-    return df
 
+def _joined(df: DataFrame, small: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``small``, which is stored, attached by ``columns``, nulls being equal.
 
-def _ranked_by_span(df, outputs, partition, order, tie_breaker) -> DataFrame:
-    group = list(partition)
-    values = [name for name, _ in order]
-    full_order = [*order, *[(name, "asc") for name in tie_breaker]]
-    spread = split_into_spans(df, group, full_order, unique=False)
-    local = {"row_number": "_row", "rank": "_rank", "dense_rank": "_dense"}
+    No side is broadcast by hint: Spark broadcasts what it finds small in the files,
+    and otherwise splits the partitions of a hot value.
+    """
+    renamed = small.withColumnsRenamed({c: f"_of_{c}" for c in columns})
+    match = F.lit(True)
+    for c in columns:
+        match = match & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    return df.join(renamed, match).drop(*[f"_of_{c}" for c in columns])
+
+
+def _ranked_by_value(df, outputs, partition, order) -> DataFrame:
+    group, values = list(partition), [name for name, _ in order if name not in partition]
+    counts = df.groupBy(*group, *values).agg(F.count(F.lit(1)).alias("_rows"))
+    spread = split_into_spans(counts, group, order, unique=True)
+    here = W.partitionBy(SPAN, *group).orderBy(*sort_columns(order))
+    so_far = F.sum("_rows").over(here.rowsBetween(W.unboundedPreceding, -1))
+    local = {"rank": F.coalesce(so_far, F.lit(0)) + 1, "dense_rank": F.row_number().over(here)}
     stored = materialise(
-        _with_windows(spread, local, [SPAN, *group], order, tie_breaker), "ranked"
+        spread.withColumns({f"_{n}": column.cast("bigint") for n, column in local.items()}),
+        "value-counts",
     )
-
-    value = F.struct(*values)
-    per_span = stored.groupBy(SPAN, *group).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.max("_dense").alias("_values"),
-        F.max("_rank").alias("_last_rank"),
-        F.min_by(value, "_row").alias("_first"),
-        F.max_by(value, "_row").alias("_last"),
-    )
-    chain = W.partitionBy(*group).orderBy(SPAN)
-    earlier = chain.rowsBetween(W.unboundedPreceding, -1)
-    # _tied: the span opens with the value the span before it ended with
+    chain = W.partitionBy(*group).orderBy(SPAN).rowsBetween(W.unboundedPreceding, -1)
     edges = (
-        per_span.withColumn("_spans", F.count(F.lit(1)).over(W.partitionBy(*group)))
-        .filter("_spans > 1")
-        .withColumn("_tied", F.col("_first").eqNullSafe(F.lag("_last").over(chain)))
-        .withColumn("_rows_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-        .withColumn(
-            "_values_before",
-            F.coalesce(
-                F.sum(F.col("_values") - F.col("_tied").cast("int")).over(earlier),
-                F.lit(0),
-            )
-            - F.col("_tied").cast("int"),
-        )
-        # rank of the span's last value, unless that value began in an earlier span
-        .withColumn(
-            "_opened",
-            F.when(
-                ~(F.col("_tied") & (F.col("_values") == 1)),
-                F.col("_rows_before") + F.col("_last_rank"),
-            ),
-        )
-        .withColumn("_tied_rank", F.last("_opened", ignorenulls=True).over(earlier))
+        stored.groupBy(SPAN, *group)
+        .agg(F.sum("_rows").alias("_in_span"), F.count(F.lit(1)).alias("_values"))
+        .withColumn("_before_rank", F.sum("_in_span").over(chain))
+        .withColumn("_before_dense_rank", F.sum("_values").over(chain))
+        .filter(F.col("_before_rank").isNotNull())
     )
-    joined = join_edges(
-        stored, edges, group, ["_rows_before", "_values_before", "_tied", "_tied_rank"]
+    before = [f"_before_{name}" for name in local]
+    whole = join_edges(stored, edges, group, before).select(
+        *group,
+        *values,
+        *[
+            (F.coalesce(F.col(f"_before_{name}"), F.lit(0)) + F.col(f"_{name}")).alias(out)
+            for name, out in outputs.items()
+        ],
     )
-    rows_before = F.coalesce(F.col("_rows_before"), F.lit(0))
-    final = {
-        "row_number": rows_before + F.col("_row"),
-        "rank": F.when(
-            F.coalesce(F.col("_tied"), F.lit(False)) & (F.col("_rank") == 1),
-            F.col("_tied_rank"),
-        ).otherwise(rows_before + F.col("_rank")),
-        "dense_rank": F.coalesce(F.col("_values_before"), F.lit(0)) + F.col("_dense"),
-    }
-    return joined.select(
-        *df.columns,
-        *[final[name].alias(out) for name, out in outputs.items()],
+    return _joined(df, materialise(whole, "value-ranks"), [*group, *values])
+
+
+def _numbered(df, partition, order, tie_breaker, out) -> DataFrame:
+    group = list(partition)
+    sort = [*map(F.asc, group), *sort_columns(order), *map(F.asc, tie_breaker)]
+    stored = stamped_ranges(df, sort, "row-numbers")
+    chain = W.partitionBy(*group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    heads = (
+        stored.groupBy("_part", *group)
+        .agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_before", F.coalesce(F.sum("_rows").over(chain), F.lit(0)))
+        .drop("_rows")
     )
+    found = _joined(stored, materialise(heads, "row-heads"), ["_part", *group])
+    number = F.col("_place") - F.col("_first") + F.col("_before") + 1
+    return found.select(*df.columns, number.alias(out))
 
 
 def top_n_per_group(
