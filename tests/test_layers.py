@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
+import time
+from pathlib import Path
 
+from tidemark.plans import layers
 from tidemark.plans.layers import load_warehouse
 
 CUSTOMER = "customer_id string, email string, first_name string, last_name string"
@@ -107,3 +111,124 @@ def test_three_loads(spark, tmp_path):
     assert [c[:5] for c in replayed[0]] == [c[:5] for c in customers]
     assert {c[5] for c in replayed[0]} == {third}
     assert replayed[1:] == (products, facts)
+
+
+def loader(spark, tmp_path, prefix, **options):
+    folder, root = f"{tmp_path}/in", f"{tmp_path}/{prefix}"
+
+    def arrive(file, data, schema):
+        spark.createDataFrame(data, schema).write.parquet(f"{folder}/{file}.parquet")
+
+    def load(**more):
+        run = dt.datetime(2024, 1, 1)
+        return load_warehouse(spark, folder, root, "valid_from", prefix, run, **options, **more)
+
+    return arrive, load
+
+
+def gold(spark, names):
+    customers = rows(spark.table(f"{names['gold']}.dim_customers"), "customer_id", "email")
+    products = rows(spark.table(f"{names['gold']}.dimproducts"), "product_id", "price", "__START_AT", "__END_AT")
+    facts = rows(spark.table(f"{names['gold']}.fact_orders"), "order_id", "total_amount", "DimProductKey")
+    return customers, products, facts
+
+
+def first_deliveries(arrive):
+    arrive("customer_1", [("c1", "a@x.com", "A", "B")], CUSTOMER)
+    arrive("orders_1", [(1, "c1", 7, "2023-05-01", 12.0), (2, "c1", 7, "2024-05-01", 1.0)], ORDERS)
+    arrive("products_1", [(7, "pen", "b", 1.0, 1), (7, "pen", "b", 3.0, 2)], PRODUCTS)
+    arrive("regions", [(1, "North", "NO")], REGIONS)
+
+
+def corrections(arrive):
+    arrive("customer_2", [("c1", "z@x.com", "A", "B")], CUSTOMER)
+    arrive("orders_2", [(1, "c1", 7, "2023-05-01", 9.0)], ORDERS)
+    arrive("products_2", [(7, "pen", "b", 2.0, 1)], PRODUCTS)
+
+
+CORRECTED = (
+    [("c1", "z@x.com")],
+    [(7, 2.0, 1, 2), (7, 3.0, 2, None)],
+    [(1, 9.0, 7), (2, 1.0, 7)],
+)
+
+
+def test_corrections_win_in_one_load_in_two_and_in_a_replay(spark, tmp_path):
+    arrive, load = loader(spark, tmp_path, "steps_")
+    first_deliveries(arrive)
+    load()
+    corrections(arrive)
+    assert gold(spark, load()) == CORRECTED
+    assert gold(spark, load(full_refresh=True)) == CORRECTED
+    _, at_once = loader(spark, tmp_path, "at_once_")
+    assert gold(spark, at_once()) == CORRECTED
+
+
+def test_a_late_file_with_an_old_date_does_not_win(spark, tmp_path):
+    arrive, load = loader(spark, tmp_path, "late_")
+    first_deliveries(arrive)
+    load()
+    corrections(arrive)
+    year_ago = time.time() - 365 * 24 * 3600
+    for folder in Path(f"{tmp_path}/in").glob("*_2.parquet"):
+        for file in folder.iterdir():
+            os.utime(file, (year_ago, year_ago))
+    kept = (
+        [("c1", "a@x.com")],
+        [(7, 1.0, 1, 2), (7, 3.0, 2, None)],
+        [(1, 12.0, 7), (2, 1.0, 7)],
+    )
+    assert gold(spark, load()) == kept
+    assert gold(spark, load(full_refresh=True)) == kept
+
+
+def test_a_second_load_reads_what_is_new_and_writes_what_it_touches(spark, tmp_path, monkeypatch):
+    arrive, load = loader(spark, tmp_path, "new_")
+    first_deliveries(arrive)
+    arrive("orders_unknown", [(3, "c9", 7, "2022-01-01", 5.0), (4, "c8", 7, "2021-01-01", 6.0)], ORDERS)
+    seen, real = [], layers.build_order_facts
+
+    def watched(orders, *rest):
+        seen.append(rows(orders, "order_id"))
+        return real(orders, *rest)
+
+    monkeypatch.setattr(layers, "build_order_facts", watched)
+    name = f"{load()['gold']}.fact_orders"
+    before = set(spark.table(name).inputFiles())
+    arrive("orders_2", [(1, "c1", 7, "2023-05-01", 9.0)], ORDERS)
+    arrive("customer_2", [("c9", "n@x.com", "N", "N")], CUSTOMER)
+    load()
+    # the new order, and those with an unknown key, of which one is known now
+    assert seen[1:] == [[(1,), (3,), (4,)]]
+    after = set(spark.table(name).inputFiles())
+    assert {f.split("year=")[1][:4] for f in before & after} == {"2024", "2021"}
+    assert {f.split("year=")[1][:4] for f in after - before} == {"2023", "2022"}
+    assert rows(spark.table(name), "order_id", "total_amount", "DimCustomerKey") == [
+        (1, 9.0, 1), (2, 1.0, 1), (3, 5.0, 2), (4, 6.0, -1),
+    ]
+    load()
+    assert set(spark.table(name).inputFiles()) == after
+
+
+def test_facts_take_the_version_of_their_date(spark, tmp_path):
+    arrive, load = loader(spark, tmp_path, "dated_", point_in_time=True)
+    arrive("customer_1", [("c1", "a@x.com", "A", "B")], CUSTOMER)
+    arrive("regions", [(1, "North", "NO")], REGIONS)
+    days = {n: dt.datetime(2023, n, 1) for n in range(1, 8)}
+    dated = PRODUCTS.replace("valid_from int", "valid_from timestamp")
+    arrive("products_1", [(7, "pen", "b", 1.0, days[2]), (7, "pen", "b", 2.0, days[4])], dated)
+    orders = [(n, "c1", 7, str(days[n]), 1.0) for n in range(1, 8)] + [(9, "c1", 8, str(days[5]), 1.0)]
+    arrive("orders_1", orders, ORDERS)
+    name = f"{load()['gold']}.fact_orders"
+
+    def found():
+        return rows(spark.table(name), "order_id", "DimProductKey", "product_valid_from")
+
+    second, fourth = (7, days[2]), (7, days[4])
+    assert found() == [
+        (1, -1, None), (2, *second), (3, *second), (4, *fourth), (5, *fourth), (6, *fourth),
+        (7, *fourth), (9, -1, None),
+    ]
+    arrive("products_2", [(7, "pen", "b", 3.0, days[6])], dated)  # a version that came late
+    load()
+    assert [r[2] for r in found()[4:7]] == [days[4], days[6], days[6]]

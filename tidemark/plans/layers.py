@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+import json
+from collections.abc import Callable, Mapping, Sequence
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,6 @@ from tidemark.operators.cleaning import (
     ARRIVED,
     BATCH,
     RESCUED,
-    drop_rescued,
     full_name,
     keep_first,
     parsed_timestamp,
@@ -23,14 +23,21 @@ from tidemark.operators.cleaning import (
 from tidemark.operators.dimensions import apply_type1, first_type1_load
 from tidemark.operators.facts import FACT_KEYS, build_order_facts
 from tidemark.operators.history import current_versions
+from tidemark.operators.joins import UNKNOWN_KEY
+from tidemark.scratch import read_text, write_text
 from tidemark.session import side_by_side
 from tidemark.sources.tables import (
+    batches,
     create_or_merge_partitions,
     ensure_layers,
+    origin,
     publish,
     query_table,
+    show_batches,
     stream_table,
     table_exists,
+    table_location,
+    table_root,
 )
 from tidemark.streaming.changes import (
     PRODUCT_RULES,
@@ -45,7 +52,7 @@ CUSTOMER_KEY = "DimCustomerKey"
 
 def silver_customers(bronze: DataFrame) -> DataFrame:
     return (
-        bronze.drop(RESCUED, BATCH)
+        bronze.drop(RESCUED)
         .withColumns(
             {
                 "domains": part_after("email", "@"),
@@ -69,12 +76,12 @@ def customers_of_domain(customers: DataFrame, domain: str) -> DataFrame:
 
 
 def silver_orders(bronze: DataFrame) -> DataFrame:
-    dated = bronze.drop(RESCUED, BATCH).withColumn("order_date", parsed_timestamp("order_date"))
+    dated = bronze.drop(RESCUED).withColumn("order_date", parsed_timestamp("order_date"))
     return dated.withColumn("year", F.year("order_date"))
 
 
 def silver_products(bronze: DataFrame) -> DataFrame:
-    return discounted(drop_rescued(bronze))
+    return discounted(bronze.drop(RESCUED, ARRIVED))
 
 
 def discounted(products: DataFrame) -> DataFrame:
@@ -83,7 +90,7 @@ def discounted(products: DataFrame) -> DataFrame:
 
 
 def silver_regions(bronze: DataFrame) -> DataFrame:
-    return drop_rescued(bronze)
+    return bronze.drop(RESCUED, ARRIVED)
 
 
 # dataset -> (silver table, transformation)
@@ -95,15 +102,34 @@ SILVER = {
 }
 
 
-def load_silver(spark: SparkSession, bronze: str, silver: str) -> dict[str, int]:
-    """Rebuild the silver tables; returns the rows of each."""
-    jobs = {}
-    for dataset, (table, transform) in SILVER.items():
-        cleaned = transform(spark.table(f"{bronze}.{dataset}"))
-        jobs[table] = partial(publish, cleaned, f"{silver}.{table}")
+def load_silver(spark: SparkSession, bronze: str, silver: str) -> dict[str, list[int]]:
+    """Clean the bronze batches the silver tables lack; returns the batches of each."""
+    jobs = {
+        table: partial(_clean_batches, spark, f"{bronze}.{dataset}", f"{silver}.{table}", transform)
+        for dataset, (table, transform) in SILVER.items()
+    }
     return side_by_side(spark, jobs)
 
 
+def _clean_batches(
+    spark: SparkSession, source: str, table: str, transform: Callable[[DataFrame], DataFrame]
+) -> list[int]:
+    """Add the silver batches that are missing, each made of the bronze batch of its number.
+
+    A source replayed into a new folder is cleaned anew, into a folder of its own.
+    """
+    home = f"{table_root(spark, table)}/of-{origin(spark, source)}"
+    here = table_exists(spark, table) and table_location(spark, table).rstrip("/") == home
+    new = sorted(batches(spark, source) - (batches(spark, table) if here else set()))
+    if here and not new:
+        return []
+    cleaned = transform(spark.table(source).filter(F.col(BATCH).isin(new)))
+    repeatable = cleaned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    repeatable.partitionBy(BATCH).parquet(home)
+    show_batches(spark, table, cleaned.drop(BATCH).schema, home, BATCH)
+    return new
+
+
 def load_customer_dimension(
     spark: SparkSession,
     source: DataFrame,
@@ -159,25 +185,47 @@ def load_order_facts(
     order: Sequence[Column | str] = (),
     point_in_time: bool = False,
 ) -> list:
-    """Facts merged into ``gold.fact_orders``; returns the years written.
+    """New orders merged into ``gold.fact_orders``; returns the years written.
+
+    Read are the silver batches not merged yet, and the facts that have an unknown
+    key, as their customer or product may have come. Of rows with one key the newest
+    delivery counts, then ``order``, whenever each is loaded: facts keep when they
+    were delivered, and an order that is older than its fact changes nothing.
 
     Orders take the current version of their product, or with ``point_in_time`` the
-    one that held at their date, if the versions' sequence is a time.
+    one that held at their date, if the versions' sequence is a time; as versions may
+    come late, all orders are looked up then.
     """
-    orders = query_table(spark, f"{silver}.orders_silver")
-    customers = query_table(
-        spark, f"{gold}.dim_customers", [CUSTOMER_KEY, "customer_id"]
-    )
+    source, table = f"{silver}.orders_silver", f"{gold}.fact_orders"
+    progress = f"{table_root(spark, table)}_progress/{origin(spark, source)}.json"
+    orders, found, merged = spark.table(source), batches(spark, source), set()
+    if table_exists(spark, table) and not point_in_time:
+        merged = set(json.loads(read_text(spark, progress) or "[]"))
+        orders = orders.filter(F.col(BATCH).isin(sorted(found - merged)))
+    orders = orders.drop(BATCH)
+    if merged:
+        unknown = f"DimCustomerKey = {UNKNOWN_KEY} OR DimProductKey = {UNKNOWN_KEY}"
+        orders = orders.union(spark.table(table).filter(unknown).select(*orders.columns))
+    customers = query_table(spark, f"{gold}.dim_customers", [CUSTOMER_KEY, "customer_id"])
     products = spark.table(f"{gold}.dimproducts")
     if not point_in_time:
         products = current_versions(products)
-    if ARRIVED in orders.columns:
-        order = [F.desc(ARRIVED), *order]
+    newest = [F.desc(ARRIVED), *order]
     at = "order_date" if point_in_time else None
-    facts = build_order_facts(orders, customers, products, order, at).drop(ARRIVED)
-    return create_or_merge_partitions(
-        facts, f"{gold}.fact_orders", FACT_KEYS, "year", unique=True
-    )
+    facts = build_order_facts(orders, customers, products, newest, at)
+    if table_exists(spark, table):
+        facts = _not_older(facts, spark.table(table))
+    years = create_or_merge_partitions(facts, table, FACT_KEYS, "year", unique=True)
+    write_text(spark, json.dumps(sorted(found)), progress)
+    return years
+
+
+def _not_older(facts: DataFrame, held: DataFrame) -> DataFrame:
+    """Facts but for those of which a newer delivery is held; keys and times are joined."""
+    told = held.select(*[F.col(c).alias(f"_held_{c}") for c in (*FACT_KEYS, ARRIVED)])
+    newer = F.col(f"_held_{ARRIVED}") > F.col(ARRIVED)
+    same = [F.col(c).eqNullSafe(F.col(f"_held_{c}")) for c in FACT_KEYS]
+    return facts.join(told, [*same, newer], "left_anti")
 
 
 def load_warehouse(
@@ -202,7 +250,7 @@ def load_warehouse(
     load_silver(spark, bronze, silver)
     load_customer_dimension(
         spark,
-        query_table(spark, f"{silver}.customers_silver"),
+        query_table(spark, f"{silver}.customers_silver").drop(BATCH),
         f"{gold}.dim_customers",
         run_ts,
     )

@@ -724,7 +724,7 @@ def warehouse_products(spark, sf_dir):
 @query
 def warehouse_facts(spark, sf_dir):
     names = _warehouse(spark, sf_dir, "wh_facts")
-    return spark.table(f"{names['gold']}.fact_orders")
+    return spark.table(f"{names['gold']}.fact_orders").drop(cleaning.ARRIVED)
 
 
 def _redelivered(spark, sf_dir, label, dataset, key, measure, low, high, loads=2):
@@ -761,7 +761,7 @@ def warehouse_facts_corrected(spark, sf_dir):
         spark, sf_dir, "wh_corrected", "orders", "order_id", "total_amount",
         F.lit(0.5), F.lit(1000000.0),
     )
-    return spark.table(f"{names['gold']}.fact_orders")
+    return spark.table(f"{names['gold']}.fact_orders").drop(cleaning.ARRIVED)
 
 
 @query
@@ -771,7 +771,7 @@ def warehouse_same_hour(spark, sf_dir):
         spark, sf_dir, "wh_same_hour", "orders", "order_id", "total_amount",
         F.lit(0.5), F.lit(1000000.0), loads=1,
     )
-    return spark.table(f"{names['gold']}.fact_orders")
+    return spark.table(f"{names['gold']}.fact_orders").drop(cleaning.ARRIVED)
 
 
 @query

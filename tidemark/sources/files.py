@@ -38,6 +38,10 @@ def own_files(files: DataFrame, name: str, others: Sequence[str] = ()) -> DataFr
     return files.filter(~F.col("path").rlike(foreign))
 
 
+# the file a row was read from, while its batch is made
+_FILE = "_tidemark_file"
+
+
 # --- schemas ------------------------------------------------------------------
 
 
@@ -199,15 +203,9 @@ def conformed(
     return df.select(*values, text.alias(RESCUED), *added)
 
 
-def arrival() -> Column:
-    """Order of deliveries: when the file was written, then its name.
-
-    Both belong to the file, so a replay orders rows as the loads one by one did.
-    """
-    return F.struct(
-        F.col("_metadata.file_modification_time").alias("delivered"),
-        F.col("_metadata.file_path").alias("file"),
-    )
+def delivery(name: str, file: Column) -> Column:
+    """The delivery that a file of a dataset belongs to, which may be a folder of files."""
+    return F.regexp_extract(file, f"/({re.escape(name)}(?:_[^/]*)?\\.parquet)(?:/|$)", 1)
 
 
 def read_files(
@@ -215,12 +213,12 @@ def read_files(
     groups: Sequence[tuple[list[str], T.StructType]],
     declared: T.StructType,
 ) -> DataFrame:
-    """Files of several schemas as one frame of declared columns, with their arrival."""
+    """Files of several schemas as one frame of declared columns, with their ``file``."""
     frames = [
         conformed(
-            spark.read.schema(schema).parquet(*paths).withColumn(ARRIVED, arrival()),
+            spark.read.schema(schema).parquet(*paths).withColumn(_FILE, F.col("_metadata.file_path")),
             declared,
-            [ARRIVED],
+            [_FILE],
         )
         for paths, schema in groups
     ]
@@ -230,6 +228,20 @@ def read_files(
     return rows
 
 
+def with_arrival(rows: DataFrame, name: str, times: DataFrame) -> DataFrame:
+    """``_arrived_at`` in place of the file: when its delivery was written, and its name.
+
+    Both belong to the files, so a replay orders rows as the loads one by one did.
+    ``times`` has ``delivered, file`` of the deliveries of a batch, whose number is
+    limited.
+    """
+    told = rows.withColumn(_FILE, delivery(name, F.col(_FILE))).join(
+        F.broadcast(times), F.col(_FILE) == F.col("file"), "left"
+    )
+    arrived = F.struct("delivered", F.col(_FILE).alias("file"))
+    return told.withColumn(ARRIVED, arrived).drop(_FILE, "file", "delivered")
+
+
 def read_dataset(
     spark: SparkSession, folder: str, name: str, declared: T.StructType | None = None
 ) -> DataFrame:
@@ -238,4 +250,4 @@ def read_dataset(
     paths = sorted(row["path"] for row in listing.select("path").collect())
     groups = list(by_schema(spark, paths))
     declared = declared or union_of_columns(schema for _, schema in groups)
-    return read_files(spark, groups, declared).drop(ARRIVED)
+    return read_files(spark, groups, declared).drop(_FILE)

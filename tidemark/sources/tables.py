@@ -9,6 +9,7 @@ stopped just then, the rows still lie in the shared folder.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
@@ -67,6 +68,12 @@ def table_location(spark: SparkSession, table: str) -> str:
     return described.filter("col_name = 'Location'").first().data_type
 
 
+def origin(spark: SparkSession, source: str) -> str:
+    """Short name for the folder a table shows now; progress is kept per folder."""
+    place = table_location(spark, source).encode()
+    return hashlib.sha256(place).hexdigest()[:12]
+
+
 # --- tables over files that others write ------------------------------------------
 
 
@@ -98,6 +105,12 @@ def point_table(
     return spark.table(table)
 
 
+def batches(spark: SparkSession, table: str) -> set[int]:
+    """Numbers of the batches a table shows; one a load."""
+    shown = spark.sql(f"SHOW PARTITIONS {table}").collect()
+    return {int(row.partition.split("=")[1]) for row in shown}
+
+
 def show_batches(
     spark: SparkSession, table: str, schema: T.StructType, location: str, part: str
 ) -> DataFrame:
@@ -107,9 +120,8 @@ def show_batches(
     not get to show are shown too.
     """
     point_table(spark, table, T.StructType([*schema, T.StructField(part, T.LongType())]), location, [part])
-    listed = {row.partition for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
     found = [name for name in names_in(spark, location) if name.startswith(f"{part}=")]
-    new = sorted(int(name.split("=")[1]) for name in found if name not in listed)
+    new = sorted({int(name.split("=")[1]) for name in found} - batches(spark, table))
     if new:
         added = " ".join(f"PARTITION ({part} = {n}) LOCATION '{location}/{part}={n}'" for n in new)
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {added}")
@@ -147,20 +159,23 @@ def overwrite_partitions(
 ) -> None:
     """Replace the partitions that ``df`` has rows of; others of ``touched`` go.
 
-    ``df`` may read the table. Without ``touched`` no partition can become empty.
-    Rows of a partition are written by one task, or by several if it is large.
+    ``df`` may read the table: Spark moves the new files in when all are written.
+    Without ``touched`` no partition can become empty. A partition is written by one
+    task, or by several if it is large.
     """
     spark = df.sparkSession
-    stored = materialise(df.select(*spark.table(table).columns), "partitions")
+    written = Observation()
+    spread = df.select(*spark.table(table).columns).hint("rebalance", F.col(part))
+    # as many values as partitions are overwritten
+    values = F.collect_set(F.struct(part)).alias("values")
     with _touched_only(spark):
-        stored.hint("rebalance", F.col(part)).write.mode("overwrite").insertInto(table)
-    if touched:
-        filled = {row[0] for row in stored.select(part).distinct().collect()}
-        gone = [value for value in touched if value not in filled]
+        spread.observe(written, values).write.mode("overwrite").insertInto(table)
+    filled = {row[0] for row in written.get["values"]}
+    gone = [value for value in touched or () if value not in filled]
+    if gone:
         specs = ["NULL" if value is None else f"'{value}'" for value in gone]
-        if gone:
-            dropped = ", ".join(f"PARTITION ({part} = {spec})" for spec in specs)
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {dropped}")
+        dropped = ", ".join(f"PARTITION ({part} = {spec})" for spec in specs)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {dropped}")
     spark.catalog.refreshTable(table)
 
 

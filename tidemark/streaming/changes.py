@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,12 +15,12 @@ from tidemark.operators.quality import expect_all_or_drop, expectation_counts
 from tidemark.scratch import materialise, names_in
 from tidemark.sources.tables import (
     empty_like,
+    origin,
     overwrite_partitions,
     publish,
     show_batches,
     stream_table,
     table_exists,
-    table_location,
     table_root,
 )
 
@@ -85,7 +84,7 @@ def stage_table(
     stage and of ``expectations_of(stage)``, written under its number by plain
     aggregation: a batch that fails and is repeated overwrites what it had counted.
     """
-    home = f"{table_root(spark, stage)}/of-{_origin(spark, source)}"
+    home = f"{table_root(spark, stage)}/of-{origin(spark, source)}"
     rows = stream_table(spark, source).drop(BATCH)
     if kinds is not None:
         rows = taken(rows, kinds)
@@ -117,12 +116,6 @@ def expectation_totals(spark: SparkSession, stage: str) -> DataFrame:
     )
 
 
-def _origin(spark: SparkSession, source: str) -> str:
-    """Short name for the folder a table shows now; progress is kept per folder."""
-    place = table_location(spark, source).encode()
-    return hashlib.sha256(place).hexdigest()[:12]
-
-
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
@@ -171,7 +164,7 @@ def apply_stream(
     table. ``buckets`` counts for a table that is not there yet.
     """
     spark = changes.sparkSession
-    progress = f"{table_root(spark, table)}_progress/of-{_origin(spark, source)}"
+    progress = f"{table_root(spark, table)}_progress/of-{origin(spark, source)}"
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         merge_changes(batch, table, keys, sequence_by)

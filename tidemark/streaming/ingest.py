@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,11 +20,13 @@ from tidemark.sources.files import (
     ANY_AGE,
     Ledger,
     dataset_glob,
+    delivery,
     own_files,
     read_files,
     store_schema,
     stored_schema,
     union_of_columns,
+    with_arrival,
 )
 from tidemark.sources.tables import (
     show_batches,
@@ -44,6 +47,8 @@ ARRIVAL = T.StructType(
 class Ingest:
     """One dataset on its way into one table.
 
+    A row is as old as the first file of its delivery that is in its batch.
+
     A *generation* is a target folder with its own checkpoint and schema. A full
     replay fills the next generation and then points the table at it: a fresh
     checkpoint on an old target would repeat or lose files.
@@ -82,14 +87,20 @@ class Ingest:
     def _take(self, batch: DataFrame, batch_id: int) -> None:
         """Write one batch; ``max_files_per_batch`` limits the names collected here."""
         spark = batch.sparkSession
-        listed = own_files(batch, self.name, self.others).orderBy("modificationTime", "path")
-        paths = [row["path"] for row in listed.select("path").collect()]
-        if not paths:
+        own = own_files(batch, self.name, self.others)
+        listed = own.orderBy("modificationTime", "path").toArrow()
+        if not len(listed):
             return
+        paths = listed.column("path").to_pylist()
         label = f"{self.home.rsplit('/', 1)[1]}-batch={batch_id}"
         groups = Ledger(spark, self.ledger).groups(paths, label)
         declared = self._declared(spark, [schema for _, schema in groups])
-        rows = read_files(spark, groups, declared)
+        times = (
+            spark.createDataFrame(listed)
+            .groupBy(delivery(self.name, F.col("file")).alias("file"))
+            .agg(F.min("modificationTime").alias("delivered"))
+        )
+        rows = with_arrival(read_files(spark, groups, declared), self.name, times)
         rows.write.mode("overwrite").parquet(f"{self.home}/data/{BATCH}={batch_id}")
 
     def start(self) -> StreamingQuery:
@@ -101,7 +112,7 @@ class Ingest:
             .load(self.pattern)
         )
         return (
-            files.select("path", "modificationTime")
+            files.select("path", "modificationTime", F.col("_metadata.file_path").alias("file"))
             .writeStream.foreachBatch(self._take)
             .option("checkpointLocation", f"{self.home}/checkpoint")
             .trigger(availableNow=True)
