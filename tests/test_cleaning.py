@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -81,7 +82,48 @@ def test_keep_first_is_deterministic_and_total(spark):
     # copies are cut to one per task before the shuffle
     fresh = spark.createDataFrame(data, "k int, o int, id int")
     plan = plan_of(cleaning.keep_first(fresh, ["k"], ["o"]))
-    assert plan.count("WindowGroupLimit") == 2
+    assert "Window" not in plan and "partial_min(" in plan
+
+
+def test_keep_first_takes_any_type_both_ways(spark):
+    """Falling orders of every type put nulls last, as SQL does, and maps are no obstacle."""
+    moments = [dt.datetime(2024, 1, 1, 0, 0, 0, n) for n in (0, 1, 2)]
+    values = {
+        "int": [-(2**31), 0, 2**31 - 1, None],
+        "bigint": [-(2**63), -1, 2**63 - 1, None],
+        "double": [float("-inf"), -0.5, 2.0, float("nan"), None],
+        "decimal(9,2)": [Decimal("-1.50"), Decimal("0.00"), Decimal("7.25"), None],
+        "boolean": [False, True, None],
+        "date": [dt.date(1960, 1, 1), dt.date(2024, 1, 1), None],
+        "timestamp": [*moments, None],
+        "timestamp_ntz": [*moments, None],
+        "string": ["", "a", "aa", "ab", "b", "é", None],
+        "binary": [b"", b"\x00", b"\x00\xff", b"\xff", None],
+        "struct<x:string,y:int>": [("a", 1), ("a", 2), ("b", None), ("b", 0), None],
+    }
+    for kind, rising in values.items():
+        data = [(k, v, n) for k in (1, 2) for n, v in enumerate(rising)]
+        df = spark.createDataFrame(data, f"k int, v {kind}, n int").repartition(5)
+        order = sorted(range(len(rising)), key=lambda n: (rising[n] is None, -n))
+        for _ in rising:
+            top = cleaning.keep_first(df, ["k"], [("v", "desc")])
+            assert {r["n"] for r in top.collect()} == {order[0]}, (kind, order)
+            df = df.filter(F.col("n") != order.pop(0))
+            if len(order) < len(rising) - 2:
+                break
+    tagged = [(1, {"b": 1}, 2), (1, {"a": 1}, 2), (1, {"a": 1}, 3), (2, None, 1)]
+    df = spark.createDataFrame(tagged, "k int, tags map<string,int>, n int")
+    assert rows(cleaning.keep_first(df, ["k"], [("n", "desc")])) == [(1, {"a": 1}, 3), (2, None, 1)]
+    assert rows(cleaning.keep_first(df, ["k"], [])) == [(1, {"a": 1}, 2), (2, None, 1)]
+    with pytest.raises(ValueError, match="asc nor desc"):
+        cleaning.keep_first(df, ["k"], [("n", "down")])
+
+
+def test_the_later_of_two_split_files_wins(spark):
+    old = spark.createDataFrame([(1, "z@new"), (2, "b")], "id int, email string")
+    new = spark.createDataFrame([("a@old", 1)], "email string, id int")
+    assert rows(cleaning.union_distinct_on([old, new], ["id"])) == [(1, "a@old"), (2, "b")]
+    assert rows(cleaning.union_distinct_on([new, old], ["id"]).select("id", "email")) == [(1, "z@new"), (2, "b")]
 
 
 def test_union_matches_names_and_keeps_duplicates(spark):

@@ -73,7 +73,7 @@ def test_upsert_rejects_or_reduces_duplicate_source_rows(spark):
     source = spark.createDataFrame([(2, "x"), (2, "y")], "id int, v string")
     with pytest.raises(DuplicateKeys):
         upsert(target, source, ["id"])
-    reduced = upsert(target, source, ["id"], latest=[F.desc("v")])
+    reduced = upsert(target, source, ["id"], latest=[("v", "desc")])
     assert (2, "y") in rows(reduced) and (2, "x") not in rows(reduced)
 
 
@@ -164,7 +164,7 @@ def test_facts_keep_one_row_per_natural_key(spark):
     )
     customers = spark.createDataFrame([(1, 100)], "customer_id int, DimCustomerKey long")
     products = spark.createDataFrame([(7,)], "product_id int")
-    facts = build_order_facts(orders, customers, products, [F.desc("total_amount")])
+    facts = build_order_facts(orders, customers, products, [("total_amount", "desc")])
     names = ["order_id", "total_amount", "DimCustomerKey", "DimProductKey"]
     assert set(facts.columns) == {*names, "customer_id", "product_id"}
     # lines of two unknown products stay apart

@@ -121,7 +121,7 @@ def test_partition_merge_refuses_duplicates_and_odd_partitions(spark, layer):
     with pytest.raises(ValueError, match="integer or a date"):
         tables.create_or_merge_partitions(twice, f"{layer}.f", ["id"], "v")
     tables.create_or_merge_partitions(
-        twice, f"{layer}.f", ["id"], "year", latest=[F.desc("v")]
+        twice, f"{layer}.f", ["id"], "year", latest=[("v", "desc")]
     )
     assert rows(spark.table(f"{layer}.f"), "v") == [("b",)]
 
@@ -136,6 +136,9 @@ def test_table_scans(spark, layer):
     tables.publish(spark.range(3), f"{layer}.t")
     assert tables.query_table(spark, f"{layer}.t", ["id + 1 AS n"]).columns == ["n"]
     assert tables.empty_like(spark, "a int, b string").isEmpty()
+    none = tables.no_rows(spark.table(f"{layer}.t"))
+    assert none.columns == ["id"] and none.isEmpty()
+    assert "FileScan" not in none._jdf.queryExecution().executedPlan().toString()
 
 
 def test_csv_export_has_a_header(spark, tmp_path):

@@ -9,8 +9,8 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 RESCUED = "_rescued_data"
 # when a row was delivered, and in which file; of rows with one key the newest counts
@@ -61,24 +61,83 @@ def fill_nulls(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
     return df.fillna(dict(values)) if values else df
 
 
-def keep_first(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
-) -> DataFrame:
-    """One row per key, the first in ``order``.
+# columns that rows are ordered by: a name rises, a pair says which way
+Preference = Sequence[str | tuple[str, str]]
+
+
+def _directions(order: Preference) -> list[tuple[str, str]]:
+    pairs = [(o, "asc") if isinstance(o, str) else tuple(o) for o in order]
+    if bad := [o for o in pairs if o[1] not in ("asc", "desc")]:
+        raise ValueError(f"neither asc nor desc: {bad}")
+    return pairs
+
+
+def _falling(column: Column, kind: T.DataType) -> Column:
+    """A value that rises where ``column`` falls; nulls come last."""
+    if isinstance(kind, T.StructType):
+        turned = F.struct(
+            *[_falling(column[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        )
+    elif isinstance(kind, T.IntegralType):
+        turned = F.bitwise_not(column)
+    elif isinstance(kind, T.DecimalType):
+        turned = -column
+    elif isinstance(kind, T.FractionalType):
+        turned = F.struct((~F.isnan(column)).alias("number"), (-column).alias("value"))
+    elif isinstance(kind, T.BooleanType):
+        turned = ~column
+    elif isinstance(kind, T.DateType):
+        turned = -F.unix_date(column)
+    elif isinstance(kind, T.TimestampType):
+        turned = -F.unix_micros(column)
+    elif isinstance(kind, (T.StringType, T.BinaryType, T.TimestampNTZType)):
+        # digits in reverse, and behind the end what is greater than any digit
+        text = F.hex(column.cast("string") if isinstance(kind, T.TimestampNTZType) else column)
+        digits = "0123456789ABCDEF"
+        turned = F.concat(F.translate(text, digits, digits[::-1]), F.lit("G"))
+    else:
+        raise ValueError(f"no falling order of {kind.simpleString()}")
+    return F.struct(column.isNull().alias("absent"), turned.alias("turned"))
+
+
+def _orderable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_orderable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _orderable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def keep_first(df: DataFrame, keys: Sequence[str], order: Preference) -> DataFrame:
+    """One row per key, the first in ``order``, e.g. ``[("amount", "desc"), "line"]``.
 
     Columns not named break ties, so the surviving row never depends on
-    partitioning. Filtering the row number lets Spark keep one row per key and
-    map task before the shuffle, so copies of a hot key do not travel.
+    partitioning. It is the least row of its key, which Spark finds by partial
+    aggregation: copies of a hot key leave a map task as one row. Columns that have
+    no order, such as maps, are compared by their JSON text.
     """
-    named = {c for c in order if isinstance(c, str)} | set(keys)
-    rest = [c for c in df.columns if c not in named]
-    if not order and not rest:
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
         return df.dropDuplicates(list(keys))
-    window = W.partitionBy(*keys).orderBy(*order, *rest)
-    return (
-        df.withColumn("_copy", F.row_number().over(window))
-        .filter("_copy = 1")
-        .drop("_copy")
+    kinds = {f.name: f.dataType for f in df.schema}
+    rank, named = [], set()
+    for number, (name, direction) in enumerate(_directions(order)):
+        if direction == "desc":
+            rank.append(_falling(F.col(name), kinds[name]).alias(f"_rank{number}"))
+        elif name not in keys and name not in named:
+            rank.append(F.col(name))
+            named.add(name)
+    others = [c for c in rest if c not in named]
+    plain = [c for c in others if _orderable(kinds[c])]
+    odd = [c for c in others if c not in plain]
+    if odd:
+        text = F.to_json(F.struct(*odd)).alias("_text")
+        first = F.min_by(F.struct(*rest), F.struct(*rank, *plain, text))
+    else:
+        first = F.min(F.struct(*rank, *plain))
+    kept = df.groupBy(*keys).agg(first.alias("_first"))
+    return kept.select(
+        *[F.col(c) if c in keys else F.col("_first")[c].alias(c) for c in df.columns]
     )
 
 
@@ -88,14 +147,14 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def union_distinct_on(
-    frames: Sequence[DataFrame], keys: Sequence[str], order: Sequence[Column | str] = ()
+    frames: Sequence[DataFrame], keys: Sequence[str], order: Preference = ()
 ) -> DataFrame:
     """Split files put together again, one row per key.
 
     ``order`` says which row of a key counts, then the later of the frames does.
     """
     numbered = [df.withColumn("_frame", F.lit(n)) for n, df in enumerate(frames)]
-    return keep_first(union_all(numbered), keys, [*order, F.desc("_frame")]).drop("_frame")
+    return keep_first(union_all(numbered), keys, [*order, ("_frame", "desc")]).drop("_frame")
 
 
 @dataclass(frozen=True)

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.cleaning import keep_first
+from tidemark.operators.cleaning import Preference, keep_first
 from tidemark.operators.keys import dense_keys, max_key
 from tidemark.scratch import materialise
 
@@ -28,7 +27,7 @@ def first_type1_load(
     key: str,
     surrogate: str,
     run_ts: dt.datetime | None = None,
-    order: Sequence[Column | str] = (),
+    order: Preference = (),
 ) -> DataFrame:
     now = _run_time(source, run_ts)
     rows = keep_first(source.dropna(subset=[key]), [key], order)
@@ -42,7 +41,7 @@ def apply_type1(
     key: str,
     surrogate: str,
     run_ts: dt.datetime | None = None,
-    order: Sequence[Column | str] = (),
+    order: Preference = (),
     only_changed: bool = False,
 ) -> DataFrame:
     """The dimension after one load of ``source``.

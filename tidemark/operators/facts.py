@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.asof import look_up_as_of
-from tidemark.operators.cleaning import keep_first
+from tidemark.operators.cleaning import Preference, keep_first
 from tidemark.operators.history import END, START
 from tidemark.operators.joins import UNKNOWN_KEY, look_up_key
 
@@ -19,7 +18,7 @@ def build_order_facts(
     orders: DataFrame,
     customers: DataFrame,
     products: DataFrame,
-    order: Sequence[Column | str] = (),
+    order: Preference = (),
     at: str | None = None,
 ) -> DataFrame:
     """Facts from orders and the two dimensions.

@@ -31,7 +31,7 @@ def build_versions(
     number of changes is not put into one task.
     """
     changes = changes.dropna(subset=[*keys, sequence_by])
-    newest = [F.desc(ARRIVED)] if ARRIVED in changes.columns else []
+    newest = [(ARRIVED, "desc")] if ARRIVED in changes.columns else []
     distinct = keep_first(changes, [*keys, sequence_by], newest)
     versions = _ended_by_span(distinct, list(keys), sequence_by, start, end)
     if sequence_by != start and sequence_by not in keys:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.cleaning import keep_first
+from tidemark.operators.cleaning import Preference, keep_first
 
 
 class DuplicateKeys(ValueError):
@@ -31,7 +31,7 @@ _EXACT = {
 def one_row_per_key(
     source: DataFrame,
     keys: Sequence[str],
-    latest: Sequence[Column | str] | None = None,
+    latest: Preference | None = None,
 ) -> DataFrame:
     """Check the source, or reduce it when ``latest`` gives an order to choose by.
 
@@ -55,7 +55,7 @@ def upsert(
     target: DataFrame,
     source: DataFrame,
     keys: Sequence[str],
-    latest: Sequence[Column | str] | None = None,
+    latest: Preference | None = None,
     unique: bool = False,
 ) -> DataFrame:
     """Target rows without a source row, and all source rows.

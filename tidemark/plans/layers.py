@@ -7,7 +7,7 @@ import json
 from collections.abc import Callable, Mapping, Sequence
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.registry import register_discount
@@ -15,6 +15,7 @@ from tidemark.operators.cleaning import (
     ARRIVED,
     BATCH,
     RESCUED,
+    Preference,
     full_name,
     keep_first,
     parsed_timestamp,
@@ -136,14 +137,14 @@ def load_customer_dimension(
     table: str,
     run_ts: dt.datetime | None = None,
     only_changed: bool = False,
-    order: Sequence[Column | str] = (),
+    order: Preference = (),
 ) -> int:
     """First load or merge, whichever the table's existence calls for.
 
     Of rows with one customer the newest delivery counts, then ``order``.
     """
     if ARRIVED in source.columns:
-        newest = [F.desc(ARRIVED), *order]
+        newest = [(ARRIVED, "desc"), *order]
         known = source.dropna(subset=["customer_id"])
         source = keep_first(known, ["customer_id"], newest).drop(ARRIVED)
     if table_exists(spark, table):
@@ -182,7 +183,7 @@ def load_order_facts(
     spark: SparkSession,
     silver: str,
     gold: str,
-    order: Sequence[Column | str] = (),
+    order: Preference = (),
     point_in_time: bool = False,
 ) -> list:
     """New orders merged into ``gold.fact_orders``; returns the years written.
@@ -210,7 +211,7 @@ def load_order_facts(
     products = spark.table(f"{gold}.dimproducts")
     if not point_in_time:
         products = current_versions(products)
-    newest = [F.desc(ARRIVED), *order]
+    newest = [(ARRIVED, "desc"), *order]
     at = "order_date" if point_in_time else None
     facts = build_order_facts(orders, customers, products, newest, at)
     if table_exists(spark, table):
@@ -255,5 +256,5 @@ def load_warehouse(
         run_ts,
     )
     load_product_dimension(spark, bronze, gold, product_sequence)
-    load_order_facts(spark, silver, gold, [F.desc("total_amount")], point_in_time)
+    load_order_facts(spark, silver, gold, [("total_amount", "desc")], point_in_time)
     return names

@@ -8,6 +8,13 @@ SALES = """(
            o.o_orderdate AS order_date, l.l_extendedprice AS amount
     FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
 
+# the batch load's orders, whose priority class stands in for a product
+BATCH_SALES = """(
+    SELECT o_orderkey AS order_id, o_custkey AS customer_id,
+           CAST(substring(o_orderpriority, 1, 1) AS BIGINT) AS product_id,
+           CAST(o_orderdate AS DATE) AS order_date, o_totalprice AS amount
+    FROM orders)"""
+
 REGIONS = """(
     SELECT n_nationkey AS region_id, r_name AS region_name, n_name AS country
     FROM nation LEFT JOIN region ON n_regionkey = r_regionkey)"""
@@ -390,4 +397,26 @@ ORACLE = {
         FROM n LEFT JOIN dim d ON n.customer_id = d.c_custkey
         LEFT JOIN part p ON n.product_id = p.p_partkey
         WHERE rn = 1""",
+    "empty_scan": "SELECT c_custkey, 'new' AS side FROM customer",
+    "load_clock": """
+        SELECT count(*) AS customers, CAST(1 AS BIGINT) AS clocks,
+               CAST(0 AS BIGINT) AS updated_later, CAST(0 AS BIGINT) AS off_the_clock
+        FROM customer""",
+    "sql_country_category": f"""
+        SELECT country AS region_name, p_type AS category, count(order_id) AS total_orders,
+               round(sum(amount), 2) AS revenue,
+               round(avg(amount), 2) AS avg_order_value
+        FROM {STAR} LEFT JOIN part ON product_id = p_partkey
+        GROUP BY 1, 2 ORDER BY revenue DESC, region_name, category LIMIT 50""",
+    "export_monthly_revenue": MONTHLY.replace(SALES, BATCH_SALES),
+    "export_category_revenue": f"""
+        SELECT p_type AS category, round(sum(amount), 2) AS revenue,
+               count(order_id) AS total_orders
+        FROM {BATCH_SALES} s LEFT JOIN part ON product_id = p_partkey GROUP BY 1""",
+    "export_region_revenue": f"""
+        SELECT region_name, country, round(sum(amount), 2) AS revenue,
+               count(order_id) AS total_orders,
+               round(avg(amount), 2) AS avg_order_value
+        FROM {STAR.replace(SALES, BATCH_SALES)} GROUP BY 1, 2""",
+    "export_top_customers": TOP_CUSTOMERS.replace(SALES, BATCH_SALES),
 }

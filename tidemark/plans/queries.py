@@ -350,6 +350,14 @@ def split_new_old(spark, sf_dir):
     return joins.mark_new_rows(customer, known, {"c_custkey": "c_custkey"})
 
 
+@query
+def empty_scan(spark, sf_dir):
+    """Before a first load the known keys are the target's columns without a row."""
+    customer = table(spark, sf_dir, "customer")
+    known = tables.no_rows(customer.select(F.col("c_custkey").alias("known_key")))
+    return joins.mark_new_rows(customer.select("c_custkey"), known, {"c_custkey": "known_key"})
+
+
 @query
 def enriched_master_join(spark, sf_dir):
     enriched = joins.enrich(
@@ -413,6 +421,15 @@ def sql_region_category(spark, sf_dir):
     return kpis.region_category_report(spark, sales, customers, products, regions)
 
 
+@query
+def sql_country_category(spark, sf_dir):
+    """The same report by country: more groups than the report has rows."""
+    sales, customers, regions = _star(spark, sf_dir)
+    by_country = regions.withColumn("region_name", F.col("country"))
+    products = stand_ins.products(spark, sf_dir)
+    return kpis.region_category_report(spark, sales, customers, products, by_country)
+
+
 # --- windows, sorts, limits --------------------------------------------------
 
 
@@ -486,6 +503,21 @@ def scd1_dim_customer(spark, sf_dir):
     return spark.table(name)
 
 
+@query
+def load_clock(spark, sf_dir):
+    """A load without a given time takes one clock for all its rows."""
+    customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"))
+    dim = dimensions.first_type1_load(customer, "customer_id", "DimCustomerKey")
+    created, updated = F.col(dimensions.CREATED), F.col(dimensions.UPDATED)
+    age = F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp(created)
+    return dim.agg(
+        F.count(F.lit(1)).alias("customers"),
+        F.countDistinct(created).alias("clocks"),
+        F.count_if(created != updated).alias("updated_later"),
+        F.count_if((age < 0) | (age > 3600)).alias("off_the_clock"),
+    )
+
+
 @query
 def fact_upsert(spark, sf_dir):
     """Loaded orders to the end of 1998, corrected and continued from 1998 on."""
@@ -530,7 +562,7 @@ def fact_build(spark, sf_dir):
         stand_ins.sales(spark, sf_dir),
         customers,
         products,
-        [F.desc("amount"), "line_no"],
+        [("amount", "desc"), "line_no"],
     ).drop("line_no")
 
 
@@ -774,9 +806,8 @@ def warehouse_same_hour(spark, sf_dir):
     return spark.table(f"{names['gold']}.fact_orders").drop(cleaning.ARRIVED)
 
 
-@query
-def batch_enriched(spark, sf_dir):
-    """The batch load from copied files to the enriched orders."""
+def _batch_load(spark, sf_dir) -> str:
+    """The batch load to its silver tables, which lie in the returned folder."""
     source, bronze, silver = (
         scratch_path(spark, f"batch-{step}") for step in ("files", "bronze", "silver")
     )
@@ -803,4 +834,40 @@ def batch_enriched(spark, sf_dir):
     stand_ins.regions(spark, sf_dir).write.parquet(f"{source}/regions.parquet")
     batch.copy_files(spark, source, bronze)
     batch.load_silver(spark, bronze, silver)
-    return spark.read.parquet(f"{silver}/orders_enriched")
+    return silver
+
+
+@query
+def batch_enriched(spark, sf_dir):
+    """The batch load from copied files to the enriched orders."""
+    return spark.read.parquet(f"{_batch_load(spark, sf_dir)}/orders_enriched")
+
+
+def _exported(spark, sf_dir, report: str) -> DataFrame:
+    """The batch load to its four reports, and one of them as its CSV files have it."""
+    silver, gold = _batch_load(spark, sf_dir), scratch_path(spark, "batch-gold")
+    exports = scratch_path(spark, "batch-exports")
+    batch.load_gold(spark, silver, gold)
+    batch.export_reports(spark, gold, exports)
+    schema = spark.read.parquet(f"{gold}/{report}").schema
+    return spark.read.schema(schema).option("header", "true").csv(f"{exports}/{report}")
+
+
+@query
+def export_monthly_revenue(spark, sf_dir):
+    return _exported(spark, sf_dir, "monthly_revenue")
+
+
+@query
+def export_category_revenue(spark, sf_dir):
+    return _exported(spark, sf_dir, "category_revenue")
+
+
+@query
+def export_region_revenue(spark, sf_dir):
+    return _exported(spark, sf_dir, "region_revenue")
+
+
+@query
+def export_top_customers(spark, sf_dir):
+    return _exported(spark, sf_dir, "top_customers")

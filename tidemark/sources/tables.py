@@ -13,10 +13,11 @@ import hashlib
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.cleaning import Preference
 from tidemark.operators.upsert import one_row_per_key, row_digest, upsert
 from tidemark.scratch import delete_folder, materialise, names_in, scratch_path
 from tidemark.sources.files import ANY_AGE
@@ -53,10 +54,14 @@ def stream_table(spark: SparkSession, table: str) -> DataFrame:
 
 
 def empty_like(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
-    """No rows of a schema, without a read: what a predicate that is never true leaves."""
     return spark.createDataFrame([], schema)
 
 
+def no_rows(df: DataFrame) -> DataFrame:
+    """The columns of ``df`` by a predicate that is never true; nothing is read for it."""
+    return df.filter("1 = 0")
+
+
 def table_root(spark: SparkSession, table: str) -> str:
     database, name = table.rsplit(".", 1)
     location = spark.catalog.getDatabase(database).locationUri
@@ -183,7 +188,7 @@ def create_or_merge(
     source: DataFrame,
     table: str,
     keys: Sequence[str],
-    latest: Sequence[Column | str] | None = None,
+    latest: Preference | None = None,
 ) -> int:
     """First load writes ``source`` whole, later loads upsert it on ``keys``."""
     spark = source.sparkSession
@@ -206,7 +211,7 @@ def create_or_merge_partitions(
     table: str,
     keys: Sequence[str],
     partition: str,
-    latest: Sequence[Column | str] | None = None,
+    latest: Preference | None = None,
     unique: bool = False,
 ) -> list:
     """Upsert into a table partitioned by a coarse column, e.g. the year.
