@@ -232,3 +232,28 @@ def test_facts_take_the_version_of_their_date(spark, tmp_path):
     arrive("products_2", [(7, "pen", "b", 3.0, days[6])], dated)  # a version that came late
     load()
     assert [r[2] for r in found()[4:7]] == [days[4], days[6], days[6]]
+
+
+def test_one_changed_customer_rewrites_one_bucket(spark, layer):
+    name, schema = f"{layer}.dim", "customer_id int, email string, tags map<string,int>"
+    first = [(k, f"{k}@x.com", {"t": k}) for k in range(100)]
+    days = [dt.datetime(2024, 1, d) for d in (1, 2, 3)]
+
+    def load(data, day):
+        source = spark.createDataFrame(data, schema)
+        return layers.load_customer_dimension(spark, source, name, day, only_changed=True, buckets=8)
+
+    assert load(first, days[0]) == list(range(8))
+    before = set(spark.table(name).inputFiles())
+    changed = [(k, "new@x.com" if k == 42 else v, t) for k, v, t in first]
+    (touched,) = load(changed + [(None, "x", None)], days[1])
+    after = set(spark.table(name).inputFiles())
+    assert before - after == {f for f in before if f"_bucket={touched}/" in f}
+    assert all(f"_bucket={touched}/" in f for f in after - before)
+    assert rows(spark.table(name).filter("update_date > create_date"), "customer_id", "email") == [(42, "new@x.com")]
+    assert load(changed, days[2]) == [] and set(spark.table(name).inputFiles()) == after
+    # a new customer takes the next key, and its bucket is the only one written
+    assert len(load([(1000, "n@x.com", None)], days[2])) == 1
+    dim = spark.table(name)
+    assert dim.count() == 101 and rows(dim.filter("customer_id = 1000"), "DimCustomerKey") == [(101,)]
+    assert dim.select("DimCustomerKey").distinct().count() == 101

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.cleaning import Preference, keep_first
 from tidemark.operators.keys import dense_keys, max_key
+from tidemark.operators.upsert import row_digest
 from tidemark.scratch import materialise
 
 CREATED = "create_date"
@@ -43,13 +44,15 @@ def apply_type1(
     run_ts: dt.datetime | None = None,
     order: Preference = (),
     only_changed: bool = False,
+    after: Column | None = None,
 ) -> DataFrame:
     """The dimension after one load of ``source``.
 
     Known keys keep their surrogate key and create date and take the source's
     attributes; new keys get the next surrogate keys; target rows the source
     does not mention stay. ``only_changed`` leaves the update date of rows whose
-    attributes are the same.
+    attributes are the same. ``after`` is the highest surrogate key in use, if
+    ``target`` is a part of the dimension.
 
     Source and target meet in one full join on the business key, unique on both
     sides. Its result is stored split by new and known, so that numbering the
@@ -69,9 +72,9 @@ def apply_type1(
     )
 
     in_source = F.coalesce(F.col("_in_source"), F.lit(False))
-    same = F.lit(only_changed)
-    for c in attributes:
-        same = same & F.col(c).eqNullSafe(F.col(f"_old_{c}"))
+    same = F.lit(False)
+    if only_changed:
+        same = row_digest(attributes).eqNullSafe(row_digest(attributes, "_old_"))
     touched = in_source & ~same
     merged = both.select(
         F.coalesce(F.col(key), F.col(f"_old_{key}")).alias(key),
@@ -87,5 +90,6 @@ def apply_type1(
     stored = materialise(merged, "type1", partition_by=["_is_new"])
     known = stored.filter(~F.col("_is_new")).drop("_is_new")
     new = stored.filter("_is_new").drop("_is_new", surrogate)
-    keyed = dense_keys(new, [key], surrogate, after=max_key(target, surrogate))
+    highest = max_key(target, surrogate) if after is None else after
+    keyed = dense_keys(new, [key], surrogate, after=highest)
     return known.unionByName(keyed).select(*target.columns)

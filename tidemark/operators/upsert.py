@@ -14,9 +14,12 @@ class DuplicateKeys(ValueError):
     """The source of an upsert has several rows for one key."""
 
 
-def row_digest(columns: Sequence[str]) -> Column:
-    """128 bits of a row's values, for a comparison that moves no values."""
-    values = F.to_json(F.struct(*[F.col(c).alias(c) for c in sorted(columns)]), _EXACT)
+def row_digest(columns: Sequence[str], prefix: str = "") -> Column:
+    """128 bits of a row's values, for a comparison that moves no values.
+
+    ``prefix`` is what the columns are called beside these names.
+    """
+    values = F.to_json(F.struct(*[F.col(f"{prefix}{c}").alias(c) for c in sorted(columns)]), _EXACT)
     return F.unhex(F.md5(values))
 
 

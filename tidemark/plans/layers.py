@@ -25,20 +25,28 @@ from tidemark.operators.dimensions import apply_type1, first_type1_load
 from tidemark.operators.facts import FACT_KEYS, build_order_facts
 from tidemark.operators.history import current_versions
 from tidemark.operators.joins import UNKNOWN_KEY
-from tidemark.scratch import read_text, write_text
+from tidemark.operators.keys import max_key
+from tidemark.operators.upsert import row_digest
+from tidemark.scratch import materialise, read_text, write_text
 from tidemark.session import side_by_side
 from tidemark.sources.tables import (
+    BUCKET,
+    BUCKETS,
     batches,
+    bucket_count,
     create_or_merge_partitions,
     ensure_layers,
     origin,
-    publish,
+    overwrite_partitions,
+    publish_buckets,
     query_table,
     show_batches,
     stream_table,
     table_exists,
     table_location,
     table_root,
+    touched_buckets,
+    with_bucket,
 )
 from tidemark.streaming.changes import (
     PRODUCT_RULES,
@@ -49,6 +57,8 @@ from tidemark.streaming.ingest import DATASETS, ingest_all
 
 LAYERS = ("bronze", "silver", "gold")
 CUSTOMER_KEY = "DimCustomerKey"
+# 128 bits of a dimension row's attributes
+DIGEST = "_digest"
 
 
 def silver_customers(bronze: DataFrame) -> DataFrame:
@@ -138,25 +148,41 @@ def load_customer_dimension(
     run_ts: dt.datetime | None = None,
     only_changed: bool = False,
     order: Preference = (),
-) -> int:
+    buckets: int = BUCKETS,
+) -> list[int]:
     """First load or merge, whichever the table's existence calls for.
 
-    Of rows with one customer the newest delivery counts, then ``order``.
+    Of rows with one customer the newest delivery counts, then ``order``. The
+    dimension keeps a digest of every row's attributes. With ``only_changed`` a load
+    first joins keys and digests alone; the wide rows are read and written again in
+    the buckets with a customer that is new or different, and nowhere else. Without
+    it every customer of the source takes the load's update date. Returns the buckets
+    written; ``buckets`` counts for the first load.
     """
+    key = "customer_id"
+    source = source.dropna(subset=[key])
     if ARRIVED in source.columns:
-        newest = [(ARRIVED, "desc"), *order]
-        known = source.dropna(subset=["customer_id"])
-        source = keep_first(known, ["customer_id"], newest).drop(ARRIVED)
-    if table_exists(spark, table):
+        source = keep_first(source, [key], [(ARRIVED, "desc"), *order]).drop(ARRIVED)
+    told = source.withColumn(DIGEST, row_digest([c for c in source.columns if c != key]))
+    if not table_exists(spark, table):
+        dimension = first_type1_load(told, key, CUSTOMER_KEY, run_ts, order)
+        publish_buckets(dimension, table, [key], buckets)
+        return list(range(buckets))
+    held = spark.table(table)
+    told = with_bucket(told, [key], bucket_count(spark, table))
+    if only_changed:
+        same = held.select(F.col(key).alias("_held_key"), F.col(DIGEST).alias("_held"))
+        match = [F.col(key) == F.col("_held_key"), F.col(DIGEST) == F.col("_held")]
+        told = told.join(same, match, "left_anti")
+    told = materialise(told, "customers")
+    touched, target = touched_buckets(told, table)
+    if touched:
+        highest = max_key(held, CUSTOMER_KEY)
         dimension = apply_type1(
-            spark.table(table), source, "customer_id", CUSTOMER_KEY,
-            run_ts, order, only_changed,
-        )
-    else:
-        dimension = first_type1_load(
-            source, "customer_id", CUSTOMER_KEY, run_ts, order
+            target, told, key, CUSTOMER_KEY, run_ts, order, only_changed, highest
         )
-    return publish(dimension, table)
+        overwrite_partitions(dimension, table, BUCKET)
+    return touched
 
 
 def load_product_dimension(
@@ -165,6 +191,7 @@ def load_product_dimension(
     gold: str,
     sequence_by: str,
     rules: Mapping[str, str] = PRODUCT_RULES,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """New product rows, checked, into the version table ``gold.dimproducts``.
 
@@ -175,7 +202,7 @@ def load_product_dimension(
     table = f"{gold}.dimproducts"
     stage_table(spark, f"{bronze}.products", stage, rules)
     changes = discounted(stream_table(spark, stage).drop(RESCUED, BATCH))
-    apply_stream(changes, stage, table, ["product_id"], sequence_by)
+    apply_stream(changes, stage, table, ["product_id"], sequence_by, buckets)
     return spark.table(table)
 
 
@@ -239,9 +266,12 @@ def load_warehouse(
     full_refresh: bool = False,
     datasets: Sequence[str] = DATASETS,
     point_in_time: bool = False,
+    buckets: int = BUCKETS,
 ) -> dict[str, str]:
     """Bring all layers up to date with the files in ``folder``.
 
+    ``buckets`` is the number of parts that a first load cuts a dimension into.
+
     Returns layer -> schema name. Running it again without new files changes
     nothing but the customers' update date.
     """
@@ -254,7 +284,8 @@ def load_warehouse(
         query_table(spark, f"{silver}.customers_silver").drop(BATCH),
         f"{gold}.dim_customers",
         run_ts,
+        buckets=buckets,
     )
-    load_product_dimension(spark, bronze, gold, product_sequence)
+    load_product_dimension(spark, bronze, gold, product_sequence, buckets=buckets)
     load_order_facts(spark, silver, gold, [("total_amount", "desc")], point_in_time)
     return names

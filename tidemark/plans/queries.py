@@ -500,7 +500,7 @@ def scd1_dim_customer(spark, sf_dir):
     )
     next_run = RUN_TS + dt.timedelta(days=1)
     layers.load_customer_dimension(spark, later, name, next_run, only_changed=True)
-    return spark.table(name)
+    return spark.table(name).drop(tables.BUCKET, layers.DIGEST)
 
 
 @query
@@ -605,7 +605,7 @@ def scd2_stream(spark, sf_dir):
 
 
 def _versions_of(spark, target) -> DataFrame:
-    versions = spark.table(target).drop(change_stream.BUCKET, cleaning.ARRIVED)
+    versions = spark.table(target).drop(tables.BUCKET, cleaning.ARRIVED)
     return versions.withColumnsRenamed({history.START: "start_at", history.END: "end_at"})
 
 
@@ -743,7 +743,7 @@ def _warehouse(spark, sf_dir, label: str) -> dict[str, str]:
 def warehouse_customers(spark, sf_dir):
     names = _warehouse(spark, sf_dir, "wh_customers")
     dim = spark.table(f"{names['gold']}.dim_customers")
-    return dim.drop(dimensions.CREATED, dimensions.UPDATED)
+    return dim.drop(dimensions.CREATED, dimensions.UPDATED, tables.BUCKET, layers.DIGEST)
 
 
 @query
@@ -784,7 +784,7 @@ def warehouse_customers_updated(spark, sf_dir):
         F.lit(-100000.0), F.lit(100000.0),
     )
     dim = spark.table(f"{names['gold']}.dim_customers")
-    return dim.drop(dimensions.CREATED, dimensions.UPDATED)
+    return dim.drop(dimensions.CREATED, dimensions.UPDATED, tables.BUCKET, layers.DIGEST)
 
 
 @query

@@ -184,6 +184,34 @@ def overwrite_partitions(
     spark.catalog.refreshTable(table)
 
 
+# a table partitioned by a hash of its key: a load rewrites the buckets it touches. A
+# large table should have more of them, some GB each
+BUCKET = "_bucket"
+BUCKETS = 8
+_PROPERTY = "tidemark.buckets"
+
+
+def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+
+def publish_buckets(df: DataFrame, table: str, keys: Sequence[str], buckets: int = BUCKETS) -> int:
+    """Replace the table by the rows in buckets; the table remembers how many."""
+    rows = publish(with_bucket(df, keys, buckets), table, [BUCKET])
+    df.sparkSession.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_PROPERTY}' = '{buckets}')")
+    return rows
+
+
+def bucket_count(spark: SparkSession, table: str) -> int:
+    return int(spark.sql(f"SHOW TBLPROPERTIES {table} ('{_PROPERTY}')").first()["value"])
+
+
+def touched_buckets(changed: DataFrame, table: str) -> tuple[list[int], DataFrame]:
+    """The buckets of some rows, at most ``bucket_count``, and what the table has there."""
+    touched = sorted(row[0] for row in changed.select(BUCKET).distinct().collect())
+    return touched, changed.sparkSession.table(table).filter(F.col(BUCKET).isin(touched))
+
+
 def create_or_merge(
     source: DataFrame,
     table: str,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,14 +14,20 @@ from tidemark.operators.history import apply_changes
 from tidemark.operators.quality import expect_all_or_drop, expectation_counts
 from tidemark.scratch import materialise, names_in
 from tidemark.sources.tables import (
+    BUCKET,
+    BUCKETS,
+    bucket_count,
     empty_like,
     origin,
     overwrite_partitions,
     publish,
+    publish_buckets,
     show_batches,
     stream_table,
     table_exists,
     table_root,
+    touched_buckets,
+    with_bucket,
 )
 
 # The rules a product must pass.
@@ -30,12 +36,6 @@ PRODUCT_RULES = {
     "rule2": "product_name IS NOT NULL",
 }
 
-# version tables are partitioned by a hash of the key, and a batch of changes
-# rewrites the partitions its keys fall into
-BUCKET = "_bucket"
-BUCKETS = 32
-_BUCKETS = "tidemark.buckets"
-
 COUNTS = T.StructType(
     [
         T.StructField("rows_checked", T.LongType()),
@@ -116,10 +116,6 @@ def expectation_totals(spark: SparkSession, stage: str) -> DataFrame:
     )
 
 
-def bucket_of(keys: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-
-
 def create_history_table(
     changes: DataFrame, table: str, keys: Sequence[str], sequence_by: str, buckets: int = BUCKETS
 ) -> None:
@@ -128,8 +124,7 @@ def create_history_table(
     if table_exists(spark, table):
         return
     empty = apply_changes(None, empty_like(spark, changes.schema), keys, sequence_by)
-    publish(empty.withColumn(BUCKET, bucket_of(keys, buckets)), table, [BUCKET])
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_BUCKETS}' = '{buckets}')")
+    publish_buckets(empty, table, keys, buckets)
 
 
 def merge_changes(batch: DataFrame, table: str, keys: Sequence[str], sequence_by: str) -> list[int]:
@@ -139,15 +134,13 @@ def merge_changes(batch: DataFrame, table: str, keys: Sequence[str], sequence_by
     same table.
     """
     spark = batch.sparkSession
-    told = spark.sql(f"SHOW TBLPROPERTIES {table} ('{_BUCKETS}')")
-    bucket = bucket_of(keys, int(told.first()["value"]))
-    stored = materialise(batch.dropna(subset=list(keys)).withColumn(BUCKET, bucket), "changes")
-    touched = [row[0] for row in stored.select(BUCKET).distinct().collect()]
+    own = with_bucket(batch.dropna(subset=list(keys)), keys, bucket_count(spark, table))
+    stored = materialise(own, "changes")
+    touched, held = touched_buckets(stored, table)
     if touched:
-        held = spark.table(table).filter(F.col(BUCKET).isin(touched))
         versions = apply_changes(held, stored, keys, sequence_by)
         overwrite_partitions(versions, table, BUCKET)
-    return sorted(touched)
+    return touched
 
 
 def apply_stream(
