@@ -423,3 +423,27 @@ def test_ids_of_letters_with_marks():
     got = packing.Encoder(TOKENIZER).encode([t.encode() for t in texts])
     want = [e.ids for e in reader.encode_batch(texts, add_special_tokens=False)]
     assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == want
+
+
+@pytest.mark.parametrize("distance", [0, 1, 3, 6])
+def test_rotated_index_finds_every_component(spark, monkeypatch, distance):
+    """Chains over all bits, and a node so crowded that it is cut into many blocks."""
+    monkeypatch.setattr(simhash, "BLOCK", 64)
+    rng = np.random.default_rng(distance)
+    seeds = rng.integers(0, 2**64, 300, np.uint64)
+    crowded = np.uint64(0xABCD << 48) | rng.integers(0, 2**20, 700, np.uint64)
+    prints = [seeds, crowded, np.array([0, 2**64 - 1], np.uint64)]
+    for _ in range(4):
+        flips = np.zeros(len(prints[-1] if len(prints[-1]) > 2 else seeds), np.uint64)
+        for _ in range(distance):
+            flips |= np.uint64(1) << rng.integers(0, 64, len(flips), np.uint64)
+        prints.append((prints[-1] if len(prints[-1]) > 2 else seeds) ^ flips)
+    prints = np.unique(np.concatenate(prints))
+    table = spark.createDataFrame([(int(x),) for x in prints.view(np.int64)], "print bigint")
+    links = simhash._links(simhash._blocks(table, distance), distance).collect()
+    place = {int(x): k for k, x in enumerate(prints.view(np.int64))}
+    got, want = np.arange(len(prints)), np.arange(len(prints))
+    simhash.merge(got, np.array([place[r.a] for r in links], int), np.array([place[r.b] for r in links], int))
+    i, j = np.nonzero(np.bitwise_count(prints[:, None] ^ prints[None]) <= distance)
+    simhash.merge(want, i, j)
+    assert (got == want).all()

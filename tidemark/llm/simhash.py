@@ -6,10 +6,12 @@ nodes above. A node keeps the bits all its fingerprints share, as a mask and a
 pattern, so the differences of two nodes on bits both fix are a lower bound for
 every pair below them: if there are too many, both groups are left out at once.
 
-The sorted fingerprints are cut into blocks. A directory with the root of every
-block says which blocks can hold partners at all; such pairs of blocks are the
-tasks of the join. A task returns a spanning forest of the links it finds, never
-the links themselves, and components of the forests are found in Spark.
+The index is built once for each rotation that brings one of ``distance + 1`` parts
+of the bits to the top: prints that close have one part in common, and in that
+rotation lie under one node. So sorted prints are cut into blocks between nodes, and
+a block is compared with itself; blocks meet only where they hold parts of one node,
+and only if their roots allow it. What is returned is a spanning forest of the links
+found, never the links themselves, and components of the forests are found in Spark.
 """
 
 from __future__ import annotations
@@ -29,15 +31,11 @@ from tidemark.scratch import materialise
 SEED = 42
 LEAF = 8
 FANOUT = 4
-# fingerprints in a block, and the most blocks the directory may have; beyond
-# that blocks grow, so the directory sent to every task stays below 2 MB
+# fingerprints in a block
 BLOCK = 8192
-MAX_BLOCKS = 65_536
 # node pairs looked at in one numpy step
 STEP = 1 << 16
 GRAMS_AT_ONCE = 1 << 15
-# of copies of a block made at once for its partners
-SENT_BYTES = 16 << 20
 
 
 # --- fingerprints ------------------------------------------------------------
@@ -192,80 +190,154 @@ def forest(left: np.ndarray, right: np.ndarray | None, distance: int):
     return everything[linked], everything[labels[linked]]
 
 
-def _blocks(prints: DataFrame) -> DataFrame:
-    """Gray-ordered distinct fingerprints cut into blocks with their root node."""
-    total = prints.count()
-    size = max(BLOCK, -(-total // MAX_BLOCKS))
-    parts = max(1, -(-total // (8 * size)))
+def turned(bits: Column, by: int) -> Column:
+    """A bit string rotated to the left."""
+    return F.shiftleft(bits, by).bitwiseOR(F.shiftrightunsigned(bits, 64 - by))
+
+
+class _Packer:
+    """Cuts a sorted run of ranks into blocks that end where nodes do.
+
+    A node that may go on in another task, the first or last of this one, or that is
+    larger than a block, lies in blocks of its own, which carry its number.
+    """
+
+    def __init__(self, width: int):
+        self.shift = np.uint64(64 - width)
+        self.turn = np.empty(0, np.int32)
+        self.rank = np.empty(0, np.uint64)
+        self.first = True
+
+    def _block(self, first: int, last: int, own: bool) -> dict:
+        rank = self.rank[first:last]
+        prints = rank ^ (rank >> np.uint64(1))
+        ones, anys = np.bitwise_and.reduce(prints), np.bitwise_or.reduce(prints)
+        return {
+            "turn": int(self.turn[first]),
+            "node": int((rank[0] >> self.shift).astype(np.int64)) if own else None,
+            "prints": prints.tobytes(),
+            "pattern": int(ones.view(np.int64)),
+            "mask": int((~(ones ^ anys)).view(np.int64)),
+        }
+
+    def add(self, turn: np.ndarray, rank: np.ndarray, last: bool) -> Iterator[dict]:
+        """Blocks of what is complete; the node that the input ends in is kept back."""
+        self.turn = np.concatenate([self.turn, turn])
+        self.rank = np.concatenate([self.rank, rank])
+        if not len(self.rank):
+            return
+        node = self.rank >> self.shift
+        opens = (np.diff(node, prepend=~node[:1]) != 0) | (np.diff(self.turn, prepend=-1) != 0)
+        edges = np.append(np.flatnonzero(opens), len(node))
+        whole = len(edges) - 2  # the last node is not known to be complete
+        at = 0
+        while at < whole:
+            start = edges[at]
+            # nodes that fit a block and are of one rotation
+            end = int(np.searchsorted(edges, start + BLOCK, "right")) - 1
+            end = min(max(end, at + 1), whole)
+            same = self.turn[edges[at:end]] == self.turn[start]
+            end = at + (len(same) if same.all() else int(same.argmin()))
+            if self.first or edges[at + 1] - start > BLOCK:
+                end = at + 1
+            own = self.first or edges[end] - start > BLOCK
+            yield from self._cut(start, edges[end], own)
+            self.first, at = False, end
+        start = edges[at]
+        if last:
+            yield from self._cut(start, len(node), True)
+            start = len(node)
+        elif len(node) - start > 2 * BLOCK:
+            # the beginning of a large node
+            yield self._block(start, start + BLOCK, True)
+            start += BLOCK
+        self.turn, self.rank = self.turn[start:], self.rank[start:]
+
+    def _cut(self, start: int, end: int, own: bool) -> Iterator[dict]:
+        for first in range(start, end, BLOCK):
+            yield self._block(first, min(first + BLOCK, end), own)
+
+
+def _blocks(prints: DataFrame, distance: int) -> DataFrame:
+    """The index: distinct fingerprints in every rotation, Gray-ordered, in blocks.
+
+    A rotation brings one of ``distance + 1`` parts of the bits to the top. Prints
+    ``distance`` bits apart have an equal part, so in that rotation they lie under
+    one node of the highest level, and only blocks of one node can be partners.
+    """
+    parts, width = distance + 1, 64 // (distance + 1)
+    tasks = max(1, -(-prints.count() * parts // (8 * BLOCK)))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.empty(0, np.int64)
+        packer = _Packer(width)
         for batch in batches:
-            held = np.concatenate([held, batch.column(0).to_numpy()])
-            while len(held) >= size:
-                yield packed(held[:size])
-                held = held[size:]
-        if len(held):
-            yield packed(held)
-
-    def packed(part: np.ndarray) -> pa.RecordBatch:
-        ones, anys = np.bitwise_and.reduce(part), np.bitwise_or.reduce(part)
-        return pa.RecordBatch.from_pydict(
-            {"prints": [part.tobytes()], "pattern": [ones], "mask": [~(ones ^ anys)]}
-        )
-
-    rank = gray_rank(F.col("print"))
+            turn, rank = (batch.column(k).to_numpy() for k in range(2))
+            for block in packer.add(turn, rank.view(np.uint64), False):
+                yield pa.RecordBatch.from_pylist([block], _BLOCK)
+        for block in packer.add(np.empty(0, np.int32), np.empty(0, np.uint64), True):
+            yield pa.RecordBatch.from_pylist([block], _BLOCK)
+
+    every = [
+        F.struct(F.lit(k).alias("turn"), gray_rank(turned(F.col("print"), k * width)).alias("rank"))
+        for k in range(parts)
+    ]
     ordered = (
-        prints.select("print", rank.alias("rank"))
-        .repartitionByRange(parts, "rank")
-        .sortWithinPartitions("rank")
-        .select("print")
+        prints.select(F.inline(F.array(*every)))
+        .repartitionByRange(tasks, "turn", "rank")
+        .sortWithinPartitions("turn", "rank")
+    )
+    rows = ordered.mapInArrow(
+        pack, "turn int, node bigint, prints binary, pattern bigint, mask bigint"
     )
-    rows = ordered.mapInArrow(pack, "prints binary, pattern bigint, mask bigint")
     return materialise(
         rows.withColumn("block", F.monotonically_increasing_id()), "gray-index"
     )
 
 
+_BLOCK = pa.schema(
+    [
+        ("turn", pa.int32()),
+        ("node", pa.int64()),
+        ("prints", pa.binary()),
+        ("pattern", pa.int64()),
+        ("mask", pa.int64()),
+    ]
+)
+
+
 def _links(blocks: DataFrame, distance: int) -> DataFrame:
-    """Forests of the links within and between blocks, as ``a, b``."""
-    roots = blocks.select("block", "pattern", "mask").toArrow()  # at most MAX_BLOCKS rows
-    ids = roots["block"].to_numpy()
-    pattern, mask = roots["pattern"].to_numpy(), roots["mask"].to_numpy()
+    """Forests of the links within blocks, and between blocks of one node, as ``a, b``."""
+    width = 64 // (distance + 1)
 
-    def partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, prints in zip(batch.column(0).to_pylist(), batch.column(1)):
-                place = np.flatnonzero(ids == block)[0]
-                apart = (pattern ^ pattern[place]) & mask & mask[place]
-                partner = ids[np.bitwise_count(apart) <= distance]
-                at_once = max(1, SENT_BYTES // len(prints.as_py()))
-                for start in range(0, len(partner), at_once):
-                    near = partner[start : start + at_once]
-                    sent = pa.array([prints.as_py()] * len(near), pa.binary())
-                    yield pa.RecordBatch.from_pydict(
-                        {
-                            "low": np.minimum(near, block),
-                            "high": np.maximum(near, block),
-                            "block": np.full(len(near), block),
-                            "prints": sent,
-                        }
-                    )
-
-    def join(key: tuple, table: pa.Table) -> pa.Table:
-        sides = dict(zip(table["block"].to_pylist(), table["prints"].to_pylist()))
-        arrays = [np.frombuffer(sides[k], np.int64) for k in sorted(sides)]
-        a, b = forest(arrays[0], arrays[1] if len(arrays) > 1 else None, distance)
-        return pa.table({"a": pa.array(a), "b": pa.array(b)})
-
-    tasks = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = (
-        blocks.select("block", "prints")
-        .repartition(tasks, "block")
-        .mapInArrow(partners, "low bigint, high bigint, block bigint, prints binary")
-        .repartition(tasks, "low", "high")
+            for turn, *sides in zip(*(column.to_pylist() for column in batch.columns)):
+                arrays = [np.frombuffer(side, np.uint64) for side in sides]
+                found = forest(arrays[0], arrays[1] if len(arrays) > 1 else None, distance)
+                back, ahead = np.uint64(turn * width), np.uint64(64 - turn * width)
+                a, b = (x >> back | x << ahead if turn else x for x in found)
+                yield pa.RecordBatch.from_pydict({"a": a.view(np.int64), "b": b.view(np.int64)})
+
+    within = blocks.select("turn", "prints").mapInArrow(join, "a bigint, b bigint")
+    shared = blocks.where("node IS NOT NULL")
+    roots = shared.select("turn", "node", "block", "pattern", "mask")
+    low, high = (
+        roots.select("turn", "node", *[F.col(c).alias(f"{c}_{k}") for c in ("block", "pattern", "mask")])
+        for k in "ab"
+    )
+    apart = F.col("pattern_a").bitwiseXOR(F.col("pattern_b"))
+    apart = F.bit_count(apart.bitwiseAND(F.col("mask_a")).bitwiseAND(F.col("mask_b")))
+    pairs = low.join(high, ["turn", "node"]).where(
+        (F.col("block_a") < F.col("block_b")) & (apart <= distance)
     )
-    return pairs.groupBy("low", "high").applyInArrow(join, "a bigint, b bigint")
+    pairs = materialise(pairs.select("turn", "block_a", "block_b"), "block-pairs")
+    sides = [
+        shared.select(F.col("block").alias(f"block_{k}"), F.col("prints").alias(f"prints_{k}"))
+        for k in "ab"
+    ]
+    both = pairs.join(sides[0], "block_a").join(sides[1], "block_b")
+    between = both.select("turn", "prints_a", "prints_b").mapInArrow(join, "a bigint, b bigint")
+    return within.unionByName(between)
 
 
 # --- operator ----------------------------------------------------------------
@@ -291,7 +363,8 @@ def near_duplicates(
     prints = materialise(fingerprints(docs, id_col, text_col, words), "fingerprints")
     classes = prints.groupBy("print").agg(F.min("id").alias("first"))
     classes = materialise(classes, "fingerprint-classes")
-    roots = components(_links(_blocks(classes.select("print")), distance))
+    index = _blocks(classes.select("print"), distance)
+    roots = components(_links(index, distance))
     rooted = classes.join(
         roots.withColumnRenamed("node", "print"), "print", "left"
     ).select("print", "first", F.coalesce("root", "print").alias("root"))
