@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.cleaning import BATCH
 from tidemark.operators.feed import change_feed, taken
-from tidemark.operators.history import apply_changes
+from tidemark.operators.history import END, START, apply_changes
 from tidemark.operators.quality import expect_all_or_drop, expectation_counts
 from tidemark.scratch import materialise, names_in
 from tidemark.sources.tables import (
@@ -123,8 +123,11 @@ def create_history_table(
     spark = changes.sparkSession
     if table_exists(spark, table):
         return
-    empty = apply_changes(None, empty_like(spark, changes.schema), keys, sequence_by)
-    publish_buckets(empty, table, keys, buckets)
+    empty = empty_like(spark, changes.schema).withColumn(START, F.col(sequence_by))
+    if sequence_by not in keys:
+        empty = empty.drop(sequence_by)
+    open_end = F.lit(None).cast(empty.schema[START].dataType)
+    publish_buckets(empty.withColumn(END, open_end), table, keys, buckets)
 
 
 def merge_changes(batch: DataFrame, table: str, keys: Sequence[str], sequence_by: str) -> list[int]:
