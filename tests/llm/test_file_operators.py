@@ -341,3 +341,24 @@ def test_toxicity_of_awkward_rows(spark):
     nothing = toxicity.fit(docs, marks.where("toxic = 0"), F.lit(True))
     assert nothing is None
     assert toxicity.score(docs, nothing).agg(F.max("score")).first()[0] == 0
+
+
+def test_toxicity_learns_from_long_texts_too(spark, monkeypatch):
+    """No labelled text is left out for its length: passages of it are learned from."""
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 400)
+    monkeypatch.setattr(toxicity, "PASSAGE", 300)
+    calm, rude = "the quiet river runs along old green hills ", "you vile stupid hateful rotten idiots "
+    rows = [(k, (rude if k % 2 else calm) * 40, "x") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id bigint, toxic int")
+    net = toxicity.fit(docs, labels, F.col("doc_id") < 40)
+    found = {r["doc_id"]: r["score"] for r in toxicity.score(docs, net).collect()}
+    assert all((found[k] >= 0.3) == bool(k % 2) for k in range(60))
+
+
+def test_neighbouring_windows_share_half():
+    assert toxicity.STRIDE <= toxicity.WINDOW // 2
+    for words in (1, 63, 64, 65, 500):
+        spans = list(toxicity.windows(words))
+        assert spans[0][0] == 0 and spans[-1][1] == words
+        assert all(b[0] - a[0] <= toxicity.STRIDE for a, b in zip(spans, spans[1:]))

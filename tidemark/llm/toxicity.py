@@ -25,14 +25,15 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.batches import slices
 
-WINDOW, STRIDE = 64, 48
+WINDOW, STRIDE = 64, 32
 HIDDEN, EMBEDDED = 8, 6
 BUCKETS = 1 << 18
 GRAMS = (3, 4)
 # longer words are read in parts, so that n-grams cover every character
 LONGEST = 24
-# labelled documents the network is fitted on, at most about, and the longest of them
-TOXIC_SAMPLE, OTHER_SAMPLE, SAMPLE_BYTES = 1500, 3000, 40_000
+# labelled documents the network is fitted on, at most about, and the longest that is
+# taken whole: of a longer one a passage of so many characters is taken
+TOXIC_SAMPLE, OTHER_SAMPLE, SAMPLE_BYTES, PASSAGE = 1500, 3000, 40_000, 20_000
 # rounds of training, more for few documents until there are enough steps
 ROUNDS, LEAST_STEPS, RATE, BATCH = 4, 300, 0.01, 128
 QUIET_WINDOWS = 4  # of a training document that is not toxic
@@ -378,9 +379,10 @@ def fit(
 ) -> Network | None:
     """Fit on labelled rows where ``train_rows`` (over the id column) holds.
 
-    At most about ``TOXIC_SAMPLE`` toxic and ``OTHER_SAMPLE`` other documents of at
-    most ``SAMPLE_BYTES`` each are drawn by a hash of their ids and brought to the
-    driver. None is returned if one of the two classes has no document with words.
+    At most about ``TOXIC_SAMPLE`` toxic and ``OTHER_SAMPLE`` other documents are
+    drawn by a hash of their ids and brought to the driver, of those of more than
+    ``SAMPLE_BYTES`` a passage of ``PASSAGE`` characters at a place that a hash gives.
+    None is returned if one of the two classes has no document with words.
     """
     label = F.max(F.col(label_col).cast("int")).alias("_label")
     known = labels.where(train_rows & F.col(label_col).isNotNull())
@@ -394,10 +396,15 @@ def fit(
     draw = F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) / 1_000_000
     # bounded by the sample sizes, so that no other document's text is moved
     drawn = F.broadcast(known.where(draw < share))
+    places = F.greatest(F.char_length("_text") - PASSAGE, F.lit(0)) + 1
+    start = F.pmod(F.xxhash64("_id", F.lit(SEED)), places).cast("int") + 1
+    passage = F.substring(F.col("_text"), start, F.lit(PASSAGE))
+    whole = F.octet_length("_text") <= SAMPLE_BYTES
     rows = (
         docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-        .where(F.octet_length("_text") <= SAMPLE_BYTES)
+        .where(F.col("_text").isNotNull())
         .join(drawn, "_id")
+        .withColumn("_text", F.when(whole, F.col("_text")).otherwise(passage))
         .select("_id", "_text", "_label")
         .collect()
     )
