@@ -58,7 +58,7 @@ def documents(spark):
 
 def test_queries_equal_sql(spark):
     con = duckdb.connect()
-    for name in ("documents", "pages", "benchmark", "labels"):
+    for name in ("documents", "pages", "benchmark", "labels", "embeddings"):
         con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{DATA}/{name}.parquet'")
     for name, sql in ORACLE.items():
         got = QUERIES[name](spark, DATA).toArrow()
