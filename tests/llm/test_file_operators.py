@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import io
+import random
 import re
 import time
 import zlib
@@ -96,6 +97,25 @@ def test_inflating_many_members_and_damage():
         list(warc.records(io.BytesIO(data[:-20])))
     with pytest.raises(ValueError):
         warc._read(whole.replace(b"body", b"bodi"))
+    assert list(warc.records(io.BytesIO(gzip.compress(b"")))) == []
+
+
+def test_inflating_a_long_record_takes_linear_time_and_bounded_steps():
+    def seconds(size):
+        body = random.Random(1).randbytes(1 << 20) * (size >> 20)
+        whole = warc.record(1, "u", body, hashlib.sha1(body).hexdigest(), None, False)
+        packed = io.BytesIO(gzip.compress(whole, 0))
+        began = time.perf_counter()
+        assert [len(r) for _, r in warc.records(packed)] == [len(whole)]
+        return time.perf_counter() - began
+
+    # four times the bytes; copying all for each chunk takes sixteen times as long
+    assert seconds(96 << 20) < 10 * max(seconds(24 << 20), 0.05)
+    stream = warc.Inflated(io.BytesIO(gzip.compress(bytes(64 << 20))))
+    while not stream.inflater.eof:
+        before = len(stream.held)
+        stream._more()
+        assert len(stream.held) - before <= warc.CHUNK
 
 
 # --- shards ------------------------------------------------------------------

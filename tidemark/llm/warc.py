@@ -30,6 +30,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 GZIP = 31  # window bits that ask zlib for gzip members
 FILE_BYTES = 64 << 20  # of payload in an archive
 CHUNK = 1 << 18
+# archives that one task normalises, once every core has one
+TASK_FILES = 16
 # payloads of fewer bytes are always written in full
 LEAST_REVISIT = 1000
 
@@ -111,42 +113,47 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
 
 
 class Inflated:
-    """A gzip file of one or many members as one stream of bytes, read once."""
+    """A gzip file of one or many members as one stream of bytes, read once.
+
+    What is held grows at its end and is cut at its front, so a record of any length
+    is copied once; at most ``CHUNK`` bytes are inflated at a time.
+    """
 
     def __init__(self, source: BinaryIO):
-        self.source, self.held, self.at = source, b"", 0
-        self.inflater, self.ended = zlib.decompressobj(GZIP), False
+        self.source, self.held = source, bytearray()
+        self.inflater, self.waiting = zlib.decompressobj(GZIP), b""
 
     def _more(self) -> bool:
-        data = self.inflater.unused_data if self.inflater.eof else b""
+        data = self.waiting or self.source.read(CHUNK)
         if self.inflater.eof:
-            data = data or self.source.read(CHUNK)
             if not data:
                 return False
             self.inflater = zlib.decompressobj(GZIP)
-        else:
-            data = self.source.read(CHUNK)
-            if not data:
-                raise EOFError("the gzip stream ends inside a member")
-        self.held = self.held[self.at :] + self.inflater.decompress(data)
-        self.at = 0
+        elif not data:
+            raise EOFError("the gzip stream ends inside a member")
+        self.held += self.inflater.decompress(data, CHUNK)
+        ended = self.inflater.eof
+        self.waiting = self.inflater.unused_data if ended else self.inflater.unconsumed_tail
         return True
 
     def until(self, mark: bytes) -> bytes | None:
         """Bytes up to and with ``mark``; None at the end of the stream."""
-        while (found := self.held.find(mark, self.at)) < 0:
+        searched = 0
+        while (found := self.held.find(mark, searched)) < 0:
+            searched = max(0, len(self.held) - len(mark) + 1)
             if not self._more():
-                if self.held[self.at :].strip():
+                if self.held.strip():
                     raise EOFError("the stream ends inside a record")
                 return None
-        return self.take(found + len(mark) - self.at)
+        return self.take(found + len(mark))
 
     def take(self, size: int) -> bytes:
-        while len(self.held) - self.at < size:
+        while len(self.held) < size:
             if not self._more():
                 raise EOFError("the stream ends inside a record")
-        self.at += size
-        return self.held[self.at - size : self.at]
+        taken = bytes(memoryview(self.held)[:size])
+        del self.held[:size]
+        return taken
 
 
 def records(source: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -183,7 +190,9 @@ def normalise(files: DataFrame, folder: str) -> DataFrame:
                 columns = list(zip(*rows)) or [[]] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
-    spread = files.select("path").repartition(max(1, files.count()))
+    count, cores = files.count(), files.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(count, cores), -(-count // TASK_FILES))
+    spread = files.select("path").repartition(tasks)
     schema = "path string, offset bigint, length bigint, record_id string, record_type string"
     return spread.mapInArrow(run, schema)
 
