@@ -11,6 +11,7 @@ from collections import defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import xxhash
@@ -371,14 +372,42 @@ def check_packed(rows, tokens, capacity=2048):
             assert offset == at
             at += length
         assert at <= capacity
-    return sum(map(len, tokens.values())) / (capacity * len(by_window))
+    fills = [sum(length for _, length in pieces) for pieces in by_window.values()]
+    room = sum(n if n & (n - 1) == 0 else capacity for n in fills)
+    return sum(map(len, tokens.values())) / room
 
 
 def test_packing_holds_every_id_once(spark, documents):
     found = QUERIES["op5_packing"](spark, DATA).collect()
     reader = Tokenizer.from_file(TOKENIZER)
     tokens = {k: reader.encode(t, add_special_tokens=False).ids + [1] for k, t in documents.items()}
-    assert check_packed(found, tokens) > 0.95
+    assert check_packed(found, tokens) > 0.97
+    # tasks of three documents
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").repartition(67, "doc_id")
+    found = packing.pack(docs, TOKENIZER).withColumn("ids_crc32", F.crc32("ids")).collect()
+    assert check_packed(found, tokens) > 0.97
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_the_end_of_a_task_is_filled(seed):
+    """Any ids over any pieces: whole windows, then powers of two, no id lost."""
+    rng = np.random.default_rng(seed)
+    capacity = [64, 64, 100, 64, 1, 2048][seed]
+    docs = [rng.integers(1, 99, n, dtype="<u4").tobytes() for n in rng.integers(1, 400, 1 + 9 * seed)]
+    pieces = packing._pieces(pa.array(range(len(docs))), docs, capacity, max(1, capacity // 4))
+    found = packing._packed_end(pieces, capacity).to_pylist()
+    rows = [
+        {"doc_id": r["id"], "ids_crc32": zlib.crc32(r["ids"]), **r} for r in found
+    ]
+    tokens = {k: np.frombuffer(d, "<u4").tolist() for k, d in enumerate(docs)}
+    check_packed(rows, tokens, capacity)
+    fills = defaultdict(int)
+    for r in found:
+        fills[r["sequence_id"]] += r["length"]
+    whole = sum(map(len, docs)) // 4 // capacity
+    ends = [n for k, n in sorted(fills.items()) if k >= whole]
+    assert all(n == capacity or n & (n - 1) == 0 for n in ends)
+    assert packing.end_sizes(3000, 2048) == [2048, 512, 256, 128, 32, 16, 8]
 
 
 def test_packing_of_awkward_rows(spark):

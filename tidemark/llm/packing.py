@@ -6,7 +6,8 @@ time are packed by the Karmarkar-Karp method for many sets: partial partitions
 start with one piece each; the two with the largest imbalance are merged, the
 largest sum of one with the smallest of the other, until one partition is left. Its
 sums are the windows. If one exceeds the capacity, there are more windows and the
-differencing starts again.
+differencing starts again. The last pieces of a task make as many windows as they fill,
+and what does not fit goes to windows of powers of two ids.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -276,8 +278,11 @@ PIECES = (
 )
 
 
-def _pack(ids: list, tokens: list[bytes], capacity: int, piece: int, first: int):
-    """Pieces of some documents with their places, and how many sequences they fill."""
+NAMES = ["id", *(column.split()[0] for column in PIECES.split(", "))]
+
+
+def _pieces(ids: pa.Array, tokens: list[bytes], capacity: int, piece: int) -> pa.RecordBatch:
+    """``id, start, length, ids, doc_tokens`` of the pieces of some documents."""
     doc, start, size = [], [], []
     for number, held in enumerate(tokens):
         at = 0
@@ -286,36 +291,98 @@ def _pack(ids: list, tokens: list[bytes], capacity: int, piece: int, first: int)
             start.append(at)
             size.append(length)
             at += length
-    doc, start, size = np.array(doc), np.array(start), np.array(size)
-    sequence = np.empty(len(size), np.int64)
-    full = size == capacity
-    sequence[full] = np.arange(full.sum())
-    used = int(full.sum())
-    parts = np.flatnonzero(~full)
-    for part in np.array_split(parts, max(1, -(-len(parts) // GROUP))):
-        if len(part):
-            owner = pack_sizes(size[part], capacity)
-            sequence[part] = used + owner
-            used += int(owner.max()) + 1
-    # places inside a sequence: the pieces before it there
-    order = np.lexsort((start, doc, sequence))
+    parts = [tokens[d][4 * s : 4 * (s + n)] for d, s, n in zip(doc, start, size)]
+    columns = [
+        ids.take(pa.array(doc, pa.int64())),
+        pa.array(start, pa.int64()),
+        pa.array(size, pa.int64()),
+        pa.array(parts, pa.binary()),
+        pa.array([len(tokens[d]) // 4 for d in doc], pa.int64()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, NAMES[:5])
+
+
+def _sizes(pieces: pa.RecordBatch) -> np.ndarray:
+    return pieces.column(2).to_numpy()
+
+
+def _placed(pieces: pa.RecordBatch, sequence: np.ndarray) -> pa.RecordBatch:
+    """Pieces with their sequences and places in them: behind the pieces before there."""
+    size = _sizes(pieces)
+    order = np.argsort(sequence, kind="stable")
     running = np.cumsum(size[order]) - size[order]
     opens = np.flatnonzero(np.diff(sequence[order], prepend=-1))
     offset = np.empty(len(size), np.int64)
-    offset[order] = running - np.repeat(
-        running[opens], np.diff(np.append(opens, len(order)))
+    offset[order] = running - np.repeat(running[opens], np.diff(np.append(opens, len(order))))
+    return pa.RecordBatch.from_arrays(
+        [*pieces.columns, pa.array(sequence), pa.array(offset)], NAMES
     )
-    pieces = [tokens[d][4 * s : 4 * (s + n)] for d, s, n in zip(doc, start, size)]
+
+
+def _split(pieces: pa.RecordBatch, edges: list[int]) -> pa.RecordBatch:
+    """The same ids in the same order, cut at every edge (a number of ids) too."""
+    size = _sizes(pieces)
+    ends = np.cumsum(size)
+    cuts = np.union1d(ends, np.array(edges, np.int64))
+    cuts = cuts[cuts > 0]
+    starts = np.concatenate([[0], cuts[:-1]])
+    owner = np.searchsorted(ends, starts, side="right")
+    inside = starts - (ends - size)[owner]
+    length = cuts - starts
+    held = pieces.column(3).take(pa.array(owner)).to_pylist()
     columns = [
-        ids.take(pa.array(doc)),
-        pa.array(start),
-        pa.array(size),
-        pa.array(pieces, pa.binary()),
-        pa.array([len(tokens[d]) // 4 for d in doc.tolist()], pa.int64()),
-        pa.array(first + sequence),
-        pa.array(offset),
+        pieces.column(0).take(pa.array(owner)),
+        pa.array(pieces.column(1).to_numpy()[owner] + inside),
+        pa.array(length),
+        pa.array([h[4 * i : 4 * (i + n)] for h, i, n in zip(held, inside, length)], pa.binary()),
+        pieces.column(4).take(pa.array(owner)),
     ]
-    return columns, used
+    return pa.RecordBatch.from_arrays(columns, NAMES[:5])
+
+
+def end_sizes(total: int, capacity: int) -> list[int]:
+    """Full windows, then windows of falling powers of two, for ``total`` ids."""
+    whole, rest = divmod(total, capacity)
+    powers = [1 << bit for bit in reversed(range(rest.bit_length())) if rest >> bit & 1]
+    return [capacity] * whole + powers
+
+
+def _packed_end(pieces: pa.RecordBatch, capacity: int) -> pa.RecordBatch:
+    """The last pieces of a task, cut further, with sequences from 0 and places.
+
+    As many windows as the ids fill are made by differencing. What is over, and what a
+    window holds beyond the capacity, goes to windows of the sizes that ``end_sizes``
+    names, which need no padding.
+    """
+    count = int(_sizes(pieces).sum()) // capacity
+    pieces = _split(pieces, [count * capacity])
+    inside = np.cumsum(_sizes(pieces)) <= count * capacity
+    inner, over = pieces.filter(pa.array(inside)), [pieces.filter(pa.array(~inside))]
+    placed = []
+    if count:
+        owner = difference(_sizes(inner).tolist(), count)[1]
+        sums = np.bincount(owner, _sizes(inner), count).astype(np.int64)
+        opens = np.cumsum(sums) - sums
+        inner = inner.take(pa.array(np.argsort(owner, kind="stable")))
+        inner = _split(inner, (opens + np.minimum(sums, capacity)).tolist())
+        begins = np.cumsum(_sizes(inner)) - _sizes(inner)
+        window = np.searchsorted(opens, begins, side="right") - 1
+        fits = begins - opens[window] < capacity
+        placed.append(_placed(inner.filter(pa.array(fits)), window[fits]))
+        over.append(inner.filter(pa.array(~fits)))
+    rest = _together(over)
+    if rest is not None:
+        edges = np.cumsum(end_sizes(int(_sizes(rest).sum()), capacity))
+        rest = _split(rest, edges.tolist())
+        window = np.searchsorted(edges, np.cumsum(_sizes(rest)))
+        placed.append(_placed(rest, count + window))
+    return _together(placed)
+
+
+def _together(batches: list[pa.RecordBatch]) -> pa.RecordBatch | None:
+    """One batch of all; None if there is no row."""
+    found = pa.Table.from_batches(batches).combine_chunks().to_batches() if batches else []
+    return found[0] if found and found[0].num_rows else None
 
 
 def pack(
@@ -339,25 +406,38 @@ def pack(
     worker keeps the ids of up to ``remembered`` words and as many older ones; fewer
     take less memory and more time, and change no result.
 
-    The batches of a scan task are packed each for itself, so no row is shuffled:
-    documents share windows with those read beside them, and each batch costs
-    half a window of padding. A sequence's number is the task's and a count.
+    The rows of a scan task are packed with each other, so no row is shuffled:
+    documents share windows with those read near them. Rests wait, over batches, until
+    there are ``GROUP`` pieces; the last ones of a task end in windows of powers of two
+    ids. A sequence's number is the task's and a count.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary"))
     kind = rows.schema["id"].dataType.simpleString()
     last = np.array([end_id], "<u4").tobytes()
-    names = ["id", *(column.split()[0] for column in PIECES.split(", "))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer, remembered).encode
-        first = TaskContext.get().partitionId() << 40
+        used = TaskContext.get().partitionId() << 40
+        waiting: list[pa.RecordBatch] = []
         for batch in batches:
             for held in slices(batch, PACKED_BYTES):
                 tokens: list[bytes] = []
                 for part in slices(held, ENCODED_BYTES):
                     tokens += [t + last for t in encode(part.column(1).to_pylist())]
-                columns, used = _pack(held.column(0), tokens, capacity, piece, first)
-                first += used
-                yield pa.RecordBatch.from_arrays(columns, names)
+                pieces = _pieces(held.column(0), tokens, capacity, piece)
+                full = _sizes(pieces) == capacity
+                yield _placed(pieces.filter(pa.array(full)), used + np.arange(full.sum()))
+                used += int(full.sum())
+                waiting.append(pieces.filter(pa.array(~full)))
+                while sum(map(len, waiting)) >= GROUP:
+                    rests = _together(waiting)
+                    group, waiting = rests.slice(0, GROUP), [rests.slice(GROUP)]
+                    owner = pack_sizes(_sizes(group), capacity)
+                    yield _placed(group, used + owner)
+                    used += int(owner.max()) + 1
+        if (rests := _together(waiting)) is not None:
+            end = _packed_end(rests, capacity)
+            sequence = pc.add(end.column(5), used)
+            yield end.set_column(5, "sequence_id", sequence)
 
     return rows.mapInArrow(run, f"id {kind}, {PIECES}").withColumnRenamed("id", id_col)
