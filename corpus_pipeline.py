@@ -2,6 +2,10 @@
 
 Every stage takes what its predecessor kept, decides over all of it, and hands on
 the rows that stay with all their columns; the last one returns token windows.
+Decisions are about rows, not ids: rows that share an id are decided each for itself,
+of repeated rows one stays, and rows without an id are decided like others. Where
+several rows may stay the one with the smallest id does, and one without only if none
+has an id.
 """
 
 from __future__ import annotations
@@ -10,12 +14,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.exact_dedup import exact_duplicates
-from tidemark.llm.filters import without
+from tidemark.llm.filters import RANKED, ROW, numbered, without
+from tidemark.llm.langid import UNKNOWN, predict
 from tidemark.llm.packing import pack
 from tidemark.llm.phrases import contamination, phrase_matches
-from tidemark.llm.queries import identify_languages
+from tidemark.llm.queries import language_model
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.workers import with_package
 from tidemark.scratch import materialise
@@ -26,26 +32,31 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language; texts without a letter go."""
     with_package(spark)
-    return without(docs, identify_languages(docs).where("lang_pred = 'und'"))
+    docs = numbered(docs)
+    found = predict(docs, language_model(docs), id_col=ROW)
+    return without(docs, found.where(F.col("lang_pred") == UNKNOWN))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of texts equal but for white space."""
-    return without(docs, exact_duplicates(docs).where("NOT kept"))
+    docs = numbered(docs)
+    return without(docs, exact_duplicates(docs, id_col=RANKED).where("NOT kept"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by fingerprints three bits apart."""
     with_package(spark)
-    groups = near_duplicates(docs, words=3, distance=3)
-    return without(docs, groups.where("doc_id <> component_id"))
+    docs = numbered(docs)
+    groups = near_duplicates(docs, id_col=RANKED, words=3, distance=3)
+    return without(docs, groups.where(F.col(RANKED) != F.col("component_id")))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with less than a twentieth of their words from the benchmark."""
     with_package(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    matches = phrase_matches(docs, items, window=13)
+    docs = numbered(docs)
+    matches = phrase_matches(docs, items, id_col=ROW, window=13)
     return without(docs, contamination(matches, share=20).where("contaminated"))
 
 

@@ -77,15 +77,18 @@ def remainder(column: str, of: int) -> Column:
 @query
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return identify_languages(docs).select("doc_id", "held_out", "lang_pred", "score")
+    found = langid.predict(docs, language_model(docs)).withColumn("held_out", in_language_test())
+    return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
-def identify_languages(docs: DataFrame) -> DataFrame:
-    """Predictions by a model fitted on two thirds of the labelled rows."""
-    held_out = remainder("doc_id", 3) == 1
+def in_language_test() -> Column:
+    return remainder("doc_id", 3) == 1
+
+
+def language_model(docs: DataFrame) -> langid.Model:
+    """A model fitted on two thirds of the labelled rows."""
     vocabulary = public_tokenizers.path("piece_bpe_32k.model")
-    model = langid.fit(docs, vocabulary, ~held_out)
-    return langid.predict(docs, model).withColumn("held_out", held_out)
+    return langid.fit(docs, vocabulary, ~in_language_test())
 
 
 @query
