@@ -14,6 +14,20 @@ SELECT doc_id,
        sha256(body) AS text_sha256
 FROM normal
 WINDOW longest AS (PARTITION BY body ORDER BY size DESC, doc_id)
+""",
+    "op2_warc": """
+WITH bodies AS (
+    SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS payload_bytes
+    FROM pages
+), named AS (
+    SELECT *, max(page_id) OVER (PARTITION BY body) AS largest FROM bodies
+), decided AS (
+    SELECT *, payload_bytes >= 1000 AND page_id <> largest AS revisit FROM named
+)
+SELECT page_id, payload_bytes, sha1(body) AS payload_digest,
+       CASE WHEN revisit THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN revisit THEN largest END AS refers_to
+FROM decided
 """,
     "op11_line_dedup": r"""
 WITH split AS (
