@@ -170,8 +170,17 @@ def test_shards_of_the_documents_table(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     found = QUERIES["op7_sharding"](spark, DATA).collect()
-    check_shards(found, texts, 40)
+    weights = check_shards(found, texts, 40)
     assert {r["law"] for r in found} == {"bytes"} and len(found) == len(texts)
+    # as near as whole documents allow: no two sums are further apart than two of them
+    assert weights.max() - weights.min() <= 2 * max(r["size"] for r in found)
+
+
+def test_sums_of_shards_approach_each_other_with_more_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    found = sharding.shard(docs, 40).groupBy("shard").agg(F.sum("size").alias("n")).collect()
+    sums = [r["n"] for r in found]
+    assert len(sums) == 40 and max(sums) < 1.05 * min(sums)
 
 
 # --- secrets -----------------------------------------------------------------

@@ -22,7 +22,7 @@ from tidemark.llm import langid, packing, phrases, simhash
 from tidemark.llm.components import components
 from tidemark.llm.exact_dedup import exact_duplicates
 from tidemark.llm.oracle import ORACLE
-from tidemark.llm.queries import QUERIES
+from tidemark.llm.queries import QUERIES, language_model
 from tests.test_queries import comparable
 
 DATA = "/root/testdata/sf0.001"
@@ -317,6 +317,48 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(got, [slow_chance(pieces, chances, w) for w in words])
 
 
+def slow_language(model, text):
+    """Language and score of a text: every word's segmentations summed from its end."""
+    place = {p: k for k, p in enumerate(model.pieces.texts)}
+    likely, words = np.zeros(len(model.langs)), 0
+    for run in re.findall(r"[^\W\d_]+", (text or "").lower()):
+        for first in range(0, len(run), langid.LONGEST_WORD):
+            word = langid.START + run[first : first + langid.LONGEST_WORD]
+            after = [np.ones(len(model.langs))]  # sums of the rests, shortest first
+            for start in range(len(word) - 1, -1, -1):
+                total = langid.FLOOR * after[-1]
+                for end in range(start + 1, len(word) + 1):
+                    if (piece := place.get(word[start:end])) is not None:
+                        total = total + model.chances[piece] * after[len(word) - end]
+                after.append(total)
+            likely += np.log(after[-1])
+            words += 1
+    if not words:
+        return "und", 0.0
+    best = int(likely.argmax())
+    return model.langs[best], 1 / np.exp(likely - likely[best]).sum()
+
+
+def test_language_equals_brute_force(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").where("length(text) < 4000")
+    docs = docs.unionByName(
+        spark.createDataFrame(
+            [(-1, "12 !"), (-2, "x" * 99 + " naïve"), (-3, None), (-4, "日本語 ab1c")],
+            "doc_id bigint, text string",
+        ),
+        allowMissingColumns=True,
+    )
+    model = language_model(docs)
+    found = {r["doc_id"]: r for r in langid.predict(docs, model).collect()}
+    texts = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    assert len(found) == len(texts) > 100
+    for doc, text in texts:
+        lang, score = slow_language(model, text)
+        assert found[doc]["lang_pred"] == lang, doc
+        assert found[doc]["score"] == pytest.approx(score, abs=1e-6), doc
+    assert {r["lang_pred"] for r in found.values()} == {*model.langs, "und"}
+
+
 def test_language_held_out_accuracy(spark):
     labels = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "lang")
     found = QUERIES["op3_language_id"](spark, DATA).join(labels, "doc_id").collect()
