@@ -19,11 +19,13 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm import langid, packing, phrases, simhash
+from tidemark.llm import components as components_module
 from tidemark.llm.components import components
 from tidemark.llm.exact_dedup import exact_duplicates
 from tidemark.llm.oracle import ORACLE
 from tidemark.llm.queries import QUERIES, language_model
 from tests.test_queries import comparable
+from tidemark.scratch import materialise
 
 DATA = "/root/testdata/sf0.001"
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -172,6 +174,31 @@ def test_components_of_a_path_and_a_star(spark):
     assert roots == {k: 1 for k in range(1, 61)} | {k: 100 for k in range(100, 300)}
 
 
+@pytest.mark.parametrize("star", [components_module._large_star, components_module._small_star])
+def test_a_hub_is_split(spark, star):
+    """No aggregate between shuffle and join, so the partition of a hub may be cut."""
+    hub = 0 if star is components_module._large_star else 500_000
+    rows = spark.range(200_000).selectExpr(f"IF(id % 3 < 2, {hub}L, id) AS a", "id + 300000 AS b")
+    links = materialise(rows, "hub-links")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+    }
+    kept = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        found = star(links)
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+    assert "skew=true" in plan
+
+
 # --- phrases -----------------------------------------------------------------
 
 

@@ -15,6 +15,7 @@ def _large_star(links: DataFrame) -> DataFrame:
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("least"))
     least = least.select("a", F.least("a", "least").alias("least"))
+    least = materialise(least, "least")
     return (
         both.where("b > a")
         .join(least, "a")
@@ -26,6 +27,7 @@ def _small_star(links: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are linked to the least of them."""
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("least"))
+    least = materialise(least, "least")
     moved = down.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
     return moved.unionByName(least.select("a", F.col("least").alias("b")))
 
@@ -37,8 +39,9 @@ def components(links: DataFrame) -> DataFrame:
     ignored. Alternates large and small stars until the links no longer change:
     each round is two aggregations and two joins over at most as many rows as
     there are links, and each is written to the shared folder. Least neighbours
-    are aggregated before the shuffle and joins may be split where one node has
-    a large share of the links.
+    are aggregated before the shuffle and written, as are the stars, so both sides
+    of a join come straight from a shuffle of files, and Spark can split the
+    partition of a node that has a large share of the links.
     """
     links = links.select("a", "b").where("a <> b").distinct()
     links = materialise(links, "links")
@@ -46,7 +49,7 @@ def components(links: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         if seen[0] == 0:
             break
-        stars = _large_star(links).distinct()
+        stars = materialise(_large_star(links).distinct(), "stars")
         stars = _small_star(stars).where("a <> b").distinct()
         links = materialise(stars, "links")
         before, seen = seen, _fingerprint(links)
