@@ -63,8 +63,9 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token windows over every document that is left."""
     with_package(spark)
-    # workers still hold memory of earlier stages
-    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), remembered=150_000)
+    # workers still hold memory of earlier stages, and the next run's find theirs
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return pack(docs, tokenizer, remembered=150_000, forget=True)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.batches import slices
+from tidemark.llm.workers import give_back
 from tidemark.scratch import materialise
 
 UNKNOWN = "und"
@@ -308,22 +309,26 @@ def predict(
         model = sent.value
         scorer = Scorer(model.pieces, model.chances)
         names = np.array([*model.langs, UNKNOWN], object)
-        for batch in batches:
-            for part in slices(batch, SCORED_BYTES):
-                texts = part.column(1).cast(pa.string()).to_pylist()
-                found = scorer.score(texts)
-                likely, words = found[:, :-1], found[:, -1]
-                best = np.full(len(texts), len(model.langs))
-                score = np.zeros(len(texts))
-                if model.langs:
-                    known = words > 0
-                    best[known] = likely[known].argmax(axis=1)
-                    apart = likely - likely.max(axis=1, keepdims=True)
-                    score[known] = 1 / np.exp(apart[known]).sum(axis=1)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(names[best], pa.string()), pa.array(score)],
-                    ["id", "lang_pred", "score"],
-                )
+        try:
+            for batch in batches:
+                for part in slices(batch, SCORED_BYTES):
+                    texts = part.column(1).cast(pa.string()).to_pylist()
+                    found = scorer.score(texts)
+                    likely, words = found[:, :-1], found[:, -1]
+                    best = np.full(len(texts), len(model.langs))
+                    score = np.zeros(len(texts))
+                    if model.langs:
+                        known = words > 0
+                        best[known] = likely[known].argmax(axis=1)
+                        apart = likely - likely.max(axis=1, keepdims=True)
+                        score[known] = 1 / np.exp(apart[known]).sum(axis=1)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0), pa.array(names[best], pa.string()), pa.array(score)],
+                        ["id", "lang_pred", "score"],
+                    )
+        finally:
+            scorer.clear()
+            give_back()
 
     found = rows.mapInArrow(run, f"id {kind}, lang_pred string, score double")
     return found.withColumnRenamed("id", id_col)
