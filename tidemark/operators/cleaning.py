@@ -83,7 +83,8 @@ def _falling(column: Column, kind: T.DataType) -> Column:
     elif isinstance(kind, T.DecimalType):
         turned = -column
     elif isinstance(kind, T.FractionalType):
-        turned = F.struct((~F.isnan(column)).alias("number"), (-column).alias("value"))
+        place = F.when(column.isNull(), 2).when(F.isnan(column), 0).otherwise(1)
+        return F.struct(place.cast("byte").alias("place"), (-column).alias("turned"))
     elif isinstance(kind, T.BooleanType):
         turned = ~column
     elif isinstance(kind, T.DateType):
@@ -100,6 +101,22 @@ def _falling(column: Column, kind: T.DataType) -> Column:
     return F.struct(column.isNull().alias("absent"), turned.alias("turned"))
 
 
+def _turned_back(falling: Column, kind: T.DataType) -> Column | None:
+    """The value that ``_falling`` was made of; None for types that cannot be had back."""
+    turned = falling["turned"]
+    if isinstance(kind, T.IntegralType):
+        return F.bitwise_not(turned)
+    if isinstance(kind, (T.DecimalType, T.FractionalType)):
+        return (-turned).cast(kind)
+    if isinstance(kind, T.BooleanType):
+        return ~turned
+    if isinstance(kind, T.DateType):
+        return F.date_from_unix_date(-turned)
+    if isinstance(kind, T.TimestampType):
+        return F.timestamp_micros(-turned)
+    return None
+
+
 def _orderable(kind: T.DataType) -> bool:
     if isinstance(kind, T.StructType):
         return all(_orderable(f.dataType) for f in kind.fields)
@@ -114,22 +131,26 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Preference) -> DataFra
     Columns not named break ties, so the surviving row never depends on
     partitioning. It is the least row of its key, which Spark finds by partial
     aggregation: copies of a hot key leave a map task as one row. Columns that have
-    no order, such as maps, are compared by their JSON text.
+    no order, such as maps, are compared by their JSON text. A value that falls is
+    carried once, turned, where it can be turned back.
     """
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.dropDuplicates(list(keys))
     kinds = {f.name: f.dataType for f in df.schema}
-    rank, named = [], set()
+    rank, named, back = [], set(), {}
+    odd = [c for c in rest if not _orderable(kinds[c])]
     for number, (name, direction) in enumerate(_directions(order)):
         if direction == "desc":
             rank.append(_falling(F.col(name), kinds[name]).alias(f"_rank{number}"))
+            value = _turned_back(F.col("_first")[f"_rank{number}"], kinds[name])
+            if value is not None and not odd and name in rest and name not in named:
+                back[name] = value
+                named.add(name)
         elif name not in keys and name not in named:
             rank.append(F.col(name))
             named.add(name)
-    others = [c for c in rest if c not in named]
-    plain = [c for c in others if _orderable(kinds[c])]
-    odd = [c for c in others if c not in plain]
+    plain = [c for c in rest if c not in named and c not in odd]
     if odd:
         text = F.to_json(F.struct(*odd)).alias("_text")
         first = F.min_by(F.struct(*rest), F.struct(*rank, *plain, text))
@@ -137,7 +158,10 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Preference) -> DataFra
         first = F.min(F.struct(*rank, *plain))
     kept = df.groupBy(*keys).agg(first.alias("_first"))
     return kept.select(
-        *[F.col(c) if c in keys else F.col("_first")[c].alias(c) for c in df.columns]
+        *[
+            F.col(c) if c in keys else back.get(c, F.col("_first")[c]).alias(c)
+            for c in df.columns
+        ]
     )
 
 

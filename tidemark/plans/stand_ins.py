@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.scratch import materialise
+
 
 # The two product files: every product is in one, some are in both.
 FIRST_PRODUCTS = "category <> 'PROMO'"
@@ -89,8 +91,9 @@ def write_dataset_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
         "order_date",
         F.col("amount").alias("total_amount"),
     )
+    # the two files overlap: orders and lines are joined once for both
     write_split(
-        orders, folder, "orders",
+        materialise(orders, "sales"), folder, "orders",
         "order_date < DATE'1998-07-01'", "order_date >= DATE'1998-01-01'",
     )
     write_split(
