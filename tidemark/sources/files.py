@@ -9,6 +9,7 @@ from collections.abc import Iterator, Sequence
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -228,18 +229,24 @@ def read_files(
     return rows
 
 
-def with_arrival(rows: DataFrame, name: str, times: DataFrame) -> DataFrame:
-    """``_arrived_at`` in place of the file: when its delivery was written, and its name.
+def arrivals(name: str, listed: DataFrame) -> DataFrame:
+    """``read, arrived``: every listed file, when its delivery was written, and its name.
 
-    Both belong to the files, so a replay orders rows as the loads one by one did.
-    ``times`` has ``delivered, file`` of the deliveries of a batch, whose number is
-    limited.
+    ``listed`` has ``file, modificationTime`` of the files of a batch, whose number is
+    limited. Both belong to the files, so a replay orders rows as the loads one by one
+    did.
     """
-    told = rows.withColumn(_FILE, delivery(name, F.col(_FILE))).join(
-        F.broadcast(times), F.col(_FILE) == F.col("file"), "left"
+    told = listed.select(
+        F.col("file").alias("read"), delivery(name, F.col("file")).alias("file"), "modificationTime"
     )
-    arrived = F.struct("delivered", F.col(_FILE).alias("file"))
-    return told.withColumn(ARRIVED, arrived).drop(_FILE, "file", "delivered")
+    written = F.min("modificationTime").over(W.partitionBy("file"))
+    return told.select("read", F.struct(written.alias("delivered"), "file").alias("arrived"))
+
+
+def with_arrival(rows: DataFrame, arrived: DataFrame) -> DataFrame:
+    """``_arrived_at`` in place of the file, looked up by the file's whole path."""
+    told = rows.join(F.broadcast(arrived), F.col(_FILE) == F.col("read"), "left")
+    return told.withColumn(ARRIVED, F.col("arrived")).drop(_FILE, "read", "arrived")
 
 
 def read_dataset(

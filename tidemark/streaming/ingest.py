@@ -19,8 +19,8 @@ from tidemark.operators.cleaning import ARRIVED, BATCH, RESCUED
 from tidemark.sources.files import (
     ANY_AGE,
     Ledger,
+    arrivals,
     dataset_glob,
-    delivery,
     own_files,
     read_files,
     store_schema,
@@ -95,12 +95,10 @@ class Ingest:
         label = f"{self.home.rsplit('/', 1)[1]}-batch={batch_id}"
         groups = Ledger(spark, self.ledger).groups(paths, label)
         declared = self._declared(spark, [schema for _, schema in groups])
-        times = (
-            spark.createDataFrame(listed)
-            .groupBy(delivery(self.name, F.col("file")).alias("file"))
-            .agg(F.min("modificationTime").alias("delivered"))
+        rows = with_arrival(
+            read_files(spark, groups, declared),
+            arrivals(self.name, spark.createDataFrame(listed)),
         )
-        rows = with_arrival(read_files(spark, groups, declared), self.name, times)
         rows.write.mode("overwrite").parquet(f"{self.home}/data/{BATCH}={batch_id}")
 
     def start(self) -> StreamingQuery:
