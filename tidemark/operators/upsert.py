@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.cleaning import Preference, keep_first
 
@@ -14,13 +15,28 @@ class DuplicateKeys(ValueError):
     """The source of an upsert has several rows for one key."""
 
 
-def row_digest(columns: Sequence[str], prefix: str = "") -> Column:
+def row_digest(
+    columns: Sequence[str], prefix: str = "", schema: T.StructType | None = None
+) -> Column:
     """128 bits of a row's values, for a comparison that moves no values.
 
-    ``prefix`` is what the columns are called beside these names.
+    ``prefix`` is what the columns are called beside these names. With the ``schema``
+    instants are digested as numbers, which takes a fraction of the time; both sides of
+    a comparison have to be told theirs then.
     """
-    values = F.to_json(F.struct(*[F.col(f"{prefix}{c}").alias(c) for c in sorted(columns)]), _EXACT)
-    return F.unhex(F.md5(values))
+    kinds = {f.name: f.dataType for f in schema or ()}
+    told = [_counted(F.col(f"{prefix}{c}"), kinds.get(c)).alias(c) for c in sorted(columns)]
+    return F.unhex(F.md5(F.to_json(F.struct(*told), _EXACT)))
+
+
+def _counted(column: Column, kind: T.DataType | None) -> Column:
+    """Instants, in structs too, as microseconds since 1970; other values as they are."""
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(column)
+    if isinstance(kind, T.StructType) and len(kind):
+        fields = [_counted(column[f.name], f.dataType).alias(f.name) for f in kind]
+        return F.when(column.isNotNull(), F.struct(*fields))
+    return column
 
 
 # every field is written, and instants to the last microsecond

@@ -8,6 +8,7 @@ from collections.abc import Callable, Mapping, Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.registry import register_discount
@@ -59,6 +60,8 @@ LAYERS = ("bronze", "silver", "gold")
 CUSTOMER_KEY = "DimCustomerKey"
 # 128 bits of a dimension row's attributes
 DIGEST = "_digest"
+# the number of an order's delivery, the newest first
+_DELIVERY = "_delivery"
 
 
 def silver_customers(bronze: DataFrame) -> DataFrame:
@@ -134,9 +137,10 @@ def _clean_batches(
     new = sorted(batches(spark, source) - (batches(spark, table) if here else set()))
     if here and not new:
         return []
-    cleaned = transform(spark.table(source).filter(F.col(BATCH).isin(new)))
-    repeatable = cleaned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    repeatable.partitionBy(BATCH).parquet(home)
+    cleaned = transform(spark.table(source))
+    for number in new:  # one folder at a time, so that no task sorts its rows by batch
+        own = cleaned.filter(F.col(BATCH) == number).drop(BATCH)
+        own.write.mode("overwrite").parquet(f"{home}/{BATCH}={number}")
     show_batches(spark, table, cleaned.drop(BATCH).schema, home, BATCH)
     return new
 
@@ -234,26 +238,37 @@ def load_order_facts(
     if merged:
         unknown = f"DimCustomerKey = {UNKNOWN_KEY} OR DimProductKey = {UNKNOWN_KEY}"
         orders = orders.union(spark.table(table).filter(unknown).select(*orders.columns))
+        if orders.isEmpty():
+            write_text(spark, json.dumps(sorted(found)), progress)
+            return []
     customers = query_table(spark, f"{gold}.dim_customers", [CUSTOMER_KEY, "customer_id"])
     products = spark.table(f"{gold}.dimproducts")
     if not point_in_time:
         products = current_versions(products)
-    newest = [(ARRIVED, "desc"), *order]
+    told, deliveries = _by_delivery(orders)
     at = "order_date" if point_in_time else None
-    facts = build_order_facts(orders, customers, products, newest, at)
-    if table_exists(spark, table):
-        facts = _not_older(facts, spark.table(table))
-    years = create_or_merge_partitions(facts, table, FACT_KEYS, "year", unique=True)
+    facts = build_order_facts(told, customers, products, [_DELIVERY, *order], at)
+    facts = facts.join(F.broadcast(deliveries), _DELIVERY).drop(_DELIVERY)
+    columns = [*orders.columns, *[c for c in facts.columns if c not in orders.columns]]
+    years = create_or_merge_partitions(
+        facts.select(*columns), table, FACT_KEYS, "year", unique=True, newest=ARRIVED
+    )
     write_text(spark, json.dumps(sorted(found)), progress)
     return years
 
 
-def _not_older(facts: DataFrame, held: DataFrame) -> DataFrame:
-    """Facts but for those of which a newer delivery is held; keys and times are joined."""
-    told = held.select(*[F.col(c).alias(f"_held_{c}") for c in (*FACT_KEYS, ARRIVED)])
-    newer = F.col(f"_held_{ARRIVED}") > F.col(ARRIVED)
-    same = [F.col(c).eqNullSafe(F.col(f"_held_{c}")) for c in FACT_KEYS]
-    return facts.join(told, [*same, newer], "left_anti")
+def _by_delivery(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The orders with the number of their delivery in its place, and the numbers.
+
+    The newest delivery is 1, so an order compares and moves a number and no time and
+    name. There is one row per delivery, which one task numbers and all are sent.
+    """
+    rows = orders.select(ARRIVED).distinct()
+    place = F.row_number().over(W.orderBy(F.desc(ARRIVED)))
+    deliveries = materialise(rows.withColumn(_DELIVERY, place), "deliveries")
+    numbers = deliveries.withColumnRenamed(ARRIVED, "_delivered")
+    match = F.col(ARRIVED).eqNullSafe(F.col("_delivered"))
+    return orders.join(F.broadcast(numbers), match).drop(ARRIVED, "_delivered"), deliveries
 
 
 def load_warehouse(
