@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 import threading
 
+import pytest
 from pyspark.sql import DataFrameWriter
+from pyspark.sql import functions as F
 
 from tidemark.operators.cleaning import ARRIVED, keep_first
+from tidemark.operators.facts import build_order_facts
+from tidemark.operators.joins import known_or
 from tidemark.plans import layers, stand_ins
 from tidemark.scratch import names_in, scratch_path
 from tidemark.session import side_by_side
@@ -114,3 +119,45 @@ def test_stored_results_are_packed_with_zstd(spark):
     place = scratch_path(spark, "codec")
     spark.range(10).write.parquet(place)
     assert any(".zstd." in name for name in names_in(spark, place))
+
+
+@pytest.fixture
+def large_dimensions(spark):
+    """What is larger than 20 KB is not broadcast."""
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name in names:
+        spark.conf.set(name, "20KB")
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_orders_are_shuffled_once_however_large_the_dimensions(spark, large_dimensions):
+    numbers = spark.range(50_000)
+    customers = numbers.select(F.col("id").alias("customer_id"), (F.col("id") + 7).alias("DimCustomerKey"))
+    products = numbers.filter("id <> 3").select(F.col("id").alias("product_id"))
+    orders = spark.range(6000).select(
+        (F.col("id") / 2).cast("bigint").alias("order_id"),
+        F.when(F.col("id") >= 2, (F.col("id") / 2).cast("bigint")).alias("customer_id"),
+        (F.col("id") / 2).cast("bigint").alias("product_id"),
+        F.col("id").alias("amount"),
+    )
+    facts = build_order_facts(orders, customers, products, [("amount", "desc")])
+    rows = {r.order_id: r for r in facts.collect()}
+    plan = facts._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    moved = re.findall(r"Exchange hashpartitioning\((\w+)#", plan)
+    assert sorted(moved) == ["_dim_customer_id", "customer_id"]
+    assert len(rows) == facts.count() == 3000
+    assert all(r.amount == 2 * n + 1 for n, r in rows.items())
+    assert (rows[0].DimCustomerKey, rows[0].DimProductKey) == (-1, 0)
+    assert (rows[3].DimCustomerKey, rows[3].DimProductKey) == (10, -1)
+    assert (rows[4].DimCustomerKey, rows[4].DimProductKey) == (11, 4)
+
+
+def test_known_keys_are_found_as_a_lookup_finds_them(spark):
+    facts = spark.createDataFrame([(1, 5), (2, None), (3, 6), (4, 5)], "id int, p bigint")
+    dimension = spark.createDataFrame([(5,), (None,)], "q int")
+    found = known_or(facts, facts, dimension, "p", "q", "key")
+    assert dict(found.dtypes) == {"id": "int", "p": "bigint", "key": "int"}
+    assert sorted((r.id, r.key) for r in found.collect()) == [(1, 5), (2, -1), (3, -1), (4, 5)]

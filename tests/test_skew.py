@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators.facts import build_order_facts
 from tidemark.operators.history import (
     END,
     START,
@@ -70,6 +71,20 @@ def test_hot_fact_key_is_split_in_the_lookup(spark, small_thresholds, hot_orders
     assert joined.count() == ROWS
 
 
+def test_hot_customer_is_split_when_facts_are_built(spark, small_thresholds, hot_orders):
+    """Copies are looked for where the lookup's shuffle put them, unless it was split."""
+    dim = customers(spark).withColumn("DimCustomerKey", F.col("customer_id") + 1000)
+    products = spark.range(1, 50).select(F.col("id").alias("product_id"))
+    twice = hot_orders.unionAll(hot_orders.withColumn("amount", F.lit(None).cast("bigint")))
+    facts = build_order_facts(twice, dim, products, [("amount", "desc")])
+    assert "skew=true" in final_plan(facts)
+    assert facts.count() == ROWS
+    want = hot_orders.agg(F.count("amount"), F.bit_xor("amount")).first()
+    assert facts.agg(F.count("amount"), F.bit_xor("amount")).first() == want
+    assert facts.filter("DimCustomerKey <> customer_id + 1000").isEmpty()
+    assert facts.filter("DimProductKey <> IF(product_id = 0, -1, product_id)").isEmpty()
+
+
 def test_hot_customer_is_split_in_the_star_join(spark, small_thresholds, hot_orders):
     products = spark.range(50).select(F.col("id").alias("product_id"))
     regions = spark.createDataFrame([(1, "North")], "region_id int, region_name string")

@@ -14,6 +14,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.scratch import materialise
+
 UNKNOWN_KEY = -1
 
 
@@ -62,6 +64,31 @@ def look_up_key(
     return joined.withColumn(out, F.coalesce(F.col(out), F.lit(unknown)))
 
 
+def known_or(
+    facts: DataFrame,
+    told: DataFrame,
+    dimension: DataFrame,
+    fact_key: str,
+    key: str,
+    out: str,
+    unknown: int = UNKNOWN_KEY,
+) -> DataFrame:
+    """``fact_key`` as ``out`` where ``dimension[key]`` has it, ``unknown`` elsewhere.
+
+    As a lookup of ``key`` itself, but facts are not shuffled for it: their different
+    keys are, as ``told`` has them, which may be a frame the facts come from. Those the
+    dimension lacks are stored, mostly few, and joined back, by a shuffle if they are many.
+    """
+    wanted = dimension.select(F.col(key).alias("_dim_key"))
+    found = told.select(F.col(fact_key).alias("_lacking")).dropna().distinct()
+    lacking = found.join(wanted, F.col("_lacking") == F.col("_dim_key"), "left_anti")
+    stored = materialise(lacking, "lacking-keys")
+    joined = facts.join(stored, facts[fact_key] == stored["_lacking"], "left")
+    here = F.col(fact_key).isNotNull() & F.col("_lacking").isNull()
+    value = F.when(here, F.col(fact_key).cast(dimension.schema[key].dataType))
+    return joined.withColumn(out, F.coalesce(value, F.lit(unknown))).drop("_lacking")
+
+
 def mark_new_rows(
     source: DataFrame, known: DataFrame, on: Mapping[str, str], out: str = "side"
 ) -> DataFrame:

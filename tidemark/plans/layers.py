@@ -90,8 +90,13 @@ def customers_of_domain(customers: DataFrame, domain: str) -> DataFrame:
 
 
 def silver_orders(bronze: DataFrame) -> DataFrame:
-    dated = bronze.drop(RESCUED).withColumn("order_date", parsed_timestamp("order_date"))
-    return dated.withColumn("year", F.year("order_date"))
+    return _with_year(
+        bronze.drop(RESCUED).withColumn("order_date", parsed_timestamp("order_date"))
+    )
+
+
+def _with_year(orders: DataFrame) -> DataFrame:
+    return orders.withColumn("year", F.year("order_date"))
 
 
 def silver_products(bronze: DataFrame) -> DataFrame:
@@ -247,8 +252,9 @@ def load_order_facts(
         products = current_versions(products)
     told, deliveries = _by_delivery(orders)
     at = "order_date" if point_in_time else None
-    facts = build_order_facts(told, customers, products, [_DELIVERY, *order], at)
-    facts = facts.join(F.broadcast(deliveries), _DELIVERY).drop(_DELIVERY)
+    # the year follows from the date and need not be moved
+    facts = build_order_facts(told.drop("year"), customers, products, [_DELIVERY, *order], at)
+    facts = _with_year(facts).join(F.broadcast(deliveries), _DELIVERY).drop(_DELIVERY)
     columns = [*orders.columns, *[c for c in facts.columns if c not in orders.columns]]
     years = create_or_merge_partitions(
         facts.select(*columns), table, FACT_KEYS, "year", unique=True, newest=ARRIVED
