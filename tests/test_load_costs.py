@@ -14,7 +14,7 @@ from tidemark.operators.cleaning import ARRIVED, keep_first
 from tidemark.operators.facts import build_order_facts
 from tidemark.operators.joins import known_or
 from tidemark.plans import layers, stand_ins
-from tidemark.scratch import names_in, scratch_path
+from tidemark.scratch import names_in, scratch_path, shared_dir
 from tidemark.session import side_by_side
 from tidemark.sources import files, tables
 from tidemark.sources.files import arrivals, with_arrival
@@ -161,3 +161,20 @@ def test_known_keys_are_found_as_a_lookup_finds_them(spark):
     found = known_or(facts, facts, dimension, "p", "q", "key")
     assert dict(found.dtypes) == {"id": "int", "p": "bigint", "key": "int"}
     assert sorted((r.id, r.key) for r in found.collect()) == [(1, 5), (2, -1), (3, -1), (4, 5)]
+
+
+def test_both_files_of_the_orders_are_written_in_one_pass(spark, tmp_path):
+    folder = f"{tmp_path}/in"
+    stand_ins.write_dataset_files(spark, DATA, folder)
+    home = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+    assert not [name for name in names_in(spark, home) if name.startswith("sales")]
+    sales = stand_ins.sales(spark, DATA).drop("line_no").withColumnRenamed("amount", "total_amount")
+    ends = {"first": "order_date < DATE'1998-07-01'", "second": "order_date >= DATE'1998-01-01'"}
+    both = spark.read.parquet(files.dataset_glob(folder, "orders"))
+    assert sorted(both.columns) == sorted(sales.columns)
+    for end, condition in ends.items():
+        (name,) = [n for n in names_in(spark, folder) if n.startswith("orders") and n.endswith(f"{end}.parquet")]
+        got = spark.read.parquet(f"{folder}/{name}").select(*sales.columns)
+        want = sales.filter(condition)
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert both.count() == sum(sales.filter(c).count() for c in ends.values())
